@@ -1,0 +1,236 @@
+"""Small per-document helpers on the standard library's ``html.parser`` and
+``json`` (used inside Spark tasks by ``extract``; bs4/lxml are not needed).
+
+``parse`` builds a light element tree; the ``*_rows`` functions walk it and
+return plain Python values for one document.
+"""
+
+from __future__ import annotations
+
+import json
+import re
+from html.parser import HTMLParser
+
+VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+_WS = re.compile(r"\s+")
+
+
+class Node:
+    __slots__ = ("tag", "attrs", "children", "parent")
+
+    def __init__(self, tag: str, attrs: dict, parent: "Node | None"):
+        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], parent
+
+    @property
+    def classes(self) -> list[str]:
+        return (self.attrs.get("class") or "").split()
+
+    def text(self) -> str:
+        return "".join(_ordered_text(self))
+
+    def iter(self, tag: str | None = None, cls: str | None = None):
+        for ch in self.children:
+            if isinstance(ch, Node):
+                if (tag is None or ch.tag == tag) and (cls is None or cls in ch.classes):
+                    yield ch
+                yield from ch.iter(tag, cls)
+
+    def find(self, tag: str | None = None, cls: str | None = None, **attrs):
+        for n in self.iter(tag, cls):
+            if all(n.attrs.get(k) == v for k, v in attrs.items()):
+                return n
+        return None
+
+
+def _ordered_text(n: Node) -> list[str]:
+    out: list[str] = []
+    for ch in n.children:
+        out.extend([ch] if isinstance(ch, str) else _ordered_text(ch))
+    return out
+
+
+class _Builder(HTMLParser):
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.root = Node("#root", {}, None)
+        self.cur = self.root
+
+    def handle_starttag(self, tag, attrs):
+        node = Node(tag, {k: (v or "") for k, v in attrs}, self.cur)
+        self.cur.children.append(node)
+        if tag not in VOID:
+            self.cur = node
+
+    def handle_startendtag(self, tag, attrs):
+        self.cur.children.append(Node(tag, {k: (v or "") for k, v in attrs}, self.cur))
+
+    def handle_endtag(self, tag):
+        n = self.cur
+        while n is not None and n.tag != tag:
+            n = n.parent
+        if n is not None and n.parent is not None:
+            self.cur = n.parent
+
+    def handle_data(self, data):
+        self.cur.children.append(data)
+
+
+def parse(html: str | bytes | None) -> Node:
+    if isinstance(html, (bytes, bytearray)):
+        html = html.decode("utf-8", "replace")
+    b = _Builder()
+    b.feed(html or "")
+    b.close()
+    return b.root
+
+
+def squash(s: str) -> str:
+    return _WS.sub(" ", s).strip()
+
+
+def table_rows(html) -> list[dict[str, str]]:
+    """EXT-1: every ``<table>`` -> rows keyed by header text; a linked cell
+    also yields ``<header>_href``."""
+    out: list[dict[str, str]] = []
+    for table in parse(html).iter("table"):
+        headers = [squash(th.text()) for th in table.iter("th")]
+        for tr in table.iter("tr"):
+            cells = [td for td in tr.children if isinstance(td, Node) and td.tag == "td"]
+            if not cells:
+                continue
+            row: dict[str, str] = {}
+            for h, td in zip(headers, cells):
+                row[h] = squash(td.text())
+                a = td.find("a")
+                if a is not None and a.attrs.get("href"):
+                    row[f"{h}_href"] = a.attrs["href"]
+            out.append(row)
+    return out
+
+
+def grid_rows(html, container: str = "box_table", row_cls: str = "tr", head_cls: str = "th",
+              cell_cls: str = "td", link_col: str | None = None, base_url: str = "",
+              url_col: str = "url") -> list[dict[str, str]]:
+    """EXT-2: ``div`` grid -> rows; a cell made of several tags is their
+    texts joined by ``", "``; the link of ``link_col`` is made absolute."""
+    root = parse(html)
+    box = root.find("div", container)
+    if box is None:
+        return []
+    headers: list[str] = []
+    rows: list[dict[str, str]] = []
+    for tr in box.iter("div", row_cls):
+        ths = [c for c in tr.children if isinstance(c, Node) and head_cls in c.classes]
+        if ths:
+            headers = [squash(c.text()) for c in ths]
+            continue
+        tds = [c for c in tr.children if isinstance(c, Node) and cell_cls in c.classes]
+        if not tds:
+            continue
+        row: dict[str, str] = {}
+        for h, td in zip(headers, tds):
+            tags = [squash(x.text()) for x in td.children if isinstance(x, Node) and squash(x.text())]
+            row[h] = ", ".join(tags) if len(tags) > 1 else squash(td.text())
+            if link_col is not None and h == link_col:
+                a = td.find("a")
+                if a is not None and a.attrs.get("href"):
+                    href = a.attrs["href"]
+                    row[url_col] = href if re.match(r"^[a-z]+://", href) else base_url.rstrip("/") + "/" + href.lstrip("/")
+        rows.append(row)
+    return rows
+
+
+def label_value_pairs(html, label_cls: str = "label", value_cls: str = "value",
+                      ignore_cls: tuple[str, ...] = ("label", "coin_type")) -> dict[str, str]:
+    """EXT-3: ``<td class="label X">`` / ``<td class="value">`` pairs in
+    rows; the key is the first class of the label cell not in ``ignore_cls``;
+    header rows (``<th>``) are skipped; a later key overwrites an earlier one."""
+    out: dict[str, str] = {}
+    for tr in parse(html).iter("tr"):
+        if tr.find("th") is not None:
+            continue
+        label = tr.find("td", label_cls)
+        value = tr.find("td", value_cls)
+        if label is None or value is None:
+            continue
+        key = next((c for c in label.classes if c not in ignore_cls), None)
+        if key is not None:
+            out[key] = squash(value.text())
+    return out
+
+
+def info_pairs(html, section_tag: str | None = None, section_attrs: dict | None = None,
+               key_cls: str = "info", value_cls: str = "value", hidden_cls: str = "hidden"):
+    """EXT-4: ``<li>`` items with a key span and a value span inside one
+    section; hidden items are skipped; an item with links takes their texts
+    joined by ``", "``; whitespace collapsed.  Returns ``(pairs, error)``: a
+    missing section, key or value and a repeated (non-link) key are errors."""
+    root = parse(html)
+    section = root
+    if section_tag is not None:
+        attrs = dict(section_attrs or {})
+        cls = attrs.pop("class", None)
+        section = root.find(section_tag, cls, **attrs)
+        if section is None:
+            return {}, "missing section"
+    out: dict[str, str] = {}
+    for li in section.iter("li"):
+        if hidden_cls in li.classes:
+            continue
+        k = li.find("span", key_cls)
+        if k is None:
+            return out, "missing key"
+        key = k.text()
+        links = list(li.iter("a"))
+        if links:
+            value = ", ".join(t for t in (a.text().strip() for a in links) if t)
+        else:
+            v = li.find("span", value_cls)
+            if v is None:
+                return out, "missing value"
+            if key in out:
+                return out, f"repeated key {key}"
+            value = squash(v.text())
+        out[key] = value
+    return out, None
+
+
+def list_items(html) -> list[tuple[str, str | None]]:
+    """``<li>`` items of a page in document order: (text, first link)."""
+    res = []
+    for li in parse(html).iter("li"):
+        a = li.find("a")
+        res.append((squash(li.text()), a.attrs.get("href") if a is not None else None))
+    return res
+
+
+_DEC = json.JSONDecoder(parse_constant=lambda c: (_ for _ in ()).throw(ValueError(c)))
+
+
+def json_objects(text: str | None) -> list[str]:
+    """EXT-9: JSON objects embedded in text, scanned left to right; each
+    ``{`` that starts a valid object yields the object and the scan resumes
+    after it (non-overlapping).  ``NaN``/``Infinity`` are rejected."""
+    out: list[str] = []
+    if not text:
+        return out
+    i = text.find("{")
+    while i != -1:
+        try:
+            obj, end = _DEC.raw_decode(text, i)
+        except ValueError:
+            i = text.find("{", i + 1)
+            continue
+        if isinstance(obj, dict):
+            out.append(json.dumps(obj, separators=(",", ":"), ensure_ascii=False))
+        i = text.find("{", end)
+    return out
+
+
+def unescape_script(text: str | None, cut: str | None = None) -> str:
+    """EXT-9 preamble: unescape ``\\"`` and ``\\/`` of a script payload and cut
+    it at a delimiter."""
+    s = (text or "").replace('\\"', '"').replace("\\/", "/")
+    if cut and cut in s:
+        s = s[: s.index(cut)]
+    return s
