@@ -122,7 +122,8 @@ def join_url(*parts: ColumnOrName) -> Column:
     scheme's double slash."""
     joined = concat_sep("/", *parts)
     collapsed = F.regexp_replace(joined, "/{2,}", "/")
-    return F.regexp_replace(collapsed, "^([A-Za-z][A-Za-z0-9+.-]*):/(?!/)", "$1://")
+    # after collapsing, a scheme is followed by exactly one slash
+    return F.regexp_replace(collapsed, "^([A-Za-z][A-Za-z0-9+.-]*):/", "$1://")
 
 
 def snake_case_name(name: str) -> str:

@@ -8,8 +8,6 @@ stay partitioned, move to Python in Arrow batches, and come back as rows.
 
 from __future__ import annotations
 
-import json
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,8 +92,27 @@ def is_valid_entity_page(html: Column | str, markers=("coin-heading", "coin-page
 
 # -- Python (mapInPandas) ------------------------------------------------------
 
+def _field_names(ddl: str) -> list[str]:
+    """Top-level field names of a DDL string (commas inside <...> ignored)."""
+    names, depth, cur = [], 0, ""
+    for ch in ddl + ",":
+        if ch == "<":
+            depth += 1
+        elif ch == ">":
+            depth -= 1
+        if ch == "," and depth == 0:
+            names.append(cur.strip().split()[0])
+            cur = ""
+        else:
+            cur += ch
+    return names
+
+
 def _map_pages(df: DataFrame, key_cols: list[str], html: str, fn, out_schema: str) -> DataFrame:
+    """Run ``fn(doc) -> iterable of tuples`` over every document of ``df``
+    in Arrow batches; output rows are ``(keys..., fn fields...)``."""
     cols = key_cols + [html]
+    names = key_cols + _field_names(out_schema)
 
     def run(batches):
         for pdf in batches:
@@ -104,9 +121,7 @@ def _map_pages(df: DataFrame, key_cols: list[str], html: str, fn, out_schema: st
                 keys, doc = rec[:-1], rec[-1]
                 for out in fn(doc):
                     rows.append(tuple(keys) + tuple(out))
-            names = [f.split()[0] for f in out_schema.split(",")]
-            yield pd.DataFrame.from_records(rows, columns=names) if rows else pd.DataFrame(
-                {n: pd.Series([], dtype=object) for n in names})
+            yield pd.DataFrame.from_records(rows, columns=names)
 
     key_schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in key_cols)
     return df.select(*cols).mapInPandas(run, f"{key_schema}, {out_schema}" if key_schema else out_schema)
@@ -163,7 +178,3 @@ def first_with_keys(objs: DataFrame, key_cols: list[str], required: list[str], s
     ok = parsed.filter(F.expr(" AND ".join(f"_o.`{k}` IS NOT NULL" for k in required)))
     best = ok.groupBy(*key_cols).agg(F.min(F.struct("obj_idx", "json")).alias("_b"))
     return best.select(*key_cols, F.col("_b.obj_idx").alias("obj_idx"), F.col("_b.json").alias("json"))
-
-
-def json_keys(js: Column) -> list[str]:  # pragma: no cover - documentation helper
-    return json.loads(js) if isinstance(js, str) else []

@@ -1 +1,164 @@
-"""(filled below)"""
+"""Page queries over ``pages(page_id, url, html)`` (EXT-*, FLT-9..13,
+STR-7..19)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from silverline.functions import predicates as P
+from silverline.functions import strings as S
+from silverline.operators import extract as X
+from silverline.plans.registry import T, register
+
+TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
+
+
+@register("page_titles", f"""
+with t as (select page_id, nullif(trim(regexp_replace(regexp_extract(html, '{TITLE_RE}', 1), '\\s+', ' ', 'g')), '')
+  as title from pages)
+select page_id, title, split_part(title, ' (', 1) as entity_name from t
+""")
+def q_page_titles(spark, sf):
+    p = T(spark, sf, "pages")
+    return p.select("page_id", X.page_title("html").alias("title"), X.entity_name_from_title("html").alias("entity_name"))
+
+
+_SQL_HREF = X.HREF_PATTERN.replace("'", "''")
+
+
+@register("page_links", f"""
+with l as (select page_id, regexp_extract_all(html, '{_SQL_HREF}', 1) as hs from pages)
+select page_id, cast(i - 1 as integer) as link_idx, regexp_replace(hs[i], '[.]+$', '') as href
+from l, range(1, len(hs) + 1) r(i)
+""")
+def q_page_links(spark, sf):
+    return X.links(T(spark, sf, "pages"), keep=["page_id"])
+
+
+_SLUG_SQL = ("nullif(regexp_extract(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), "
+             "'([^/]+)/?$', 1), '')")
+
+
+@register("page_sizes", f"""
+select page_id, cast(strlen(html) as bigint) as n_bytes, {_SLUG_SQL} as slug, strlen(html) >= 5000 as is_big from pages
+""")
+def q_page_sizes(spark, sf):
+    p = T(spark, sf, "pages")
+    return p.select("page_id", X.page_size("html").cast("bigint").alias("n_bytes"), X.url_slug("url").alias("slug"),
+                    P.min_bytes("html", 5000).alias("is_big"))
+
+
+# A direct article URL on the test hosts: one language folder, one page
+# segment, an optional final slash; no query.
+ARTICLE_URL = r"^https://[a-z.]+\.example\.(com|net|org)/[a-z]{2}/[^/?=#]+/?$"
+
+
+@register("url_predicate", f"""
+select page_id, url,
+  (not regexp_matches(url, '/amp/?$') and regexp_matches(url, '{ARTICLE_URL}')
+   and not regexp_matches(url, '[\\r\\n]')) as is_direct,
+  (contains(html, '<article>') or contains(html, 'class="ad"')) as has_marker,
+  strlen(html) >= 5000 as is_big,
+  coalesce(cast(nullif(regexp_extract(url, 'page=(\\d+)', 1), '') as integer), 1) > 1
+    and contains(html, '<li class="page-item disabled') as is_last_page
+from pages
+""")
+def q_url_predicate(spark, sf):
+    p = T(spark, sf, "pages")
+    page_no = F.coalesce(S.extract_group("url", r"page=(\d+)").cast("int"), F.lit(1))
+    return p.select("page_id", "url", P.is_direct_url("url", ARTICLE_URL).alias("is_direct"),
+                    P.has_any_marker("html", ["<article>", 'class="ad"']).alias("has_marker"),
+                    P.min_bytes("html", 5000).alias("is_big"),
+                    P.is_last_page("html", page_no).alias("is_last_page"))
+
+
+@register("url_parts", f"""
+with u as (select page_id, url,
+  nullif(regexp_extract(url, '^[a-z]+://([^/?#]+)', 1), '') as host,
+  nullif(regexp_extract(url, '://[^/]+/([a-z]{{2}})/', 1), '') as lang from pages)
+select page_id, host, lang,
+  string_split(url, '/')[-1] as last_part,
+  replace(url, '.html', '') as no_suffix,
+  regexp_replace(regexp_replace('https://mirror.example.org/' || '/' || host || '/' || lang, '/{{2,}}', '/', 'g'),
+                 '^([A-Za-z][A-Za-z0-9+.-]*):/', '\\1://') as mirror_url,
+  replace(lang || ' ' || string_split(url, '/')[-1], ' ', '-') as slug,
+  split_part(url, '?', 1) as before_query,
+  regexp_replace(url, '[/]+$', '') as no_trailing_slash,
+  'url:' || url as prefixed,
+  {_SLUG_SQL} as url_slug
+from u
+""")
+def q_url_parts(spark, sf):
+    p = T(spark, sf, "pages")
+    host = S.extract_group("url", r"^[a-z]+://([^/?#]+)")
+    lang = S.extract_group("url", r"://[^/]+/([a-z]{2})/")
+    u = p.select("page_id", "url", host.alias("host"), lang.alias("lang"))
+    return u.select("page_id", "host", "lang", S.split_last("url", "/").alias("last_part"),
+                    S.replace_literal("url", ".html", "").alias("no_suffix"),
+                    S.join_url(F.lit("https://mirror.example.org/"), F.col("host"), F.col("lang")).alias("mirror_url"),
+                    S.slugify(S.concat_sep(" ", "lang", S.split_last("url", "/"))).alias("slug"),
+                    S.text_before("url", "?").alias("before_query"),
+                    S.rstrip_chars("url", "/").alias("no_trailing_slash"),
+                    S.concat_strict(F.lit("url:"), F.col("url")).alias("prefixed"),
+                    X.url_slug("url").alias("url_slug"))
+
+
+def _absolute_links(spark, sf):
+    p = T(spark, sf, "pages")
+    l = X.links(p.select("page_id", "url", "html"), keep=["url"])
+    origin = F.regexp_extract("url", r"^([a-z]+://[^/?#]+)", 1)
+    return l.select(F.when(F.col("href").startswith("/"), F.concat(origin, F.col("href")))
+                    .otherwise(F.col("href")).alias("href"))
+
+
+_SQL_ABS = f"""found as (select case when starts_with(h, '/') then regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || h else h end
+    as href from (select url, regexp_replace(unnest(regexp_extract_all(html, '{_SQL_HREF}', 1)), '[.]+$', '') as h from pages))"""
+
+
+@register("frontier_round", f"""with {_SQL_ABS}
+select distinct href as url from found f where not exists (select 1 from pages p where p.url = f.href)
+""")
+def q_frontier_round(spark, sf):
+    return X.frontier_round(_absolute_links(spark, sf), T(spark, sf, "pages").select("url"))
+
+
+@register("frontier_counts", f"""with {_SQL_ABS},
+u as (select href as url, 1 as f, 0 as s from found union all select url, 0, 1 from pages),
+per as (select url, max(f) as f, max(s) as s from u group by url)
+select count(*) as total_count, cast(sum(s) as bigint) as completed_count,
+  count(*) filter (where f = 1 and s = 0) as remaining_count from per
+""")
+def q_frontier_counts(spark, sf):
+    return X.frontier_counts(_absolute_links(spark, sf), T(spark, sf, "pages").select("url"))
+
+
+@register("page_list_items")
+def q_page_list_items(spark, sf):
+    """EXT-4 style ``<li>`` extraction through the HTML parser (rows-only)."""
+    return X.html_list_items(T(spark, sf, "pages"), ["page_id"])
+
+
+@register("page_info_pairs")
+def q_page_info_pairs(spark, sf):
+    """EXT-4 over every page's navigation list (``nav`` section): pages use
+    plain links, so each item is keyed by its missing ``span.info`` -> error
+    rows, which a contract would quarantine (rows-only)."""
+    out = X.html_info_pairs(T(spark, sf, "pages"), ["page_id"], section_tag="nav")
+    return out.select("page_id", F.size("kv").cast("bigint").alias("n_pairs"), "error")
+
+
+@register("page_tables")
+def q_page_tables(spark, sf):
+    """EXT-1 over all pages (rows-only; the test pages hold no table)."""
+    return X.html_tables(T(spark, sf, "pages"), ["page_id"]).select("page_id", "row_idx",
+                                                                    F.to_json("cells").alias("cells_json"))
+
+
+@register("embedded_json")
+def q_embedded_json(spark, sf):
+    """EXT-9 over the whole text of every document and conversation turn
+    (rows-only)."""
+    docs = T(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.lit("documents").alias("src"), "text")
+    conv = T(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
+                                                F.lit("conversations").alias("src"), "text")
+    return X.embedded_json(docs.unionByName(conv), ["src", "id"], "text")
