@@ -1 +1,35 @@
-"""(filled below)"""
+"""Streaming queries (STM-1, STM-3): the stream runs to completion
+(``availableNow``) and the query returns what it wrote."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from silverline.plans import maintenance as M
+from silverline.plans.registry import T, register
+from silverline.streaming import jobs
+
+
+@register("stream_new_keys", """
+select user_id, min(ts) as first_seen from events group by user_id
+""")
+def q_stream_new_keys(spark, sf):
+    schema = T(spark, sf, "events").schema
+    out = jobs.work_dir(spark, "new-keys")
+    src = jobs.file_stream(spark, sf, schema, glob="events.parquet")
+    jobs.new_key_stream(src, "user_id", "ts", out)
+    return jobs.read_key_log(spark, out).select("user_id", "first_seen")
+
+
+@register("stream_upsert", "with " + M._SQL_SNAP + " select * from nxt")
+def q_stream_upsert(spark, sf):
+    out = jobs.work_dir(spark, "upsert")
+    inc = M.incoming(spark, sf)
+    # land the incoming rows as four files so the stream sees four micro-batches
+    inc_dir = os.path.join(out, "incoming")
+    inc.repartition(4, F.pmod(F.col("o_orderkey"), F.lit(4))).write.mode("overwrite").parquet(inc_dir)
+    src = jobs.file_stream(spark, inc_dir, spark.read.parquet(inc_dir).schema, max_files=1)
+    last = jobs.upsert_stream(src, M.current_snapshot(spark, sf), ["o_orderkey"], M.UPSERT_AS_OF, out)
+    return spark.read.parquet(last).select(*M.ORDER_COLS, "created_at", "updated_at")
