@@ -84,7 +84,8 @@ class Contract:
     # -- results ---------------------------------------------------------
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """DQ-8: ``(good, failed)``; ``failed`` keeps ``_failures`` reasons.
-        Persist ``df`` upstream when both halves are consumed."""
+        Both halves filter one checked frame; persist it (or write it) when
+        both are consumed."""
         checked = self.check(df)
         good = checked.filter(F.size(FAILURES) == 0).drop(FAILURES)
         bad = checked.filter(F.size(FAILURES) > 0)
@@ -130,11 +131,14 @@ class Contract:
 
 def _flag_duplicates(df: DataFrame, key: list[str], label: str) -> DataFrame:
     """DQ-4 / DQ-5 / AGG-12: append ``label`` to rows whose ``key`` occurs
-    more than once.  Duplicate keys come from a partial+final aggregate and
-    are joined back; AQE broadcasts them when few and splits skew otherwise
-    (no window, so a hot key does not land in one task)."""
+    more than once.  Duplicate keys come from a partial+final aggregate (no
+    window, so a hot key never lands in one task) and are joined back:
+    broadcast when their number is proven small, so the checked table is
+    not shuffled on the key; otherwise a shuffle join with AQE skew splits."""
+    from silverline.operators.joins import broadcast_if_small
+
     dups = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
             .select(*key, F.lit(True).alias("_dup")))
-    j = df.join(dups, key, "left")
+    j = df.join(broadcast_if_small(dups), key, "left")
     return j.withColumn(FAILURES, F.when(F.col("_dup"), F.array_append(F.col(FAILURES), F.lit(label)))
                         .otherwise(F.col(FAILURES))).drop("_dup")

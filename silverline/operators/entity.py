@@ -161,7 +161,8 @@ def normalize_names_table(df: DataFrame, col: str, out: str, alias_table: DataFr
 
 
 def canonical_names(df: DataFrame, name_col: str, out_col: str = "canonical_name",
-                    on_empty_key: str = "keep", key_fn=S.match_key) -> DataFrame:
+                    on_empty_key: str = "keep", key_fn=S.match_key,
+                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """ENT-2 / WIN-3: every name -> the smallest spelling among names with the
     same match key.  A canonical NULL or ``''`` leaves each name as itself.
 
@@ -172,7 +173,9 @@ def canonical_names(df: DataFrame, name_col: str, out_col: str = "canonical_name
 
     Plan: ``groupBy(key).agg(min(name))`` is a partial+final aggregate, so a
     hot key is pre-combined map-side; the (key -> canonical) table has one row
-    per distinct key and is joined back.
+    per distinct key and is joined back: broadcast when its size is proven
+    small (``broadcast_if_small``), else a shuffle join with AQE skew
+    splitting.
     """
     if on_empty_key not in ("keep", "merge"):
         raise ValueError("on_empty_key must be 'keep' or 'merge'")
@@ -181,10 +184,9 @@ def canonical_names(df: DataFrame, name_col: str, out_col: str = "canonical_name
              .groupBy("_nk").agg(F.min(name_col).alias("_canon")))
     if on_empty_key == "keep":
         canon = canon.filter(F.col("_nk") != "")
-    # The mapping is derived from the data: AQE turns this join into a
-    # broadcast at run time when the aggregate's output is small, and splits
-    # skewed partitions otherwise.  No extra action to size it.
-    j = keyed.join(canon, "_nk", "left")
+    # One row per distinct key: broadcast when provably small, so the large
+    # side is not shuffled on a key that may have few, hot values.
+    j = keyed.join(broadcast_if_small(canon, max_broadcast_rows), "_nk", "left")
     pick = F.when(F.col("_canon").isNull() | (F.col("_canon") == ""), F.col(name_col)).otherwise(F.col("_canon"))
     return j.withColumn(out_col, pick).drop("_nk", "_canon")
 

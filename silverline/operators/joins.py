@@ -6,18 +6,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_ROWS = 200_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (``limit`` then ``count``),
-    so it is bounded even for a huge input.  Beyond the bound the frame is
-    returned as is and the join shuffles (sort-merge, with AQE skew handling).
+    ``df`` is persisted (memory and disk; a lost block is recomputed from
+    lineage) and counted through ``limit(max_rows + 1)``, so the check is
+    bounded and the join that follows reuses the computed rows instead of
+    evaluating ``df`` again.  Within the bound the join is a broadcast hash
+    join and the large side is never shuffled; beyond it the frame is
+    returned unpersisted and the join shuffles (sort-merge, AQE splits
+    skewed partitions).  Meant for small derived tables: mappings, key
+    sets, dimension lookups.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    from pyspark import StorageLevel
+
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = kept.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
+    return df
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
