@@ -36,7 +36,7 @@ class Contract:
     max_length: dict[str, int] = field(default_factory=dict)
     enums: dict[str, list] = field(default_factory=dict)
     non_negative: list[str] = field(default_factory=list)
-    rules: dict[str, Column] = field(default_factory=dict)
+    rules: dict[str, object] = field(default_factory=dict)  # name -> Column or () -> Column
 
     @property
     def columns(self) -> list[str]:
@@ -59,8 +59,11 @@ class Contract:
             if f.name in self.non_negative:
                 checks.append(F.when(t < 0, F.lit(f"{f.name}|min")))
         for rname, rule in self.rules.items():
-            # A rule must be TRUE; NULL counts as a failure.
-            checks.append(F.when(~F.coalesce(rule, F.lit(False)), F.lit(f"rule|{rname}")))
+            # A rule must be TRUE; NULL counts as a failure.  A rule may be a
+            # zero-argument callable so contracts can be declared at import
+            # time, before any session exists.
+            expr = rule() if callable(rule) else rule
+            checks.append(F.when(~F.coalesce(expr, F.lit(False)), F.lit(f"rule|{rname}")))
         return checks
 
     def check(self, df: DataFrame) -> DataFrame:

@@ -32,7 +32,7 @@ DOC_CONTRACT = Contract(
     max_length={"text": 20000, "source": 4},
     enums={"lang": LANGS},
     non_negative=["n_chars"],
-    rules={"n_chars_matches": F.col("n_chars") == F.char_length("text")},
+    rules={"n_chars_matches": lambda: F.col("n_chars") == F.char_length("text")},
 )
 
 
