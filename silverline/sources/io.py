@@ -99,3 +99,37 @@ def write_tables(df: DataFrame, folder: str, stem: str) -> None:
         flat.write.mode("overwrite").option("header", "true").csv(f"{folder.rstrip('/')}/{stem}.csv")
     finally:
         cached.unpersist()
+
+
+def require_min_rows(df: DataFrame, n: int, what: str = "input") -> DataFrame:
+    """FLT-12: raise when ``df`` has fewer than ``n`` rows.  Reads at most
+    ``n`` rows (``limit`` then ``count``), so the guard is bounded."""
+    have = df.limit(n).count()
+    if have < n:
+        raise ValueError(f"{what}: expected at least {n} rows, found {have}")
+    return df
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
+              partition_column: str | None = None, lower: int | None = None, upper: int | None = None,
+              num_partitions: int | None = None) -> DataFrame:
+    """SRC-2 when the table lives in a SQL database: a parallel JDBC read
+    split on ``partition_column``.  (Needs the database's JDBC driver on the
+    classpath; none is bundled.)"""
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    for k, v in (properties or {}).items():
+        reader = reader.option(k, v)
+    if partition_column is not None:
+        reader = (reader.option("partitionColumn", partition_column).option("lowerBound", lower)
+                  .option("upperBound", upper).option("numPartitions", num_partitions or 8))
+    return reader.load()
+
+
+def write_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 1000, mode: str = "append",
+               properties: dict | None = None) -> None:
+    """SRT-7 / SNK-5: write rows in batches of ``batch_size`` per statement,
+    each task writing its own partition."""
+    writer = df.write.format("jdbc").option("url", url).option("dbtable", table).option("batchsize", batch_size)
+    for k, v in (properties or {}).items():
+        writer = writer.option(k, v)
+    writer.mode(mode).save()
