@@ -243,10 +243,12 @@ select distinct l_returnflag, l_linestatus from lineitem order by all
 # RPT-3 / RPT-4 / RPT-5: gold rollups per nation
 # ---------------------------------------------------------------------------
 def parties_with_activity(spark, sf):
-    """Stacked parties, canonical group name (ENT-2) and ``created_at`` = the
-    party's first activity: first order (customers), first shipment
-    (suppliers).  Both are partial+final aggregates joined on the party key."""
-    st = stacked_parties(spark, sf)
+    """Stacked parties with a canonical group name (ENT-2, mapping built from
+    every stacked spelling, as the reference builds its map from the whole
+    silver table) and ``created_at`` = the party's first activity: first
+    order (customers), first shipment (suppliers).  Both activity tables
+    are partial+final aggregates joined on the party key."""
+    st = entity.canonical_names(stacked_parties(spark, sf), "reported_group_name", "group_name")
     first_order = (T(spark, sf, "orders").groupBy("o_custkey")
                    .agg(F.min("o_orderdate").alias("created_at"))
                    .select(F.lit("customer").alias("source_site"),
@@ -255,21 +257,20 @@ def parties_with_activity(spark, sf):
                   .agg(F.min("l_shipdate").alias("created_at"))
                   .select(F.lit("supplier").alias("source_site"),
                           F.col("l_suppkey").cast("string").alias("entity_source_id"), "created_at"))
-    active = st.join(first_order.unionByName(first_ship), ["source_site", "entity_source_id"])
-    return entity.canonical_names(active, "reported_group_name", "group_name")
+    return st.join(first_order.unionByName(first_ship), ["source_site", "entity_source_id"])
 
 
-_SQL_ACTIVE = f"""active0 as (
-  select s.*, a.created_at from {_SQL_STACK} s join (
+_SQL_ACTIVE = f"""keyed as (select *, regexp_replace(lower(reported_group_name), '[^A-Za-z0-9]', '', 'g') as nk
+  from {_SQL_STACK}),
+canon as (select nk, min(reported_group_name) as canon from keyed where nk is not null and nk <> '' group by nk),
+named as (select keyed.*, case when canon is null or canon = '' then reported_group_name else canon end as group_name
+          from keyed left join canon using (nk)),
+active as (select s.*, a.created_at from named s join (
     select 'customer' as source_site, cast(o_custkey as varchar) as entity_source_id, min(o_orderdate) as created_at
     from orders group by o_custkey
     union all
     select 'supplier', cast(l_suppkey as varchar), min(l_shipdate) from lineitem group by l_suppkey
-  ) a using (source_site, entity_source_id)),
-keyed as (select *, regexp_replace(lower(reported_group_name), '[^A-Za-z0-9]', '', 'g') as nk from active0),
-canon as (select nk, min(reported_group_name) as canon from keyed where nk is not null and nk <> '' group by nk),
-active as (select keyed.*, case when canon is null or canon = '' then reported_group_name else canon end as group_name
-           from keyed left join canon using (nk))"""
+  ) a using (source_site, entity_source_id))"""
 
 _SQL_GOLD_ENT = """select group_name,
   to_json(list_sort(list(distinct source_site)))::varchar as source_sites_json,
