@@ -66,8 +66,8 @@ def url_slug(url: Column | str) -> Column:
 
 
 def frontier_round(found: DataFrame, seen: DataFrame, url: str = "href") -> DataFrame:
-    """EXT-8: one crawl round -- distinct newly found URLs minus URLs already
-    seen (``left_anti``).  Both sides are distributed; nothing is held on the
+    """EXT-8 / SET-5: one crawl round -- distinct newly found URLs minus URLs
+    already seen (``left_anti`` set difference).  Both sides are distributed; nothing is held on the
     driver."""
     return found.select(F.col(url).alias("url")).distinct().join(
         seen.select(F.col("url")), "url", "left_anti")

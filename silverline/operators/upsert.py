@@ -84,8 +84,9 @@ def upsert(current: DataFrame, new: DataFrame, key: list[str], as_of,
 
 
 def prune(target: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
-    """JOIN-7 / UPS-4: drop target rows whose key left the new set (any
-    number of key columns)."""
+    """JOIN-7 / UPS-4 / SNK-6: drop target rows whose key left the new set
+    (any number of key columns); ``publish(prune_missing=True)`` writes the
+    pruned snapshot."""
     return target.join(new.select(*key).distinct(), key, "left_semi")
 
 

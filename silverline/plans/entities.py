@@ -219,6 +219,7 @@ qualify row_number() over (partition by l_partkey, l_suppkey
   {', '.join(c + ' desc nulls last' for c in _LI_REST)}) = 1
 """)(lambda spark, sf: dedup.keep_last(T(spark, sf, "lineitem").select(*_LI_COLS),
                                        ["l_partkey", "l_suppkey"],
+                                       # SRT-4: multi-key order with an expression
                                        ["l_quantity", "l_shipdate", F.col("l_extendedprice").cast("double")])
      .select(*_LI_COLS))
 

@@ -176,7 +176,7 @@ def q_typed_events(spark, sf):
     half = F.when(F.col("k") % 2 == 0, (F.col("k") / 2).cast("bigint"))
     out = typed.withColumn("props_json", F.to_json(F.array(F.struct(F.col("k").alias("k"), half.alias("half"))),
                                                    {"ignoreNullFields": "false"}))
-    return out.orderBy(F.desc_nulls_last("value"), "event_id")
+    return out.orderBy(F.desc_nulls_last("value"), "event_id")  # SRT-1
 
 
 # ---------------------------------------------------------------------------

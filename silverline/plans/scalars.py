@@ -249,6 +249,7 @@ def q_flags_and_case(spark, sf):
                    F.when(F.col("p_size") < 10, "S").when(F.col("p_size") < 30, "M").otherwise("L").alias("size_class"),
                    P.eq_null_safe("maybe_type", "p_type").alias("same_type"),
                    F.col("maybe_type").isNotNull().alias("has_type"))
+    # SRT-1 (desc, NULLs last) then SRT-2 (desc with NULLs first, the other engine's default)
     return out.orderBy(F.desc_nulls_last("maybe_type"), F.desc_nulls_first("p_partkey"))
 
 
