@@ -37,6 +37,9 @@ class Contract:
     enums: dict[str, list] = field(default_factory=dict)
     non_negative: list[str] = field(default_factory=list)
     rules: dict[str, object] = field(default_factory=dict)  # name -> Column or () -> Column
+    # key columns compared through their SHA-256 digest in uniqueness checks
+    # (long texts): only 32-byte digests are shuffled, not the values
+    digest_keys: list[str] = field(default_factory=list)
 
     @property
     def columns(self) -> list[str]:
@@ -81,7 +84,7 @@ class Contract:
         out = staged.withColumn(FAILURES, F.filter(F.array(*checks), lambda x: x.isNotNull()))
         for i, key in enumerate(([self.primary_key] if self.primary_key else []) + list(self.unique)):
             label = "primary_key" if (i == 0 and self.primary_key) else "unique|" + ",".join(key)
-            out = _flag_duplicates(out, key, label)
+            out = _flag_duplicates(out, key, label, self.digest_keys)
         return out.select(*self.columns, FAILURES)
 
     # -- results ---------------------------------------------------------
@@ -132,7 +135,7 @@ class Contract:
         return checked.filter(F.size(FAILURES) == 0).drop(FAILURES), counts
 
 
-def _flag_duplicates(df: DataFrame, key: list[str], label: str) -> DataFrame:
+def _flag_duplicates(df: DataFrame, key: list[str], label: str, digest_keys=()) -> DataFrame:
     """DQ-4 / DQ-5 / AGG-12: append ``label`` to rows whose ``key`` occurs
     more than once.  Duplicate keys come from a partial+final aggregate (no
     window, so a hot key never lands in one task) and are joined back:
@@ -140,8 +143,12 @@ def _flag_duplicates(df: DataFrame, key: list[str], label: str) -> DataFrame:
     not shuffled on the key; otherwise a shuffle join with AQE skew splits."""
     from silverline.operators.joins import broadcast_if_small
 
-    dups = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-            .select(*key, F.lit(True).alias("_dup")))
-    j = df.join(broadcast_if_small(dups), key, "left")
+    kcols = {f"_k{i}": (F.unhex(F.sha2(F.col(k).cast("string"), 256)) if k in digest_keys else F.col(k))
+             for i, k in enumerate(key)}
+    keyed = df.withColumns(kcols)
+    names = list(kcols)
+    dups = (keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+            .select(*names, F.lit(True).alias("_dup")))
+    j = keyed.join(broadcast_if_small(dups), names, "left")
     return j.withColumn(FAILURES, F.when(F.col("_dup"), F.array_append(F.col(FAILURES), F.lit(label)))
-                        .otherwise(F.col(FAILURES))).drop("_dup")
+                        .otherwise(F.col(FAILURES))).drop("_dup", *names)

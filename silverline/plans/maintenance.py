@@ -28,6 +28,7 @@ DOC_CONTRACT = Contract(
     ]),
     primary_key=["doc_id"],
     unique=[["text"]],
+    digest_keys=["text"],
     min_length={"text": 1, "source": 4},
     max_length={"text": 20000, "source": 4},
     enums={"lang": LANGS},
