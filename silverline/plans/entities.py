@@ -194,7 +194,7 @@ register("stack_parties", f"select * from {_SQL_STACK}")(stacked_parties)
 select 'events' as source, event_id as record_id, ts as record_ts, value as amount from events
 union all
 select 'orders', o_orderkey, o_orderdate, o_totalprice from orders
-""")
+""", ts=("record_ts",))
 def q_stack_tagged_events(spark, sf):
     from silverline.operators.stack import union_tagged
     ev = T(spark, sf, "events").select(F.col("event_id").alias("record_id"), F.col("ts").alias("record_ts"),
@@ -217,7 +217,7 @@ select {', '.join(_LI_COLS)} from lineitem
 qualify row_number() over (partition by l_partkey, l_suppkey
   order by l_quantity desc nulls last, l_shipdate desc nulls last, l_extendedprice desc nulls last,
   {', '.join(c + ' desc nulls last' for c in _LI_REST)}) = 1
-""")(lambda spark, sf: dedup.keep_last(T(spark, sf, "lineitem").select(*_LI_COLS),
+""", ts=("l_shipdate",))(lambda spark, sf: dedup.keep_last(T(spark, sf, "lineitem").select(*_LI_COLS),
                                        ["l_partkey", "l_suppkey"],
                                        # SRT-4: multi-key order with an expression
                                        ["l_quantity", "l_shipdate", F.col("l_extendedprice").cast("double")])
@@ -228,7 +228,7 @@ qualify row_number() over (partition by l_partkey, l_suppkey
 select user_id, event_id, ts, event_type, value from events
 qualify row_number() over (partition by user_id order by ts nulls first, event_id nulls first,
   event_type nulls first, value nulls first, props nulls first) = 1
-""")
+""", ts=("ts",))
 def q_dedup_keep_first(spark, sf):
     ev = T(spark, sf, "events")
     return dedup.keep_first(ev, ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "ts",
@@ -297,7 +297,7 @@ def gold_entities(spark, sf):
 @register("gold_rollup", f"""
 with {_SQL_ACTIVE}, g as ({_SQL_GOLD_ENT})
 select * exclude (aliases), to_json(aliases)::varchar as reported_aliases_json from g
-""")
+""", ts=("earliest_created_at", "latest_created_at"))
 def q_gold_rollup(spark, sf):
     g = gold_entities(spark, sf)
     return g.withColumn("reported_aliases_json", F.to_json("_reported_aliases")).drop("_reported_aliases")
@@ -328,7 +328,7 @@ where l_returnflag = 'R' and n_name is not null group by n_name"""
 
 @register("gold_device_rollup", f"""
 select * exclude (aliases_dev), to_json(aliases_dev)::varchar as reported_aliases_json from ({_SQL_GOLD_DEV})
-""")
+""", ts=("earliest_device_date", "latest_device_date"))
 def q_gold_device_rollup(spark, sf):
     d = gold_devices(spark, sf)
     return d.withColumn("reported_aliases_json", F.to_json("_reported_aliases_dev")).drop("_reported_aliases_dev")
@@ -388,7 +388,7 @@ select event_type, count(*) as count from events group by event_type
 register("top_k", """
 select o_orderkey, o_custkey, o_totalprice, o_orderdate from orders
 order by o_totalprice desc nulls last, o_orderkey limit 10
-""")(lambda spark, sf: rollup.top_k(T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
+""", ts=("o_orderdate",))(lambda spark, sf: rollup.top_k(T(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice",
                                                                   "o_orderdate"),
                                    10, [F.desc_nulls_last("o_totalprice"), F.asc("o_orderkey")]))
 

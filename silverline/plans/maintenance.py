@@ -146,17 +146,18 @@ nxt as (select coalesce(c.o_orderkey, u.o_orderkey) as o_orderkey,
   from cur c full outer join chg u on c.o_orderkey = u.o_orderkey)"""
 
 
-@register("changed_rows", f"with {_SQL_SNAP} select * from chg")
+@register("changed_rows", f"with {_SQL_SNAP} select * from chg", ts=("o_orderdate",))
 def q_changed_rows(spark, sf):
     return upsert.changed_rows(incoming(spark, sf), current_snapshot(spark, sf))
 
 
-@register("upsert_snapshot", f"with {_SQL_SNAP} select * from nxt")
+@register("upsert_snapshot", f"with {_SQL_SNAP} select * from nxt", ts=("o_orderdate", "created_at", "updated_at"))
 def q_upsert_snapshot(spark, sf):
     return upsert.upsert(current_snapshot(spark, sf), incoming(spark, sf), ["o_orderkey"], UPSERT_AS_OF)
 
 
-@register("prune_snapshot", f"with {_SQL_SNAP} select * from nxt where o_orderkey in (select o_orderkey from new)")
+@register("prune_snapshot", f"with {_SQL_SNAP} select * from nxt where o_orderkey in (select o_orderkey from new)",
+          ts=("o_orderdate", "created_at", "updated_at"))
 def q_prune_snapshot(spark, sf):
     cur, new = current_snapshot(spark, sf), incoming(spark, sf)
     return upsert.prune(upsert.upsert(cur, new, ["o_orderkey"], UPSERT_AS_OF), new, ["o_orderkey"])

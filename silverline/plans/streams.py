@@ -14,7 +14,7 @@ from silverline.streaming import jobs
 
 @register("stream_new_keys", """
 select user_id, min(ts) as first_seen from events group by user_id
-""")
+""", ts=("first_seen",))
 def q_stream_new_keys(spark, sf):
     schema = T(spark, sf, "events").schema
     out = jobs.work_dir(spark, "new-keys")
@@ -23,7 +23,7 @@ def q_stream_new_keys(spark, sf):
     return jobs.read_key_log(spark, out).select("user_id", "first_seen")
 
 
-@register("stream_upsert", "with " + M._SQL_SNAP + " select * from nxt")
+@register("stream_upsert", "with " + M._SQL_SNAP + " select * from nxt", ts=("o_orderdate", "created_at", "updated_at"))
 def q_stream_upsert(spark, sf):
     out = jobs.work_dir(spark, "upsert")
     inc = M.incoming(spark, sf)
