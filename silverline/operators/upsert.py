@@ -9,7 +9,6 @@ declarative joins; ``as_of`` is a parameter, never the clock.
 
 from __future__ import annotations
 
-import datetime as _dt
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -47,46 +46,68 @@ def changed_rows(new: DataFrame, current: DataFrame, exclude_float: bool = True,
     return new.join(cur, cond, "left_anti")
 
 
-def upsert(current: DataFrame, new: DataFrame, key: list[str], as_of,
-           exclude_float: bool = True) -> DataFrame:
-    """UPS-2: next snapshot.
-
-    * key absent from ``current``: inserted, ``created_at = updated_at = as_of``;
-    * key present and the row changed: every non-key column of ``new``
-      overwrites, ``created_at`` is kept, ``updated_at = as_of``;
-    * otherwise (unchanged, or not in ``new``): the current row as is.
-    Table columns that ``new`` lacks keep their current value.
-    """
-    as_of_lit = F.lit(as_of if not isinstance(as_of, (_dt.date, _dt.datetime)) else as_of).cast("timestamp_ntz")
+def _aligned(current: DataFrame, new: DataFrame, key: list[str], exclude_float: bool):
+    """One full outer join of the current snapshot and the incoming rows on
+    the key, with a per-row class.  Both sides are hash-partitioned on the
+    key once; inserted / updated / unchanged / absent, the next snapshot and
+    its pruned form all come from this single join (no anti join, no second
+    shuffle).  Keys are unique on both sides (validate ``new`` first)."""
     cur = current
     if "created_at" not in cur.columns:
         cur = cur.withColumns({"created_at": F.lit(None).cast("timestamp_ntz"),
                                "updated_at": F.lit(None).cast("timestamp_ntz")})
-    upd = changed_rows(new, cur, exclude_float)
+    cmp_cols = [c for c in comparison_columns(new, cur, exclude_float) if c not in key]
     value_cols = [c for c in cur.columns if c not in key and c not in AUDIT_COLUMNS]
-    new_only = [c for c in upd.columns if c not in key and c not in cur.columns and c not in AUDIT_COLUMNS]
-    u = upd.select(*key, *[F.col(c).alias(f"_u_{c}") for c in value_cols + new_only if c in upd.columns],
+    new_only = [c for c in new.columns if c not in key and c not in cur.columns and c not in AUDIT_COLUMNS]
+    u = new.select(*key, *[F.col(c).alias(f"_u_{c}") for c in new.columns if c not in key and c not in AUDIT_COLUMNS],
                    F.lit(True).alias("_u"))
     c = cur.select(*key, *[F.col(x).alias(f"_c_{x}") for x in value_cols + list(AUDIT_COLUMNS)],
                    F.lit(True).alias("_c"))
     j = c.join(u, key, "full_outer")
+    same = reduce(lambda a, b: a & b,
+                  [F.col(f"_u_{x}").eqNullSafe(F.col(f"_c_{x}").cast(new.schema[x].dataType)) for x in cmp_cols],
+                  F.lit(True))
+    cls = (F.when(F.col("_u").isNull(), F.lit("absent"))
+           .when(F.col("_c").isNull(), F.lit("inserted"))
+           .when(same, F.lit("unchanged"))
+           .otherwise(F.lit("updated")))
+    return j.withColumn("_class", cls), value_cols, new_only, [x for x in new.columns if x not in key]
+
+
+def upsert(current: DataFrame, new: DataFrame, key: list[str], as_of,
+           exclude_float: bool = True, prune_missing: bool = False) -> DataFrame:
+    """UPS-2: next snapshot.
+
+    * key absent from ``current``: inserted, ``created_at = updated_at = as_of``;
+    * key present and the row changed: every non-key column of ``new``
+      overwrites, ``created_at`` is kept, ``updated_at = as_of``;
+    * otherwise (unchanged, or not in ``new``): the current row as is.
+    Table columns that ``new`` lacks keep their current value.  With
+    ``prune_missing`` (UPS-4) rows whose key is not in ``new`` are dropped in
+    the same pass.
+    """
+    as_of_lit = F.lit(as_of).cast("timestamp_ntz")
+    j, value_cols, new_only, new_cols = _aligned(current, new, key, exclude_float)
+    if prune_missing:
+        j = j.filter(F.col("_class") != "absent")
+    take_new = F.col("_class").isin("inserted", "updated")
     out = [F.col(k) for k in key]
     for col in value_cols:
-        if col in upd.columns:
-            out.append(F.when(F.col("_u").isNotNull(), F.col(f"_u_{col}")).otherwise(F.col(f"_c_{col}")).alias(col))
+        if col in new_cols:
+            out.append(F.when(take_new, F.col(f"_u_{col}")).otherwise(F.col(f"_c_{col}")).alias(col))
         else:
             out.append(F.col(f"_c_{col}").alias(col))
     for col in new_only:
-        out.append(F.col(f"_u_{col}").alias(col))
+        out.append(F.when(take_new, F.col(f"_u_{col}")).alias(col))
     out.append(F.coalesce(F.col("_c_created_at"), as_of_lit).alias("created_at"))
-    out.append(F.when(F.col("_u").isNotNull(), as_of_lit).otherwise(F.col("_c_updated_at")).alias("updated_at"))
+    out.append(F.when(take_new, as_of_lit).otherwise(F.col("_c_updated_at")).alias("updated_at"))
     return j.select(*out)
 
 
 def prune(target: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """JOIN-7 / UPS-4 / SNK-6: drop target rows whose key left the new set
-    (any number of key columns); ``publish(prune_missing=True)`` writes the
-    pruned snapshot."""
+    (any number of key columns).  ``upsert(prune_missing=True)`` does the
+    same inside the upsert's own join."""
     return target.join(new.select(*key).distinct(), key, "left_semi")
 
 
@@ -94,16 +115,10 @@ def change_summary(current: DataFrame, new: DataFrame, key: list[str],
                    exclude_float: bool = True) -> DataFrame:
     """UPS-5: one row per class -- ``inserted``, ``updated``, ``unchanged``
     (rows of ``new``) and ``absent`` (current keys not in ``new``) -- with
-    counts.  Counted by class, so new rows do not distort "unchanged"."""
-    changed = changed_rows(new, current, exclude_float).select(*key).withColumn("_chg", F.lit(True))
-    cur_keys = current.select(*key).distinct().withColumn("_cur", F.lit(True))
-    new_keys = new.select(*key).withColumn("_new", F.lit(True))
-    j = (new_keys.join(changed, key, "left").join(cur_keys, key, "full_outer"))
-    cls = (F.when(F.col("_new").isNull(), "absent")
-           .when(F.col("_cur").isNull(), "inserted")
-           .when(F.col("_chg").isNotNull(), "updated")
-           .otherwise("unchanged"))
-    return j.groupBy(cls.alias("change")).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts, from the same single join as ``upsert``.  Counted by class, so
+    new rows do not distort "unchanged"."""
+    j = _aligned(current, new, key, exclude_float)[0]
+    return j.groupBy(F.col("_class").alias("change")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def publish(current: DataFrame, new: DataFrame, key: list[str], as_of, out_path: str,
@@ -114,8 +129,6 @@ def publish(current: DataFrame, new: DataFrame, key: list[str], as_of, out_path:
         new = contract.validate(new)
     if changed_rows(new, current, exclude_float).isEmpty() and not prune_missing:
         return False
-    nxt = upsert(current, new, key, as_of, exclude_float)
-    if prune_missing:
-        nxt = prune(nxt, new, key)
+    nxt = upsert(current, new, key, as_of, exclude_float, prune_missing=prune_missing)
     nxt.write.mode("overwrite").parquet(out_path)
     return True

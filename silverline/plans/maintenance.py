@@ -160,7 +160,7 @@ def q_upsert_snapshot(spark, sf):
           ts=("o_orderdate", "created_at", "updated_at"))
 def q_prune_snapshot(spark, sf):
     cur, new = current_snapshot(spark, sf), incoming(spark, sf)
-    return upsert.prune(upsert.upsert(cur, new, ["o_orderkey"], UPSERT_AS_OF), new, ["o_orderkey"])
+    return upsert.upsert(cur, new, ["o_orderkey"], UPSERT_AS_OF, prune_missing=True)
 
 
 @register("upsert_summary", f"""with {_SQL_SNAP}
