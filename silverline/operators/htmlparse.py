@@ -128,6 +128,7 @@ def grid_rows(html, container: str = "box_table", row_cls: str = "tr", head_cls:
         if not tds:
             continue
         row: dict[str, str] = {}
+        link = None
         for h, td in zip(headers, tds):
             tags = [squash(x.text()) for x in td.children if isinstance(x, Node) and squash(x.text())]
             row[h] = ", ".join(tags) if len(tags) > 1 else squash(td.text())
@@ -135,7 +136,9 @@ def grid_rows(html, container: str = "box_table", row_cls: str = "tr", head_cls:
                 a = td.find("a")
                 if a is not None and a.attrs.get("href"):
                     href = a.attrs["href"]
-                    row[url_col] = href if re.match(r"^[a-z]+://", href) else base_url.rstrip("/") + "/" + href.lstrip("/")
+                    link = href if re.match(r"^[a-z]+://", href) else base_url.rstrip("/") + "/" + href.lstrip("/")
+        if link_col is not None:
+            row[url_col] = link  # the link column comes last
         rows.append(row)
     return rows
 

@@ -182,6 +182,11 @@ def q_typed_events(spark, sf):
 # ---------------------------------------------------------------------------
 # RPT-9: typed page records (slug, name, size, earliest year, sorted)
 # ---------------------------------------------------------------------------
+_SQL_LOGO_SCOPE = ("(?is)<div\\b[^>]*\\bclass\\s*=\\s*[\"''](?:[^\"'']*\\s)?(?:" + "|".join(D.LOGO_CONTAINER_CLASSES)
+                   + ")(?:\\s[^\"'']*)?[\"''][^>]*>(.*?)</div>")
+_SQL_LOGO_ASSET = D.LOGO_ASSET_PATTERN.replace("'", "''")
+
+
 @register("page_records", f"""
 with p as (select page_id, url, html,
   {'nullif(regexp_extract(regexp_extract(url, ' + "'^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '([^/]+)/?$', 1), '')"} as slug,
@@ -191,7 +196,11 @@ with p as (select page_id, url, html,
   list_min(list_filter(list_transform(regexp_extract_all(html, '(?i)in (20\\d{{2}})', 1), lambda x: cast(x as integer)),
        lambda y: y >= 2000 and y <= {AS_OF[:4]})) as earliest_year from pages)
 select page_id, slug, entity_name, n_bytes, cast(earliest_year as bigint) as earliest_year,
-  cast(least(earliest_year, 2000 + cast(page_id % 30 as integer)) as bigint) as first_year
+  cast(least(earliest_year, 2000 + cast(page_id % 30 as integer)) as bigint) as first_year,
+  cast(list_min(list_transform(list_filter(regexp_extract_all(regexp_extract(html, '{_SQL_LOGO_SCOPE}', 1), '{_SQL_LOGO_ASSET}', 1),
+      lambda s: cast(substr(s, 1, 4) as integer) between 2000 and {AS_OF[:4]} and cast(substr(s, 6, 2) as integer) between 1 and 12),
+    lambda s: make_date(cast(substr(s, 1, 4) as integer), cast(substr(s, 6, 2) as integer), 1))) as varchar)
+    as earliest_logo_date
 from p order by n_bytes desc nulls last, page_id
 """)
 def q_page_records(spark, sf):
@@ -200,7 +209,8 @@ def q_page_records(spark, sf):
     out = p.select("page_id", X.url_slug("url").alias("slug"), X.entity_name_from_title("html").alias("entity_name"),
                    X.page_size("html").cast("bigint").alias("n_bytes"), ey.cast("bigint").alias("earliest_year"),
                    N.least_non_null(ey, (F.lit(2000) + (F.col("page_id") % 30)).cast("int")).cast("bigint")
-                   .alias("first_year"))
+                   .alias("first_year"),
+                   D.earliest_upload_date(D.logo_scope("html"), AS_OF).alias("earliest_logo_date"))
     return out.orderBy(F.desc_nulls_last("n_bytes"), "page_id")
 
 

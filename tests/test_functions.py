@@ -124,9 +124,11 @@ def test_earliest_upload_date_two_layouts(spark):  # DAT-8, our own two layouts
            '<img src="/wp-content/uploads/2017/10/Foo-logo.jpg"></div>')
     hero = ('<section><div class="coin-page-hero__logo big"><img src="/wp-content/uploads/2017/10/Bar-Coin-logo.jpeg">'
             '<img src="/wp-content/uploads/2017/13/Bar-logo.png"></div></section>')
-    df = one_col(spark, [old, hero])
+    single = ("<div class='name-logo'><div class='logo-container'><img src='/wp-content/uploads/2017/10/Baz-logo.png'>"
+              "</div></div><div class='other'><img src='/wp-content/uploads/2015/01/Old-logo.png'></div>")
+    df = one_col(spark, [old, hero, single, "<div class='xname-logo'>/wp-content/uploads/2017/10/A-logo.png</div>"])
     got = col_values(df, D.earliest_upload_date(D.logo_scope("v"), "2024-01-01"))
-    assert got == [dt.date(2017, 10, 1), dt.date(2017, 10, 1)]
+    assert got == [dt.date(2017, 10, 1), dt.date(2017, 10, 1), dt.date(2017, 10, 1), None]
 
 
 def test_humanised_age(spark):  # DAT-9
