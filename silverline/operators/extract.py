@@ -123,6 +123,9 @@ def _map_pages(df: DataFrame, key_cols: list[str], html: str, fn, out_schema: st
                     rows.append(tuple(keys) + tuple(out))
             yield pd.DataFrame.from_records(rows, columns=names)
 
+    from silverline.session import ship_package
+
+    ship_package(df.sparkSession)
     key_schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in key_cols)
     return df.select(*cols).mapInPandas(run, f"{key_schema}, {out_schema}" if key_schema else out_schema)
 

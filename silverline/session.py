@@ -66,3 +66,31 @@ def cut_lineage(df):
     executor loss).  Never ``localCheckpoint``."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``silverline`` importable in Python workers (``mapInPandas``
+    stages) once per application: the package is zipped on the driver and
+    distributed with ``addPyFile`` (Spark's file server copies it to every
+    executor).  Deployments that already install the package or pass it
+    with ``--py-files`` lose nothing but one small upload."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="silverline-pyfiles-"), "silverline.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
