@@ -23,6 +23,29 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (100 TB inputs, ~1000 executors).  Passed to
+# spark-submit / the session builder by the deployment, never set inside an
+# operator.  AQE sizes shuffle partitions at run time from the advisory size
+# and splits skewed join partitions; the initial partition number only has to
+# be large enough for the biggest shuffle.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "40000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",  # large HTML pages per Arrow batch
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "silverline", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's defaults."""
