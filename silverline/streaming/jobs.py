@@ -39,21 +39,33 @@ def file_stream(spark: SparkSession, path: str, schema, max_files: int = 1, glob
     return reader.parquet(path)
 
 
+def emit_new_keys(batch: DataFrame, batch_id: int, key: str, ts: str, log_path: str) -> DataFrame:
+    """STM-1, one micro-batch: distinct keys of ``batch`` (with their first
+    time) that no EARLIER batch logged, written to ``log/batch_id=N``.
+
+    Re-running the same ``batch_id`` (a retry after a failure between the
+    write and the checkpoint commit) overwrites that partition with the same
+    rows and never sees its own output, so emission is exactly-once per
+    batch.  Returns the emitted rows (read back from the log)."""
+    spark = batch.sparkSession
+    keys = batch.groupBy(key).agg(F.min(ts).alias("first_seen"))
+    try:
+        known = spark.read.parquet(log_path).filter(F.col("batch_id") < batch_id).select(key)
+        fresh = keys.join(known, key, "left_anti")
+    except Exception:  # noqa: BLE001 -- no log yet (first batch)
+        fresh = keys
+    out = os.path.join(log_path, f"batch_id={batch_id}")
+    fresh.write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
 def new_key_stream(stream: DataFrame, key: str, ts: str, out_dir: str, trigger: dict | None = None,
                    await_end: bool = True):
     """STM-1: start the stream; returns the ``StreamingQuery``."""
-    spark = stream.sparkSession
     log_path = os.path.join(out_dir, "log")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        keys = batch.groupBy(key).agg(F.min(ts).alias("first_seen"))
-        try:
-            known = spark.read.parquet(log_path).filter(F.col("batch_id") < batch_id).select(key)
-            fresh = keys.join(known, key, "left_anti")
-        except Exception:  # noqa: BLE001 -- no log yet (first batch)
-            fresh = keys
-        (fresh.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-         .write.mode("overwrite").parquet(os.path.join(log_path, f"batch_id={batch_id}")))
+        emit_new_keys(batch, batch_id, key, ts, log_path)
 
     q = (stream.writeStream.foreachBatch(on_batch)
          .option("checkpointLocation", os.path.join(out_dir, "checkpoint"))

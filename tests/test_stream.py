@@ -43,3 +43,17 @@ def test_stream_upsert_equals_batch(spark, tmp_path):
     want = sorted(tuple(r) for r in upsert.upsert(cur, new, ["k"], "2024-06-01")
                   .select("k", "v", "created_at", "updated_at").collect())
     assert got == want
+
+
+def test_replayed_batch_is_idempotent(spark, tmp_path):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    log = str(tmp_path / "log")
+    b0 = spark.createDataFrame([(1, t), (2, t)], "user_id long, ts timestamp_ntz")
+    b1 = spark.createDataFrame([(2, t), (3, t), (3, t)], "user_id long, ts timestamp_ntz")
+    jobs.emit_new_keys(b0, 0, "user_id", "ts", log)
+    first = sorted(r.user_id for r in jobs.emit_new_keys(b1, 1, "user_id", "ts", log).collect())
+    again = sorted(r.user_id for r in jobs.emit_new_keys(b1, 1, "user_id", "ts", log).collect())  # replay
+    assert first == again == [3]
+    everything = spark.read.parquet(log)
+    assert sorted((r.user_id, r.batch_id) for r in everything.collect()) == [(1, 0), (2, 0), (3, 1)]
