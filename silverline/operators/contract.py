@@ -70,8 +70,8 @@ class Contract:
         return checks
 
     def check(self, df: DataFrame) -> DataFrame:
-        """Contract columns (typed, in order) plus ``_failures``.  Rows keep
-        every input column needed by the rules; extra columns are dropped."""
+        """Contract columns (typed, in order) plus ``_failures``.  Rules see
+        the typed contract columns; other input columns are dropped."""
         missing = [c for c in self.columns if c not in df.columns]
         df = df.withColumns({c: F.lit(None).cast("string") for c in missing}) if missing else df
         raw_names = {c: f"_raw_{c}" for c in self.columns}
