@@ -124,10 +124,14 @@ def change_summary(current: DataFrame, new: DataFrame, key: list[str],
 def publish(current: DataFrame, new: DataFrame, key: list[str], as_of, out_path: str,
             contract=None, prune_missing: bool = False, exclude_float: bool = True) -> bool:
     """UPS-3 / UPS-6: validate -> upsert -> optional prune -> write a new
-    snapshot.  Returns False (and writes nothing) when nothing changed."""
+    snapshot.  The change classes are counted first (one small aggregate
+    over the same join); when nothing would change -- no inserted or updated
+    row, and no absent key when pruning -- nothing is written and False is
+    returned."""
     if contract is not None:
         new = contract.validate(new)
-    if changed_rows(new, current, exclude_float).isEmpty() and not prune_missing:
+    counts = {r.change: r.n_rows for r in change_summary(current, new, key, exclude_float).collect()}  # <= 4 rows
+    if not (counts.get("inserted") or counts.get("updated") or (prune_missing and counts.get("absent"))):
         return False
     nxt = upsert(current, new, key, as_of, exclude_float, prune_missing=prune_missing)
     nxt.write.mode("overwrite").parquet(out_path)
