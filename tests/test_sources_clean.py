@@ -88,3 +88,21 @@ def test_frame_helpers(spark):  # STR-3 frame-wide, PRJ-3..10, 13, 14
     assert conf.columns == ["n", "coin_name", "missing"] and tuple(conf.first()) == (None, "a b", None)
     like = clean.cast_like(spark.createDataFrame([("5",)], "n string"), cleaned)
     assert like.schema["n"].dataType.simpleString() == "int"
+
+
+def test_stack_pins_types_per_part(spark):  # SET-1 / SET-3 / PRJ-9 trap: no silent widening or run-time cast failure
+    from silverline.operators.stack import SourceSpec, stack, union_tagged
+    target = StructType([StructField("site", StringType(), False), StructField("n", LongType(), True),
+                         StructField("extra", StringType(), True)])
+    a = spark.createDataFrame([(1,)], "v int")
+    b = spark.createDataFrame([("12",), ("x",)], "v string")
+    out = stack([SourceSpec(a, {"n": "v"}, {"site": "a"}), SourceSpec(b, {"n": "v"}, {"site": "b"})], target)
+    assert out.schema == StructType([StructField("site", StringType(), True), StructField("n", LongType(), True),
+                                     StructField("extra", StringType(), True)]) or \
+        [f.dataType for f in out.schema.fields] == [StringType(), LongType(), StringType()]
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == sorted(
+        [("a", 1, None), ("b", 12, None), ("b", None, None)], key=repr)
+    with pytest.raises(KeyError):
+        stack([SourceSpec(a, {"nope": "v"})], target)
+    tagged = union_tagged({"x": a, "y": a}, "src")
+    assert sorted(r.src for r in tagged.collect()) == ["x", "y"]
