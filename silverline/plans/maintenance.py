@@ -215,7 +215,8 @@ MAX_SHOWN = 5
 n as (select count(*) as total from nk),
 top as (select *, row_number() over (order by first_seen desc, o_custkey) as rank from nk
         order by first_seen desc, o_custkey limit {MAX_SHOWN}),
-a as (select top.*, total, date_diff('day', cast(first_seen as date), date '{AS_OF}') as d from top, n)
+a as (select top.*, (select total from n) as total, date_diff('day', cast(first_seen as date), date '{AS_OF}') as d
+      from top)
 select cast(rank as bigint) as rank, o_custkey,
   'Detected ' || cast(total as varchar) || ' new keys!' ||
     case when total > {MAX_SHOWN} then ' (only showing first {MAX_SHOWN} of ' || cast(total as varchar) || ')' else '' end

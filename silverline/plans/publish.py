@@ -59,6 +59,7 @@ def publish_reports(spark: SparkSession, sf_dir: str, as_of: str, silver_in: str
     silver, _counts = R.SILVER_CONTRACT.enforce_budget(silver_raw, max_failed_fraction, quarantine_path)
     silver_key = ["source_site", "entity_source_id"]
     cur_silver = _read_or_empty(spark, silver_in, silver)
+    # change classes: at most 4 rows reach the driver
     summary = {"silver": {r.change: r.n_rows for r in upsert.change_summary(cur_silver, silver, silver_key).collect()}}
     upsert.publish(cur_silver, silver, silver_key, as_of, silver_out)
 
