@@ -88,77 +88,101 @@ def squash(s: str) -> str:
     return _WS.sub(" ", s).strip()
 
 
-def table_rows(html) -> list[dict[str, str]]:
-    """EXT-1: every ``<table>`` -> rows keyed by header text; a linked cell
-    also yields ``<header>_href``."""
+def text_strip(node: Node) -> str:
+    """Text fragments of ``node``, each stripped, empty ones dropped, joined
+    without a separator (the common "get text, strip" convention)."""
+    return "".join(t.strip() for t in _ordered_text(node) if t.strip())
+
+
+def _dedupe(headers: list[str]) -> list[str]:
+    """Repeated header names get ``_2``, ``_3``... so no cell is lost."""
+    seen: dict[str, int] = {}
+    out = []
+    for h in headers:
+        seen[h] = seen.get(h, 0) + 1
+        out.append(h if seen[h] == 1 else f"{h}_{seen[h]}")
+    return out
+
+
+def table_rows(html, table_cls: str | None = "table", link_mode: str = "all") -> list[dict[str, str]]:
+    """EXT-1: the first ``<table>`` (with class ``table_cls``) -> one dict
+    per row after the header row, keyed by the header texts of the first
+    row.  ``link_mode="all"`` adds ``<header>_href`` for every linked cell;
+    ``"first"`` adds ``link_href`` for a link in the first cell only.  Cells
+    beyond the header count are keyed ``_col<i>``."""
+    table = parse(html).find("table", table_cls)
+    if table is None:
+        return []
+    trs = list(table.iter("tr"))
+    if not trs:
+        return []
+    headers = [text_strip(th) for th in trs[0].iter("th")]
     out: list[dict[str, str]] = []
-    for table in parse(html).iter("table"):
-        headers = [squash(th.text()) for th in table.iter("th")]
-        for tr in table.iter("tr"):
-            cells = [td for td in tr.children if isinstance(td, Node) and td.tag == "td"]
-            if not cells:
-                continue
-            row: dict[str, str] = {}
-            for h, td in zip(headers, cells):
-                row[h] = squash(td.text())
-                a = td.find("a")
-                if a is not None and a.attrs.get("href"):
-                    row[f"{h}_href"] = a.attrs["href"]
-            out.append(row)
+    for tr in trs[1:]:
+        row: dict[str, str] = {}
+        for idx, td in enumerate(tr.iter("td")):
+            name = headers[idx] if idx < len(headers) else f"_col{idx}"
+            a = td.find("a")
+            if a is not None and "href" in a.attrs:
+                if link_mode == "all":
+                    row[f"{name}_href"] = a.attrs["href"] or None
+                elif link_mode == "first" and idx == 0:
+                    row["link_href"] = a.attrs["href"] or None
+            row[name] = text_strip(td)
+        out.append(row)
     return out
 
 
 def grid_rows(html, container: str = "box_table", row_cls: str = "tr", head_cls: str = "th",
-              cell_cls: str = "td", link_col: str | None = None, base_url: str = "",
-              url_col: str = "url") -> list[dict[str, str]]:
-    """EXT-2: ``div`` grid -> rows; a cell made of several tags is their
-    texts joined by ``", "``; the link of ``link_col`` is made absolute."""
+              cell_cls: str = "td", tag_cls: str = "tag", link_col: str | None = None,
+              link_cls: str | None = None, base_url: str = "", url_col: str = "url") -> list[dict[str, str]]:
+    """EXT-2: ``div`` grid -> rows.  The first row holds the headers; a cell
+    holding elements of class ``tag_cls`` is their texts joined by ``", "``,
+    otherwise its stripped text.  The link of the cell named ``link_col``
+    (or carrying class ``link_cls``) is made absolute with ``base_url`` and
+    always appended last as ``url_col`` (``""`` when there is none)."""
     root = parse(html)
     box = root.find("div", container)
     if box is None:
         return []
-    headers: list[str] = []
-    rows: list[dict[str, str]] = []
-    for tr in box.iter("div", row_cls):
-        ths = [c for c in tr.children if isinstance(c, Node) and head_cls in c.classes]
-        if ths:
-            headers = [squash(c.text()) for c in ths]
-            continue
-        tds = [c for c in tr.children if isinstance(c, Node) and cell_cls in c.classes]
-        if not tds:
-            continue
+    rows = list(box.iter("div", row_cls))
+    if not rows:
+        return []
+    headers = _dedupe([text_strip(h) for h in rows[0].iter("div", head_cls)])
+    out: list[dict[str, str]] = []
+    for tr in rows[1:]:
         row: dict[str, str] = {}
-        link = None
-        for h, td in zip(headers, tds):
-            tags = [squash(x.text()) for x in td.children if isinstance(x, Node) and squash(x.text())]
-            row[h] = ", ".join(tags) if len(tags) > 1 else squash(td.text())
-            if link_col is not None and h == link_col:
+        link = ""
+        for idx, td in enumerate(tr.iter("div", cell_cls)):
+            name = headers[idx] if idx < len(headers) else f"_col{idx}"
+            tags = [n for n in td.iter() if n.tag in ("a", "div") and tag_cls in n.classes]
+            row[name] = ", ".join(text_strip(t) for t in tags) if tags else text_strip(td)
+            if (link_col is not None and name == link_col) or (link_cls is not None and link_cls in td.classes):
                 a = td.find("a")
                 if a is not None and a.attrs.get("href"):
                     href = a.attrs["href"]
                     link = href if re.match(r"^[a-z]+://", href) else base_url.rstrip("/") + "/" + href.lstrip("/")
-        if link_col is not None:
-            row[url_col] = link  # the link column comes last
-        rows.append(row)
-    return rows
+        row[url_col] = link
+        out.append(row)
+    return out
 
 
 def label_value_pairs(html, label_cls: str = "label", value_cls: str = "value",
                       ignore_cls: tuple[str, ...] = ("label", "coin_type")) -> dict[str, str]:
-    """EXT-3: ``<td class="label X">`` / ``<td class="value">`` pairs in
-    rows; the key is the first class of the label cell not in ``ignore_cls``;
-    header rows (``<th>``) are skipped; a later key overwrites an earlier one."""
+    """EXT-3: rows of a table holding a ``<td class="label X">`` and a
+    ``<td class="value">``; the key is the first class of the label cell not
+    in ``ignore_cls``; the value is the cell's stripped text; a later key
+    overwrites an earlier one.  Other rows (headers, stray text) are skipped."""
     out: dict[str, str] = {}
-    for tr in parse(html).iter("tr"):
-        if tr.find("th") is not None:
-            continue
-        label = tr.find("td", label_cls)
-        value = tr.find("td", value_cls)
-        if label is None or value is None:
-            continue
-        key = next((c for c in label.classes if c not in ignore_cls), None)
-        if key is not None:
-            out[key] = squash(value.text())
+    for table in parse(html).iter("table"):
+        for tr in table.iter("tr"):
+            label = tr.find("td", label_cls)
+            value = tr.find("td", value_cls)
+            if label is None or value is None:
+                continue
+            key = next((c for c in label.classes if c not in ignore_cls), None)
+            if key is not None:
+                out[key] = text_strip(value)
     return out
 
 

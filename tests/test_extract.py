@@ -33,7 +33,7 @@ GRID = """<div class="box_table">
 <div class="tr"><div class="th">#</div><div class="th">Algorithm</div><div class="th">Coins</div>
 <div class="th">Clients</div><div class="th">Hardware</div><div class="th">System</div></div>
 <div class="tr"><div class="td">1</div><div class="td"><a href="/algorithm/sha-256">SHA-256</a></div>
-<div class="td">120</div><div class="td"><span>cgminer</span><span>bfgminer</span></div>
+<div class="td">120</div><div class="td"><div class="tag">cgminer</div><a class="tag blue" href="/c">bfgminer</a></div>
 <div class="td">ASIC</div><div class="td">Linux</div></div>
 <div class="tr"><div class="td">2</div><div class="td"><a href="/algorithm/scrypt">Scrypt</a></div>
 <div class="td"></div><div class="td"></div><div class="td"></div><div class="td"></div></div>
@@ -71,7 +71,14 @@ def test_grid_rows():  # EXT-2
     assert len(rows) == 2 and len(rows[0]) == 7
     assert rows[0]["Clients"] == "cgminer, bfgminer"
     assert rows[0]["url"] == "https://stats.example/algorithm/sha-256"
-    assert rows[1]["Coins"] == ""
+    assert rows[1]["Coins"] == "" and list(rows[1])[-1] == "url"
+    by_cls = H.grid_rows(GRID.replace('<div class="td"><a href="/algorithm', '<div class="td algo"><a href="/algorithm'),
+                         link_cls="algo", base_url="https://stats.example")
+    assert [r["url"] for r in by_cls] == ["https://stats.example/algorithm/sha-256", "https://stats.example/algorithm/scrypt"]
+    assert H.grid_rows("<p>no grid</p>") == []
+    dup = H.grid_rows('<div class="box_table"><div class="tr"><div class="th">A</div><div class="th">A</div></div>'
+                      '<div class="tr"><div class="td">1</div><div class="td"> 2 <b>x</b></div></div></div>')
+    assert dup == [{"A": "1", "A_2": "2x", "url": ""}]
 
 
 def test_label_values():  # EXT-3
@@ -85,6 +92,8 @@ def test_table_rows():  # EXT-1
     assert rows == [{"Name": "Foo", "Name_href": "/coins/foo", "Algo": "SHA", "Algo_href": "/algorithm/sha/",
                      "Cap": "$1.2M"},
                     {"Name": "Bar", "Algo": "Scrypt", "Cap": "n/a"}]
+    assert H.table_rows(TABLE, link_mode="first")[0] == {"link_href": "/coins/foo", "Name": "Foo", "Algo": "SHA",
+                                                          "Cap": "$1.2M"}
 
 
 def test_json_objects():  # EXT-9
