@@ -221,4 +221,4 @@ _VIEW_SQL = """select lang, count(*) as n_docs, cast(sum(n_chars) as bigint) as
   count(distinct source) as n_sources from documents group by lang"""
 
 register("sql_over_views", _VIEW_SQL)(
-    lambda spark, sf: (register_views(spark, sf), spark.sql(_VIEW_SQL))[1])
+    lambda spark, sf: (register_views(spark, sf, ("documents",)), spark.sql(_VIEW_SQL))[1])
