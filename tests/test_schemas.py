@@ -1,0 +1,32 @@
+"""The 14 stored-table contracts parse and validate."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from silverline.operators.contract import ContractError
+from silverline.sources import schemas
+
+
+def test_all_specs_parse():
+    assert len(schemas.TABLES) == 14
+    for name in schemas.TABLES:
+        c = schemas.spec(name)
+        assert set(c.primary_key) <= set(c.columns)
+        assert c.columns[-2:] == ["created_at", "updated_at"]
+    g = schemas.spec("gold_algorithms")
+    assert g.max_length["coin_names_json"] == 10000 and g.schema["algo_name"].nullable is False
+    with pytest.raises(ValueError):
+        schemas.parse_fields("a VARCHAR(10)")
+
+
+def test_notify_log_contract(spark):
+    c = schemas.spec("notify_log_new_algorithms")
+    ts = dt.datetime(2024, 1, 1)
+    good = spark.createDataFrame([("SHA-256", ts, ts)], "algo_name string, created_at timestamp_ntz, updated_at timestamp_ntz")
+    assert c.validate(good).count() == 1
+    bad = good.unionByName(good).withColumn("algo_name", F.lit("x" * 101))
+    with pytest.raises(ContractError) as e:
+        c.validate(bad)
+    assert e.value.counts["primary_key"] == 2 and e.value.counts["algo_name|max_length"] == 2
