@@ -191,12 +191,19 @@ def canonical_names(df: DataFrame, name_col: str, out_col: str = "canonical_name
     return j.withColumn(out_col, pick).drop("_nk", "_canon")
 
 
-def alias_opportunities(df: DataFrame, name_col: str, key_fn=S.match_key) -> DataFrame:
+def alias_opportunities(df: DataFrame, name_col: str, key_fn=S.match_key,
+                        skip_empty_key: bool = True) -> DataFrame:
     """ENT-3: groups of distinct names that collide under the match key, as
     rows ``(name_key, names_json, n_names)``; names sorted.  Distinct names
-    are taken first so the collected lists hold only distinct spellings."""
+    are taken first so the collected lists hold only distinct spellings.
+    Names with no ASCII letter or digit all share key ``''``; that group is
+    not an alias opportunity and could hold every non-Latin name, so it is
+    skipped unless ``skip_empty_key=False``."""
     names = df.select(F.col(name_col).alias("_n")).filter(F.col("_n").isNotNull()).distinct()
-    g = (names.groupBy(key_fn(F.col("_n")).alias("name_key"))
+    keyed = names.withColumn("name_key", key_fn(F.col("_n")))
+    if skip_empty_key:
+        keyed = keyed.filter(F.col("name_key") != "")
+    g = (keyed.groupBy("name_key")
          .agg(F.array_sort(F.collect_list("_n")).alias("_names"), F.count(F.lit(1)).alias("n_names"))
          .filter(F.col("n_names") > 1))
     return g.select("name_key", F.to_json("_names").alias("names_json"), "n_names")

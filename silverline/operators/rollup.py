@@ -87,7 +87,7 @@ def gold_join(entities: DataFrame, devices: DataFrame, group: str) -> DataFrame:
 
 def summary_by_group(df: DataFrame, group: str, member: str, rank: str, value: str,
                      year: str, junk: list[str], more_than: int = 14, keep: int = 15,
-                     json_head: int = 200, salt_buckets: int = 64, value_divisor: float = 1.0) -> DataFrame:
+                     json_head: int = 200, salt_buckets: int = 1024, value_divisor: float = 1.0) -> DataFrame:
     """RPT-6: per group -- sum, count, per-member mean (half-even), earliest
     year, two sort keys with junk groups (NULL or a ``junk`` value) forced to
     0 (SRT-6), a truncated member list (ARR-4) and a JSON list of the first
@@ -100,7 +100,10 @@ def summary_by_group(df: DataFrame, group: str, member: str, rank: str, value: s
     ``salt_buckets`` tasks and only ``n * salt_buckets`` candidates per group
     reach the second level -- no task ever holds a whole group.
 
-    ``value_divisor`` lets exact integer sums (e.g. cents) come out in units.
+    ``salt_buckets`` bounds the rows of one first-level task to about
+    (rows of the largest group) / ``salt_buckets``; the second level sees at
+    most ``n * salt_buckets`` candidates per group.  ``value_divisor`` lets
+    exact integer sums (e.g. cents) come out in units.
     """
     from pyspark.sql import Window
 

@@ -107,7 +107,8 @@ with v as {_SQL_VARIANTS}
 select regexp_replace(lower(reported_name), '[^A-Za-z0-9]', '', 'g') as name_key,
        to_json(list_sort(list(distinct reported_name)))::varchar as names_json,
        count(distinct reported_name) as n_names
-from v where reported_name is not null group by 1 having count(distinct reported_name) > 1
+from v where reported_name is not null and regexp_replace(lower(reported_name), '[^A-Za-z0-9]', '', 'g') <> ''
+group by 1 having count(distinct reported_name) > 1
 """)
 def q_alias_opportunities(spark, sf):
     return entity.alias_opportunities(_name_variants(spark, sf), "reported_name")

@@ -74,3 +74,10 @@ def test_alias_opportunities(spark):
     df = spark.createDataFrame([(n,) for n in ["SHA-256", "sha256", "SHA-256", "Scrypt", None]], "name string")
     got = [tuple(r) for r in entity.alias_opportunities(df, "name").collect()]
     assert got == [("sha256", '["SHA-256","sha256"]', 2)]
+
+
+def test_alias_opportunities_skip_empty_key(spark):
+    df = spark.createDataFrame([(n,) for n in ["比特币", "以太坊", "Bit-Coin", "bitcoin"]], "name string")
+    assert [r.name_key for r in entity.alias_opportunities(df, "name").collect()] == ["bitcoin"]
+    keys = sorted(r.name_key for r in entity.alias_opportunities(df, "name", skip_empty_key=False).collect())
+    assert keys == ["", "bitcoin"]
