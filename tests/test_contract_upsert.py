@@ -137,3 +137,28 @@ def test_upsert_keeps_columns_missing_from_new(spark):
     slim = new.drop("maybe")
     nxt = {r.k: r for r in upsert.upsert(cur, slim, ["k"], "2024-06-01").collect()}
     assert nxt[5].maybe == "x" and nxt[5].t == "text-change!"
+
+
+def test_lookups_and_broadcast_bound(spark):  # JOIN-5 / JOIN-6
+    df = spark.createDataFrame([("H/s",), ("kH/s",), ("bogus",), (None,)], "u string")
+    m = {"H/s": 1.0, "kH/s": 1000.0}
+    got = [r[0] for r in df.select(joins.lookup_with_default(F.col("u"), {"H/s": "hash"})).collect()]
+    assert got == ["hash", "kH/s", "bogus", None]
+    assert [r[0] for r in df.select(joins.lookup_strict(F.col("u"), m)).collect()] == [1.0, 1000.0, None, None]
+    with pytest.raises(Exception):
+        df.select(joins.lookup_strict(F.col("u"), m, fail=True)).collect()
+    ok = df.filter("u is null or u in ('H/s', 'kH/s')").select(joins.lookup_strict(F.col("u"), m, fail=True))
+    assert [r[0] for r in ok.collect()] == [1.0, 1000.0, None]
+    table = spark.createDataFrame([("H/s", "per second"), ("kH/s", "thousands")], "k string, v string")
+    out = joins.lookup_table(df, "u", table, "k", "v", "label", max_broadcast_rows=1)  # beyond the bound: shuffle join
+    assert sorted((r.u, r.label) for r in out.collect() if r.u) == [("H/s", "per second"), ("bogus", "bogus"),
+                                                                    ("kH/s", "thousands")]
+
+
+def test_normalize_hooks(spark):  # UDF-2: Column -> Column plug-ins around ENT-1
+    from silverline.operators import entity
+    df = spark.createDataFrame([(" sha256 ",)], "n string")
+    out = df.select(entity.normalize_names(F.col("n"), pre=F.trim, post=F.upper).alias("x")).first().x
+    assert out == "SHA256"  # "sha256" is not an alias spelling; post hook upper-cases
+    out2 = df.select(entity.normalize_names(F.trim(F.col("n")), aliases={"X": ["sha256"]}).alias("x")).first().x
+    assert out2 == "X"
