@@ -79,23 +79,38 @@ def read_key_log(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(out_dir, "log"))
 
 
+def _readable(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema  # reads one footer
+        return True
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def upsert_stream(stream: DataFrame, initial: DataFrame, key: list[str], as_of, out_dir: str,
                   trigger: dict | None = None, exclude_float: bool = True) -> str:
     """STM-3: fold micro-batches into versioned snapshots; returns the path
-    of the last version."""
+    of the latest version.  Batch N reads version N and writes version N+1,
+    then records N+1 in a one-row ``latest`` marker; a retried batch rewrites
+    the same version from the same input, and a restarted stream resumes
+    from its checkpoint without touching earlier versions."""
     spark = stream.sparkSession
     snap = os.path.join(out_dir, "snapshot")
-    initial.write.mode("overwrite").parquet(os.path.join(snap, "v=0"))
-    state = {"last": 0}
+    marker = os.path.join(out_dir, "latest")
+    v0 = os.path.join(snap, "v=0")
+    if not _readable(spark, v0):
+        initial.write.mode("overwrite").parquet(v0)
+        spark.createDataFrame([(0,)], "version int").write.mode("overwrite").parquet(marker)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         cur = spark.read.parquet(os.path.join(snap, f"v={batch_id}"))
         nxt = U.upsert(cur, batch, key, as_of, exclude_float)
         nxt.write.mode("overwrite").parquet(os.path.join(snap, f"v={batch_id + 1}"))
-        state["last"] = batch_id + 1
+        spark.createDataFrame([(batch_id + 1,)], "version int").write.mode("overwrite").parquet(marker)
 
     q = (stream.writeStream.foreachBatch(on_batch)
          .option("checkpointLocation", os.path.join(out_dir, "checkpoint"))
          .trigger(**(trigger or {"availableNow": True})).start())
     q.awaitTermination()
-    return os.path.join(snap, f"v={state['last']}")
+    latest = spark.read.parquet(marker).first()["version"]  # one row
+    return os.path.join(snap, f"v={latest}")

@@ -39,6 +39,10 @@ def test_stream_upsert_equals_batch(spark, tmp_path):
     new.repartition(3, F.col("k") % 3).write.parquet(inc)
     src = jobs.file_stream(spark, inc, new.schema, max_files=1)
     last = jobs.upsert_stream(src, cur, ["k"], "2024-06-01", str(tmp_path / "w"))
+    # restart on the same folder with nothing new: same latest version, v=0 untouched
+    again = jobs.upsert_stream(jobs.file_stream(spark, inc, new.schema, max_files=1), cur.limit(0), ["k"],
+                               "2024-06-01", str(tmp_path / "w"))
+    assert again == last and spark.read.parquet(str(tmp_path / "w" / "snapshot" / "v=0")).count() == 10
     got = sorted(tuple(r) for r in spark.read.parquet(last).select("k", "v", "created_at", "updated_at").collect())
     want = sorted(tuple(r) for r in upsert.upsert(cur, new, ["k"], "2024-06-01")
                   .select("k", "v", "created_at", "updated_at").collect())
