@@ -121,18 +121,33 @@ def change_summary(current: DataFrame, new: DataFrame, key: list[str],
     return j.groupBy(F.col("_class").alias("change")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: list[str], buckets: int) -> None:
+    """Write a snapshot as an external table bucketed and sorted by the key.
+    The next ``upsert`` reads it with ``spark.table(table)`` and joins it
+    WITHOUT shuffling it: only the incoming rows are hash-partitioned into
+    the same buckets.  Each version gets its own table name and path (never
+    overwrite a table that the plan reads)."""
+    (df.write.bucketBy(buckets, *key).sortBy(*key).mode("overwrite")
+     .option("path", path).saveAsTable(table))
+
+
 def publish(current: DataFrame, new: DataFrame, key: list[str], as_of, out_path: str,
-            contract=None, prune_missing: bool = False, exclude_float: bool = True) -> bool:
+            contract=None, prune_missing: bool = False, exclude_float: bool = True,
+            bucketed: tuple[str, int] | None = None) -> bool:
     """UPS-3 / UPS-6: validate -> upsert -> optional prune -> write a new
     snapshot.  The change classes are counted first (one small aggregate
     over the same join); when nothing would change -- no inserted or updated
     row, and no absent key when pruning -- nothing is written and False is
-    returned."""
+    returned.  ``bucketed=(table_name, buckets)`` writes the snapshot as a
+    table bucketed by the key (see ``write_bucketed``)."""
     if contract is not None:
         new = contract.validate(new)
     counts = {r.change: r.n_rows for r in change_summary(current, new, key, exclude_float).collect()}  # <= 4 rows
     if not (counts.get("inserted") or counts.get("updated") or (prune_missing and counts.get("absent"))):
         return False
     nxt = upsert(current, new, key, as_of, exclude_float, prune_missing=prune_missing)
-    nxt.write.mode("overwrite").parquet(out_path)
+    if bucketed is not None:
+        write_bucketed(nxt, bucketed[0], out_path, key, bucketed[1])
+    else:
+        nxt.write.mode("overwrite").parquet(out_path)
     return True

@@ -16,6 +16,7 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="silverline-test-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):

@@ -162,3 +162,17 @@ def test_normalize_hooks(spark):  # UDF-2: Column -> Column plug-ins around ENT-
     assert out == "SHA256"  # "sha256" is not an alias spelling; post hook upper-cases
     out2 = df.select(entity.normalize_names(F.trim(F.col("n")), aliases={"X": ["sha256"]}).alias("x")).first().x
     assert out2 == "X"
+
+
+def test_bucketed_snapshot_is_not_shuffled(spark, tmp_path):  # co-located upserts
+    cur, new = _frames(spark)
+    assert upsert.publish(cur, new, ["k"], "2024-06-01", str(tmp_path / "v1"), bucketed=("snap_v1", 4))
+    snap = spark.table("snap_v1")
+    nxt = upsert.upsert(snap, new.withColumn("t", F.concat("t", F.lit("+"))), ["k"], "2024-07-01")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = nxt._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1  # only the incoming rows move
+    assert sorted(r.k for r in nxt.collect()) == [1, 2, 3, 4, 5, 6, 7]
