@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_BROADCAST_ROWS = 200_000
+_KEPT: list[DataFrame] = []
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
@@ -26,11 +27,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = kept.limit(max_rows + 1).count()
     if n <= max_rows:
+        _KEPT.append(kept)
         return F.broadcast(kept)
     kept.unpersist()
     return df
 
 
+def release_cached() -> int:
+    """Unpersist every table kept by ``broadcast_if_small`` (each holds at
+    most its row bound).  Call between jobs in a long-lived session; a query
+    that still uses one recomputes it.  Returns how many were released."""
+    n = len(_KEPT)
+    while _KEPT:
+        _KEPT.pop().unpersist()
+    return n
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their count.  A partial+final
     aggregate, so a hot key is combined map-side."""

@@ -39,9 +39,13 @@ def test_dedup_is_partial_aggregate_not_window(spark):
 
 
 def test_canonical_mapping_is_broadcast(spark):
+    from silverline.operators.joins import release_cached
     names = spark.createDataFrame([("Bit-Coin",), ("bitcoin",)] * 50, "name string")
-    p = plan(entity.canonical_names(names, "name"))
+    out = entity.canonical_names(names, "name")
+    p = plan(out)
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+    assert release_cached() >= 1
+    assert {r.canonical_name for r in out.collect()} == {"Bit-Coin"}  # still correct after release
 
 
 def test_duplicate_keys_do_not_shuffle_checked_rows(spark):
