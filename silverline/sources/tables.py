@@ -11,12 +11,25 @@ TABLES = (
 )
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one test table.  Column pruning and filter pushdown reach the
-    parquet scan because the plan stays declarative."""
+    parquet scan because the plan stays declarative.
+
+    The schema is inferred once per path and then given explicitly, so
+    later reads of the same (read-only) table start no schema-inference
+    job."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def register_views(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = TABLES) -> None:
