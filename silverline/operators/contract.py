@@ -82,9 +82,10 @@ class Contract:
         typed = {c: F.col(c) for c in self.columns}
         checks = self._row_checks(raw, typed)
         out = staged.withColumn(FAILURES, F.filter(F.array(*checks), lambda x: x.isNotNull()))
-        for i, key in enumerate(([self.primary_key] if self.primary_key else []) + list(self.unique)):
-            label = "primary_key" if (i == 0 and self.primary_key) else "unique|" + ",".join(key)
-            out = _flag_duplicates(out, key, label, self.digest_keys)
+        constraints = ([("primary_key", list(self.primary_key))] if self.primary_key else []) + \
+            [("unique|" + ",".join(k), list(k)) for k in self.unique]
+        if constraints:
+            out = _flag_duplicates(out, constraints, self.digest_keys)
         return out.select(*self.columns, FAILURES)
 
     # -- results ---------------------------------------------------------
@@ -135,20 +136,42 @@ class Contract:
         return checked.filter(F.size(FAILURES) == 0).drop(FAILURES), counts
 
 
-def _flag_duplicates(df: DataFrame, key: list[str], label: str, digest_keys=()) -> DataFrame:
-    """DQ-4 / DQ-5 / AGG-12: append ``label`` to rows whose ``key`` occurs
-    more than once.  Duplicate keys come from a partial+final aggregate (no
-    window, so a hot key never lands in one task) and are joined back:
-    broadcast when their number is proven small, so the checked table is
-    not shuffled on the key; otherwise a shuffle join with AQE skew splits."""
+def _flag_duplicates(df: DataFrame, constraints: list[tuple[str, list[str]]], digest_keys=()) -> DataFrame:
+    """DQ-4 / DQ-5 / AGG-12: append each constraint's label to the rows
+    whose key occurs more than once.
+
+    All constraints are counted in ONE pass: a grouping-sets aggregate (one
+    Expand, then partial + final counts -- no window, so a hot key never
+    lands in one task).  The duplicate keys are a small table in the usual
+    case: it is size-checked once and each constraint's part is joined back
+    by broadcast, so the checked table is never shuffled on a key.  Beyond
+    the bound the joins shuffle (AQE splits skew).  Long-text key columns
+    (``digest_keys``) are compared by SHA-256 digest."""
     from silverline.operators.joins import broadcast_if_small
 
-    kcols = {f"_k{i}": (F.unhex(F.sha2(F.col(k).cast("string"), 256)) if k in digest_keys else F.col(k))
-             for i, k in enumerate(key)}
-    keyed = df.withColumns(kcols)
-    names = list(kcols)
-    dups = (keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-            .select(*names, F.lit(True).alias("_dup")))
-    j = keyed.join(broadcast_if_small(dups), names, "left")
-    return j.withColumn(FAILURES, F.when(F.col("_dup"), F.array_append(F.col(FAILURES), F.lit(label)))
-                        .otherwise(F.col(FAILURES))).drop("_dup", *names)
+    cols: list[str] = []
+    for _, key in constraints:
+        cols += [c for c in key if c not in cols]
+    kname = {c: f"_k{i}" for i, c in enumerate(cols)}
+    keyed = df.withColumns({kname[c]: (F.unhex(F.sha2(F.col(c).cast("string"), 256)) if c in digest_keys
+                                       else F.col(c)) for c in cols})
+    knames = [kname[c] for c in cols]
+    if len(constraints) == 1:
+        key_names = [kname[c] for c in constraints[0][1]]
+        counts = keyed.groupBy(*key_names).agg(F.count(F.lit(1)).alias("_n"), F.lit(0).cast("bigint").alias("_gid"))
+        gids = [0]
+    else:
+        sets = [[kname[c] for c in key] for _, key in constraints]
+        counts = keyed.groupingSets(sets, *knames).agg(F.count(F.lit(1)).alias("_n"),
+                                                        F.grouping_id().alias("_gid"))
+        # grouping_id: one bit per grouping column, first column most significant, 1 = not grouped
+        gids = [sum(1 << (len(cols) - 1 - j) for j, c in enumerate(cols) if c not in key) for _, key in constraints]
+    dups = broadcast_if_small(counts.filter(F.col("_n") > 1))
+    out = keyed
+    for i, ((label, key), gid) in enumerate(zip(constraints, gids)):
+        names = [kname[c] for c in key]
+        d = dups.filter(F.col("_gid") == gid).select(*names, F.lit(True).alias(f"_dup{i}"))
+        out = out.join(d, names, "left")
+        out = out.withColumn(FAILURES, F.when(F.col(f"_dup{i}"), F.array_append(F.col(FAILURES), F.lit(label)))
+                             .otherwise(F.col(FAILURES))).drop(f"_dup{i}")
+    return out.drop(*knames)
