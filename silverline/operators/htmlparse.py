@@ -75,6 +75,19 @@ class _Builder(HTMLParser):
         self.cur.children.append(data)
 
 
+def _text(html) -> str:
+    if isinstance(html, (bytes, bytearray)):
+        return html.decode("utf-8", "replace")
+    return html or ""
+
+
+def _lacks(html: str, *needles: str) -> bool:
+    """Exact short-circuit: a document without one of these tag openings
+    cannot hold the structure, so it is not parsed at all."""
+    low = html.lower()
+    return any(n not in low for n in needles)
+
+
 def parse(html: str | bytes | None) -> Node:
     if isinstance(html, (bytes, bytearray)):
         html = html.decode("utf-8", "replace")
@@ -110,6 +123,9 @@ def table_rows(html, table_cls: str | None = "table", link_mode: str = "all") ->
     row.  ``link_mode="all"`` adds ``<header>_href`` for every linked cell;
     ``"first"`` adds ``link_href`` for a link in the first cell only.  Cells
     beyond the header count are keyed ``_col<i>``."""
+    html = _text(html)
+    if _lacks(html, "<table", "<tr"):
+        return []
     table = parse(html).find("table", table_cls)
     if table is None:
         return []
@@ -141,6 +157,9 @@ def grid_rows(html, container: str = "box_table", row_cls: str = "tr", head_cls:
     otherwise its stripped text.  The link of the cell named ``link_col``
     (or carrying class ``link_cls``) is made absolute with ``base_url`` and
     always appended last as ``url_col`` (``""`` when there is none)."""
+    html = _text(html)
+    if _lacks(html, "<div", container.lower()):
+        return []
     root = parse(html)
     box = root.find("div", container)
     if box is None:
@@ -174,6 +193,9 @@ def label_value_pairs(html, label_cls: str = "label", value_cls: str = "value",
     in ``ignore_cls``; the value is the cell's stripped text; a later key
     overwrites an earlier one.  Other rows (headers, stray text) are skipped."""
     out: dict[str, str] = {}
+    html = _text(html)
+    if _lacks(html, "<table", "<td"):
+        return out
     for table in parse(html).iter("table"):
         for tr in table.iter("tr"):
             label = tr.find("td", label_cls)
@@ -192,6 +214,11 @@ def info_pairs(html, section_tag: str | None = None, section_attrs: dict | None
     section; hidden items are skipped; an item with links takes their texts
     joined by ``", "``; whitespace collapsed.  Returns ``(pairs, error)``: a
     missing section, key or value and a repeated (non-link) key are errors."""
+    html = _text(html)
+    if section_tag is not None and _lacks(html, "<" + section_tag.lower()):
+        return {}, "missing section"
+    if section_tag is None and _lacks(html, "<li"):
+        return {}, None
     root = parse(html)
     section = root
     if section_tag is not None:
@@ -225,6 +252,9 @@ def info_pairs(html, section_tag: str | None = None, section_attrs: dict | None
 def list_items(html) -> list[tuple[str, str | None]]:
     """``<li>`` items of a page in document order: (text, first link)."""
     res = []
+    html = _text(html)
+    if _lacks(html, "<li"):
+        return res
     for li in parse(html).iter("li"):
         a = li.find("a")
         res.append((squash(li.text()), a.attrs.get("href") if a is not None else None))
