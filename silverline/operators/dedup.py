@@ -19,17 +19,18 @@ from pyspark.sql import functions as F
 
 def _pick(df: DataFrame, keys: list[str], order: list[str | Column], which: str) -> DataFrame:
     order_cols: list[Column] = []
-    names: list[str] = []
+    named: list[str] = []
     for i, o in enumerate(order):
-        if isinstance(o, str):
-            order_cols.append(F.col(o).alias(f"_o{i}"))
+        if isinstance(o, str) and o not in keys and o not in named:
+            order_cols.append(F.col(o))  # carried once: it is both ordering key and payload
+            named.append(o)
         else:
-            order_cols.append(o.alias(f"_o{i}"))
-        names.append(f"_o{i}")
-    rest = [c for c in df.columns if c not in keys]
+            order_cols.append((F.col(o) if isinstance(o, str) else o).alias(f"_o{i}"))
+    rest = [c for c in df.columns if c not in keys and c not in named]
     payload = F.struct(*order_cols, *[F.col(c) for c in rest])
     agg = F.max(payload) if which == "last" else F.min(payload)
-    return df.groupBy(*keys).agg(agg.alias("_best")).select(*keys, *[F.col("_best")[c].alias(c) for c in rest])
+    out_cols = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(agg.alias("_best")).select(*keys, *[F.col("_best")[c].alias(c) for c in out_cols])
 
 
 def keep_last(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:
