@@ -39,7 +39,11 @@ def release_cached() -> int:
     that still uses one recomputes it.  Returns how many were released."""
     n = len(_KEPT)
     while _KEPT:
-        _KEPT.pop().unpersist()
+        kept = _KEPT.pop()
+        try:
+            kept.unpersist()
+        except Exception:  # noqa: BLE001 -- its session is already stopped
+            pass
     return n
 
 
