@@ -42,9 +42,11 @@ _LEADING_FLAGS = re.compile(r"^\(\?([a-zA-Z]+)\)")
 
 
 def _shift_groups(repl: str, by: int) -> str:
-    """Renumber ``$n`` / ``${n}`` group references of a Java replacement."""
-    repl = re.sub(r"\$\{(\d+)\}", lambda m: "$" + str(int(m.group(1)) + by), repl)
-    return re.sub(r"(?<!\\)\$(\d+)", lambda m: "$" + str(int(m.group(1)) + by), repl)
+    """Renumber ``$n`` / ``${n}`` group references of a Java replacement
+    (one pass, so each reference moves exactly once; ``\\$`` is kept)."""
+    def shift(m: re.Match) -> str:
+        return "$" + str(int(m.group(1) or m.group(2)) + by)
+    return re.sub(r"(?<!\\)\$(?:\{(\d+)\}|(\d+))", shift, repl)
 
 
 def replace_first(c: ColumnOrName, pattern: str, replacement: str) -> Column:

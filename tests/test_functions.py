@@ -37,6 +37,9 @@ def test_replace_first_vs_all(spark):  # STR-5 / STR-6 / STR-8
     assert col_values(df, S.replace_all("v", "ab", "Z")) == ["Z-Z", "none", "x equihash 1 2 y equihash 3 4"]
     got = col_values(df, S.replace_first("v", r"(?i)equihash (\d) (\d)", "E($1,$2)"))
     assert got[2] == "x E(1,2) y equihash 3 4"
+    braces = col_values(df, S.replace_first("v", r"(?i)equihash (\d) (\d)", "E(${1},${2})"))
+    assert braces[2] == "x E(1,2) y equihash 3 4"
+    assert S._shift_groups(r"a$1b${2}c\$3", 1) == r"a$2b$3c\$3"
 
 
 def test_extract_no_match_is_null(spark):  # STR-9
