@@ -173,3 +173,19 @@ def q_embedded_json(spark, sf):
     conv = T(spark, sf, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
                                                 F.lit("conversations").alias("src"), "text")
     return X.embedded_json(docs.unionByName(conv), ["src", "id"], "text")
+
+
+@register("page_label_values")
+def q_page_label_values(spark, sf):
+    """EXT-3 over all pages: label/value table cells -> one map per page
+    (rows-only; the test pages hold no such table, so the maps are empty)."""
+    out = X.html_label_values(T(spark, sf, "pages"), ["page_id"])
+    return out.select("page_id", F.size("kv").cast("bigint").alias("n_pairs"), F.to_json("kv").alias("kv_json"))
+
+
+@register("page_grids")
+def q_page_grids(spark, sf):
+    """EXT-2 over all pages: div-grid rows (rows-only; the test pages hold
+    no grid)."""
+    out = X.html_grid(T(spark, sf, "pages"), ["page_id"], link_col="Algorithm", base_url="https://example.org")
+    return out.select("page_id", "row_idx", F.to_json("cells").alias("cells_json"))

@@ -8,7 +8,8 @@ from silverline.operators import dedup, entity
 from silverline.operators.contract import Contract
 
 SF = "/root/testdata/sf0.001"
-PYTHON_QUERIES = {"page_list_items", "page_info_pairs", "page_tables", "embedded_json"}
+PYTHON_QUERIES = {"page_list_items", "page_info_pairs", "page_tables", "embedded_json", "page_label_values",
+                  "page_grids"}
 
 
 def plan(df) -> str:
