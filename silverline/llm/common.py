@@ -15,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverline.session import checkpoint_dir, ship_package
 
@@ -190,3 +191,21 @@ def without(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """``df`` without the columns that carry one of ``names`` in any case."""
     low = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in low])
+
+
+def add_columns(df: DataFrame, text_col: str, compute, fields: Sequence[T.StructField], limit: int = SLICE_BYTES) -> DataFrame:
+    """``df`` with the columns ``fields``, which ``compute(texts)`` gives as
+    Arrow arrays for each bounded slice of rows; other columns pass through,
+    those that carry one of the new names are replaced."""
+    df = without(df, [f.name for f in fields])
+    names, at, n = df.columns, df.columns.index(text_col), len(df.columns)
+    plain = [str(i) for i in range(n + len(fields))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in byte_slices(batch, str(at), limit):
+                yield pa.RecordBatch.from_arrays([*part.columns, *compute(part.column(at))], names=plain)
+
+    kinds = [*(f.dataType for f in df.schema.fields), *(f.dataType for f in fields)]
+    return df.toDF(*plain[:n]).mapInArrow(run, T.StructType([T.StructField(p, k) for p, k in zip(plain, kinds)])) \
+             .toDF(*names, *(f.name for f in fields))
