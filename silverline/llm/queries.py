@@ -84,3 +84,22 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
     return read_back(format_conversations(turns.unionByName(planted)))
+
+
+#: The rules of the query: verdict, host, path.
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+
+@register("op7_url_filter")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by the rules and the template tree."""
+    from silverline.llm.url_filter import judge_urls
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
