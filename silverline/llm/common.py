@@ -114,8 +114,15 @@ _MASK = (1 << 64) - 1
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BLOCK = 1 << 18
-_POW = np.multiply.accumulate(np.concatenate([[1], np.full(_BLOCK, _BASE)]).astype(np.uint64))
-_INV = np.multiply.accumulate(np.concatenate([[1], np.full(_BLOCK, _INVERSE)]).astype(np.uint64))
+
+
+def _powers(base: int) -> np.ndarray:
+    out = np.full(_BLOCK + 1, base, np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+_POW, _INV = _powers(_BASE), _powers(_INVERSE)
 _BYTE = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 

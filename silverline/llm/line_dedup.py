@@ -197,7 +197,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # null ids count as one document: it adds one and is never the largest
     counted = suspects.groupBy("key").agg(
         (F.count_distinct("id") + F.max(F.col("id").isNull().cast("int"))).alias("n"), F.max("id").alias("keeper"))
-    repeated = counted.filter(F.col("n") >= min_docs).select("key", "keeper")
+    # a table of its own, so that AQE may broadcast it or split a key's rows in the join
+    repeated = C.stored(counted.filter(F.col("n") >= min_docs).select("key", "keeper"), "repeated-lines")
     lost = (suspects.join(repeated, "key").filter(~F.col("id").eqNullSafe(F.col("keeper")))
             .groupBy(F.col("id").alias("_lost_id")).agg(F.collect_set("key").alias("_lost_keys")))
     joined = docs.join(lost, ids.eqNullSafe(F.col("_lost_id")), "left").select(*[F.col(f"`{c}`") for c in docs.columns], "_lost_keys")

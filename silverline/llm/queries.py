@@ -103,3 +103,47 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@register("op2_quality_rules", r"""
+with docs as (select doc_id, coalesce(text, '') as text from documents),
+words as (
+  select doc_id, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as w,
+         generate_subscripts(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), 1) as i
+  from docs),
+fives as (
+  select *, lag(w) over d = w as stutters,
+         case when lead(w, 4) over d is not null then [w, lead(w) over d, lead(w, 2) over d, lead(w, 3) over d, lead(w, 4) over d] end as five
+  from words window d as (partition by doc_id order by i)),
+counted as (select *, five is not null and count(*) over (partition by doc_id, five) > 1 as again from fives),
+covered as (
+  select *, bool_or(again) over (partition by doc_id order by i rows between 4 preceding and current row) as repeated from counted),
+word_stats as (
+  select doc_id, count(*) as n_words, sum(length(w)) as word_chars, count(*) filter (repeated) as n_repeat_words,
+         count(*) filter (stutters) as stutters, count(*) filter (not regexp_matches(w, '[A-Za-z]|[^\x00-\x7F]')) as no_letter
+  from covered group by doc_id),
+most as (select doc_id, max(n) as most from (select doc_id, w, count(*) as n from words group by doc_id, w) group by doc_id),
+lines as (select doc_id, unnest(string_split(text, chr(10))) as line from docs),
+line_stats as (
+  select doc_id, sum(n) as n_lines, sum(n - 1) as n_dup_lines
+  from (select doc_id, line, count(*) as n from lines where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id, line) group by doc_id),
+stats as (
+  select doc_id, coalesce(n_words, 0)::bigint as n_words, coalesce(word_chars, 0)::bigint as word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, coalesce(n_dup_lines, 0)::bigint as n_dup_lines,
+         coalesce(n_repeat_words, 0)::bigint as n_repeat_words, coalesce(n_lines, 0) as n_lines, coalesce(most, 0) as most, stutters, no_letter,
+         length(regexp_replace(text, '[^A-Z]', '', 'g')) as upper_case, length(regexp_replace(text, '[^A-Za-z]', '', 'g')) as letters,
+         length(regexp_replace(text, '[^!]', '', 'g')) as shouts
+  from docs left join word_stats using (doc_id) left join most using (doc_id) left join line_stats using (doc_id)),
+based as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed from stats)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       not base_failed and not (
+         10 * n_symbols > n_words or word_chars < 3 * n_words or word_chars > 12 * n_words
+         or n_dup_lines >= 3 and 10 * n_dup_lines > 3 * n_lines or 2 * upper_case > letters or 5 * shouts > n_words
+         or 2 * no_letter > n_words or n_words >= 50 and 5 * most > n_words or 5 * stutters > n_words) as kept
+from based
+""")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base metrics of every document and the verdict of the rule cascade."""
+    from silverline.llm.quality import judge_quality
+
+    return judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
