@@ -147,3 +147,24 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from silverline.llm.quality import judge_quality
 
     return judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@register("op6_decontaminate")
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item within its error budget, with those items."""
+    from silverline.llm.decontaminate import find_leaks
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_leaks(docs, table(spark, sf_dir, "benchmark")).filter(F.size("leaks") > 0)
+    return found.select("doc_id", F.size("leaks").cast("long").alias("n_items"), F.col("leaks.item").alias("item_ids"), F.col("leaks.distance").alias("distances"))
+
+
+@register("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document, learned from the documents outside fold 2."""
+    from silverline.llm.language_id import fold, identify, learn
+
+    docs = table(spark, sf_dir, "documents")
+    statistics = learn(docs.filter(fold(F.col("doc_id")) != 2).select("text", "lang"))
+    found = identify(docs.select("doc_id", "text"), statistics)
+    return found.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
