@@ -168,3 +168,22 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     statistics = learn(docs.filter(fold(F.col("doc_id")) != 2).select("text", "lang"))
     found = identify(docs.select("doc_id", "text"), statistics)
     return found.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@register("op5_html_text", r"""
+with article as (
+  select page_id, url, coalesce(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '') as a from pages),
+spaced as (
+  select page_id, url, regexp_replace(regexp_replace(a, '</?(p|br|h1)>', ' ', 'g'), '<[^>]*>', '', 'g') as t from article),
+decoded as (
+  select page_id, url, replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&') as t
+  from spaced),
+trimmed as (select page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) as text from decoded)
+select page_id, url, text, length(text) as n_chars from trimmed
+""")
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, with weights learned from pages that mark their content."""
+    from silverline.llm.html_text import extract_text, learn_weights
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract_text(pages, learn_weights(pages)).select("page_id", "url", "text", "n_chars")
