@@ -187,3 +187,17 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract_text(pages, learn_weights(pages)).select("page_id", "url", "text", "n_chars")
+
+
+@register("op8_sentence_pieces")
+def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every whole document with merge-dropout, and whether they decode to the text again."""
+    import public_tokenizers
+
+    from silverline.llm.sentence_pieces import decode_pieces, encode_pieces
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = decode_pieces(encode_pieces(docs, model), model)
+    return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
