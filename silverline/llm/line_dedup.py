@@ -54,10 +54,15 @@ def _positions(h: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([h, other]) & np.uint64(bits - 1)
 
 
+def _width(bits: int) -> int:
+    """Bits of a segment: whole bytes."""
+    return max(8, bits // SEGMENTS)
+
+
 def _bit_rows(hashes: list[np.ndarray], bits: int) -> pa.RecordBatch:
     """Rows (segment, positions set, positions set twice) of some key hashes."""
     pos, n = np.unique(_positions(np.concatenate(hashes), bits), return_counts=True)
-    width = max(1, bits // SEGMENTS)
+    width = _width(bits)
     seg, cut = np.unique(pos // np.uint64(width), return_index=True)
     cut = [*cut.tolist(), len(pos)]
     local = (pos % np.uint64(width)).astype(np.uint32)
@@ -91,7 +96,7 @@ def _emit_bits(bits: int, min_chars: int):
 
 def _merge_bits(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = max(1, bits // SEGMENTS)
+        width = _width(bits)
         filters: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
             for seg, once, twice in zip(*(c.to_pylist() for c in batch.columns)):
@@ -115,8 +120,8 @@ def twice_filter(texts: DataFrame, bits: int, min_chars: int) -> np.ndarray:
     rows = texts.mapInArrow(_emit_bits(bits, min_chars), "segment int, once binary, twice binary")
     parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     merged = rows.repartition(min(parts, SEGMENTS), "segment").mapInArrow(_merge_bits(bits), "segment int, twice binary")
-    width = max(8, bits // SEGMENTS)
-    out = np.zeros(max(bits, 8 * SEGMENTS) // 8, np.uint8)
+    width = _width(bits)
+    out = np.zeros(bits // 8, np.uint8)
     for seg, packed in merged.toLocalIterator(prefetchPartitions=True):
         out[seg * width // 8:seg * width // 8 + len(packed)] = np.frombuffer(packed, np.uint8)
     return out
