@@ -133,7 +133,7 @@ def _format(learn: frozenset[str], part_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, part, last_id = None, 0, object()
         for batch in batches:
-            for piece in C.byte_slices(batch, "text"):
+            for piece in C.byte_slices(batch, "text", min(C.SLICE_BYTES, part_bytes)):
                 piece = pa.Table.from_batches([piece])
                 rows = pa.concat_tables([held, piece]) if held is not None else piece
                 cut = int(_id_cuts(rows.column(0).combine_chunks())[-2])

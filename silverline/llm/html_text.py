@@ -79,46 +79,62 @@ class Weights:
     tags: dict[str, float]
 
 
+class Element:
+    """An open element: its names, the one around it, whether it lies in the marked content."""
+
+    __slots__ = ("around", "names", "within", "weight")
+
+    def __init__(self, around: Element | None, names: tuple[str, ...]):
+        self.around, self.names = around, names
+        self.within = names[0] in _MAIN or (around is not None and around.within)
+        #: the lowest feature weight on the way down to it, once asked for
+        self.weight: float | None = None
+
+
 class Page:
-    """Tokens of a page: runs of text with their open elements, and tags."""
+    """Tokens of a page: runs of text with the element around them, and tags."""
 
     __slots__ = ("items", "contained")
 
     def __init__(self, source: str):
-        #: (tag, closing, None, ()) or (None, False, text, features of the open elements)
-        self.items: list[tuple[str | None, bool, str | None, tuple[tuple[str, ...], ...]]] = []
+        #: (tag, closing, None, None) or (None, False, text, element)
+        self.items: list[tuple[str | None, bool, str | None, Element | None]] = []
         self.contained = 0  # article and main elements outside each other
-        stack: list[tuple[str, tuple[str, ...]]] = []
-        open_features: tuple[tuple[str, ...], ...] = ()
+        stack: list[tuple[str, Element | None]] = []
+        open_tags: Counter = Counter()
+        now: Element | None = None
         at = 0
         for m in _TOKEN.finditer(source):
             if m.start() > at:
-                self.items.append((None, False, source[at:m.start()], open_features))
+                self.items.append((None, False, source[at:m.start()], now))
             at = m.end()
             tag = m["tag"]
             if tag is None:
                 continue
             tag = tag.lower()
             closing = bool(m["close"])
-            self.items.append((tag, closing, None, ()))
+            self.items.append((tag, closing, None, None))
             if tag in _VOID:
                 continue
             if not closing:
                 if tag in _SELF_CLOSING and stack and stack[-1][0] == tag:
                     stack.pop()
-                if tag in _MAIN and not any(t in _MAIN for t, _ in stack):
+                    open_tags[tag] -= 1
+                    now = stack[-1][1] if stack else None
+                if tag in _MAIN and not (now and now.within):
                     self.contained += 1
-                stack.append((tag, _features(tag, m["attrs"])))
-            else:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
+                now = Element(now, _features(tag, m["attrs"]))
+                stack.append((tag, now))
+                open_tags[tag] += 1
+            elif open_tags[tag]:  # what is still open inside closes with it
+                while stack:
+                    last, _ = stack.pop()
+                    open_tags[last] -= 1
+                    if last == tag:
                         break
-                else:
-                    continue
-            open_features = tuple(f for _, f in stack)
+                now = stack[-1][1] if stack else None
         if at < len(source):
-            self.items.append((None, False, source[at:], open_features))
+            self.items.append((None, False, source[at:], now))
 
 
 def _features(tag: str, attrs: str | None) -> tuple[str, ...]:
@@ -131,14 +147,10 @@ def _features(tag: str, attrs: str | None) -> tuple[str, ...]:
     return tuple(out)
 
 
-def _inside(features: tuple[tuple[str, ...], ...]) -> bool:
-    return any(f[0] in _MAIN for f in features)
-
-
 def count_page(page: Page, words: Counter, tags: Counter) -> None:
     """Add the counts of a labelled page: (feature, inside) and (tag, inside)."""
     depth = 0
-    for tag, closing, text, features in page.items:
+    for tag, closing, text, element in page.items:
         if tag is not None:
             # the content's own opening and closing tag stand outside it
             if tag in _MAIN and closing:
@@ -147,10 +159,13 @@ def count_page(page: Page, words: Counter, tags: Counter) -> None:
             if tag in _MAIN and not closing:
                 depth += 1
         elif n := len(text.split()):
-            inside = _inside(features)
-            for name in {f for element in features for f in element}:
+            inside = element is not None and element.within
+            names = set()
+            while element is not None:
+                names.update(element.names)
+                element = element.around
+            for name in names:
                 words[name, inside] += n
-            words["!all", inside] += n
 
 
 def fit(words: dict, tags: dict) -> Weights:
@@ -167,44 +182,43 @@ def fit(words: dict, tags: dict) -> Weights:
     return Weights(features, costs)
 
 
-#: Elements whose share of content says nothing, as they hold the content too.
-_NEUTRAL = frozenset(("html", "body"))
+#: Elements of every kind of text, whose bare tag says nothing; their class, id and role count.
+_NEUTRAL = frozenset("""html body div section span p ul ol li dl dt dd a b i u s em strong small font center table thead tbody tfoot tr td th
+    h1 h2 h3 h4 h5 h6 pre blockquote figure figcaption img br""".split())
 
 
 def _score(page: Page, weights: Weights) -> list[float]:
-    known: dict[tuple[tuple[str, ...], ...], float] = {}
     marked = page.contained == 1
     scores = []
-    for tag, closing, text, features in page.items:
+    for tag, closing, text, element in page.items:
         if tag is not None:
             scores.append(-weights.tags.get(f"/{tag}" if closing else tag, 0.5))
             continue
         n = len(text.split())
-        if not n:
-            scores.append(0.0)
-            continue
-        if features not in known:
-            known[features] = _word_weight(features, weights, marked)
-        scores.append(n * known[features])
+        if n and element is not None and _lowest(element, weights) <= -_BOILERPLATE:
+            scores.append(-0.25 * n)
+        elif marked and not (element is not None and element.within):
+            # where one element marks the content, other words weigh more against it
+            scores.append(-1.0 * n)
+        else:
+            scores.append(1.0 * n)
     return scores
 
 
-def _word_weight(features: tuple[tuple[str, ...], ...], weights: Weights, marked: bool) -> float:
-    within = False
-    worst = 0.0
-    for element in features:
-        if element[0] in _MAIN:
-            within = True
-        if element[0] in _NEUTRAL:
-            continue
-        for name in element:
-            if within and name == "header":
-                continue  # a headline, not the page's header
-            worst = min(worst, weights.features.get(name, 0.0))
-    if worst <= -_BOILERPLATE:
-        return -0.25
-    # where one element marks the content, other words weigh like boilerplate
-    return -1.0 if marked and not within else 1.0
+def _lowest(element: Element, weights: Weights) -> float:
+    """The lowest weight of a feature of the element or those around it."""
+    chain: list[Element] = []
+    while element is not None and element.weight is None:
+        chain.append(element)
+        element = element.around
+    low = element.weight if element is not None else 0.0
+    for e in reversed(chain):
+        for k, name in enumerate(e.names):
+            # a header inside the content is a headline, not the page's header
+            if not (k == 0 and name in _NEUTRAL) and not (name == "header" and e.within):
+                low = min(low, weights.features.get(name, 0.0))
+        e.weight = low
+    return low
 
 
 def main_text(source: str | None, weights: Weights) -> str:

@@ -315,11 +315,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     least = linked.groupBy("root").agg(F.min("id").alias("class_id"))
     judged = linked.join(least, "root").select("key", "class_id", "n_links")
     result = C.stored(nodes.select("key", F.col("id").alias("copy_of")).join(judged, "key", "left").select(
-        F.col("key").alias("_key"), "copy_of", F.coalesce("class_id", "copy_of").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "near-result")
-    cols = docs.columns
-    return (docs.withColumn("_text_key", F.unhex(F.md5(text))).join(result, F.col("_text_key") == F.col("_key"), "left")
-            .select(*[F.col(f"`{c}`") for c in cols], F.coalesce("class_id", ids).alias("class_id"), F.coalesce("copy_of", ids).alias("copy_of"),
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+        "key", "copy_of", F.coalesce("class_id", "copy_of").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")), "near-result")
+    # columns go by position, so that no name of the input can clash
+    cols = [str(i) for i in range(len(docs.columns))]
+    own = F.col(cols[docs.columns.index(id_col)])
+    keyed = docs.toDF(*cols).withColumn("text_key", F.unhex(F.md5(F.col(cols[docs.columns.index(text_col)]))))
+    return keyed.join(result, F.col("text_key") == F.col("key"), "left").select(
+        *cols, F.coalesce("class_id", own), F.coalesce("copy_of", own), F.coalesce("n_links", F.lit(0).cast("long"))
+    ).toDF(*docs.columns, "class_id", "copy_of", "n_links")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:

@@ -205,8 +205,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # a table of its own, so that AQE may broadcast it or split a key's rows in the join
     repeated = C.stored(counted.filter(F.col("n") >= min_docs).select("key", "keeper"), "repeated-lines")
     lost = (suspects.join(repeated, "key").filter(~F.col("id").eqNullSafe(F.col("keeper")))
-            .groupBy(F.col("id").alias("_lost_id")).agg(F.collect_set("key").alias("_lost_keys")))
-    joined = docs.join(lost, ids.eqNullSafe(F.col("_lost_id")), "left").select(*[F.col(f"`{c}`") for c in docs.columns], "_lost_keys")
+            .groupBy(F.col("id").alias("lost_id")).agg(F.collect_set("key").alias("lost_keys")))
+    # columns go by position, so that no name of the input can clash
+    plain_docs = docs.toDF(*[str(i) for i in range(len(docs.columns))])
+    by_id = F.col(str(docs.columns.index(id_col))).eqNullSafe(F.col("lost_id"))
+    joined = plain_docs.join(lost, by_id, "left").select(*plain_docs.columns, "lost_keys")
     fields = docs.schema.fields
     plain = T.StructType([T.StructField(str(i), f.dataType) for i, f in enumerate(fields)]
                          + [T.StructField(str(len(fields) + i), T.LongType()) for i in range(2)])
