@@ -194,19 +194,8 @@ def op8_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every whole document with merge-dropout, and whether they decode to the text again."""
     import public_tokenizers
 
-    from silverline.llm.sentence_pieces import decode_pieces, encode_pieces
+    from silverline.llm.sentence_pieces import encode_pieces
 
-    model = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = decode_pieces(encode_pieces(docs, model), model)
-    return back.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
-                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
-
-
-@register("op3_jaccard_join")
-def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class, first copy and number of links of every document, at a Jaccard similarity of 0.8 of five-word shingles."""
-    from silverline.llm.jaccard_join import near_classes
-
-    found = near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "class_id", "copy_of", "n_links")
+    coded = encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), verify=True)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")

@@ -40,10 +40,11 @@ from pyspark.sql import types as T
 
 from silverline.llm import common as C
 
-SLICE_BYTES = 6 << 20
+#: A slice needs some 60 times its size; larger ones are no faster.
+SLICE_BYTES = 2 << 20
 #: Longer units are segmented one by one.
 MATRIX_CHARS = 64
-MATRIX_ROWS = 1 << 15
+MATRIX_ROWS = 1 << 14
 _NONE = np.int32(2**31 - 1)
 _SPACE, _MARK = 0x20, "▁"
 
@@ -343,28 +344,32 @@ def _shared(df: DataFrame, model_file: str):
 
 
 def encode_pieces(docs: DataFrame, model_file: str, text_col: str = "text", key_cols: tuple[str, ...] = ("doc_id",), dropout: float = 0.1,
-                  seed: int = 1, variants: int = 16) -> DataFrame:
+                  seed: int = 1, variants: int = 16, verify: bool = False) -> DataFrame:
     """``docs`` with ``ids``, the pieces of each whole text; ``key_cols`` name
-    the document whose segmentation varies."""
+    the document whose segmentation varies.  With ``verify`` every list is
+    decoded again at once, and ``lossless`` says whether that gave the text."""
     shared, token = _shared(docs, model_file)
-    docs = C.without(docs, ["ids"])
-    name = C.rename_free([*docs.columns, "ids"], "piece_key")
+    new = ["ids", "lossless"] if verify else ["ids"]
+    docs = C.without(docs, new)
+    name = C.rename_free([*docs.columns, *new], "piece_key")
     at, n = docs.columns.index(text_col), len(docs.columns)
     # the key rides along as a column that goes away again
     keyed = docs.withColumn(name, F.xxhash64(*[F.col(f"`{c}`") for c in key_cols]) if key_cols else F.lit(0).cast("long"))
-    plain = [str(i) for i in range(n + 1)]
+    plain = [str(i) for i in range(n + len(new))]
 
     def run(batches):
         for batch in batches:
             for part in C.byte_slices(batch, str(at), SLICE_BYTES):
+                vocabulary, texts = _vocabulary(shared, token), part.column(at)
                 keys = part.column(n).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                ids, off = encode_slice(part.column(at), keys, _vocabulary(shared, token), dropout, seed, variants)
+                ids, off = encode_slice(texts, keys, vocabulary, dropout, seed, variants)
                 lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns[:n], lists], names=plain)
+                same = [pc.equal(decode_slice(lists, vocabulary), pc.fill_null(texts, ""))] if verify else []
+                yield pa.RecordBatch.from_arrays([*part.columns[:n], lists, *same], names=plain)
 
-    kinds = [*(f.dataType for f in docs.schema.fields), T.ArrayType(T.IntegerType())]
+    kinds = [*(f.dataType for f in docs.schema.fields), T.ArrayType(T.IntegerType()), T.BooleanType()]
     schema = T.StructType([T.StructField(p, k) for p, k in zip(plain, kinds)])
-    return keyed.toDF(*plain).mapInArrow(run, schema).toDF(*docs.columns, "ids")
+    return keyed.toDF(*[str(i) for i in range(n + 1)]).mapInArrow(run, schema).toDF(*docs.columns, *new)
 
 
 def decode_pieces(encoded: DataFrame, model_file: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
