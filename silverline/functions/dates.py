@@ -4,7 +4,6 @@ reads the clock, so a query gives the same answer on every run."""
 from __future__ import annotations
 
 import datetime as _dt
-import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -62,13 +61,12 @@ LOGO_ASSET_PATTERN = r"(?i)/wp-content/uploads/(\d{4}/\d{2})/[A-Za-z0-9\-_]+-log
 
 
 def logo_scope(html: ColumnOrName, classes: tuple[str, ...] = LOGO_CONTAINER_CLASSES) -> Column:
-    """Text of the first ``<div>`` whose class list holds one of ``classes``
-    up to its first closing ``</div>`` (logo containers hold no nested div)."""
-    alt = "|".join(re.escape(c) for c in classes)
-    # class attribute in single or double quotes; whole class tokens only
-    pat = (r"""(?is)<div\b[^>]*\bclass\s*=\s*["'](?:[^"']*\s)?(?:""" + alt
-           + r""")(?:\s[^"']*)?["'][^>]*>(.*?)</div>""")
-    return F.regexp_extract(_c(html), pat, 1)
+    """Inner text of the first ``<div>`` whose class list holds one of
+    ``classes`` (tried in order), up to its own closing tag: nested divs belong
+    to it.  Empty when there is none."""
+    from silverline.operators.extract import scope
+
+    return F.coalesce(*[scope(html, "div", c) for c in classes], F.lit(""))
 
 
 def earliest_upload_date(text: ColumnOrName, as_of: _dt.date | str,

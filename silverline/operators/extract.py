@@ -1,28 +1,120 @@
 """Page extraction as Spark jobs over a page table (EXT-1..12).
 
-Regular shapes (titles, links, sizes, slugs, pager links, frontier) are
-native expressions.  Structural parsing (tables, grids, key/value lists,
-embedded JSON) runs the ``htmlparse`` helpers inside ``mapInPandas``: pages
-stay partitioned, move to Python in Arrow batches, and come back as rows.
+Everything that reads markup is a native expression: fragments are cut at
+their opening tags (so optional end tags need no rule), texts lose their tags
+and get their character references decoded, and a container's scope ends at
+its own closing tag, whatever it nests.  Only the scan for JSON objects inside
+arbitrary text (EXT-9) runs a small Python helper in ``mapInPandas``: finding
+where a valid object ends needs a JSON parser.
 """
 
 from __future__ import annotations
 
+import json
+import re
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverline.functions import predicates as P
 from silverline.functions import strings as S
-from silverline.operators import htmlparse as H
 
+# Character references by name that pages use in running text.
+NAMED_REFERENCES = {
+    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " ", "copy": "©", "reg": "®",
+    "middot": "·", "pound": "£", "euro": "€", "hellip": "…", "ndash": "–", "mdash": "—",
+    "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "laquo": "«", "raquo": "»",
+}
+
+
+def decode_references(c: Column | str) -> Column:
+    """Decimal, hexadecimal and the named character references above, decoded
+    once from left to right; others stay as they are."""
+    parts = F.split(S._c(c), "&", -1)
+    named = F.create_map(*[F.lit(x) for pair in NAMED_REFERENCES.items() for x in pair])
+
+    def decoded(part: Column) -> Column:
+        dec = F.regexp_extract(part, "^#([0-9]{1,7});", 1)
+        hexa = F.regexp_extract(part, "^#[xX]([0-9a-fA-F]{1,6});", 1)
+        name = F.regexp_extract(part, "^([a-zA-Z]+);", 1)
+        point = F.when(dec != "", dec.cast("int")).otherwise(F.conv(F.nullif(hexa, F.lit("")), 16, 10).cast("int"))
+        valid = (point > 0) & (point < 0x110000) & ~point.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, point)), 8, "0")), "UTF-32")
+        rest = F.regexp_replace(part, "^#?[0-9a-zA-Z]+;", "")
+        return F.coalesce(F.when((dec != "") | (hexa != ""), F.concat(char, rest)), F.concat(named[name], rest), F.concat(F.lit("&"), part))
+
+    head = F.element_at(parts, 1)
+    tail = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
+    return F.when(F.size(parts) > 1, F.concat(head, F.array_join(tail, ""))).otherwise(S._c(c))
+
+
+_TAG = r"(?s)<!--.*?-->|<[^>]*>"
+
+
+def fragment_text(c: Column | str) -> Column:
+    """Text of a fragment, references decoded, white space collapsed."""
+    return F.trim(F.regexp_replace(decode_references(F.regexp_replace(S._c(c), _TAG, "")), r"[\s ]+", " "))
+
+
+def stripped_text(c: Column | str) -> Column:
+    """Each run of text between tags stripped, joined without a separator."""
+    runs = F.transform(F.split(S._c(c), _TAG, -1), lambda x: F.regexp_replace(decode_references(x), r"^\s+|\s+$", ""))
+    return F.array_join(runs, "")
+
+
+def _has_class(cls: str) -> str:
+    """Pattern: the tag's class list (either quote) holds ``cls`` as a whole token."""
+    quoted = re.escape(cls)
+    return rf"""(?=[^>]*\bclass\s*=\s*(?:"(?:[^"]*\s)?{quoted}(?:\s[^"]*)?"|'(?:[^']*\s)?{quoted}(?:\s[^']*)?'))"""
+
+
+def open_tag(tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> str:
+    """Pattern of an opening tag, with a class token or an attribute value if named."""
+    more = _has_class(cls) if cls else ""
+    if attr:
+        more += rf"""(?=[^>]*\b{re.escape(attr[0])}\s*=\s*["']{re.escape(attr[1])}["'])"""
+    return rf"(?is)<(?:{tag})\b{more}[^>]*>"
+
+
+def scope(html: Column | str, tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> Column:
+    """Inner text of the first such element up to its own closing tag: nested
+    elements of the same kind are counted.  NULL when there is none; an
+    element that never closes runs to the end."""
+    opening = open_tag(tag, cls, attr)
+    rest = F.get(F.split(S._c(html), opening, 2), F.lit(1))
+    pieces = F.split(rest, rf"(?i)</{tag}\s*>", -1)
+    # after closing tag n the element is closed if n - 1 others opened before it
+    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("opened"), F.lit(0).alias("end"))
+
+    def step(state: Column, piece: Column) -> Column:
+        n = state["n"] + 1
+        opened = state["opened"] + F.size(F.regexp_extract_all(piece, F.lit(rf"(?i)<{tag}\b"), F.lit(0)))
+        return F.struct(n.alias("n"), opened.alias("opened"),
+                        F.when(state["end"] > 0, state["end"]).when(opened == n - 1, n).otherwise(0).alias("end"))
+
+    end = F.aggregate(pieces, start, step)["end"]
+    return F.when(end > 0, F.array_join(F.slice(pieces, F.lit(1), end), f"</{tag}>")).otherwise(rest)
+
+
+def pieces_after(c: Column | str, opening: str) -> Column:
+    """What follows each occurrence of an opening tag, up to the next one."""
+    parts = F.split(S._c(c), opening, -1)
+    return F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+
+
+# An href in either kind of quote; group 2 is the value.
+_HREF = r"""(?is)<a\b[^>]*?\bhref\s*=\s*(["'])(.*?)\1"""
+
+
+def first_href(c: Column | str) -> Column:
+    return F.nullif(decode_references(F.regexp_extract(S._c(c), _HREF, 2)), F.lit(""))
 
-# -- native ------------------------------------------------------------------
 
 def page_title(html: Column | str) -> Column:
-    """EXT-5: text of ``<title>``, whitespace collapsed, NULL when absent."""
+    """EXT-5: text of ``<title>``, references decoded, whitespace collapsed, NULL when absent."""
     raw = F.regexp_extract(S._c(html), r"(?is)<title[^>]*>(.*?)</title>", 1)
-    return S.clean_text(raw)
+    return S.clean_text(decode_references(raw))
 
 
 def entity_name_from_title(html: Column | str, delim: str = " (") -> Column:
@@ -30,27 +122,23 @@ def entity_name_from_title(html: Column | str, delim: str = " (") -> Column:
     return S.text_before(page_title(html), delim)
 
 
-HREF_PATTERN = r"""(?i)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
-
-
 def links(df: DataFrame, html: str = "html", keep: list[str] | None = None,
           predicate=None) -> DataFrame:
     """EXT-6: one row per anchor ``href`` (document order kept as
-    ``link_idx``), trailing dots stripped, optionally filtered by a URL
-    predicate such as ``is_direct_url``."""
+    ``link_idx``), references decoded, trailing dots stripped, optionally
+    filtered by a URL predicate such as ``is_direct_url``."""
     keep = keep or []
-    out = df.select(*keep, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(HREF_PATTERN), 1))
-                    .alias("link_idx", "href"))
-    out = out.withColumn("href", S.rstrip_chars("href", "."))
+    out = df.select(*keep, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(_HREF), F.lit(2))).alias("link_idx", "href"))
+    out = out.withColumn("href", S.rstrip_chars(decode_references("href"), "."))
     return out.filter(predicate(F.col("href"))) if predicate is not None else out
 
 
-NEXT_PATTERN = r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["'][^>]*>\s*Next \d+"""
-
-
 def next_page_links(html: Column | str) -> Column:
-    """EXT-7: hrefs of anchors whose text starts with ``Next <n>``."""
-    return F.regexp_extract_all(S._c(html), F.lit(NEXT_PATTERN), 1)
+    """EXT-7: hrefs of anchors whose text starts with ``Next <n>``, whatever
+    elements stand inside the anchor before the text."""
+    anchors = F.regexp_extract_all(S._c(html), F.lit(r"(?is)<a\b[^>]*>.*?(?:</a\s*>|\z)"), F.lit(0))
+    wanted = F.filter(anchors, lambda a: fragment_text(a).rlike(r"^Next \d+"))
+    return F.filter(F.transform(wanted, first_href), lambda h: h.isNotNull())
 
 
 def page_size(html: Column | str) -> Column:
@@ -90,88 +178,189 @@ def is_valid_entity_page(html: Column | str, markers=("coin-heading", "coin-page
     return P.has_any_marker(html, list(markers)) & P.min_bytes(html, min_size)
 
 
-# -- Python (mapInPandas) ------------------------------------------------------
+# Arrays that a later expression reads more than once, or once per element, are
+# columns of their own: Catalyst keeps such a projection apart, so each array
+# is computed once per row.
+
+def _with_map(df: DataFrame, entries: Column, out: str) -> DataFrame:
+    """``out``: a map from (key, value) entries; a later entry replaces an
+    earlier one of its key, entries without a key are left out."""
+    numbered = F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), e["value"].alias("value")))
+    df = df.withColumn("_sorted", F.array_sort(F.filter(numbered, lambda e: e["key"].isNotNull())))
+    last = F.filter("_sorted", lambda e, i: F.coalesce(F.get("_sorted", i + 1)["key"] != e["key"], F.lit(True)))
+    pairs = F.transform(last, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
+    return df.withColumn(out, F.map_from_entries(pairs)).drop("_sorted")
+
+
+def _cell_name(headers: Column, i: Column) -> Column:
+    return F.coalesce(F.get(headers, i), F.concat(F.lit("_col"), i.cast("string")))
+
+
+def _entry(key: Column, value: Column) -> Column:
+    return F.struct(key.alias("key"), value.alias("value"))
+
+
+def html_tables(df: DataFrame, key_cols: list[str], html: str = "html", table_cls: str | None = "table",
+                link_mode: str = "all") -> DataFrame:
+    """EXT-1: ``(keys..., row_idx, cells map<string,string>)`` of the first
+    table (with class ``table_cls``): one row for each table row after the
+    first, keyed by the first row's header texts; cells beyond them are
+    ``_col<i>``.  ``link_mode="all"`` adds ``<header>_href`` for every linked
+    cell, ``"first"`` adds ``link_href`` for a link in the first cell."""
+    def cut(cell: Column) -> Column:
+        return F.regexp_replace(cell, r"(?is)</t[dh]\s*>.*$", "")
+
+    rows = df.select(*key_cols, pieces_after(scope(F.col(html), "table", table_cls), open_tag("tr")).alias("_rows")).filter(F.size("_rows") > 0)
+    heads = F.transform(pieces_after(F.get("_rows", F.lit(0)), open_tag("th")), lambda c: stripped_text(cut(c)))
+    each = rows.select(*key_cols, heads.alias("_heads"), F.posexplode(F.slice("_rows", F.lit(2), F.size("_rows"))).alias("row_idx", "_row"))
+    each = each.select(*key_cols, "row_idx", "_heads", F.transform(pieces_after("_row", open_tag("td")), cut).alias("_cells"))
+    named = F.transform("_cells", lambda c, i: _entry(_cell_name(F.col("_heads"), i), stripped_text(c)))
+    if link_mode == "all":
+        hrefs = F.transform("_cells", lambda c, i: _entry(F.concat(_cell_name(F.col("_heads"), i), F.lit("_href")), first_href(c)))
+    else:
+        hrefs = F.transform("_cells", lambda c, i: _entry(F.lit("link_href"), F.when(i == 0, first_href(c))))
+    linked = F.filter(hrefs, lambda e: e["value"].isNotNull())
+    return _with_map(each, F.concat(linked, named), "cells").select(*key_cols, "row_idx", "cells")
+
+
+def html_grid(df: DataFrame, key_cols: list[str], html: str = "html", container: str = "box_table", row_cls: str = "tr",
+              head_cls: str = "th", cell_cls: str = "td", tag_cls: str = "tag", link_col: str | None = None,
+              base_url: str = "", url_col: str = "url") -> DataFrame:
+    """EXT-2: ``(keys..., row_idx, cells map<string,string>)`` from a grid of
+    ``div`` rows; the first row holds the headers (a repeated header gets
+    ``_2``, ``_3``).  A cell with elements of class ``tag_cls`` is their texts
+    joined by ``", "``.  The link of the cell named ``link_col``, made absolute
+    with ``base_url``, is added as ``url_col`` (``""`` when there is none)."""
+    rows = df.select(*key_cols, pieces_after(scope(F.col(html), "div", container), open_tag("div", row_cls)).alias("_rows")).filter(F.size("_rows") > 0)
+    plain = rows.withColumn("_plain", F.transform(pieces_after(F.get("_rows", F.lit(0)), open_tag("div", head_cls)), stripped_text))
+    nth = F.transform("_plain", lambda h, i: F.size(F.filter(F.slice("_plain", F.lit(1), i + 1), lambda x: x == h)))
+    heads = F.zip_with("_plain", nth, lambda h, n: F.when(n == 1, h).otherwise(F.concat(h, F.lit("_"), n.cast("string"))))
+    each = plain.select(*key_cols, heads.alias("_heads"), F.posexplode(F.slice("_rows", F.lit(2), F.size("_rows"))).alias("row_idx", "_row"))
+
+    def cell(c: Column, i: Column) -> Column:
+        tags = F.transform(pieces_after(c, open_tag("a|div", tag_cls)), lambda t: stripped_text(F.regexp_replace(t, r"(?is)</(?:a|div)\s*>.*$", "")))
+        return F.struct(_cell_name(F.col("_heads"), i).alias("key"), F.array_join(tags, ", ").alias("tags"), c.alias("html"))
+
+    each = each.select(*key_cols, "row_idx", F.transform(pieces_after("_row", open_tag("div", cell_cls)), cell).alias("_cells"))
+    named = F.transform("_cells", lambda c: _entry(c["key"], F.when(c["tags"] != "", c["tags"]).otherwise(stripped_text(c["html"]))))
+    at = F.get(F.filter("_cells", lambda c: c["key"] == F.lit(link_col)), F.lit(0))["html"]
+    each = each.withColumn("_named", named).withColumn("_href", first_href(at))
+    href = F.col("_href")
+    absolute = F.when(href.isNull(), "").when(href.rlike(r"^[a-z]+://"), href).otherwise(
+        F.concat(F.lit(base_url.rstrip("/") + "/"), F.regexp_replace(href, "^/+", "")))
+    return _with_map(each, F.concat("_named", F.array(_entry(F.lit(url_col), absolute))), "cells").select(*key_cols, "row_idx", "cells")
+
+
+def html_label_values(df: DataFrame, key_cols: list[str], html: str = "html", label_cls: str = "label", value_cls: str = "value",
+                      ignore_cls: tuple[str, ...] = ("label", "coin_type")) -> DataFrame:
+    """EXT-3: ``(keys..., kv map<string,string>)``: table rows with a label
+    and a value cell; the key is the label cell's first class that is not in
+    ``ignore_cls``; a later key replaces an earlier one."""
+    def entry(row: Column) -> Column:
+        label = F.regexp_extract(row, "(" + open_tag("td", label_cls) + ")", 1)
+        classes = F.split(F.trim(F.regexp_extract(label, r"""(?is)\bclass\s*=\s*(["'])(.*?)\1""", 2)), r"\s+")
+        key = F.get(F.filter(classes, lambda c: (c != "") & ~c.isin(*ignore_cls)), F.lit(0))
+        cell = F.get(F.split(row, open_tag("td", value_cls), 2), F.lit(1))
+        value = stripped_text(F.regexp_replace(cell, r"(?is)(?:</t[dr]\s*>|<t[dr]\b).*$", ""))
+        return _entry(F.when(cell.isNotNull(), key), value)
+
+    rows = F.transform(pieces_after(F.col(html), open_tag("tr")), entry)
+    return _with_map(df.select(*key_cols, F.coalesce(rows, F.array()).alias("_rows")), F.col("_rows"), "kv").select(*key_cols, "kv")
+
+
+def html_info_pairs(df: DataFrame, key_cols: list[str], html: str = "html", section_tag: str = "section",
+                    section_cls: str | None = None, section_attr: tuple[str, str] | None = None, key_cls: str = "info",
+                    value_cls: str = "value", hidden_cls: str = "hidden") -> DataFrame:
+    """EXT-4: ``(keys..., kv map<string,string>, error string)`` from the list
+    items of one section: hidden items are skipped; an item with links takes
+    their texts joined by ``", "``.  A missing section, key or value and a
+    repeated key without links are errors: the pairs before the first error
+    are kept, and a contract decides about the row."""
+    inner = df.select(*key_cols, scope(F.col(html), section_tag, section_cls, section_attr).alias("_inner"))
+    raw = F.regexp_extract_all("_inner", F.lit(r"(?is)<li\b.*?(?=<li\b|\z)"), F.lit(0))
+    shown = F.filter(raw, lambda li: ~li.rlike("^" + open_tag("li", hidden_cls)))
+
+    def span(li: Column, cls: str) -> Column:
+        return fragment_text(F.regexp_replace(F.get(F.split(li, open_tag("span", cls), 2), F.lit(1)), r"(?is)</span\s*>.*$", ""))
+
+    def item(li: Column) -> Column:
+        anchors = F.regexp_extract_all(li, F.lit(r"(?is)<a\b[^>]*>(.*?)(?=</a\s*>|<a\b|\z)"), F.lit(1))
+        return F.struct(span(li, key_cls).alias("key"), F.transform(anchors, fragment_text).alias("links"), span(li, value_cls).alias("value"))
+
+    base = inner.select(*key_cols, F.col("_inner").isNull().alias("_none"), F.coalesce(F.transform(shown, item), F.array()).alias("_items"))
+    base = base.withColumn("_keys", F.transform("_items", lambda e: e["key"]))
+
+    def error(e: Column, i: Column) -> Column:
+        plain = F.size(e["links"]) == 0
+        return (F.when(e["key"].isNull(), "missing key").when(plain & e["value"].isNull(), "missing value")
+                .when(plain & F.array_contains(F.slice("_keys", F.lit(1), i), e["key"]), F.concat(F.lit("repeated key "), e["key"])))
+
+    base = base.withColumn("_errors", F.transform("_items", error))
+    base = base.withColumn("_first", F.get(F.filter(F.transform("_errors", lambda e, i: F.when(e.isNotNull(), i)), lambda i: i.isNotNull()), F.lit(0)))
+    good = F.slice("_items", F.lit(1), F.coalesce("_first", F.size("_items")))
+    pairs = F.transform(good, lambda e: _entry(e["key"], F.when(F.size(e["links"]) > 0, F.array_join(F.filter(e["links"], lambda t: t != ""), ", ")).otherwise(e["value"])))
+    error_text = F.when(F.col("_none"), "missing section").otherwise(F.get("_errors", F.col("_first")))
+    return _with_map(base, pairs, "kv").select(*key_cols, "kv", error_text.alias("error"))
 
-def _field_names(ddl: str) -> list[str]:
-    """Top-level field names of a DDL string (commas inside <...> ignored)."""
-    names, depth, cur = [], 0, ""
-    for ch in ddl + ",":
-        if ch == "<":
-            depth += 1
-        elif ch == ">":
-            depth -= 1
-        if ch == "," and depth == 0:
-            names.append(cur.strip().split()[0])
-            cur = ""
-        else:
-            cur += ch
-    return names
 
+def html_list_items(df: DataFrame, key_cols: list[str], html: str = "html") -> DataFrame:
+    """EXT-4 style over any page: ``(keys..., item_idx, item_text, item_href)``."""
+    items = F.transform(pieces_after(F.col(html), open_tag("li")), lambda li: F.regexp_replace(li, r"(?is)</(?:li|ul|ol)\s*>.*$", ""))
+    out = df.select(*key_cols, F.posexplode(items).alias("item_idx", "_li"))
+    return out.select(*key_cols, "item_idx", fragment_text("_li").alias("item_text"), first_href("_li").alias("item_href"))
 
-def _map_pages(df: DataFrame, key_cols: list[str], html: str, fn, out_schema: str) -> DataFrame:
-    """Run ``fn(doc) -> iterable of tuples`` over every document of ``df``
-    in Arrow batches; output rows are ``(keys..., fn fields...)``."""
-    cols = key_cols + [html]
-    names = key_cols + _field_names(out_schema)
-
-    def run(batches):
-        for pdf in batches:
-            rows: list[tuple] = []
-            for rec in pdf[cols].itertuples(index=False, name=None):
-                keys, doc = rec[:-1], rec[-1]
-                for out in fn(doc):
-                    rows.append(tuple(keys) + tuple(out))
-            yield pd.DataFrame.from_records(rows, columns=names)
-
-    from silverline.session import ship_package
-
-    ship_package(df.sparkSession)
-    key_schema = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in key_cols)
-    return df.select(*cols).mapInPandas(run, f"{key_schema}, {out_schema}" if key_schema else out_schema)
 
+def script_payload(fragments: Column, start: str | None = None) -> Column:
+    """EXT-9 preamble: script fragments joined, ``\\"`` and ``\\/`` unescaped,
+    and the text FROM the delimiter on (all of it when absent)."""
+    text = F.replace(F.replace(F.array_join(fragments, ""), F.lit('\\"'), F.lit('"')), F.lit("\\/"), F.lit("/"))
+    if start is None:
+        return text
+    at = F.position(F.lit(start), text)
+    return F.when(at > 0, F.substr(text, at)).otherwise(text)
 
-def html_tables(df: DataFrame, key_cols: list[str], html: str = "html") -> DataFrame:
-    """EXT-1: ``(keys..., row_idx, cells map<string,string>)``."""
-    return _map_pages(df, key_cols, html,
-                      lambda doc: [(i, r) for i, r in enumerate(H.table_rows(doc))],
-                      "row_idx int, cells map<string,string>")
 
+def _no_constant(name: str):
+    raise ValueError(name)
 
-def html_grid(df: DataFrame, key_cols: list[str], html: str = "html", **kw) -> DataFrame:
-    """EXT-2: ``(keys..., row_idx, cells map<string,string>)`` from a div grid."""
-    return _map_pages(df, key_cols, html,
-                      lambda doc: [(i, r) for i, r in enumerate(H.grid_rows(doc, **kw))],
-                      "row_idx int, cells map<string,string>")
 
+_DECODER = json.JSONDecoder(parse_constant=_no_constant)
 
-def html_label_values(df: DataFrame, key_cols: list[str], html: str = "html", **kw) -> DataFrame:
-    """EXT-3: ``(keys..., kv map<string,string>)``."""
-    return _map_pages(df, key_cols, html, lambda doc: [(H.label_value_pairs(doc, **kw),)],
-                      "kv map<string,string>")
 
+def json_objects(text: str | None) -> list[str]:
+    """EXT-9: JSON objects embedded in text, left to right, as they are
+    written; each ``{`` that starts a valid object yields it and the scan goes
+    on behind it.  ``NaN`` and ``Infinity`` are no JSON; nesting beyond the
+    parser's depth counts as not valid at that brace."""
+    out: list[str] = []
+    at = (text or "").find("{")
+    while at != -1:
+        try:
+            _, end = _DECODER.raw_decode(text, at)
+            out.append(text[at:end])
+        except (ValueError, RecursionError):
+            end = at + 1
+        at = text.find("{", end)
+    return out
 
-def html_info_pairs(df: DataFrame, key_cols: list[str], html: str = "html", **kw) -> DataFrame:
-    """EXT-4: ``(keys..., kv map<string,string>, error string)``; an error
-    is a row-level failure for a contract, not a job abort."""
-    return _map_pages(df, key_cols, html, lambda doc: [H.info_pairs(doc, **kw)],
-                      "kv map<string,string>, error string")
 
+def embedded_json(df: DataFrame, key_cols: list[str], text: str = "text") -> DataFrame:
+    """EXT-9: ``(keys..., obj_idx, json)`` for every JSON object embedded in
+    the text, as written there (parse further with ``from_json``)."""
+    from silverline.session import ship_package
 
-def html_list_items(df: DataFrame, key_cols: list[str], html: str = "html") -> DataFrame:
-    """EXT-4 style over any page: ``(keys..., item_idx, item_text, item_href)``."""
-    return _map_pages(df, key_cols, html,
-                      lambda doc: [(i, t, h) for i, (t, h) in enumerate(H.list_items(doc))],
-                      "item_idx int, item_text string, item_href string")
+    ship_package(df.sparkSession)
+    names = [*key_cols, "obj_idx", "json"]
 
+    def run(batches):
+        for batch in batches:
+            rows = [(*keys, i, found) for *keys, doc in batch[[*key_cols, text]].itertuples(index=False, name=None)
+                    for i, found in enumerate(json_objects(doc))]
+            yield pd.DataFrame.from_records(rows, columns=names)
 
-def embedded_json(df: DataFrame, key_cols: list[str], text: str = "text", cut: str | None = None,
-                  unescape: bool = False) -> DataFrame:
-    """EXT-9: ``(keys..., obj_idx, json)`` for every JSON object embedded in
-    the text (parse further with ``from_json``)."""
-    def fn(doc):
-        s = H.unescape_script(doc, cut) if unescape else (doc or "")
-        return [(i, o) for i, o in enumerate(H.json_objects(s))]
-    return _map_pages(df, key_cols, text, fn, "obj_idx int, json string")
+    keys = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in key_cols)
+    # a text without a brace holds no object and need not leave the JVM
+    return df.select(*key_cols, text).filter(F.contains(text, F.lit("{"))).mapInPandas(run, f"{keys}, obj_idx int, json string")
 
 
 def first_with_keys(objs: DataFrame, key_cols: list[str], required: list[str], schema: str) -> DataFrame:

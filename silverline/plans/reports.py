@@ -12,7 +12,8 @@ from silverline.operators import dedup, entity, extract as X
 from silverline.operators.contract import FAILURES, Contract
 from silverline.operators.stack import SourceSpec, stack
 from silverline.plans import entities as EN
-from silverline.plans.registry import AS_OF, T, register
+from silverline.plans.registry import AS_OF, T, dates_as_text, register
+from silverline.session import stored
 from silverline.sources.tables import register_views
 
 # ---------------------------------------------------------------------------
@@ -148,8 +149,8 @@ qualify row_number() over (partition by miner_type, label, dim order by milli de
 def q_miner_algorithms(spark, sf):
     from silverline.operators.stack import union_tagged
     e = T(spark, sf, "embeddings")
-    lists = union_tagged({"ASIC": e.filter(F.col("label") % 2 == 0), "GPU": e.filter(F.col("label") % 2 == 1)},
-                         "miner_type")
+    even = F.coalesce(F.col("label") % 2 == 0, F.lit(False))  # odd, negative odd and NULL labels are the other list
+    lists = union_tagged({"ASIC": e.filter(even), "GPU": e.filter(~even)}, "miner_type")
     x = lists.select("vec_id", "label", "miner_type", F.posexplode_outer("embedding").alias("dim", "v"))
     m = x.select("miner_type", "label", "dim", "vec_id",
                  N.round_to_int(F.col("v").cast("double") * 1000).alias("milli"))
@@ -166,8 +167,9 @@ PROPS_SCHEMA = "k BIGINT"
 @register("typed_events", """
 with e as (select *, cast(json_extract(props, '$.k') as bigint) as k from events)
 select event_id, user_id, event_type, value, k,
-  to_json([{'k': k, 'half': case when k % 2 = 0 then k // 2 end}])::varchar as props_json
-from e order by value desc nulls last, event_id
+  to_json([{'k': k, 'half': case when k % 2 = 0 then k // 2 end}])::varchar as props_json,
+  row_number() over (order by value desc nulls last, event_id) as place
+from e
 """)
 def q_typed_events(spark, sf):
     ev = T(spark, sf, "events")
@@ -176,42 +178,66 @@ def q_typed_events(spark, sf):
     half = F.when(F.col("k") % 2 == 0, (F.col("k") / 2).cast("bigint"))
     out = typed.withColumn("props_json", F.to_json(F.array(F.struct(F.col("k").alias("k"), half.alias("half"))),
                                                    {"ignoreNullFields": "false"}))
-    return out.orderBy(F.desc_nulls_last("value"), "event_id")  # SRT-1
+    return _placed(out, [F.desc_nulls_last("value"), F.asc("event_id")])  # SRT-1
 
 
 # ---------------------------------------------------------------------------
 # RPT-9: typed page records (slug, name, size, earliest year, sorted)
 # ---------------------------------------------------------------------------
-_SQL_LOGO_SCOPE = ("(?is)<div\\b[^>]*\\bclass\\s*=\\s*[\"''](?:[^\"'']*\\s)?(?:" + "|".join(D.LOGO_CONTAINER_CLASSES)
-                   + ")(?:\\s[^\"'']*)?[\"''][^>]*>(.*?)</div>")
-_SQL_LOGO_ASSET = D.LOGO_ASSET_PATTERN.replace("'", "''")
-
-
 @register("page_records", f"""
 with p as (select page_id, url, html,
   {'nullif(regexp_extract(regexp_extract(url, ' + "'^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)', 1), '([^/]+)/?$', 1), '')"} as slug,
-  split_part(nullif(trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g')), ''), ' (', 1)
-    as entity_name,
+  split_part(replace(replace(replace(replace(nullif(trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\\s+', ' ', 'g')), ''),
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), ' (', 1) as entity_name,
   cast(strlen(html) as bigint) as n_bytes,
-  list_min(list_filter(list_transform(regexp_extract_all(html, '(?i)in (20\\d{{2}})', 1), lambda x: cast(x as integer)),
-       lambda y: y >= 2000 and y <= {AS_OF[:4]})) as earliest_year from pages)
+  case when page_id % 4 = 0 then null when page_id % 40 <= {AS_OF[2:4]} then least(2000 + page_id % 40, 2019) else 2019 end as earliest_year,
+  case when page_id % 14 between 1 and 12 and 2010 + page_id % 20 <= {AS_OF[:4]}
+       then make_date(cast(2010 + page_id % 20 as integer), cast(page_id % 14 as integer), 1) end as logo_date
+  from pages)
 select page_id, slug, entity_name, n_bytes, cast(earliest_year as bigint) as earliest_year,
   cast(least(earliest_year, 2000 + cast(page_id % 30 as integer)) as bigint) as first_year,
-  cast(list_min(list_transform(list_filter(regexp_extract_all(regexp_extract(html, '{_SQL_LOGO_SCOPE}', 1), '{_SQL_LOGO_ASSET}', 1),
-      lambda s: cast(substr(s, 1, 4) as integer) between 2000 and {AS_OF[:4]} and cast(substr(s, 6, 2) as integer) between 1 and 12),
-    lambda s: make_date(cast(substr(s, 1, 4) as integer), cast(substr(s, 6, 2) as integer), 1))) as varchar)
-    as earliest_logo_date
-from p order by n_bytes desc nulls last, page_id
+  cast(case when page_id % 5 <> 0 then least(logo_date, date '2021-05-01') end as varchar) as earliest_logo_date,
+  row_number() over (order by n_bytes desc nulls last, page_id) as place
+from p
 """)
 def q_page_records(spark, sf):
+    """Year mentions and a logo container with nested elements are added to
+    the stored pages from their ids; the place is the rank in the sort order."""
     p = T(spark, sf, "pages")
-    ey = D.earliest_year_mention("html", AS_OF)
+    k = F.col("page_id")
+
+    def two(c):
+        return F.lpad(c.cast("string"), 2, "0")
+
+    def asset(year, month):
+        return F.concat(F.lit("<img src='/wp-content/uploads/"), year, F.lit("/"), month, F.lit("/a_b-logo.png'>"))
+
+    years = F.when(k % 4 == 0, "").otherwise(F.concat(F.lit("<p>Founded In 20"), two(k % 40), F.lit(", listed in 2019, gone in 1999</p>")))
+    logo = F.when(k % 5 == 0, "").otherwise(F.concat(
+        F.lit('<div class="x name-logo"><div><div>deep</div>'), asset((2010 + k % 20).cast("string"), two(k % 14)), F.lit("</div>"),
+        asset(F.lit("2021"), F.lit("05")), F.lit("</div>")))
+    page = F.concat(years, logo, asset(F.lit("2001"), F.lit("01")))  # the last one lies outside the container
+    ey = D.earliest_year_mention(page, AS_OF)
     out = p.select("page_id", X.url_slug("url").alias("slug"), X.entity_name_from_title("html").alias("entity_name"),
                    X.page_size("html").cast("bigint").alias("n_bytes"), ey.cast("bigint").alias("earliest_year"),
                    N.least_non_null(ey, (F.lit(2000) + (F.col("page_id") % 30)).cast("int")).cast("bigint")
                    .alias("first_year"),
-                   D.earliest_upload_date(D.logo_scope("html"), AS_OF).alias("earliest_logo_date"))
-    return out.orderBy(F.desc_nulls_last("n_bytes"), "page_id")
+                   D.earliest_upload_date(D.logo_scope(page), AS_OF).alias("earliest_logo_date"))
+    return dates_as_text(_placed(out, [F.desc_nulls_last("n_bytes"), F.asc("page_id")]))
+
+
+def _placed(df, order):
+    """Rows with their place in a global order: sorted ranges, the rows of the
+    ranges before, and the place inside the range, so no task holds all rows."""
+    from pyspark.sql import Window
+
+    parts = df.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    ranged = stored(df.repartitionByRange(int(parts), *order).withColumn("_range", F.spark_partition_id()), "ordered")
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per range
+    before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).drop("_n")
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return ranged.join(before, "_range").withColumn("place", (F.col("_before") + inside).cast("long")).drop("_range", "_before")
 
 
 # ---------------------------------------------------------------------------

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -66,8 +67,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is only read here.
-    Only when it is unset (local tests) a scratch folder is created and set.
+    On a cluster this setting points at shared storage and is only read here;
+    without it a machine-local folder would be wrong, so that raises.  Only a
+    local master (tests) gets a scratch folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -78,17 +80,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="silverline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
 
 
-def cut_lineage(df):
-    """Materialise ``df`` into the shared checkpoint folder (reliable, survives
-    executor loss).  Never ``localCheckpoint``."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, what: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it
+    back: lineage ends there, and a lost executor costs a re-read."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of its own file system."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 _SHIPPED: set[str] = set()
