@@ -22,16 +22,16 @@ def sorted_set(c: Column | str) -> Column:
     return F.array_sort(F.collect_set(c))
 
 
-def first_by(value: Column, order: Column, *tiebreak: Column) -> Column:
+def first_by(value: Column, order: Column, *tiebreak: Column, where: Column | None = None) -> Column:
     """AGG-6: value of the earliest row by ``order`` (ties -> smallest tiebreak)."""
-    return F.min(F.struct(order.alias("o"), *[t.alias(f"t{i}") for i, t in enumerate(tiebreak)],
-                          value.alias("v")))["v"]
+    row = F.struct(order.alias("o"), *[t.alias(f"t{i}") for i, t in enumerate(tiebreak)], value.alias("v"))
+    return F.min(row if where is None else F.when(where, row))["v"]
 
 
-def last_by(value: Column, order: Column, *tiebreak: Column) -> Column:
+def last_by(value: Column, order: Column, *tiebreak: Column, where: Column | None = None) -> Column:
     """AGG-6: value of the latest row by ``order`` (ties -> largest tiebreak)."""
-    return F.max(F.struct(order.alias("o"), *[t.alias(f"t{i}") for i, t in enumerate(tiebreak)],
-                          value.alias("v")))["v"]
+    row = F.struct(order.alias("o"), *[t.alias(f"t{i}") for i, t in enumerate(tiebreak)], value.alias("v"))
+    return F.max(row if where is None else F.when(where, row))["v"]
 
 
 def sum_or_zero(c: Column | str) -> Column:
@@ -52,8 +52,9 @@ def entity_rollup(df: DataFrame, group: str, name: str, site: str, table: str, c
         F.count_distinct(F.col(name)).alias("entity_count"),
         F.min(t).alias("earliest_created_at"),
         F.max(t).alias("latest_created_at"),
-        first_by(label, t, label).alias("earliest_entity"),
-        last_by(label, t, label).alias("latest_entity"),
+        # members without a time have no place in the order
+        first_by(label, t, label, where=t.isNotNull()).alias("earliest_entity"),
+        last_by(label, t, label, where=t.isNotNull()).alias("latest_entity"),
         *[sum_or_zero(src).alias(out) for out, src in sums.items()],
         sorted_set(reported_group).alias("_reported_aliases"),
         *[F.to_json(sorted_set(src)).alias(out) for out, src in lists.items()],
@@ -114,8 +115,8 @@ def summary_by_group(df: DataFrame, group: str, member: str, rank: str, value: s
                                    F.min(year).alias("earliest_year"))
     # Exact top-n members per group, two levels.
     order = [F.col(rank).desc_nulls_last(), F.col(member).asc_nulls_last()]
-    salted = df.select(group, member, rank,
-                       (F.abs(F.xxhash64(F.col(member), F.col(rank))) % salt_buckets).alias("_salt"))
+    # the salt varies by row, so equal rows of a hot group spread as well
+    salted = df.select(group, member, rank, F.pmod(F.monotonically_increasing_id(), F.lit(salt_buckets)).alias("_salt"))
     lvl1 = salted.withColumn("_r", F.row_number().over(Window.partitionBy(group, "_salt").orderBy(*order)))
     cand = lvl1.filter(F.col("_r") <= n)
     lvl2 = cand.withColumn("_r2", F.row_number().over(Window.partitionBy(group).orderBy(*order)))

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from silverline.operators.dedup import keep_last
+
 AUDIT_COLUMNS = ("created_at", "updated_at")
 
 
@@ -46,12 +48,21 @@ def changed_rows(new: DataFrame, current: DataFrame, exclude_float: bool = True,
     return new.join(cur, cond, "left_anti")
 
 
-def _aligned(current: DataFrame, new: DataFrame, key: list[str], exclude_float: bool):
+def one_per_key(new: DataFrame, key: list[str], order: list[str] | None) -> DataFrame:
+    """Incoming rows reduced to one per key: the last by ``order`` wins, as a
+    store's row-by-row upsert would leave it; the other columns break ties.
+    Rows that are wholly equal collapse without an order."""
+    return keep_last(new, key, list(order or []))
+
+
+def _aligned(current: DataFrame, new: DataFrame, key: list[str], exclude_float: bool, order: list[str] | None = None):
     """One full outer join of the current snapshot and the incoming rows on
     the key, with a per-row class.  Both sides are hash-partitioned on the
     key once; inserted / updated / unchanged / absent, the next snapshot and
     its pruned form all come from this single join (no anti join, no second
-    shuffle).  Keys are unique on both sides (validate ``new`` first)."""
+    shuffle).  The snapshot's keys are unique; a key that repeats in ``new``
+    is reduced to its last row by ``order`` first."""
+    new = one_per_key(new, key, order)
     cur = current
     if "created_at" not in cur.columns:
         cur = cur.withColumns({"created_at": F.lit(None).cast("timestamp_ntz"),
@@ -75,8 +86,8 @@ def _aligned(current: DataFrame, new: DataFrame, key: list[str], exclude_float:
 
 
 def upsert(current: DataFrame, new: DataFrame, key: list[str], as_of,
-           exclude_float: bool = True, prune_missing: bool = False) -> DataFrame:
-    """UPS-2: next snapshot.
+           exclude_float: bool = True, prune_missing: bool = False, order: list[str] | None = None) -> DataFrame:
+    """UPS-2: next snapshot, with one row per key.
 
     * key absent from ``current``: inserted, ``created_at = updated_at = as_of``;
     * key present and the row changed: every non-key column of ``new``
@@ -84,10 +95,11 @@ def upsert(current: DataFrame, new: DataFrame, key: list[str], as_of,
     * otherwise (unchanged, or not in ``new``): the current row as is.
     Table columns that ``new`` lacks keep their current value.  With
     ``prune_missing`` (UPS-4) rows whose key is not in ``new`` are dropped in
-    the same pass.
+    the same pass.  Of several incoming rows with one key the last by
+    ``order`` counts (``one_per_key``).
     """
     as_of_lit = F.lit(as_of).cast("timestamp_ntz")
-    j, value_cols, new_only, new_cols = _aligned(current, new, key, exclude_float)
+    j, value_cols, new_only, new_cols = _aligned(current, new, key, exclude_float, order)
     if prune_missing:
         j = j.filter(F.col("_class") != "absent")
     take_new = F.col("_class").isin("inserted", "updated")
@@ -112,12 +124,12 @@ def prune(target: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
 
 
 def change_summary(current: DataFrame, new: DataFrame, key: list[str],
-                   exclude_float: bool = True) -> DataFrame:
+                   exclude_float: bool = True, order: list[str] | None = None) -> DataFrame:
     """UPS-5: one row per class -- ``inserted``, ``updated``, ``unchanged``
     (rows of ``new``) and ``absent`` (current keys not in ``new``) -- with
     counts, from the same single join as ``upsert``.  Counted by class, so
     new rows do not distort "unchanged"."""
-    j = _aligned(current, new, key, exclude_float)[0]
+    j = _aligned(current, new, key, exclude_float, order)[0]
     return j.groupBy(F.col("_class").alias("change")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -133,7 +145,7 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: list[str], buckets
 
 def publish(current: DataFrame, new: DataFrame, key: list[str], as_of, out_path: str,
             contract=None, prune_missing: bool = False, exclude_float: bool = True,
-            bucketed: tuple[str, int] | None = None) -> bool:
+            bucketed: tuple[str, int] | None = None, order: list[str] | None = None) -> bool:
     """UPS-3 / UPS-6: validate -> upsert -> optional prune -> write a new
     snapshot.  The change classes are counted first (one small aggregate
     over the same join); when nothing would change -- no inserted or updated
@@ -142,10 +154,10 @@ def publish(current: DataFrame, new: DataFrame, key: list[str], as_of, out_path:
     table bucketed by the key (see ``write_bucketed``)."""
     if contract is not None:
         new = contract.validate(new)
-    counts = {r.change: r.n_rows for r in change_summary(current, new, key, exclude_float).collect()}  # <= 4 rows
+    counts = {r.change: r.n_rows for r in change_summary(current, new, key, exclude_float, order).collect()}  # <= 4 rows
     if not (counts.get("inserted") or counts.get("updated") or (prune_missing and counts.get("absent"))):
         return False
-    nxt = upsert(current, new, key, as_of, exclude_float, prune_missing=prune_missing)
+    nxt = upsert(current, new, key, as_of, exclude_float, prune_missing=prune_missing, order=order)
     if bucketed is not None:
         write_bucketed(nxt, bucketed[0], out_path, key, bucketed[1])
     else:

@@ -107,7 +107,7 @@ with v as {_SQL_VARIANTS}
 select regexp_replace(lower(reported_name), '[^A-Za-z0-9]', '', 'g') as name_key,
        to_json(list_sort(list(distinct reported_name)))::varchar as names_json,
        count(distinct reported_name) as n_names
-from v where reported_name is not null and regexp_replace(lower(reported_name), '[^A-Za-z0-9]', '', 'g') <> ''
+from v where reported_name is not null
 group by 1 having count(distinct reported_name) > 1
 """)
 def q_alias_opportunities(spark, sf):
@@ -135,12 +135,12 @@ def _group_spelling(key, name):
     """Three spellings of one nation name, picked by the party key."""
     lower_blank = F.lower(F.replace(name, F.lit("_"), F.lit(" ")))
     cap_dash = F.concat(F.upper(F.substring(name, 1, 1)),
-                        F.lower(F.replace(F.substring(name, 2, 1000), F.lit("_"), F.lit("-"))))
+                        F.lower(F.replace(F.substr(name, F.lit(2)), F.lit("_"), F.lit("-"))))
     return F.when(key % 3 == 0, name).when(key % 3 == 1, lower_blank).otherwise(cap_dash)
 
 
 _SQL_GROUP_SPELLING = """case {k} % 3 when 0 then n_name when 1 then lower(replace(n_name, '_', ' '))
-  else upper(substr(n_name, 1, 1)) || lower(replace(substr(n_name, 2, 1000), '_', '-')) end"""
+  else upper(substr(n_name, 1, 1)) || lower(replace(substr(n_name, 2), '_', '-')) end"""
 
 
 def stacked_parties(spark, sf):
@@ -244,13 +244,16 @@ select distinct l_returnflag, l_linestatus from lineitem order by all
 # ---------------------------------------------------------------------------
 # RPT-3 / RPT-4 / RPT-5: gold rollups per nation
 # ---------------------------------------------------------------------------
-def parties_with_activity(spark, sf):
+def parties_with_activity(spark, sf, kept=None):
     """Stacked parties with a canonical group name (ENT-2, mapping built from
     every stacked spelling, as the reference builds its map from the whole
     silver table) and ``created_at`` = the party's first activity: first
     order (customers), first shipment (suppliers).  Both activity tables
-    are partial+final aggregates joined on the party key."""
+    are partial+final aggregates joined on the party key.  ``kept`` (rows with
+    the party key, such as a published silver table) limits the parties."""
     st = entity.canonical_names(stacked_parties(spark, sf), "reported_group_name", "group_name")
+    if kept is not None:
+        st = st.join(kept.select("source_site", "entity_source_id"), ["source_site", "entity_source_id"], "left_semi")
     first_order = (T(spark, sf, "orders").groupBy("o_custkey")
                    .agg(F.min("o_orderdate").alias("created_at"))
                    .select(F.lit("customer").alias("source_site"),
@@ -259,7 +262,8 @@ def parties_with_activity(spark, sf):
                   .agg(F.min("l_shipdate").alias("created_at"))
                   .select(F.lit("supplier").alias("source_site"),
                           F.col("l_suppkey").cast("string").alias("entity_source_id"), "created_at"))
-    return st.join(first_order.unionByName(first_ship), ["source_site", "entity_source_id"])
+    # a party without activity stays: it counts as a member and has no first or last date
+    return st.join(first_order.unionByName(first_ship), ["source_site", "entity_source_id"], "left")
 
 
 _SQL_ACTIVE = f"""keyed as (select *, regexp_replace(lower(reported_group_name), '[^A-Za-z0-9]', '', 'g') as nk
@@ -267,7 +271,7 @@ _SQL_ACTIVE = f"""keyed as (select *, regexp_replace(lower(reported_group_name),
 canon as (select nk, min(reported_group_name) as canon from keyed where nk is not null and nk <> '' group by nk),
 named as (select keyed.*, case when canon is null or canon = '' then reported_group_name else canon end as group_name
           from keyed left join canon using (nk)),
-active as (select s.*, a.created_at from named s join (
+active as (select s.*, a.created_at from named s left join (
     select 'customer' as source_site, cast(o_custkey as varchar) as entity_source_id, min(o_orderdate) as created_at
     from orders group by o_custkey
     union all
@@ -279,16 +283,18 @@ _SQL_GOLD_ENT = """select group_name,
   to_json(list_sort(list(distinct source_table)))::varchar as source_tables_json,
   count(distinct entity_name) as entity_count,
   min(created_at) as earliest_created_at, max(created_at) as latest_created_at,
-  arg_min(entity_name || ' @ ' || source_site, {'t': created_at, 'l': entity_name || ' @ ' || source_site}) as earliest_entity,
-  arg_max(entity_name || ' @ ' || source_site, {'t': created_at, 'l': entity_name || ' @ ' || source_site}) as latest_entity,
+  arg_min(entity_name || ' @ ' || source_site, {'t': created_at, 'l': entity_name || ' @ ' || source_site})
+    filter (created_at is not null) as earliest_entity,
+  arg_max(entity_name || ' @ ' || source_site, {'t': created_at, 'l': entity_name || ' @ ' || source_site})
+    filter (created_at is not null) as latest_entity,
   coalesce(sum(balance_cents), 0) / 100.0 as balance_total,
   list_sort(list(distinct reported_group_name)) as aliases,
   to_json(list_sort(list_distinct(list(segment))))::varchar as segments_json
 from active where group_name is not null group by group_name"""
 
 
-def gold_entities(spark, sf):
-    act = parties_with_activity(spark, sf)
+def gold_entities(spark, sf, kept=None):
+    act = parties_with_activity(spark, sf, kept)
     g = rollup.entity_rollup(act, "group_name", "entity_name", "source_site", "source_table", "created_at",
                              "reported_group_name", sums={"_balance_cents": "balance_cents"},
                              lists={"segments_json": "segment"})

@@ -4,20 +4,23 @@ snapshots (validate -> upsert -> optional prune -> write a new version).
 Snapshots are immutable parquet folders; the caller names the version read
 (``*_in``, ``None`` for the first run) and the version written (``*_out``),
 so a failed run leaves the previous version intact and a rerun recomputes
-the same output.  Not a registered query: it writes tables.
+the same output.  The query ``published_gold`` runs it in a fresh work folder
+and returns the gold table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
 
 from silverline.functions import arrays as A
 from silverline.operators import entity, rollup, upsert
 from silverline.operators.contract import Contract
 from silverline.plans import entities as EN
 from silverline.plans import reports as R
+from silverline.plans.registry import ORACLE, dates_as_text, register
+from silverline.streaming.jobs import work_dir
 
 GOLD_CONTRACT = Contract(
     name="gold_groups",
@@ -26,16 +29,22 @@ GOLD_CONTRACT = Contract(
         StructField("source_sites_json", StringType(), False),
         StructField("source_tables_json", StringType(), False),
         StructField("entity_count", LongType(), False),
-        StructField("earliest_created_at", DateType(), False),
-        StructField("latest_created_at", DateType(), False),
-        StructField("earliest_entity", StringType(), False),
-        StructField("latest_entity", StringType(), False),
+        # groups of parties without activity have no first and last member
+        StructField("earliest_created_at", DateType(), True),
+        StructField("latest_created_at", DateType(), True),
+        StructField("earliest_entity", StringType(), True),
+        StructField("latest_entity", StringType(), True),
+        StructField("balance_total", DoubleType(), False),
+        StructField("segments_json", StringType(), False),
+        StructField("device_count", LongType(), True),
+        StructField("earliest_device_date", DateType(), True),
+        StructField("latest_device_date", DateType(), True),
         StructField("reported_aliases_json", StringType(), False),
     ]),
     primary_key=["group_name"],
     min_length={"group_name": 1, "source_sites_json": 2, "earliest_entity": 1, "latest_entity": 1},
     max_length={"group_name": 100},
-    non_negative=["entity_count"],
+    non_negative=["entity_count", "device_count"],
     rules={"aliases_not_empty": lambda: A.json_array_not_empty("reported_aliases_json")},
 )
 
@@ -48,7 +57,7 @@ def _read_or_empty(spark: SparkSession, path: str | None, like: DataFrame) -> Da
 
 
 def publish_reports(spark: SparkSession, sf_dir: str, as_of: str, silver_in: str | None, silver_out: str,
-                    gold_in: str | None, gold_out: str, max_failed_fraction: float = 0.1,
+                    gold_in: str | None, gold_out: str, max_failed_fraction: float = 0.01,
                     quarantine_path: str | None = None) -> dict[str, dict[str, int]]:
     """Silver: stack -> canonical names -> contract with a failure budget
     (failed rows quarantined) -> upsert into the silver snapshot.  Gold:
@@ -63,9 +72,33 @@ def publish_reports(spark: SparkSession, sf_dir: str, as_of: str, silver_in: str
     summary = {"silver": {r.change: r.n_rows for r in upsert.change_summary(cur_silver, silver, silver_key).collect()}}
     upsert.publish(cur_silver, silver, silver_key, as_of, silver_out)
 
-    gold_all = rollup.gold_join(EN.gold_entities(spark, sf_dir), EN.gold_devices(spark, sf_dir), "group_name")
+    # gold counts what silver accepted, and nothing else
+    gold_all = rollup.gold_join(EN.gold_entities(spark, sf_dir, silver), EN.gold_devices(spark, sf_dir), "group_name")
     gold = GOLD_CONTRACT.validate(gold_all.select(*GOLD_CONTRACT.columns))
     cur_gold = _read_or_empty(spark, gold_in, gold)
     summary["gold"] = {r.change: r.n_rows for r in upsert.change_summary(cur_gold, gold, ["group_name"]).collect()}
     upsert.publish(cur_gold, gold, ["group_name"], as_of, gold_out, prune_missing=True)
     return summary
+
+
+PUBLISHED_AS_OF = "2024-06-01 00:00:00"
+
+
+def _sql_published() -> str:
+    """The gold join's SQL over the parties that pass the silver query's SQL."""
+    silver = ORACLE["silver_parties"]
+    gold = ORACLE["gold_join"].replace("active as (select s.*, a.created_at from named s left join (", f"""passed as (
+  select source_site, entity_source_id from ({silver}) where passed),
+active as (select s.*, a.created_at from (select named.* from named semi join passed using (source_site, entity_source_id)) s left join (""")
+    return f"select *, timestamp '{PUBLISHED_AS_OF}' as created_at, timestamp '{PUBLISHED_AS_OF}' as updated_at from ({gold})"
+
+
+@register("published_gold", _sql_published(), ts=("created_at", "updated_at"))
+def q_published_gold(spark, sf):
+    """UPS-6: silver with its failure budget, then gold from what silver accepted, as published."""
+    out = work_dir(spark, "publish")
+    publish_reports(spark, sf, PUBLISHED_AS_OF, None, f"{out}/silver", None, f"{out}/gold", max_failed_fraction=0.2,
+                    quarantine_path=f"{out}/quarantine")
+    gold = spark.read.parquet(f"{out}/gold")
+    stamps = ["created_at", "updated_at"]
+    return dates_as_text(gold.select(*[c for c in gold.columns if c not in stamps], *stamps))

@@ -1,5 +1,6 @@
 """Streaming queries (STM-1, STM-3): the stream runs to completion
-(``availableNow``) and the query returns what it wrote."""
+(``availableNow``) and the query returns what it wrote.  The input is landed in
+files of several micro-batches, so keys do repeat across batches."""
 
 from __future__ import annotations
 
@@ -11,25 +12,40 @@ from silverline.plans import maintenance as M
 from silverline.plans.registry import T, register
 from silverline.streaming import jobs
 
+BATCHES = 4
+
+
+def _landed(spark, df, order: str, out: str):
+    """Write ``df`` in BATCHES steps, each a range of a column, later ranges in
+    later files, and stream one step per micro-batch."""
+    path = os.path.join(out, "incoming")
+    low, high = df.agg(F.min(order).cast("double"), F.max(order).cast("double")).first()
+    step = F.least(F.floor((F.col(order).cast("double") - low) / ((high - low) / BATCHES)), F.lit(BATCHES - 1))
+    for k in range(BATCHES):
+        df.filter(step == k).write.parquet(os.path.join(path, f"step{k}"))
+    files = max(1, df.rdd.getNumPartitions())
+    return jobs.file_stream(spark, os.path.join(path, "*"), df.schema, max_files=files)
+
 
 @register("stream_new_keys", """
 select user_id, min(ts) as first_seen from events group by user_id
 """, ts=("first_seen",))
 def q_stream_new_keys(spark, sf):
-    schema = T(spark, sf, "events").schema
+    """Users in the batch that first has them; the batches follow the event
+    time, so every later batch meets keys that the log already holds."""
     out = jobs.work_dir(spark, "new-keys")
-    src = jobs.file_stream(spark, sf, schema, glob="events.parquet")
-    jobs.new_key_stream(src, "user_id", "ts", out)
-    return jobs.read_key_log(spark, out).select("user_id", "first_seen")
+    jobs.new_key_stream(_landed(spark, T(spark, sf, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts")), "ts", out), "user_id", "ts", out)
+    log = jobs.read_key_log(spark, out)
+    return log.select("user_id", F.col("first_seen").cast("timestamp_ntz").alias("first_seen"))
 
 
 @register("stream_upsert", "with " + M._SQL_SNAP + " select * from nxt", ts=("o_orderdate", "created_at", "updated_at"))
 def q_stream_upsert(spark, sf):
+    """The altered orders, each also sent once more with an older state before it."""
     out = jobs.work_dir(spark, "upsert")
-    inc = M.incoming(spark, sf)
-    # land the incoming rows as four files so the stream sees four micro-batches
-    inc_dir = os.path.join(out, "incoming")
-    inc.repartition(4, F.pmod(F.col("o_orderkey"), F.lit(4))).write.mode("overwrite").parquet(inc_dir)
-    src = jobs.file_stream(spark, inc_dir, spark.read.parquet(inc_dir).schema, max_files=1)
-    last = jobs.upsert_stream(src, M.current_snapshot(spark, sf), ["o_orderkey"], M.UPSERT_AS_OF, out)
-    return spark.read.parquet(last).select(*M.ORDER_COLS, "created_at", "updated_at")
+    inc = M.incoming(spark, sf).withColumn("sent", F.lit(2))
+    stale = inc.filter(F.col("o_orderkey") % 3 == 0).withColumns({"o_orderpriority": F.lit("0-STALE"), "sent": F.lit(1)})
+    src = _landed(spark, inc.unionByName(stale), "o_orderkey", out)
+    current = M.current_snapshot(spark, sf).withColumn("sent", F.lit(2))
+    last = jobs.upsert_stream(src, current, ["o_orderkey"], M.UPSERT_AS_OF, out, order=["sent"], buckets=8)
+    return last.select(*M.ORDER_COLS, "created_at", "updated_at")

@@ -6,8 +6,9 @@
   A retried batch overwrites its own partition and never sees its own
   output, so delivery is idempotent per ``batch_id``.
 * ``upsert_stream``: every micro-batch turns snapshot version N into version
-  N+1 with ``upsert``; versions are written tables, so lineage is cut at every
-  batch and a retry recomputes the same version from the same input.
+  N+1 with ``upsert``, rewriting only the key buckets it touches; versions are
+  written tables, so lineage is cut at every batch and a retry recomputes the
+  same version from the same input.
 
 Poll interval (STM-2): ``trigger(processingTime="1 hour")`` in production;
 tests and queries use ``availableNow`` so the stream drains and stops.
@@ -20,9 +21,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverline.operators import upsert as U
-from silverline.session import checkpoint_dir
+from silverline.session import checkpoint_dir, path_exists, stored
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -46,14 +48,13 @@ def emit_new_keys(batch: DataFrame, batch_id: int, key: str, ts: str, log_path:
     Re-running the same ``batch_id`` (a retry after a failure between the
     write and the checkpoint commit) overwrites that partition with the same
     rows and never sees its own output, so emission is exactly-once per
-    batch.  Returns the emitted rows (read back from the log)."""
+    batch.  Only a log that is not there counts as empty; any other failure
+    to read it is raised.  Returns the emitted rows (read back from the log)."""
     spark = batch.sparkSession
-    keys = batch.groupBy(key).agg(F.min(ts).alias("first_seen"))
-    try:
-        known = spark.read.parquet(log_path).filter(F.col("batch_id") < batch_id).select(key)
-        fresh = keys.join(known, key, "left_anti")
-    except Exception:  # noqa: BLE001 -- no log yet (first batch)
-        fresh = keys
+    fresh = batch.groupBy(key).agg(F.min(ts).alias("first_seen"))
+    if path_exists(spark, log_path):
+        known = spark.read.schema(T.StructType([*fresh.schema.fields, T.StructField("batch_id", T.LongType())])).parquet(log_path)
+        fresh = fresh.join(known.filter(F.col("batch_id") < batch_id).select(key), key, "left_anti")
     out = os.path.join(log_path, f"batch_id={batch_id}")
     fresh.write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
@@ -79,38 +80,70 @@ def read_key_log(spark: SparkSession, out_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(out_dir, "log"))
 
 
-def _readable(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # reads one footer
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+BUCKET = "snapshot_bucket"
+
+
+def _bucketed(df: DataFrame, key: list[str], buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int"))
+
+
+def _manifest(spark: SparkSession, out_dir: str, version: int) -> dict[int, int]:
+    """Bucket -> version that wrote it last; at most one row per bucket."""
+    path = os.path.join(out_dir, "manifest", f"v={version}")
+    return {r["bucket"]: r["version"] for r in spark.read.parquet(path).select("bucket", "version").collect()}
+
+
+def _write_version(df: DataFrame, out_dir: str, version: int, before: dict[int, int], touched: list[int]) -> None:
+    """Write the touched buckets of a version, and its manifest last: a
+    version without a manifest does not exist."""
+    spark = df.sparkSession
+    # whole files per bucket; a bucket may take several tasks under AQE
+    (df.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET)
+     .parquet(os.path.join(out_dir, "snapshot", f"v={version}")))
+    rows = [(b, v) for b, v in (before | dict.fromkeys(touched, version)).items()]
+    (spark.createDataFrame(rows, "bucket int, version int").coalesce(1)
+     .write.mode("overwrite").parquet(os.path.join(out_dir, "manifest", f"v={version}")))
+
+
+def read_snapshot(spark: SparkSession, out_dir: str, version: int, schema, buckets: list[int] | None = None) -> DataFrame:
+    """The rows of a version: each bucket from the version that wrote it last."""
+    manifest = _manifest(spark, out_dir, version)
+    paths = [os.path.join(out_dir, "snapshot", f"v={v}", f"{BUCKET}={b}") for b, v in sorted(manifest.items())
+             if buckets is None or b in buckets]
+    paths = [p for p in paths if path_exists(spark, p)]  # a bucket whose rows are all gone has no folder
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def upsert_stream(stream: DataFrame, initial: DataFrame, key: list[str], as_of, out_dir: str,
-                  trigger: dict | None = None, exclude_float: bool = True) -> str:
-    """STM-3: fold micro-batches into versioned snapshots; returns the path
-    of the latest version.  Batch N reads version N and writes version N+1,
-    then records N+1 in a one-row ``latest`` marker; a retried batch rewrites
-    the same version from the same input, and a restarted stream resumes
-    from its checkpoint without touching earlier versions."""
+                  trigger: dict | None = None, exclude_float: bool = True, order: list[str] | None = None,
+                  buckets: int = 64) -> DataFrame:
+    """STM-3: fold micro-batches into versioned snapshots; returns the rows of
+    the latest version.
+
+    A snapshot is dealt into ``buckets`` by a hash of the key.  Batch N reads
+    only the buckets its keys fall into, from version N, and writes them as
+    version N+1; a manifest per version names the version of every bucket.  So
+    a batch costs its own buckets, not the table.  A retried batch rewrites
+    the same version from the same input, and a restarted stream resumes from
+    its checkpoint.  Only a manifest that is not there means "first run"."""
     spark = stream.sparkSession
-    snap = os.path.join(out_dir, "snapshot")
-    marker = os.path.join(out_dir, "latest")
-    v0 = os.path.join(snap, "v=0")
-    if not _readable(spark, v0):
-        initial.write.mode("overwrite").parquet(v0)
-        spark.createDataFrame([(0,)], "version int").write.mode("overwrite").parquet(marker)
+    if not path_exists(spark, os.path.join(out_dir, "manifest", "v=0", "_SUCCESS")):
+        _write_version(_bucketed(initial, key, buckets), out_dir, 0, {}, list(range(buckets)))
+    schema = T.StructType([f for f in U.upsert(initial.limit(0), spark.createDataFrame([], stream.schema), key, as_of).schema.fields])
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        cur = spark.read.parquet(os.path.join(snap, f"v={batch_id}"))
-        nxt = U.upsert(cur, batch, key, as_of, exclude_float)
-        nxt.write.mode("overwrite").parquet(os.path.join(snap, f"v={batch_id + 1}"))
-        spark.createDataFrame([(batch_id + 1,)], "version int").write.mode("overwrite").parquet(marker)
+        batch = stored(_bucketed(batch, key, buckets), "stream-batch")
+        touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())  # at most one row per bucket
+        before = _manifest(spark, out_dir, batch_id)
+        cur = read_snapshot(spark, out_dir, batch_id, schema, touched)
+        nxt = U.upsert(cur, batch.drop(BUCKET), key, as_of, exclude_float, order=order)
+        _write_version(_bucketed(nxt, key, buckets), out_dir, batch_id + 1, before, touched)
+        spark.createDataFrame([(batch_id + 1,)], "version int").write.mode("overwrite").parquet(os.path.join(out_dir, "latest"))
 
     q = (stream.writeStream.foreachBatch(on_batch)
          .option("checkpointLocation", os.path.join(out_dir, "checkpoint"))
          .trigger(**(trigger or {"availableNow": True})).start())
     q.awaitTermination()
-    latest = spark.read.parquet(marker).first()["version"]  # one row
-    return os.path.join(snap, f"v={latest}")
+    marker = os.path.join(out_dir, "latest")
+    latest = spark.read.parquet(marker).first()["version"] if path_exists(spark, marker) else 0  # one row
+    return read_snapshot(spark, out_dir, latest, schema)

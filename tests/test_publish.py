@@ -11,13 +11,13 @@ SF = "/root/testdata/sf0.001"
 def test_publish_twice_is_idempotent(spark, tmp_path):
     d = str(tmp_path)
     first = publish_reports(spark, SF, "2024-06-01", None, f"{d}/silver/v1", None, f"{d}/gold/v1",
-                            quarantine_path=f"{d}/quarantine/v1")
+                            max_failed_fraction=0.2, quarantine_path=f"{d}/quarantine/v1")
     assert set(first["silver"]) == {"inserted"} and set(first["gold"]) == {"inserted"}
     silver = spark.read.parquet(f"{d}/silver/v1")
     assert silver.filter("created_at is null or updated_at is null").count() == 0
     assert spark.read.parquet(f"{d}/quarantine/v1").count() > 0  # negative balances fail the contract
     second = publish_reports(spark, SF, "2024-07-01", f"{d}/silver/v1", f"{d}/silver/v2",
-                             f"{d}/gold/v1", f"{d}/gold/v2")
+                             f"{d}/gold/v1", f"{d}/gold/v2", max_failed_fraction=0.2)
     assert set(second["silver"]) == {"unchanged"} and set(second["gold"]) == {"unchanged"}
     import os
     assert not os.path.exists(f"{d}/silver/v2") and not os.path.exists(f"{d}/gold/v2")
@@ -26,4 +26,4 @@ def test_publish_twice_is_idempotent(spark, tmp_path):
 def test_failure_budget_stops_publish(spark, tmp_path):
     with pytest.raises(ContractError):
         publish_reports(spark, SF, "2024-06-01", None, f"{tmp_path}/s", None, f"{tmp_path}/g",
-                        max_failed_fraction=0.01)
+                        )  # 1 % is the default

@@ -38,15 +38,36 @@ def test_stream_upsert_equals_batch(spark, tmp_path):
     inc = str(tmp_path / "inc")
     new.repartition(3, F.col("k") % 3).write.parquet(inc)
     src = jobs.file_stream(spark, inc, new.schema, max_files=1)
-    last = jobs.upsert_stream(src, cur, ["k"], "2024-06-01", str(tmp_path / "w"))
-    # restart on the same folder with nothing new: same latest version, v=0 untouched
-    again = jobs.upsert_stream(jobs.file_stream(spark, inc, new.schema, max_files=1), cur.limit(0), ["k"],
-                               "2024-06-01", str(tmp_path / "w"))
-    assert again == last and spark.read.parquet(str(tmp_path / "w" / "snapshot" / "v=0")).count() == 10
-    got = sorted(tuple(r) for r in spark.read.parquet(last).select("k", "v", "created_at", "updated_at").collect())
-    want = sorted(tuple(r) for r in upsert.upsert(cur, new, ["k"], "2024-06-01")
-                  .select("k", "v", "created_at", "updated_at").collect())
-    assert got == want
+    rows = lambda df: sorted(tuple(r) for r in df.select("k", "v", "created_at", "updated_at").collect())
+    out = str(tmp_path / "w")
+    last = rows(jobs.upsert_stream(src, cur, ["k"], "2024-06-01", out, buckets=4))
+    # restart on the same folder with nothing new: the same rows, whatever is passed as the first state
+    again = jobs.upsert_stream(jobs.file_stream(spark, inc, new.schema, max_files=1), cur.limit(0), ["k"], "2024-06-01", out, buckets=4)
+    assert rows(again) == last == rows(upsert.upsert(cur, new, ["k"], "2024-06-01"))
+    assert len({r[0] for r in last}) == len(last) == 15
+
+
+def test_stream_upsert_rewrites_touched_buckets_and_keeps_one_row_per_key(spark, tmp_path):
+    cur = spark.createDataFrame([(i, "a", 0) for i in range(100)], "k long, v string, sent int")
+    inc, out = str(tmp_path / "inc"), str(tmp_path / "w")
+    spark.createDataFrame([(3, "old", 1), (3, "new", 2), (200, "x", 1), (200, "y", 2)], cur.schema).coalesce(1).write.parquet(inc)
+    last = jobs.upsert_stream(jobs.file_stream(spark, inc, cur.schema), cur, ["k"], "2024-06-01", out, order=["sent"], buckets=8)
+    got = {r.k: r.v for r in last.collect()}
+    assert last.count() == len(got) == 101 and got[3] == "new" and got[200] == "y" and got[4] == "a"
+    manifest = jobs._manifest(spark, out, 1)
+    assert sorted(manifest) == list(range(8)) and 1 <= sum(v == 1 for v in manifest.values()) <= 2
+
+
+def test_a_broken_log_is_an_error_not_an_empty_log(spark, tmp_path):
+    import datetime as dt
+
+    import pytest
+    log = tmp_path / "log" / "batch_id=0"
+    log.mkdir(parents=True)
+    (log / "part-0.parquet").write_text("not parquet")
+    batch = spark.createDataFrame([(1, dt.datetime(2024, 1, 1))], "user_id long, ts timestamp_ntz")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        jobs.emit_new_keys(batch, 1, "user_id", "ts", str(tmp_path / "log"))
 
 
 def test_replayed_batch_is_idempotent(spark, tmp_path):
