@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from silverline.session import stored
+
 FAILURES = "_failures"
 
 
@@ -104,14 +106,12 @@ class Contract:
                 .groupBy("rule").agg(F.count(F.lit(1)).alias("n_failed")))
 
     def totals(self, checked: DataFrame) -> dict[str, int]:
-        """One action: total rows, failed rows, and failures per rule."""
-        per_rule = checked.select(F.explode(FAILURES).alias("rule")).groupBy("rule").count()
-        tot = checked.agg(F.count(F.lit(1)).alias("n"),
-                          F.count_if(F.size(FAILURES) > 0).alias("bad")).first()
-        counts = {r["rule"]: int(r["count"]) for r in per_rule.collect()}  # one row per rule: bounded
-        counts["__rows__"] = int(tot["n"])
-        counts["__failed_rows__"] = int(tot["bad"] or 0)
-        return counts
+        """Total rows, failed rows and failures per rule, in one action: the
+        rows are exploded by reason, with one reason more for every row."""
+        marks = F.concat(F.array(F.lit("__rows__")), F.when(F.size(FAILURES) > 0, F.array(F.lit("__failed_rows__"))).otherwise(F.array()),
+                         F.col(FAILURES))
+        per_rule = checked.select(F.explode(marks).alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+        return {"__rows__": 0, "__failed_rows__": 0} | {r["rule"]: int(r["n"]) for r in per_rule.collect()}  # one row per rule
 
     def validate(self, df: DataFrame) -> DataFrame:
         """DQ-7: typed frame, or ``ContractError`` with counts per rule."""
@@ -125,7 +125,8 @@ class Contract:
                        quarantine_path: str | None = None) -> tuple[DataFrame, dict[str, int]]:
         """DQ-9 / DQ-10 / SNK-3: split, optionally write the failed rows, and
         raise when more than ``max_failed_fraction`` of rows fail."""
-        checked = self.check(df).persist()
+        # written once to the shared folder: counting, quarantine and the caller read it back
+        checked = stored(self.check(df), "checked")
         counts = self.totals(checked)
         if quarantine_path and counts["__failed_rows__"]:
             checked.filter(F.size(FAILURES) > 0).write.mode("overwrite").parquet(quarantine_path)
@@ -140,38 +141,24 @@ def _flag_duplicates(df: DataFrame, constraints: list[tuple[str, list[str]]], di
     """DQ-4 / DQ-5 / AGG-12: append each constraint's label to the rows
     whose key occurs more than once.
 
-    All constraints are counted in ONE pass: a grouping-sets aggregate (one
-    Expand, then partial + final counts -- no window, so a hot key never
-    lands in one task).  The duplicate keys are a small table in the usual
-    case: it is size-checked once and each constraint's part is joined back
-    by broadcast, so the checked table is never shuffled on a key.  Beyond
-    the bound the joins shuffle (AQE splits skew).  Long-text key columns
-    (``digest_keys``) are compared by SHA-256 digest."""
-    from silverline.operators.joins import broadcast_if_small
-
+    Each constraint counts its keys in a partial + final aggregate (a hot key
+    is combined map-side) and joins the repeated ones back.  No size is
+    counted beforehand: AQE broadcasts the repeated keys when their stage
+    turned out small, else it shuffles and splits skewed partitions.
+    Long-text key columns (``digest_keys``) are compared by SHA-256 digest,
+    so only digests are aggregated and compared."""
     cols: list[str] = []
     for _, key in constraints:
         cols += [c for c in key if c not in cols]
     kname = {c: f"_k{i}" for i, c in enumerate(cols)}
     keyed = df.withColumns({kname[c]: (F.unhex(F.sha2(F.col(c).cast("string"), 256)) if c in digest_keys
                                        else F.col(c)) for c in cols})
-    knames = [kname[c] for c in cols]
-    if len(constraints) == 1:
-        key_names = [kname[c] for c in constraints[0][1]]
-        counts = keyed.groupBy(*key_names).agg(F.count(F.lit(1)).alias("_n"), F.lit(0).cast("bigint").alias("_gid"))
-        gids = [0]
-    else:
-        sets = [[kname[c] for c in key] for _, key in constraints]
-        counts = keyed.groupingSets(sets, *knames).agg(F.count(F.lit(1)).alias("_n"),
-                                                        F.grouping_id().alias("_gid"))
-        # grouping_id: one bit per grouping column, first column most significant, 1 = not grouped
-        gids = [sum(1 << (len(cols) - 1 - j) for j, c in enumerate(cols) if c not in key) for _, key in constraints]
-    dups = broadcast_if_small(counts.filter(F.col("_n") > 1))
     out = keyed
-    for i, ((label, key), gid) in enumerate(zip(constraints, gids)):
+    for i, (label, key) in enumerate(constraints):
         names = [kname[c] for c in key]
-        d = dups.filter(F.col("_gid") == gid).select(*names, F.lit(True).alias(f"_dup{i}"))
-        out = out.join(d, names, "left")
+        repeated = (keyed.select(*names).groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+                    .filter(F.col("_n") > 1).select(*names, F.lit(True).alias(f"_dup{i}")))
+        out = out.join(repeated, names, "left")
         out = out.withColumn(FAILURES, F.when(F.col(f"_dup{i}"), F.array_append(F.col(FAILURES), F.lit(label)))
                              .otherwise(F.col(FAILURES))).drop(f"_dup{i}")
-    return out.drop(*knames)
+    return out.drop(*[kname[c] for c in cols])

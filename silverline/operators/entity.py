@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverline.functions import strings as S
-from silverline.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small, literal_map
+from silverline.operators.joins import literal_map
 
 
 @dataclass(frozen=True)
@@ -148,21 +148,19 @@ def normalize_names(c: Column, rules=ALGORITHM_REWRITES,
 
 def normalize_names_table(df: DataFrame, col: str, out: str, alias_table: DataFrame,
                           alias_col: str = "alias", standard_col: str = "standard",
-                          rules=ALGORITHM_REWRITES,
-                          max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                          rules=ALGORITHM_REWRITES) -> DataFrame:
     """ENT-1 with the alias table as a DataFrame (user-maintained, may be
-    large): rewrite, then a left join on the rewritten name, broadcast only
-    when the table is provably small."""
+    large): rewrite, then a left join on the rewritten name; AQE picks the
+    join from the sizes it has measured."""
     t = (alias_table.select(F.col(alias_col).alias("_alias"), F.col(standard_col).alias("_std"))
          .dropDuplicates(["_alias"]))
     rewritten = df.withColumn("_rw", apply_rewrites(F.col(col), rules))
-    j = rewritten.join(broadcast_if_small(t, max_broadcast_rows), F.col("_rw") == F.col("_alias"), "left")
+    j = rewritten.join(t, F.col("_rw") == F.col("_alias"), "left")
     return j.withColumn(out, F.coalesce(F.col("_std"), F.col("_rw"))).drop("_rw", "_alias", "_std")
 
 
 def canonical_names(df: DataFrame, name_col: str, out_col: str = "canonical_name",
-                    on_empty_key: str = "keep", key_fn=S.match_key,
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                    on_empty_key: str = "keep", key_fn=S.match_key) -> DataFrame:
     """ENT-2 / WIN-3: every name -> the smallest spelling among names with the
     same match key.  A canonical NULL or ``''`` leaves each name as itself.
 
@@ -173,9 +171,8 @@ def canonical_names(df: DataFrame, name_col: str, out_col: str = "canonical_name
 
     Plan: ``groupBy(key).agg(min(name))`` is a partial+final aggregate, so a
     hot key is pre-combined map-side; the (key -> canonical) table has one row
-    per distinct key and is joined back: broadcast when its size is proven
-    small (``broadcast_if_small``), else a shuffle join with AQE skew
-    splitting.
+    per distinct key and is joined back.  The plan is lazy: AQE broadcasts the
+    table once its size is known to be small, else it shuffles and splits skew.
     """
     if on_empty_key not in ("keep", "merge"):
         raise ValueError("on_empty_key must be 'keep' or 'merge'")
@@ -184,21 +181,19 @@ def canonical_names(df: DataFrame, name_col: str, out_col: str = "canonical_name
              .groupBy("_nk").agg(F.min(name_col).alias("_canon")))
     if on_empty_key == "keep":
         canon = canon.filter(F.col("_nk") != "")
-    # One row per distinct key: broadcast when provably small, so the large
-    # side is not shuffled on a key that may have few, hot values.
-    j = keyed.join(broadcast_if_small(canon, max_broadcast_rows), "_nk", "left")
+    j = keyed.join(canon, "_nk", "left")
     pick = F.when(F.col("_canon").isNull() | (F.col("_canon") == ""), F.col(name_col)).otherwise(F.col("_canon"))
     return j.withColumn(out_col, pick).drop("_nk", "_canon")
 
 
 def alias_opportunities(df: DataFrame, name_col: str, key_fn=S.match_key,
-                        skip_empty_key: bool = True) -> DataFrame:
+                        skip_empty_key: bool = False) -> DataFrame:
     """ENT-3: groups of distinct names that collide under the match key, as
     rows ``(name_key, names_json, n_names)``; names sorted.  Distinct names
     are taken first so the collected lists hold only distinct spellings.
-    Names with no ASCII letter or digit all share key ``''``; that group is
-    not an alias opportunity and could hold every non-Latin name, so it is
-    skipped unless ``skip_empty_key=False``."""
+    Names with no ASCII letter or digit all share key ``''`` and are reported
+    as one group, unless ``skip_empty_key``; where that group may be large take
+    ``alias_collisions``, which keeps one row per name."""
     names = df.select(F.col(name_col).alias("_n")).filter(F.col("_n").isNotNull()).distinct()
     keyed = names.withColumn("name_key", key_fn(F.col("_n")))
     if skip_empty_key:
@@ -207,3 +202,13 @@ def alias_opportunities(df: DataFrame, name_col: str, key_fn=S.match_key,
          .agg(F.array_sort(F.collect_list("_n")).alias("_names"), F.count(F.lit(1)).alias("n_names"))
          .filter(F.col("n_names") > 1))
     return g.select("name_key", F.to_json("_names").alias("names_json"), "n_names")
+
+
+def alias_collisions(df: DataFrame, name_col: str, key_fn=S.match_key) -> DataFrame:
+    """ENT-3 in long form: rows ``(name_key, name, n_names)`` of all names that
+    collide under the match key.  No list is built, so a key may have any
+    number of names."""
+    names = df.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct()
+    keyed = names.withColumn("name_key", key_fn(F.col("name")))
+    sizes = keyed.groupBy("name_key").agg(F.count(F.lit(1)).alias("n_names")).filter(F.col("n_names") > 1)
+    return keyed.join(sizes, "name_key").select("name_key", "name", "n_names")

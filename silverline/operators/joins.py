@@ -1,52 +1,13 @@
-"""Join helpers: size-checked broadcast, cardinality guards, lookups
-(JOIN-1, JOIN-5, JOIN-6, DQ-11)."""
+"""Join helpers: cardinality guards, lookups (JOIN-1, JOIN-5, JOIN-6, DQ-11).
+
+No join here carries a broadcast hint: Spark broadcasts a side by file
+statistics or, under AQE, by the size that its stage turned out to have."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 200_000
-_KEPT: list[DataFrame] = []
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    ``df`` is persisted (memory and disk; a lost block is recomputed from
-    lineage) and counted through ``limit(max_rows + 1)``, so the check is
-    bounded and the join that follows reuses the computed rows instead of
-    evaluating ``df`` again.  Within the bound the join is a broadcast hash
-    join and the large side is never shuffled; beyond it the frame is
-    returned unpersisted and the join shuffles (sort-merge, AQE splits
-    skewed partitions).  Meant for small derived tables: mappings, key
-    sets, dimension lookups.
-    """
-    from pyspark import StorageLevel
-
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = kept.limit(max_rows + 1).count()
-    if n <= max_rows:
-        _KEPT.append(kept)
-        return F.broadcast(kept)
-    kept.unpersist()
-    return df
-
-
-def release_cached() -> int:
-    """Unpersist every table kept by ``broadcast_if_small`` (each holds at
-    most its row bound).  Call between jobs in a long-lived session; a query
-    that still uses one recomputes it.  Returns how many were released."""
-    n = len(_KEPT)
-    while _KEPT:
-        kept = _KEPT.pop()
-        try:
-            kept.unpersist()
-        except Exception:  # noqa: BLE001 -- its session is already stopped
-            pass
-    return n
-
-
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their count.  A partial+final
     aggregate, so a hot key is combined map-side."""
@@ -89,12 +50,10 @@ def lookup_strict(c: Column, mapping: dict, fail: bool = False) -> Column:
 
 
 def lookup_table(df: DataFrame, col: str, table: DataFrame, key: str, value: str,
-                 out: str, keep_unmapped: bool = True,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """JOIN-5 / JOIN-6 against a user table ``(key, value)``: left join,
-    broadcast when the table is provably small, then ``coalesce`` with the
-    input for the keep-unmapped variant."""
+                 out: str, keep_unmapped: bool = True) -> DataFrame:
+    """JOIN-5 / JOIN-6 against a user table ``(key, value)``: left join, then
+    ``coalesce`` with the input for the keep-unmapped variant."""
     t = table.select(F.col(key).alias("_lk"), F.col(value).alias("_lv")).dropDuplicates(["_lk"])
-    j = df.join(broadcast_if_small(t, max_broadcast_rows), F.col(col) == F.col("_lk"), "left")
+    j = df.join(t, F.col(col) == F.col("_lk"), "left")
     res = F.coalesce(F.col("_lv"), F.col(col)) if keep_unmapped else F.col("_lv")
     return j.withColumn(out, res).drop("_lk", "_lv")

@@ -191,7 +191,7 @@ from h
 def q_json_lists(spark, sf):
     from silverline.operators.rollup import sorted_set
     o = T(spark, sf, "orders")
-    label = F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)).otherwise(F.upper(F.substring("o_orderpriority", 3, 100)))
+    label = F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None)).otherwise(F.upper(F.substr("o_orderpriority", F.lit(3))))
     g = o.groupBy("o_custkey").agg(
         F.count(F.lit(1)).alias("n_orders"), sorted_set("o_orderpriority").alias("priorities"),
         sorted_set(F.nullif("o_orderstatus", F.lit("P"))).alias("statuses"),

@@ -69,14 +69,12 @@ def test_failure_budget(spark, tmp_path):  # DQ-9 / DQ-10 / SNK-3
     assert spark.read.parquet(str(tmp_path / "q2")).count() == 2  # saved before raising
 
 
-def test_assert_unique_and_broadcast_check(spark):  # DQ-11 / JOIN-1
+def test_assert_unique_and_checked_join(spark):  # DQ-11 / JOIN-1
     a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
     b = spark.createDataFrame([(1, "p"), (1, "q")], "k int, w string")
     with pytest.raises(ValueError):
         joins.left_join_checked(a, b, ["k"])
     assert joins.left_join_checked(a, b.limit(1), ["k"]).count() == 2
-    small = joins.broadcast_if_small(a, max_rows=5)
-    assert "Broadcast" in small._jdf.queryExecution().analyzed().toString() or small.count() == 2
 
 
 CUR = [  # key, text, price, maybe
@@ -139,7 +137,7 @@ def test_upsert_keeps_columns_missing_from_new(spark):
     assert nxt[5].maybe == "x" and nxt[5].t == "text-change!"
 
 
-def test_lookups_and_broadcast_bound(spark):  # JOIN-5 / JOIN-6
+def test_lookups(spark):  # JOIN-5 / JOIN-6
     df = spark.createDataFrame([("H/s",), ("kH/s",), ("bogus",), (None,)], "u string")
     m = {"H/s": 1.0, "kH/s": 1000.0}
     got = [r[0] for r in df.select(joins.lookup_with_default(F.col("u"), {"H/s": "hash"})).collect()]
@@ -150,7 +148,7 @@ def test_lookups_and_broadcast_bound(spark):  # JOIN-5 / JOIN-6
     ok = df.filter("u is null or u in ('H/s', 'kH/s')").select(joins.lookup_strict(F.col("u"), m, fail=True))
     assert [r[0] for r in ok.collect()] == [1.0, 1000.0, None]
     table = spark.createDataFrame([("H/s", "per second"), ("kH/s", "thousands")], "k string, v string")
-    out = joins.lookup_table(df, "u", table, "k", "v", "label", max_broadcast_rows=1)  # beyond the bound: shuffle join
+    out = joins.lookup_table(df, "u", table, "k", "v", "label")
     assert sorted((r.u, r.label) for r in out.collect() if r.u) == [("H/s", "per second"), ("bogus", "bogus"),
                                                                     ("kH/s", "thousands")]
 
@@ -169,10 +167,27 @@ def test_bucketed_snapshot_is_not_shuffled(spark, tmp_path):  # co-located upser
     assert upsert.publish(cur, new, ["k"], "2024-06-01", str(tmp_path / "v1"), bucketed=("snap_v1", 4))
     snap = spark.table("snap_v1")
     nxt = upsert.upsert(snap, new.withColumn("t", F.concat("t", F.lit("+"))), ["k"], "2024-07-01")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")  # as many as buckets
     try:
         plan = nxt._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert plan.count("Exchange hashpartitioning") == 1  # only the incoming rows move
     assert sorted(r.k for r in nxt.collect()) == [1, 2, 3, 4, 5, 6, 7]
+
+
+def test_repeated_incoming_keys_leave_one_row_per_key(spark):  # UPS-2
+    cur = spark.createDataFrame([(1, "a", 0), (9, "z", 0)], "k int, v string, sent int")
+    new = spark.createDataFrame([(1, "old", 1), (1, "new", 2), (2, "x", 2), (2, "w", 1), (3, "same", 1), (3, "same", 1)], cur.schema)
+    nxt = upsert.upsert(cur, new, ["k"], "2024-06-01", order=["sent"]).collect()
+    assert sorted((r.k, r.v) for r in nxt) == [(1, "new"), (2, "x"), (3, "same"), (9, "z")]
+    summary = {r.change: r.n_rows for r in upsert.change_summary(cur, new, ["k"], order=["sent"]).collect()}
+    assert summary == {"updated": 1, "inserted": 2, "absent": 1}
+
+
+def test_totals_count_rows_and_reasons_together(spark):
+    counts = C.totals(C.check(_hundred(spark, 2)))
+    assert (counts["__rows__"], counts["__failed_rows__"], counts["kind|enum"]) == (100, 2, 2)

@@ -78,6 +78,7 @@ def test_alias_opportunities(spark):
 
 def test_alias_opportunities_skip_empty_key(spark):
     df = spark.createDataFrame([(n,) for n in ["比特币", "以太坊", "Bit-Coin", "bitcoin"]], "name string")
-    assert [r.name_key for r in entity.alias_opportunities(df, "name").collect()] == ["bitcoin"]
-    keys = sorted(r.name_key for r in entity.alias_opportunities(df, "name", skip_empty_key=False).collect())
-    assert keys == ["", "bitcoin"]
+    assert [r.name_key for r in entity.alias_opportunities(df, "name", skip_empty_key=True).collect()] == ["bitcoin"]
+    assert sorted(r.name_key for r in entity.alias_opportunities(df, "name").collect()) == ["", "bitcoin"]
+    long = {(r.name_key, r.name, r.n_names) for r in entity.alias_collisions(df, "name").collect()}
+    assert long == {("", "比特币", 2), ("", "以太坊", 2), ("bitcoin", "Bit-Coin", 2), ("bitcoin", "bitcoin", 2)}
