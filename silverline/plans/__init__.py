@@ -3,4 +3,4 @@ SQL that must give the same rows (``oracle``).  Importing the package
 registers every query."""
 
 from silverline.plans.registry import ORACLE, QUERIES  # noqa: F401
-from silverline.plans import entities, scalars, maintenance, pages, streams, reports, publish  # noqa: F401,E402
+from silverline.plans import entities, scalars, maintenance, pages, streams, reports, publish, files  # noqa: F401,E402

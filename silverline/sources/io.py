@@ -54,8 +54,7 @@ def read_pages(spark: SparkSession, folder: str, glob: str = "*.html") -> DataFr
     Each file is one row (``wholetext``); the key is the file stem taken from
     the hidden ``_metadata`` column, so no driver-side listing is needed.
     """
-    df = (spark.read.option("wholetext", "true").option("pathGlobFilter", glob)
-          .text(folder)
+    df = (spark.read.option("pathGlobFilter", glob).text(folder, wholetext=True)
           .select(F.col("_metadata.file_name").alias("file_name"),
                   F.col("_metadata.file_path").alias("url"),
                   F.col("value").alias("html")))
