@@ -46,7 +46,8 @@ def decode_references(c: Column | str) -> Column:
 
     head = F.element_at(parts, 1)
     tail = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), decoded)
-    return F.when(F.size(parts) > 1, F.concat(head, F.array_join(tail, ""))).otherwise(S._c(c))
+    # texts without an ampersand, most of them, skip all of this
+    return F.when(F.contains(S._c(c), F.lit("&")), F.concat(head, F.array_join(tail, ""))).otherwise(S._c(c))
 
 
 _TAG = r"(?s)<!--.*?-->|<[^>]*>"
@@ -59,8 +60,11 @@ def fragment_text(c: Column | str) -> Column:
 
 def stripped_text(c: Column | str) -> Column:
     """Each run of text between tags stripped, joined without a separator."""
-    runs = F.transform(F.split(S._c(c), _TAG, -1), lambda x: F.regexp_replace(decode_references(x), r"^\s+|\s+$", ""))
-    return F.array_join(runs, "")
+    def strip(x: Column) -> Column:
+        return F.regexp_replace(decode_references(x), r"^\s+|\s+$", "")
+
+    runs = F.transform(F.split(S._c(c), _TAG, -1), strip)
+    return F.when(F.contains(S._c(c), F.lit("<")), F.array_join(runs, "")).otherwise(strip(S._c(c)))
 
 
 def _has_class(cls: str) -> str:

@@ -165,55 +165,55 @@ def _text(*parts):
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
-def _order_lines(spark, sf):
-    """Lines of each order, in the order of their numbers."""
-    li = T(spark, sf, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("long").alias("q"),
-                                                               "l_returnflag", "l_linestatus").alias("l"))
-    return li.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l")).alias("lines"))
+def _customer_orders(spark, sf):
+    """Orders of each customer, in the order of their keys."""
+    o = T(spark, sf, "orders").select("o_custkey", F.struct(
+        "o_orderkey", F.col("o_totalprice").cast("long").alias("total"), F.col("o_orderstatus").alias("status"),
+        F.substring("o_orderpriority", 1, 1).alias("rank")).alias("o"))
+    return o.groupBy("o_custkey").agg(F.array_sort(F.collect_list("o")).alias("orders"))
 
 
-_SQL_ORDER_LINES = """lines as (select l_orderkey as page_id, l_partkey, cast(trunc(l_quantity) as bigint) as q, l_returnflag, l_linestatus,
-  cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, trunc(l_quantity), l_returnflag, l_linestatus) - 1
-       as integer) as row_idx from lineitem)"""
+_SQL_CUSTOMER_ORDERS = """lines as (select o_custkey as page_id, o_orderkey, cast(trunc(o_totalprice) as bigint) as total, o_orderstatus as status,
+  substr(o_orderpriority, 1, 1) as rank, cast(row_number() over (partition by o_custkey order by o_orderkey) - 1 as integer) as row_idx from orders)"""
 
 
 @register("page_tables", f"""
-with {_SQL_ORDER_LINES}
-select page_id, row_idx, 'Part & ' || l_partkey as part, '/part?id=' || l_partkey || '&v=''1''' as part_href,
-  cast(q as varchar) as quantity, l_returnflag || l_linestatus as extra
+with {_SQL_CUSTOMER_ORDERS}
+select page_id, row_idx, 'Order & ' || o_orderkey as order_name, '/order?id=' || o_orderkey || '&v=''1''' as order_href,
+  cast(total as varchar) as total, status || rank as extra
 from lines
 """)
 def q_page_tables(spark, sf):
-    """EXT-1: one page per order; cells and rows without end tags, a linked
+    """EXT-1: one page per customer; cells and rows without end tags, a linked
     cell in each row, one cell more than headers."""
     def row(x, i):
-        return _text("<tr class='r'><td><a href=\"/part?id=", x["l_partkey"], "&amp;v='1'\">Part &amp; ", x["l_partkey"], "</a><td>", x["q"],
-                     F.when(i % 2 == 0, "</td><td>").otherwise("<td>"), x["l_returnflag"], "<i> </i>", x["l_linestatus"])
-    pages = _order_lines(spark, sf).select(F.col("l_orderkey").alias("page_id"), _text(
-        "<table><tr><td>not this one</table><table class=\"wide table\"><thead><tr><th>Part<th> Quantity </thead>",
-        F.array_join(F.transform("lines", row), "\n"), "</table><table class='table'><tr><td>nor this</td></tr></table>").alias("html"))
+        return _text("<tr class='r'><td><a href=\"/order?id=", x["o_orderkey"], "&amp;v='1'\">Order &amp; ", x["o_orderkey"], "</a><td>", x["total"],
+                     F.when(i % 2 == 0, "</td><td>").otherwise("<td>"), x["status"], "<i> </i>", x["rank"])
+    pages = _customer_orders(spark, sf).select(F.col("o_custkey").alias("page_id"), _text(
+        "<table><tr><td>not this one</table><table class=\"wide table\"><thead><tr><th>Order<th> Total </thead>",
+        F.array_join(F.transform("orders", row), "\n"), "</table><table class='table'><tr><td>nor this</td></tr></table>").alias("html"))
     cells = F.col("cells")
     return X.html_tables(pages, ["page_id"]).select(
-        "page_id", "row_idx", cells["Part"].alias("part"), cells["Part_href"].alias("part_href"), cells["Quantity"].alias("quantity"), cells["_col2"].alias("extra"))
+        "page_id", "row_idx", cells["Order"].alias("order_name"), cells["Order_href"].alias("order_href"), cells["Total"].alias("total"), cells["_col2"].alias("extra"))
 
 
 @register("page_grids", f"""
-with {_SQL_ORDER_LINES}
-select page_id, row_idx, cast(l_partkey as varchar) as part, l_returnflag || ', ' || l_linestatus as flags, cast(q as varchar) as quantity_2,
-  case when q > 10 then 'https://example.org/part/' || l_partkey else '' end as url from lines
+with {_SQL_CUSTOMER_ORDERS}
+select page_id, row_idx, cast(o_orderkey as varchar) as order_name, status || ', ' || rank as flags, cast(total as varchar) as total_2,
+  case when total % 3 > 0 then 'https://example.org/order/' || o_orderkey else '' end as url from lines
 """)
 def q_page_grids(spark, sf):
-    """EXT-2: one grid of nested divs per order, with tags, a repeated header and a link on some rows."""
+    """EXT-2: one grid of nested divs per customer, with tags, a repeated header and a link on some rows."""
     def row(x):
-        link = F.when(x["q"] > 10, _text("<a href='/part/", x["l_partkey"], "'>", x["l_partkey"], "</a>")).otherwise(x["l_partkey"].cast("string"))
-        return _text("<div class=\"tr odd\"><div class='td'>", link, "</div><div class=\"td\"><div class=\"tag\">", x["l_returnflag"],
-                     "</div><a class='blue tag' href='/x'>", x["l_linestatus"], "</a></div><div class='td'>1</div><div class='td'>", x["q"], "</div></div>")
-    pages = _order_lines(spark, sf).select(F.col("l_orderkey").alias("page_id"), _text(
-        "<div><div class='box_table'><div class='tr'><div class='th'>Part</div><div class='th'>Flags</div><div class='th'>Quantity</div><div class='th'>Quantity</div></div>",
-        F.array_join(F.transform("lines", row), ""), "</div><div class='tr'><div class='td'>outside</div></div></div>").alias("html"))
+        link = F.when(x["total"] % 3 > 0, _text("<a href='/order/", x["o_orderkey"], "'>", x["o_orderkey"], "</a>")).otherwise(x["o_orderkey"].cast("string"))
+        return _text("<div class=\"tr odd\"><div class='td'>", link, "</div><div class=\"td\"><div class=\"tag\">", x["status"],
+                     "</div><a class='blue tag' href='/x'>", x["rank"], "</a></div><div class='td'>1</div><div class='td'>", x["total"], "</div></div>")
+    pages = _customer_orders(spark, sf).select(F.col("o_custkey").alias("page_id"), _text(
+        "<div><div class='box_table'><div class='tr'><div class='th'>Order</div><div class='th'>Flags</div><div class='th'>Total</div><div class='th'>Total</div></div>",
+        F.array_join(F.transform("orders", row), ""), "</div><div class='tr'><div class='td'>outside</div></div></div>").alias("html"))
     cells = F.col("cells")
-    return X.html_grid(pages, ["page_id"], link_col="Part", base_url="https://example.org/").select(
-        "page_id", "row_idx", cells["Part"].alias("part"), cells["Flags"].alias("flags"), cells["Quantity_2"].alias("quantity_2"), cells["url"].alias("url"))
+    return X.html_grid(pages, ["page_id"], link_col="Order", base_url="https://example.org/").select(
+        "page_id", "row_idx", cells["Order"].alias("order_name"), cells["Flags"].alias("flags"), cells["Total_2"].alias("total_2"), cells["url"].alias("url"))
 
 
 @register("page_label_values", """
