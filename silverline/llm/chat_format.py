@@ -72,7 +72,7 @@ def _runs(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(start - before, length) + np.arange(int(length.sum()))
 
 
-def assemble(roles: list[str | None], texts: pa.Array, learn: np.ndarray):
+def assemble(roles: list[str | None], texts: pa.Array):
     """Bytes of all turns, the start of each turn and of its content, and the
     content's end; one preallocated buffer."""
     data, off = C.text_buffers(texts)
@@ -106,7 +106,7 @@ def _emit(rows: pa.Table, first_part: int, learn: frozenset[str]) -> pa.RecordBa
     """One output row for each run of rows with the same id."""
     ids, roles = rows.column(0).combine_chunks(), rows.column(1).to_pylist()
     learned = np.array([r in learn for r in roles], bool)
-    out, start, content, end = assemble(roles, rows.column(2).combine_chunks(), learned)
+    out, start, content, end = assemble(roles, rows.column(2).combine_chunks())
     cuts = _id_cuts(ids)
     points = C.code_points(out)
     base = np.repeat(points[start[cuts[:-1]]], np.diff(cuts))

@@ -7,7 +7,6 @@ and need a small multiple of that slice in memory.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -17,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverline.session import checkpoint_dir, ship_package
+from silverline.session import ship_package, stored  # noqa: F401  (stored: for the operators)
 
-SLICE_BYTES = 4 << 20
+#: Text bytes worked on at a time; arrays of some 30 times that go with it.
+SLICE_BYTES = 2 << 20
 
 #: White space of the line and word contracts: space and \x09-\x0D.
 IS_SPACE = np.zeros(256, bool)
@@ -170,14 +170,22 @@ def window_hash(words: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder of
-    ``spark.checkpoint.dir`` and read it back: lineage ends there and a lost
-    executor costs a re-read, not a recomputation."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+_HELD: dict[str, object] = {}
+
+
+def held(key: str, build):
+    """What ``build`` gives, kept in this Python worker under ``key``.  A
+    worker serves many stages and keeps the last object only, so models of
+    operators that are done take no memory."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
+def let_go() -> None:
+    """Drop what an earlier stage left in this worker."""
+    _HELD.clear()
 
 
 def prepared(spark: SparkSession) -> None:

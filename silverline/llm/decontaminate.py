@@ -158,10 +158,6 @@ def _item_blocks(items: DataFrame, limit: int) -> Iterator[tuple[list, list[str]
         yield ids, texts
 
 
-#: The prepared block of a worker, under a key that no other block has.
-_BLOCKS: dict[str, ItemBlock] = {}
-
-
 def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
                budget: float = BUDGET, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with ``leaks``: an array of (item, distance) of the items that
@@ -177,10 +173,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
         shared = spark.sparkContext.broadcast((ids, texts))
 
         def compute(column: pa.Array, shared=shared, key=uuid.uuid4().hex) -> list[pa.Array]:
-            if key not in _BLOCKS:
-                _BLOCKS.clear()
-                _BLOCKS[key] = ItemBlock(shared.value[1], budget)
-            found = _BLOCKS[key].leaks(column)
+            found = C.held(key, lambda: ItemBlock(shared.value[1], budget)).leaks(column)
             own = shared.value[0]
             return [pa.array([[{"item": own[i], "distance": d} for i, d in sorted(f.items())] for f in found], _arrow(kind))]
 

@@ -82,6 +82,7 @@ def minhashes(row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _sketch(runs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.let_go()
         for batch in batches:
             for part in C.byte_slices(batch, "text"):
                 rows, least = minhashes(*shingles(*C.text_buffers(part.column(2))))
@@ -233,7 +234,7 @@ def _exact(threshold: float):
 def _linked(texts: pa.Array, side: np.ndarray, threshold: float) -> np.ndarray:
     """Which pairs of texts reach the threshold (across sides only, if there are two)."""
     n = len(texts)
-    size, row_parts, hash_parts = np.zeros(n, np.int64), [], []
+    row_parts, hash_parts = [], []
     batch = pa.RecordBatch.from_arrays([texts], names=["text"])
     at = 0
     for part in C.byte_slices(batch, "text"):

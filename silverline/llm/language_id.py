@@ -177,9 +177,6 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", s
     return Statistics(languages, classes, counts)
 
 
-_MODELS: dict[str, Model] = {}
-
-
 def identify(docs: DataFrame, statistics: Statistics, text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (the share of the predicted
     language in the likelihood, 0 to 1)."""
@@ -192,10 +189,7 @@ def identify(docs: DataFrame, statistics: Statistics, text_col: str = "text") ->
     def compute(texts: pa.Array) -> list[pa.Array]:
         if not languages:
             return [pa.nulls(len(texts), pa.string()), pa.array(np.zeros(len(texts)))]
-        if key not in _MODELS:
-            _MODELS.clear()
-            _MODELS[key] = Model(shared.value)
-        best, score = _MODELS[key].predict(texts)
+        best, score = C.held(key, lambda: Model(shared.value)).predict(texts)
         return [pa.array(languages, pa.string()).take(pa.array(best)), pa.array(score)]
 
     out = C.add_columns(docs, text_col, compute, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])

@@ -74,6 +74,7 @@ def _bit_rows(hashes: list[np.ndarray], bits: int) -> pa.RecordBatch:
 
 def _emit_bits(bits: int, min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        C.let_go()
         held, n = [], 0
         for batch in batches:
             for part in C.byte_slices(batch, "text"):

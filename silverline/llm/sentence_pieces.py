@@ -327,14 +327,8 @@ def decode_slice(ids: pa.Array, vocab: Vocabulary) -> pa.Array:
     return pc.if_else(ids.is_valid(), texts, pa.scalar(None, texts.type)).cast(pa.string())
 
 
-_LOADED: dict[str, Vocabulary] = {}
-
-
 def _vocabulary(shared, key: str) -> Vocabulary:
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Vocabulary(shared.value)
-    return _LOADED[key]
+    return C.held(key, lambda: Vocabulary(shared.value))
 
 
 def _shared(df: DataFrame, model_file: str):

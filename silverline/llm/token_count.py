@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,14 +34,13 @@ from pyspark.sql import types as T
 
 from silverline.llm import common as C
 
-#: Distinct pieces come down with the slice size; 16 MB keeps a worker under some 300 MB.
-SLICE_BYTES = 16 << 20
+#: The larger a slice, the fewer its distinct pieces; 8 MB keep a worker under some 300 MB.
+SLICE_BYTES = 8 << 20
 BATCH_BYTES = 1 << 18
 #: Pieces whose count a worker remembers, and the longest that it remembers.
 MEMORY, REMEMBERED_BYTES = 1 << 19, 64
 
 _SPACES = {bytes([b]) for b in np.flatnonzero(C.IS_SPACE)}
-_ENCODERS: dict[int, "_Encoder"] = {}
 
 
 class _Encoder:
@@ -157,12 +157,8 @@ def count_tokens(docs: DataFrame, vocabulary: str, text_col: str = "text", limit
         content = f.read()
     shared, name = docs.sparkSession.sparkContext.broadcast(content), os.path.basename(vocabulary)
 
-    def compute(texts: pa.Array) -> list[pa.Array]:
-        key = hash((name, shared.value))
-        if key not in _ENCODERS:
-            _ENCODERS.clear()
-            _ENCODERS[key] = _Encoder(name, shared.value)
-        n = token_counts(texts, _ENCODERS[key])
+    def compute(texts: pa.Array, key=uuid.uuid4().hex) -> list[pa.Array]:
+        n = token_counts(texts, C.held(key, lambda: _Encoder(name, shared.value)))
         size = pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())
         return [size, pa.array(n), pa.array(n > limit)]
 

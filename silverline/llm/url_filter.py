@@ -92,7 +92,7 @@ def _widened(paths: DataFrame, level: int, min_children: int, max_mean: float) -
             .select("host", "look", "segs", "n", "blocked", "labelled"))
 
 
-def template_shares(paths: DataFrame, prior: float, strength: float, z: float, depth: int) -> DataFrame:
+def template_shares(paths: DataFrame, prior: float, strength: float, z: float) -> DataFrame:
     """(host, look, share): the estimated share of blocked labels of each path's template."""
     node = F.explode(F.transform(F.sequence(F.lit(0), F.size("segs")), lambda i: F.struct(
         i.alias("level"), F.when(i == 0, F.array().cast("array<string>")).otherwise(F.slice("segs", 1, F.greatest(i, F.lit(1)))).alias("above"))))
@@ -135,7 +135,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url", de
     for level in range(deepest or 0):
         paths = C.stored(_widened(paths, level, min_children, max_mean), "url-paths")
     prior = (blocked or 0) / labelled if labelled else 0.0
-    shares = template_shares(paths, prior, strength, z, depth)
+    shares = template_shares(paths, prior, strength, z)
     judged = shares.select("host", "look", F.array_join("segs", "/").alias("template"), F.when(F.col("share") >= reject, "block").otherwise("allow").alias("method"))
     return (rows.drop("segs").join(judged, ["host", "look"], "left")
             .select(*[F.col(rest)[c].alias(c) for c in cols], "host", "path", "rule", F.coalesce("said", "method").alias("verdict"), "template"))
