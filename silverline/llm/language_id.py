@@ -16,9 +16,9 @@ Scoring needs no tree walk: the code lengths of all four-grams seen in training
 are worked out once, an index of 64^4 entries finds them, and other four-grams
 take the escape of their context plus the length one order lower.
 
-Training takes a sample bounded by ``sample_bytes`` of distinct texts per
-language, chosen by a hash of the text.  Prediction sees all of every text, and
-nothing but the text.
+Training takes the distinct texts of each language in the order of a hash of
+the text, up to ``sample_bytes`` bytes; the text that crosses the bound is cut
+there.  Prediction sees all of every text, and nothing but the text.
 
 Defined cases: ``und`` with score 0 if a text is null or has no letter, or if
 nothing was learned.  Ties go to the language that sorts first.  Repeated rows
@@ -45,6 +45,8 @@ SAMPLE_BYTES = 2 << 20
 UNKNOWN = "und"
 #: What precedes a text.
 _BEFORE = 10
+#: Above every rank of a text.
+_ALL = 1 << 62
 
 
 def _symbols(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -148,21 +150,62 @@ def _gram_counts(classes: np.ndarray):
     return run
 
 
+def _prefix(text: Column, size: Column) -> Column:
+    """The first ``size`` bytes of a longer text, less the bytes of a character that would be cut."""
+    raw = text.cast("binary")
+
+    def whole(end: Column) -> Column:
+        return ~F.hex(F.substring(raw, (end + 1).cast("int"), F.lit(1))).between("80", "BF")
+
+    end = F.when(whole(size), size).when(whole(size - 1), size - 1).when(whole(size - 2), size - 2).otherwise(size - 3)
+    return F.substring(raw, F.lit(1), end.cast("int")).cast("string")
+
+
+def _last_texts(rows: DataFrame, sample_bytes: int) -> dict[str, tuple[int, int]]:
+    """For each language the rank of the last distinct text that the sample
+    takes, and the bytes left for it (rank ``_ALL`` if all texts fit).  The
+    driver sees a histogram over ranks, fine near zero, and the texts of the
+    one bar of each language that crosses the bound."""
+    texts = C.stored(rows.groupBy("lang", "rank").agg(F.max(F.octet_length("text")).cast("long").alias("bytes"))
+                     .withColumn("bar", F.floor(16 * F.log2(F.col("rank") + 1))), "language-texts")
+    bars: dict[str, list] = {}
+    for lang, bar, n in texts.groupBy("lang", "bar").agg(F.sum("bytes")).collect():
+        bars.setdefault(lang, []).append((bar, n))
+    crossed, before = {}, {}
+    for lang, own in bars.items():
+        before[lang] = 0
+        for bar, n in sorted(own):
+            if before[lang] + n >= sample_bytes:
+                crossed[lang] = bar
+                break
+            before[lang] += n
+    last = dict.fromkeys(bars, (_ALL, 0))
+    if crossed:
+        bar = F.create_map(*[F.lit(x) for lang in bars for x in (lang, crossed.get(lang, -1))])
+        for lang, rank, n in sorted(texts.filter(F.col("bar") == bar[F.col("lang")]).select("lang", "rank", "bytes").collect()):
+            if last[lang][0] == _ALL:
+                if before[lang] + n >= sample_bytes:
+                    last[lang] = (rank, sample_bytes - before[lang])
+                before[lang] += n
+    return last
+
+
 def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_bytes: int = SAMPLE_BYTES) -> Statistics:
     """Fit the context trees on a bounded sample of the rows of ``labelled``
     that have a language and a letter.  What reaches the driver are four-gram
     counts of the sample."""
     C.prepared(labelled.sparkSession)
     rows = labelled.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")).filter(
-        F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}"))
-    total = {r[0]: r[1] for r in rows.groupBy("lang").agg(F.sum(F.octet_length("text"))).collect()}
-    languages = sorted(total)
+        F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")).withColumn("rank", F.shiftrightunsigned(F.xxhash64("text"), 2))
+    last = _last_texts(rows, sample_bytes)
+    languages = sorted(last)
     if not languages:
         return Statistics([], np.zeros(256, np.uint8), [])
-    part = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, sample_bytes / max(total[lang], 1)))])
-    chosen = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < part[F.col("lang")] * F.lit(float(1 << 30)))
-    # copies count once; a language's share of the bytes is small now
-    sample = C.stored(chosen.dropDuplicates(["lang", "text"]).select("text", "lang"), "language-sample")
+    rank, room = (F.create_map(*[F.lit(x) for lang in languages for x in (lang, last[lang][k])])[F.col("lang")].cast("long") for k in (0, 1))
+    chosen = rows.filter(F.col("rank") <= rank).withColumn("room", F.when(F.col("rank") == rank, room))
+    cut = F.when(F.octet_length("text") > F.col("room"), _prefix(F.col("text"), F.col("room"))).otherwise(F.col("text"))
+    # copies count once
+    sample = C.stored(chosen.select("lang", cut.alias("text"), "rank").distinct().select("text", "lang"), "language-sample")
     seen = sample.mapInArrow(_byte_counts, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
     common = sorted(seen, key=lambda r: (-r["n"], r["byte"]))[:SYMBOLS - 1]
     classes = np.zeros(256, np.uint8)

@@ -73,3 +73,18 @@ def test_edges(spark):
     assert {(r.lang_pred, r.score) for r in identify(df, nothing).collect()} == {("und", 0.0)}
     # unlabelled rows and rows without a letter teach nothing
     assert learn(spark.createDataFrame([("abc", None), (None, "aa"), ("1", "aa")], "text string, lang string")).languages == []
+
+
+def test_sample_is_filled_from_distinct_texts(spark):
+    """Copies and long texts take nothing away from a language's sample."""
+    rnd = random.Random(2)
+    word = lambda: "".join(rnd.choices("abcdefgh", k=6))
+    copies = spark.range(3000).selectExpr("repeat('copy of one text ', 60) as text", "'aa' as lang")
+    other = [(" ".join(word() for _ in range(15)), "aa") for _ in range(400)]
+    long = [("é" * 5001 + word() * 5000, "bb") for _ in range(5)]
+    few = [("short text", "cc")] * 3
+    statistics = learn(copies.unionByName(spark.createDataFrame(other + long + few, "text string, lang string")), sample_bytes=5001)
+    assert statistics.languages == ["aa", "bb", "cc"]
+    # each byte of the sample is one four-gram; no character is cut
+    assert [int(n.sum()) for _, n in statistics.counts] == [5001, 5000, 10]
+    assert len(statistics.counts[0][0]) > 1000  # not one text alone
