@@ -14,6 +14,12 @@ boilerplate; a tag costs more the more often it stands outside.  ``PRIOR``
 adds what is known of common names as counts, so a page set without any label
 works too.
 
+What a page marks is taken whole: inside its one ``article`` or ``main`` tags
+cost nothing, and boilerplate is left out without splitting the content.  The
+names of an element around all of the content say nothing about it: those of
+``html``, ``body`` and of elements around the marked content (without one:
+around more than half of the page's words) are not applied.
+
 Text rules: character references are decoded, white space inside a block
 becomes one space, blocks are joined by one space.
 
@@ -80,25 +86,28 @@ class Weights:
 
 
 class Element:
-    """An open element: its names, the one around it, whether it lies in the marked content."""
+    """An open element: its names, the one around it, whether it lies in the marked content or is around it."""
 
-    __slots__ = ("around", "names", "within", "weight")
+    __slots__ = ("around", "names", "within", "encloses", "words", "weight")
 
     def __init__(self, around: Element | None, names: tuple[str, ...]):
         self.around, self.names = around, names
         self.within = names[0] in _MAIN or (around is not None and around.within)
+        self.encloses = names[0] in ("html", "body")
+        self.words = 0
         #: the lowest feature weight on the way down to it, once asked for
         self.weight: float | None = None
 
 
 class Page:
-    """Tokens of a page: runs of text with the element around them, and tags."""
+    """Tokens of a page: runs of text and tags, with the element around them."""
 
-    __slots__ = ("items", "contained")
+    __slots__ = ("items", "elements", "contained")
 
     def __init__(self, source: str):
-        #: (tag, closing, None, None) or (None, False, text, element)
+        #: (tag, closing, None, element) or (None, False, text, element)
         self.items: list[tuple[str | None, bool, str | None, Element | None]] = []
+        self.elements: list[Element] = []  # those around others come first
         self.contained = 0  # article and main elements outside each other
         stack: list[tuple[str, Element | None]] = []
         open_tags: Counter = Counter()
@@ -113,8 +122,8 @@ class Page:
                 continue
             tag = tag.lower()
             closing = bool(m["close"])
-            self.items.append((tag, closing, None, None))
             if tag in _VOID:
+                self.items.append((tag, closing, None, now))
                 continue
             if not closing:
                 if tag in _SELF_CLOSING and stack and stack[-1][0] == tag:
@@ -123,7 +132,9 @@ class Page:
                     now = stack[-1][1] if stack else None
                 if tag in _MAIN and not (now and now.within):
                     self.contained += 1
+                self.items.append((tag, closing, None, now))
                 now = Element(now, _features(tag, m["attrs"]))
+                self.elements.append(now)
                 stack.append((tag, now))
                 open_tags[tag] += 1
             elif open_tags[tag]:  # what is still open inside closes with it
@@ -133,6 +144,8 @@ class Page:
                     if last == tag:
                         break
                 now = stack[-1][1] if stack else None
+            if closing:
+                self.items.append((tag, closing, None, now))
         if at < len(source):
             self.items.append((None, False, source[at:], now))
 
@@ -187,22 +200,51 @@ _NEUTRAL = frozenset("""html body div section span p ul ol li dl dt dd a b i u s
     h1 h2 h3 h4 h5 h6 pre blockquote figure figcaption img br""".split())
 
 
-def _score(page: Page, weights: Weights) -> list[float]:
+def _mark_enclosing(page: Page) -> None:
+    """Find the elements around the content."""
+    if page.contained == 1:
+        element = next(e for e in page.elements if e.within).around
+        while element is not None:
+            element.encloses = True
+            element = element.around
+        return
+    total = 0
+    for tag, _, text, element in page.items:
+        if tag is None:
+            n = len(text.split())
+            total += n
+            if element is not None:
+                element.words += n
+    for element in reversed(page.elements):
+        if element.around is not None:
+            element.around.words += element.words
+        # hidden text stays hidden
+        if 2 * element.words > total and "!hidden" not in element.names:
+            element.encloses = True
+
+
+def _score(page: Page, weights: Weights) -> tuple[list[float], list[bool]]:
+    """(score, whether its text is the page's) of each item."""
     marked = page.contained == 1
-    scores = []
+    _mark_enclosing(page)
+    scores, kept = [], []
     for tag, closing, text, element in page.items:
+        within = marked and element is not None and element.within
+        own = True
         if tag is not None:
-            scores.append(-weights.tags.get(f"/{tag}" if closing else tag, 0.5))
-            continue
-        n = len(text.split())
-        if n and element is not None and _lowest(element, weights) <= -_BOILERPLATE:
-            scores.append(-0.25 * n)
-        elif marked and not (element is not None and element.within):
-            # where one element marks the content, other words weigh more against it
-            scores.append(-1.0 * n)
+            score = 0.0 if within else -weights.tags.get(f"/{tag}" if closing else tag, 0.5)
         else:
-            scores.append(1.0 * n)
-    return scores
+            n = len(text.split())
+            if n and element is not None and _lowest(element, weights) <= -_BOILERPLATE:
+                score, own = 0.0 if within else -0.25 * n, False
+            elif marked and not within:
+                # where one element marks the content, other words weigh more against it
+                score, own = -1.0 * n, n == 0
+            else:
+                score = 1.0 * n
+        scores.append(score)
+        kept.append(own)
+    return scores, kept
 
 
 def _lowest(element: Element, weights: Weights) -> float:
@@ -213,7 +255,7 @@ def _lowest(element: Element, weights: Weights) -> float:
         element = element.around
     low = element.weight if element is not None else 0.0
     for e in reversed(chain):
-        for k, name in enumerate(e.names):
+        for k, name in enumerate(() if e.encloses else e.names):
             # a header inside the content is a headline, not the page's header
             if not (k == 0 and name in _NEUTRAL) and not (name == "header" and e.within):
                 low = min(low, weights.features.get(name, 0.0))
@@ -226,7 +268,7 @@ def main_text(source: str | None, weights: Weights) -> str:
     if not source:
         return ""
     page = Page(source)
-    scores = _score(page, weights)
+    scores, kept = _score(page, weights)
     best, best_from, best_to, run, run_from = 0.0, 0, 0, 0.0, 0
     for i, s in enumerate(scores):
         if run <= 0:
@@ -235,9 +277,9 @@ def main_text(source: str | None, weights: Weights) -> str:
         if run > best:
             best, best_from, best_to = run, run_from, i + 1
     blocks, now = [], []
-    for (tag, _, text, _), s in zip(page.items[best_from:best_to], scores[best_from:best_to]):
+    for (tag, _, text, _), own in zip(page.items[best_from:best_to], kept[best_from:best_to]):
         if tag is None:
-            if s >= 0:
+            if own:
                 now.append(text)
         elif tag in _BLOCK and now:
             blocks.append("".join(now))

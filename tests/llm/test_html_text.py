@@ -49,3 +49,23 @@ def test_frames(spark):
     rows = extract_text(df, learn_weights(df)).collect()
     assert [(r.text, r.n_chars) for r in rows] == [("", 0), (TEXT, len(TEXT)), (TEXT, len(TEXT))]
     assert extract_text(df.limit(0), learn_weights(df.limit(0))).collect() == []
+
+
+def test_marked_content_is_whole():
+    """Costs of tags that stand in menus and names around the content take nothing from a marked article."""
+    menus = {(t, False): 10_000 for t in ("a", "/a", "li", "/li", "ul", "/ul")}
+    learned = fit({}, menus)
+    assert learned.tags["li"] > 5
+    items = "<ul>" + "".join(f"<li><a href=/{k}>three word item{k}</a></li>" for k in range(40)) + "</ul>"
+    listed = " ".join(f"three word item{k}" for k in range(40))
+    aside = "<aside>" + "word " * 900 + "</aside>"
+    for inside, text in ((BODY + items, f"{TEXT} {listed}"), (items + BODY, f"{listed} {TEXT}"), (BODY + items + BODY, f"{TEXT} {listed} {TEXT}"),
+                         (BODY + aside + BODY, f"{TEXT} {TEXT}")):
+        assert main_text(f"<body>{MENU}<article>{inside}</article>{MENU}</body>", learned) == text
+        for around in ("<html class=nav><body class='no-sidebar'>{}", "<body><div class='has-comments'>{}</div>", "<div id=login-social><section class=promo>{}</section></div>"):
+            assert main_text(around.format(f"{MENU}<main>{inside}</main>{MENU}"), learned) == text
+
+
+@pytest.mark.parametrize("around", ["<body class='no-sidebar'>{}</body>", "<div class='has-comments'>{}</div>"])
+def test_names_around_most_words_without_an_article(untrained, around):
+    assert main_text(around.format(f"{MENU}<div>{BODY}</div><div class='comments'>I do not agree</div>"), untrained) == TEXT
