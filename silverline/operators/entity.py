@@ -186,21 +186,24 @@ def canonical_names(df: DataFrame, name_col: str, out_col: str = "canonical_name
     return j.withColumn(out_col, pick).drop("_nk", "_canon")
 
 
+#: Names in one row of a list.
+LISTED_NAMES = 1000
+
+
 def alias_opportunities(df: DataFrame, name_col: str, key_fn=S.match_key,
                         skip_empty_key: bool = False) -> DataFrame:
     """ENT-3: groups of distinct names that collide under the match key, as
     rows ``(name_key, names_json, n_names)``; names sorted.  Distinct names
     are taken first so the collected lists hold only distinct spellings.
     Names with no ASCII letter or digit all share key ``''`` and are reported
-    as one group, unless ``skip_empty_key``; where that group may be large take
-    ``alias_collisions``, which keeps one row per name."""
-    names = df.select(F.col(name_col).alias("_n")).filter(F.col("_n").isNotNull()).distinct()
-    keyed = names.withColumn("name_key", key_fn(F.col("_n")))
+    as one group, unless ``skip_empty_key``.  A group of more than
+    ``LISTED_NAMES`` names comes in several rows of about that many names;
+    ``n_names`` counts the whole group in each."""
+    keyed = alias_collisions(df, name_col, key_fn)
     if skip_empty_key:
         keyed = keyed.filter(F.col("name_key") != "")
-    g = (keyed.groupBy("name_key")
-         .agg(F.array_sort(F.collect_list("_n")).alias("_names"), F.count(F.lit(1)).alias("n_names"))
-         .filter(F.col("n_names") > 1))
+    part = F.pmod(F.xxhash64("name"), F.ceil(F.col("n_names") / LISTED_NAMES))
+    g = keyed.groupBy("name_key", "n_names", part.alias("_part")).agg(F.array_sort(F.collect_list("name")).alias("_names"))
     return g.select("name_key", F.to_json("_names").alias("names_json"), "n_names")
 
 

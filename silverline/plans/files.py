@@ -30,8 +30,11 @@ def q_json_records(spark, sf):
     record = F.struct(F.col("o_orderkey").alias("Order Key"), F.col("o_orderstatus").alias("Status"),
                       F.when(F.col("o_orderkey") % 4 != 0, F.concat(F.lit("/"), F.col("o_orderkey").cast("string"), F.lit(".png"))).alias("logo"),
                       F.col("o_totalprice").alias("Total (USD)"))
-    # a document holds the orders of one customer and day part
-    docs = T(spark, sf, "orders").groupBy("o_custkey", F.col("o_orderkey") % 64).agg(F.collect_list(record).alias("items"))
+    # a document holds orders of one customer, up to about 64; a customer with more has more documents
+    o = T(spark, sf, "orders")
+    sizes = o.groupBy(F.col("o_custkey").alias("customer")).agg(F.count(F.lit(1)).alias("n_orders"))
+    part = F.pmod(F.xxhash64("o_orderkey"), F.ceil(F.col("n_orders") / 64))
+    docs = o.join(sizes, F.col("o_custkey").eqNullSafe(F.col("customer"))).groupBy("customer", part).agg(F.collect_list(record).alias("items"))
     nested = F.struct(F.struct(F.struct("items").alias("context"), F.lit(1).alias("page")).alias("result"))
     docs.select(F.to_json(nested).alias("value")).write.text(f"{out}/docs")
     schema = StructType.fromDDL(f"result struct<context:struct<items:array<{ORDER_RECORD}>>>")

@@ -3,12 +3,14 @@ STR-7..19)."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from silverline.functions import predicates as P
 from silverline.functions import strings as S
 from silverline.operators import extract as X
 from silverline.plans.registry import T, register
+from silverline.session import stored
 
 TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
 
@@ -165,12 +167,32 @@ def _text(*parts):
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
 
+#: Orders on one page.
+PAGE_ORDERS = 500
+
+
 def _customer_orders(spark, sf):
-    """Orders of each customer, in the order of their keys."""
+    """Runs of up to ``PAGE_ORDERS`` orders of a customer in the order of their
+    keys, with the rank of the first: (o_custkey, first, orders).  Orders are
+    ranked inside sorted ranges, and a customer may span many of them."""
     o = T(spark, sf, "orders").select("o_custkey", F.struct(
         "o_orderkey", F.col("o_totalprice").cast("long").alias("total"), F.col("o_orderstatus").alias("status"),
         F.substring("o_orderpriority", 1, 1).alias("rank")).alias("o"))
-    return o.groupBy("o_custkey").agg(F.array_sort(F.collect_list("o")).alias("orders"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = stored(o.repartitionByRange(parts, "o_custkey", "o.o_orderkey").withColumn("_range", F.spark_partition_id()), "customer-orders")
+    sizes = ranged.groupBy("o_custkey", "_range").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("o_custkey", "_custkey").withColumnRenamed("_range", "_part")
+    # one row per customer and range
+    before = sizes.withColumn("_before", F.sum("_n").over(Window.partitionBy("_custkey").orderBy("_part")) - F.col("_n")).drop("_n")
+    inside = F.row_number().over(Window.partitionBy("o_custkey", "_range").orderBy("o.o_orderkey")) - 1
+    runs = (ranged.withColumn("_inside", inside).groupBy("o_custkey", "_range", F.floor(F.col("_inside") / PAGE_ORDERS).alias("_run"))
+            .agg(F.array_sort(F.collect_list("o")).alias("orders")))
+    same = F.col("o_custkey").eqNullSafe(F.col("_custkey")) & (F.col("_range") == F.col("_part"))
+    return runs.join(before, same).select("o_custkey", (F.col("_before") + F.col("_run") * PAGE_ORDERS).alias("first"), "orders")
+
+
+def _row_idx():
+    """Place of a row among all of its customer's."""
+    return (F.col("first") + F.col("row_idx")).cast("int").alias("row_idx")
 
 
 _SQL_CUSTOMER_ORDERS = """lines as (select o_custkey as page_id, o_orderkey, cast(trunc(o_totalprice) as bigint) as total, o_orderstatus as status,
@@ -184,17 +206,17 @@ select page_id, row_idx, 'Order & ' || o_orderkey as order_name, '/order?id=' ||
 from lines
 """)
 def q_page_tables(spark, sf):
-    """EXT-1: one page per customer; cells and rows without end tags, a linked
+    """EXT-1: one page per customer and run of orders; cells and rows without end tags, a linked
     cell in each row, one cell more than headers."""
     def row(x, i):
         return _text("<tr class='r'><td><a href=\"/order?id=", x["o_orderkey"], "&amp;v='1'\">Order &amp; ", x["o_orderkey"], "</a><td>", x["total"],
                      F.when(i % 2 == 0, "</td><td>").otherwise("<td>"), x["status"], "<i> </i>", x["rank"])
-    pages = _customer_orders(spark, sf).select(F.col("o_custkey").alias("page_id"), _text(
+    pages = _customer_orders(spark, sf).select(F.col("o_custkey").alias("page_id"), "first", _text(
         "<table><tr><td>not this one</table><table class=\"wide table\"><thead><tr><th>Order<th> Total </thead>",
         F.array_join(F.transform("orders", row), "\n"), "</table><table class='table'><tr><td>nor this</td></tr></table>").alias("html"))
     cells = F.col("cells")
-    return X.html_tables(pages, ["page_id"]).select(
-        "page_id", "row_idx", cells["Order"].alias("order_name"), cells["Order_href"].alias("order_href"), cells["Total"].alias("total"), cells["_col2"].alias("extra"))
+    return X.html_tables(pages, ["page_id", "first"]).select(
+        "page_id", _row_idx(), cells["Order"].alias("order_name"), cells["Order_href"].alias("order_href"), cells["Total"].alias("total"), cells["_col2"].alias("extra"))
 
 
 @register("page_grids", f"""
@@ -203,17 +225,17 @@ select page_id, row_idx, cast(o_orderkey as varchar) as order_name, status || ',
   case when total % 3 > 0 then 'https://example.org/order/' || o_orderkey else '' end as url from lines
 """)
 def q_page_grids(spark, sf):
-    """EXT-2: one grid of nested divs per customer, with tags, a repeated header and a link on some rows."""
+    """EXT-2: one grid of nested divs per customer and run of orders, with tags, a repeated header and a link on some rows."""
     def row(x):
         link = F.when(x["total"] % 3 > 0, _text("<a href='/order/", x["o_orderkey"], "'>", x["o_orderkey"], "</a>")).otherwise(x["o_orderkey"].cast("string"))
         return _text("<div class=\"tr odd\"><div class='td'>", link, "</div><div class=\"td\"><div class=\"tag\">", x["status"],
                      "</div><a class='blue tag' href='/x'>", x["rank"], "</a></div><div class='td'>1</div><div class='td'>", x["total"], "</div></div>")
-    pages = _customer_orders(spark, sf).select(F.col("o_custkey").alias("page_id"), _text(
+    pages = _customer_orders(spark, sf).select(F.col("o_custkey").alias("page_id"), "first", _text(
         "<div><div class='box_table'><div class='tr'><div class='th'>Order</div><div class='th'>Flags</div><div class='th'>Total</div><div class='th'>Total</div></div>",
         F.array_join(F.transform("orders", row), ""), "</div><div class='tr'><div class='td'>outside</div></div></div>").alias("html"))
     cells = F.col("cells")
-    return X.html_grid(pages, ["page_id"], link_col="Order", base_url="https://example.org/").select(
-        "page_id", "row_idx", cells["Order"].alias("order_name"), cells["Flags"].alias("flags"), cells["Total_2"].alias("total_2"), cells["url"].alias("url"))
+    return X.html_grid(pages, ["page_id", "first"], link_col="Order", base_url="https://example.org/").select(
+        "page_id", _row_idx(), cells["Order"].alias("order_name"), cells["Flags"].alias("flags"), cells["Total_2"].alias("total_2"), cells["url"].alias("url"))
 
 
 @register("page_label_values", """

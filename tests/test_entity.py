@@ -82,3 +82,14 @@ def test_alias_opportunities_skip_empty_key(spark):
     assert sorted(r.name_key for r in entity.alias_opportunities(df, "name").collect()) == ["", "bitcoin"]
     long = {(r.name_key, r.name, r.n_names) for r in entity.alias_collisions(df, "name").collect()}
     assert long == {("", "比特币", 2), ("", "以太坊", 2), ("bitcoin", "Bit-Coin", 2), ("bitcoin", "bitcoin", 2)}
+
+
+def test_alias_lists_grow_in_number_not_in_length(spark):
+    import json
+
+    df = spark.range(5000).selectExpr("concat('名', repeat('字', cast(id as int) % 50 + 1), repeat('号', cast(id as int) div 50)) as name")
+    rows = entity.alias_opportunities(df, "name").collect()
+    lists = [json.loads(r.names_json) for r in rows]
+    assert {(r.name_key, r.n_names) for r in rows} == {("", 5000)}
+    assert max(map(len, lists)) < 1500 and all(x == sorted(x) for x in lists)
+    assert sorted(n for x in lists for n in x) == sorted(r.name for r in df.collect())

@@ -130,3 +130,37 @@ def test_titles_links_and_frontier(spark):
     c = X.frontier_counts(found, seen).first()
     assert (c.total_count, c.completed_count, c.remaining_count) == (4, 1, 3)
     assert df.select(X.is_valid_entity_page(F.lit("coin-heading" + "x" * 5000))).first()[0] is True
+
+
+def test_pages_of_a_hot_customer_stay_bounded(spark, tmp_path):
+    """A customer with many orders has more pages, not longer ones; the rows are those of one page."""
+    from pyspark.sql import functions as F
+
+    from silverline.plans import pages as PG
+
+    orders = spark.range(3000).select(
+        F.when(F.col("id") % 3 < 2, 1).otherwise(F.col("id")).cast("long").alias("o_custkey"), (3001 - F.col("id")).alias("o_orderkey"),
+        (F.col("id") + 0.5).alias("o_totalprice"), F.lit("O").alias("o_orderstatus"), F.lit("1-URGENT").alias("o_orderpriority"))
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    sizes = [len(r.orders) for r in PG._customer_orders(spark, str(tmp_path)).filter("o_custkey = 1").select("orders").collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= PG.PAGE_ORDERS
+    want = sorted(r.o_orderkey for r in orders.filter("o_custkey = 1").collect())
+    for query in (PG.q_page_tables, PG.q_page_grids):
+        rows = query(spark, str(tmp_path))
+        assert rows.count() == 3000
+        name = F.regexp_extract("order_name", "([0-9]+)$", 1).cast("long")
+        hot = rows.filter("page_id = 1").select("row_idx", name.alias("k")).orderBy("row_idx").collect()
+        assert [tuple(r) for r in hot] == list(enumerate(want))
+
+
+def test_documents_of_a_hot_customer_stay_bounded(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from silverline.plans import files
+
+    spark.range(20_000).select(F.lit(1).cast("long").alias("o_custkey"), (64 * F.col("id")).alias("o_orderkey"), F.lit("O").alias("o_orderstatus"),
+                               F.lit(1.5).alias("o_totalprice")).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(files, "work_dir", lambda *_: f"{tmp_path}/work")
+    assert files.q_json_records(spark, str(tmp_path)).select("order_id").distinct().count() == 20_000
+    longest = spark.read.text(f"{tmp_path}/work/docs").select(F.max(F.size(F.split("value", "Order Key")))).first()[0]
+    assert longest < 200
