@@ -216,7 +216,7 @@ def q_page_records(spark, sf):
     logo = F.when(k % 5 == 0, "").otherwise(F.concat(
         F.lit('<div class="x name-logo"><div><div>deep</div>'), asset((2010 + k % 20).cast("string"), two(k % 14)), F.lit("</div>"),
         asset(F.lit("2021"), F.lit("05")), F.lit("</div>")))
-    page = F.concat(years, logo, asset(F.lit("2001"), F.lit("01")))  # the last one lies outside the container
+    page = F.concat("html", years, logo, asset(F.lit("2001"), F.lit("01")))  # the last one lies outside the container
     ey = D.earliest_year_mention(page, AS_OF)
     out = p.select("page_id", X.url_slug("url").alias("slug"), X.entity_name_from_title("html").alias("entity_name"),
                    X.page_size("html").cast("bigint").alias("n_bytes"), ey.cast("bigint").alias("earliest_year"),

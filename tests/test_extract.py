@@ -164,3 +164,15 @@ def test_documents_of_a_hot_customer_stay_bounded(spark, tmp_path, monkeypatch):
     assert files.q_json_records(spark, str(tmp_path)).select("order_id").distinct().count() == 20_000
     longest = spark.read.text(f"{tmp_path}/work/docs").select(F.max(F.size(F.split("value", "Order Key")))).first()[0]
     assert longest < 200
+
+
+def test_page_records_read_the_stored_pages(spark, tmp_path):
+    """A year and a logo that stand in the page itself are seen."""
+    from silverline.plans.reports import q_page_records
+
+    html = ("<title>A (x)</title><p>Opened in 2003, moved in 2011</p><div class='name-logo'><img src='/wp-content/uploads/2004/02/a-logo.png'></div>")
+    spark.createDataFrame([(20, "https://a.example.com/en/x", html), (21, "https://a.example.com/en/y", "<p>none</p>")],
+                          "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    rows = {r.page_id: r for r in q_page_records(spark, str(tmp_path)).collect()}
+    assert (rows[20].earliest_year, rows[20].first_year, rows[20].earliest_logo_date) == (2003, 2003, "2004-02-01")
+    assert rows[21].earliest_year == 2019
