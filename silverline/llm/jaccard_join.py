@@ -11,7 +11,8 @@ their sets is ``threshold`` or more.
    most ``bucket`` nodes is compared by brute force on the sketches; a larger
    one is split again on ``branch`` sampled sketch positions, level by level.
    A bucket that keeps most of its parent is dense and would never shrink: it
-   is compared in blocks.  The number of runs follows from ``recall``.
+   is compared in blocks.  The number of runs, and the sketch bytes that
+   must agree, follow from ``recall``.
    A bucket emits one link per node to a root, never its pairs.
 3. The components of these links are candidate groups.  Every pair inside one
    is then checked exactly on the whole sets, in blocks if the group is large;
@@ -282,6 +283,22 @@ def _roots(linked: np.ndarray) -> np.ndarray:
     return root
 
 
+def _runs_and_needed(threshold: float, recall: float) -> tuple[int, int]:
+    """Runs, and sketch bytes that must agree: a pair at the threshold misses
+    all paths, or the sketch, in half of ``1 - recall`` of cases each.  All
+    runs see one sketch, so more of them don't make up for its misses."""
+    miss = (1 - recall) / 2
+    runs = max(1, math.ceil(math.log(miss) / math.log(1 - threshold)))
+    same = threshold + (1 - threshold) / 256  # different minhashes may share their byte
+    below, needed = 0.0, 0
+    while needed < SKETCH:
+        below += math.comb(SKETCH, needed) * same ** needed * (1 - same) ** (SKETCH - needed)
+        if below > miss:
+            break
+        needed += 1
+    return min(runs, SKETCH), needed
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, recall: float = 0.9999,
                  bucket: int = BUCKET, branch: int = 3, block_rows: int = BLOCK_ROWS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` with ``class_id`` (least id of its class), ``copy_of`` (least id
@@ -291,9 +308,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = C.without(docs, ["class_id", "copy_of", "n_links"])
     ids, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     kind = docs.schema[id_col].dataType
-    runs = max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold)))
-    # a pair at the threshold agrees in this many sketch bytes but once in some 800 cases
-    needed = int(SKETCH * threshold - 3 * math.sqrt(SKETCH * threshold * (1 - threshold)))
+    runs, needed = _runs_and_needed(threshold, recall)
     texts = docs.select(ids.alias("id"), F.unhex(F.md5(text)).alias("key"), text.alias("text"))
     sketches = C.stored(texts.mapInArrow(_sketch(runs), T.StructType([
         T.StructField("id", kind), T.StructField("key", T.BinaryType()), T.StructField("sketch", T.BinaryType()),

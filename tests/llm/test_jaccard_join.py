@@ -60,3 +60,35 @@ def test_components_of_a_long_path_and_a_star(spark):
     links = [(k, k + 1) for k in range(100, 160)] + [(5, k) for k in range(6, 60)] + [(300, 300)]
     found = {(r.node, r.root) for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert found == {(k, 100) for k in range(100, 161)} | {(k, 5) for k in range(5, 60)}
+
+
+def test_sketches_keep_pairs_at_the_threshold(spark):
+    """Pairs at 0.8 of which few sketch bytes agree are linked as well."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from silverline.llm import common as C
+    from silverline.llm import jaccard_join as J
+
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choices("abcdefghijklmnop", k=7))
+    pairs = []
+    for _ in range(6000):
+        words = [word() for _ in range(40)]
+        pairs.append((" ".join(words + [word() for _ in range(4)]), " ".join(words + [word() for _ in range(5)])))  # 36 of 45 shingles
+    texts = pa.array([t for p in pairs for t in p])
+    _, least = J.minhashes(*J.shingles(*C.text_buffers(texts)))
+    small = C.mix(least) & np.uint64(0xFF)
+    agree = (small[::2] == small[1::2]).sum(1)
+    hard = [p for p, n in zip(pairs, agree) if 38 <= n < 41]
+    assert len(hard) >= 2
+    df = spark.createDataFrame([(10 * i + k, t) for i, p in enumerate(hard) for k, t in enumerate(p)], "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in J.near_classes(df).collect()} == {10 * i + k: 10 * i for i in range(len(hard)) for k in (0, 1)}
+
+
+def test_runs_and_sketch_share_the_recall():
+    from silverline.llm.jaccard_join import _runs_and_needed
+
+    assert _runs_and_needed(0.8, 0.9999) == (7, 38)
