@@ -4,17 +4,19 @@ Encoding follows the library's merge agenda: neighbouring symbols whose
 concatenation is a piece are candidates, the best-scored candidate (the
 leftmost of equals) is taken from the agenda each time and merged.  With
 merge-dropout a candidate taken from the agenda is skipped instead if a keyed
-hash of (seed, variant, unit, its three borders) falls below ``dropout``; it
+hash of (seed, document, unit, its place in the text, its three borders) falls below ``dropout``; it
 comes back only if one of its symbols changes.  The segmentation varies and is
 the same on every run, in every partitioning.  With ``dropout=0`` the result
 is the library's own.
 
 Texts are cut into units no merge can cross: before a run of spaces, and around
-characters that no piece holds (checked against the vocabulary).  Each
-occurrence of a unit draws one of ``variants`` variants by a hash of seed,
-document key and position; equal (unit, variant) pairs of a slice are segmented
-once, all together: units of like length are rows of a matrix and every round
-takes the best candidate of each row.  Long units go through a heap.
+characters that no piece holds (checked against the vocabulary).  Every
+occurrence of a unit has a hash key of its own, by seed, document key and
+position.  The distinct units of a slice are segmented once without dropout; an
+occurrence that skips none of these merges has this result, the others are
+segmented each by itself.  Units of like length are rows of a matrix and every
+round takes the best candidate of each row.  Long units go through a heap.
+``variants``, if given, bounds the segmentations of a unit to so many.
 
 Decoding is lossless: a space is written as the piece character U+2581 and
 back, a literal U+2581 and every character outside the vocabulary become their
@@ -132,9 +134,10 @@ def _skips(key: np.ndarray, start: np.ndarray, mid: np.ndarray, end: np.ndarray,
     return (C.mix(key ^ (borders * np.uint64(0x9E3779B97F4A7C15))) >> np.uint64(11)) < np.uint64(int(dropout * (1 << 53)))
 
 
-def _segment_rows(chars: np.ndarray, length: np.ndarray, key: np.ndarray, vocab: Vocabulary, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+def _segment_rows(chars: np.ndarray, length: np.ndarray, key: np.ndarray, vocab: Vocabulary, dropout: float,
+                  taken: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Segment units in the rows of a matrix of character pieces; (pieces row
-    after row, pieces per row)."""
+    after row, pieces per row).  ``taken`` gets the merges: (row, borders)."""
     n, wide = chars.shape
     step = wide + 1
     sym = np.zeros(n * step, np.int32)
@@ -165,6 +168,8 @@ def _segment_rows(chars: np.ndarray, length: np.ndarray, key: np.ndarray, vocab:
             r, j, mid, end, base = rows[keep], j[keep], mid[keep], end[keep], base[keep]
         else:
             r = rows
+        if taken is not None:
+            taken.append((r, j, mid, end))
         own = r * wide
         sym[base + j] = flat_piece[own + j]
         nxt[base + j] = end
@@ -183,7 +188,7 @@ def _segment_rows(chars: np.ndarray, length: np.ndarray, key: np.ndarray, vocab:
     return sym.reshape(n, step)[:, :wide][alive], alive.sum(1)
 
 
-def _segment_long(chars: np.ndarray, key: np.uint64, vocab: Vocabulary, dropout: float) -> np.ndarray:
+def _segment_long(chars: np.ndarray, key: np.uint64, vocab: Vocabulary, dropout: float, taken: list | None = None) -> np.ndarray:
     """Segment one long unit with a heap as the agenda."""
     n = len(chars)
     sym = chars.astype(np.int64).tolist()
@@ -205,6 +210,8 @@ def _segment_long(chars: np.ndarray, key: np.uint64, vocab: Vocabulary, dropout:
             continue
         if dropout and _skips(keys, np.array([j]), np.array([mid]), np.array([end]), dropout)[0]:
             continue
+        if taken is not None:
+            taken.append((j, mid, end))
         sym[j], nxt[j], alive[mid] = p, end, False
         if end < n:
             prv[end] = j
@@ -214,9 +221,10 @@ def _segment_long(chars: np.ndarray, key: np.uint64, vocab: Vocabulary, dropout:
     return np.array([s for s, a in zip(sym, alive) if a], np.int32)
 
 
-def _segment(chars: np.ndarray, at: np.ndarray, key: np.ndarray, vocab: Vocabulary, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+def _segment(chars: np.ndarray, at: np.ndarray, key: np.ndarray, vocab: Vocabulary, dropout: float,
+             taken: list | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Segment many units (spans ``at`` of character pieces): (pieces of the
-    units one after another, offsets)."""
+    units one after another, offsets).  ``taken`` gets the merges: (unit, borders)."""
     length = np.diff(at)
     order = np.argsort(length, kind="stable")
     ranked = length[order]
@@ -226,8 +234,12 @@ def _segment(chars: np.ndarray, at: np.ndarray, key: np.ndarray, vocab: Vocabula
     while lo < len(order):
         if ranked[lo] > MATRIX_CHARS:
             for u in order[lo:]:
-                pieces.append(_segment_long(chars[at[u]:at[u + 1]], key[u], vocab, dropout))
+                merges = None if taken is None else []
+                pieces.append(_segment_long(chars[at[u]:at[u + 1]], key[u], vocab, dropout, merges))
                 count[u] = len(pieces[-1])
+                if merges:
+                    borders = np.array(merges, np.int64)
+                    taken.append((np.full(len(borders), u), *borders.T))
             break
         while limit < ranked[lo]:
             limit *= 2
@@ -235,7 +247,10 @@ def _segment(chars: np.ndarray, at: np.ndarray, key: np.ndarray, vocab: Vocabula
         some = order[lo:hi]
         wide = int(ranked[hi - 1])
         cols = np.minimum(at[some][:, None] + np.arange(wide), len(chars) - 1)
-        found, n = _segment_rows(chars[cols], length[some], key[some], vocab, dropout)
+        merges = None if taken is None else []
+        found, n = _segment_rows(chars[cols], length[some], key[some], vocab, dropout, merges)
+        if merges:
+            taken += [(some[r], *borders) for r, *borders in merges]
         pieces.append(found)
         count[some] = n
         lo = hi
@@ -252,7 +267,23 @@ def _runs(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.repeat(start - before, length) + np.arange(int(length.sum()))
 
 
-def encode_slice(texts: pa.Array, doc_keys: np.ndarray, vocab: Vocabulary, dropout: float, seed: int, variants: int) -> tuple[np.ndarray, np.ndarray]:
+def _dropped(word: np.ndarray, key: np.ndarray, words: int, taken: list, dropout: float) -> np.ndarray:
+    """Which occurrences (of unit ``word``, with a hash key) skip a merge of their undropped unit."""
+    unit = np.concatenate([u for u, *_ in taken]) if taken else np.zeros(0, np.int64)
+    order = np.argsort(unit, kind="stable")
+    start, mid, end = (np.concatenate([b[k] for _, *b in taken])[order].astype(np.int32) if taken else np.zeros(0, np.int32) for k in range(3))
+    n = np.bincount(unit, minlength=words)
+    first = np.cumsum(n) - n
+    out = np.zeros(len(word), bool)
+    for a in range(0, len(word), MATRIX_ROWS):
+        some = word[a:a + MATRIX_ROWS]
+        of, at = np.repeat(np.arange(len(some)), n[some]), _runs(first[some], n[some])
+        out[a + of[_skips(key[a + of], start[at], mid[at], end[at], dropout)]] = True
+    return out
+
+
+def encode_slice(texts: pa.Array, doc_keys: np.ndarray, vocab: Vocabulary, dropout: float, seed: int,
+                 variants: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(piece ids of all texts, offsets by text)."""
     data, off = C.text_buffers(texts)
     full = np.diff(off) > 0
@@ -271,29 +302,41 @@ def encode_slice(texts: pa.Array, doc_keys: np.ndarray, vocab: Vocabulary, dropo
     if not len(first):
         return np.zeros(0, np.int32), np.zeros(len(off), np.int64)
     row = np.searchsorted(starts, first, side="right") - 1
-    # units: distinct texts of known characters, each in the variants drawn
+    # units: distinct texts of known characters
     unit = np.flatnonzero(known[first])
     coded = pc.dictionary_encode(pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer((4 * bounds).astype(np.int32)), pa.py_buffer(points.tobytes())])
                                  .take(pa.array(unit)))
     words = coded.dictionary
     raw, at = C.text_buffers(words)
     word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    letters = vocab.char_id[raw.view(np.uint32)] if len(raw) else np.zeros(0, np.int32)
+    content = C.span_hash(raw, at[:-1], at[1:]) + np.uint64(seed * 0x9E3779B97F4A7C15 + 1 & (1 << 64) - 1)
+
+    def segmented(w: np.ndarray, key: np.ndarray, drop: float, taken: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        spans = np.concatenate([[0], np.cumsum((at[w + 1] - at[w]) // 4)])
+        return _segment(letters[_runs(at[w] // 4, (at[w + 1] - at[w]) // 4)], spans, key, vocab, drop, taken)
+
     if dropout:
         ordinal = (unit - np.searchsorted(first, starts[row[unit]])).astype(np.uint64)
         drawn = C.mix(doc_keys[row[unit]] ^ (ordinal * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(seed * 0x2545F4914F6CDD1D & (1 << 64) - 1))
-        variant = (drawn % np.uint64(variants)).astype(np.int64)
+    if dropout and variants:  # equal (unit, variant) pairs once
+        pair = word * variants + (drawn % np.uint64(variants)).astype(np.int64)
+        mark = np.zeros(len(words) * variants, bool)
+        mark[pair] = True
+        kinds, used = np.flatnonzero(mark), (np.cumsum(mark) - 1)[pair]
+        key = C.mix(content[kinds // variants] + (kinds % variants).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+        pieces, piece_at = segmented(kinds // variants, key, dropout)
     else:
-        variants, variant = 1, np.zeros(len(word), np.int64)
-    mark = np.zeros(len(words) * variants, bool)
-    mark[word * variants + variant] = True
-    kinds = np.flatnonzero(mark)
-    place = np.cumsum(mark) - 1
-    content = C.span_hash(raw, at[:-1], at[1:])
-    key = C.mix(content[kinds // variants] + np.uint64(seed * 0x9E3779B97F4A7C15 + 1 & (1 << 64) - 1) + (kinds % variants).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
-    letters = vocab.char_id[raw.view(np.uint32)] if len(raw) else np.zeros(0, np.int32)
-    w = kinds // variants
-    spans = np.concatenate([[0], np.cumsum((at[w + 1] - at[w]) // 4)])
-    pieces, piece_at = _segment(letters[_runs(at[w] // 4, (at[w + 1] - at[w]) // 4)], spans, key, vocab, dropout)
+        taken: list | None = [] if dropout else None
+        pieces, piece_at = segmented(np.arange(len(words)), content, 0.0, taken)
+        used = word
+        if dropout:
+            key = C.mix(content[word] + drawn)
+            own = np.flatnonzero(_dropped(word, key, len(words), taken, dropout))
+            more, more_at = segmented(word[own], key[own], dropout)
+            used = word.copy()
+            used[own] = len(words) + np.arange(len(own))
+            pieces, piece_at = np.concatenate([pieces, more]), np.concatenate([piece_at, piece_at[-1] + more_at[1:]])
     # other characters: the pieces of their bytes
     other = np.flatnonzero(~known[first])
     rare, which = np.unique(points[first[other]], return_inverse=True)
@@ -301,7 +344,6 @@ def encode_slice(texts: pa.Array, doc_keys: np.ndarray, vocab: Vocabulary, dropo
     tail = vocab.byte_id[np.concatenate(encoded)] if encoded else np.zeros(0, np.int32)
     tail_at = len(pieces) + np.cumsum([0, *map(len, encoded)])
     source, n = np.zeros(len(first), np.int64), np.zeros(len(first), np.int64)
-    used = place[word * variants + variant]
     source[unit], n[unit] = piece_at[used], np.diff(piece_at)[used]
     source[other], n[other] = tail_at[which], np.diff(tail_at)[which]
     ids = np.concatenate([pieces, tail])[_runs(source, n)]
@@ -338,7 +380,7 @@ def _shared(df: DataFrame, model_file: str):
 
 
 def encode_pieces(docs: DataFrame, model_file: str, text_col: str = "text", key_cols: tuple[str, ...] = ("doc_id",), dropout: float = 0.1,
-                  seed: int = 1, variants: int = 16, verify: bool = False) -> DataFrame:
+                  seed: int = 1, variants: int | None = None, verify: bool = False) -> DataFrame:
     """``docs`` with ``ids``, the pieces of each whole text; ``key_cols`` name
     the document whose segmentation varies.  With ``verify`` every list is
     decoded again at once, and ``lossless`` says whether that gave the text."""

@@ -90,3 +90,33 @@ def test_frames(spark):
     assert [r.decoded for r in S.decode_pieces(lists, MODEL).collect()] == [None, ""]
     moved = S.encode_pieces(df.repartition(3), MODEL).filter("doc_id = 3").first()
     assert moved.ids == back[2].ids
+
+
+def test_every_occurrence_is_drawn_by_itself(monkeypatch):
+    """A frequent unit has all its segmentations, and those without a skip are the undropped one."""
+    word = ["internationalisation"] * 3000
+    whole = encode(word[:1], 0.0)[0][0]
+    found = [tuple(x) for x in encode(word, 0.3, variants=None)[0]]
+    assert len(set(found)) > 100
+    merges = 0
+    for ids in encode(word[:1], 1.0)[0]:
+        merges = len(ids) - len(whole)
+    share = sum(x == tuple(whole) for x in found) / len(found)
+    assert share > 0.5 * 0.7 ** merges
+    # in one text, too
+    ids, vocabulary = encode([" ".join(word)], 0.3, variants=None)
+    text = S.decode_slice(pa.array(ids, pa.list_(pa.int32())), vocabulary)
+    assert text.to_pylist() == [" ".join(word)]
+    assert len(ids[0]) > 3000 * len(whole)
+    for limit in (S.MATRIX_CHARS, 0):
+        monkeypatch.setattr(S, "MATRIX_CHARS", limit)
+        want = encode(texts(), 0.1, variants=None)[0]
+        # the short way gives what segmenting every occurrence gives
+        with monkeypatch.context() as m:
+            m.setattr(S, "_dropped", lambda word, *_: np.ones(len(word), bool))
+            assert encode(texts(), 0.1, variants=None)[0] == want
+
+
+def test_frames_draw_more_than_sixteen(spark):
+    df = spark.range(2000).selectExpr("id as doc_id", "'internationalisation' as text")
+    assert S.encode_pieces(df, MODEL, dropout=0.3).select("ids").distinct().count() > 16
