@@ -6,7 +6,9 @@ All of it is DataFrame expressions and aggregates.
 2. Per host, the paths form a tree.  Segments that are variable by their look
    (numbers, dates, hex strings, long slugs) are wildcards from the start; then,
    level by level, a node with many children and few URLs for each turns its
-   children into one wildcard.
+   children into one wildcard.  From ``depth`` segments on, a branch of fewer
+   than ``min_labels`` labelled URLs isn't split any more: one ``**`` stands for
+   what lies below.  Branches with more go as deep as their paths.
 3. From the host's root to each template, a branch whose share of blocked
    labels is statistically like its parent's is merged into it (takes the
    parent's estimate); another takes its own share, smoothed towards the
@@ -71,11 +73,20 @@ def segment_look(segment: Column) -> Column:
     return out
 
 
-def template_segments(path: Column, depth: int) -> Column:
-    """The path's segments by their look; what lies below ``depth`` is one ``**``."""
-    all_segments = F.split(F.regexp_replace(path, "^/", ""), "/", -1)
-    some = F.transform(F.slice(all_segments, 1, depth), segment_look)
-    return F.when(F.size(all_segments) > depth, F.concat(some, F.array(F.lit("**")))).otherwise(some)
+def template_segments(path: Column) -> Column:
+    """The path's segments by their look."""
+    return F.transform(F.split(F.regexp_replace(path, "^/", ""), "/", -1), segment_look)
+
+
+def _ended(paths: DataFrame, level: int, min_labels: int) -> DataFrame:
+    """Turn what lies below this level in branches with few labels into one ``**``."""
+    deep = paths.filter(F.size("segs") > level).select("host", F.slice("segs", 1, level).alias("above"), "labelled")
+    few = (deep.groupBy("host", "above").agg(F.sum("labelled").alias("labels")).filter(F.col("labels") < min_labels)
+           .select("host", "above", F.lit(True).alias("few")))
+    end = F.concat(F.slice("segs", 1, level), F.array(F.lit("**")))
+    return (paths.withColumn("above", F.slice("segs", 1, level)).join(few, ["host", "above"], "left")
+            .withColumn("segs", F.when(F.col("few") & (F.size("segs") > level), end).otherwise(F.col("segs")))
+            .select("host", "look", "segs", "n", "blocked", "labelled"))
 
 
 def _widened(paths: DataFrame, level: int, min_children: int, max_mean: float) -> DataFrame:
@@ -113,7 +124,7 @@ def template_shares(paths: DataFrame, prior: float, strength: float, z: float) -
     return paths.select("host", "look", "segs").join(shares, ["host", "segs"]).select("host", "look", "segs", "share")
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url", depth: int = 6, min_children: int = 30, max_mean: float = 4.0,
+def judge_urls(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url", depth: int = 6, min_labels: int = 5, min_children: int = 30, max_mean: float = 4.0,
                strength: float = 5.0, z: float = 2.0, reject: float = 0.8) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict`` (allow or
     block) and ``template``."""
@@ -128,12 +139,18 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], url_col: str = "url", de
     rows = (packed.withColumn("at", matched_rule(F.col("host"), F.col("path"), rules) if rules else F.lit(None).cast("int"))
             .withColumn("rule", F.get(names, F.col("at")) if rules else F.lit(None).cast("string"))
             .withColumn("said", F.get(verdicts, F.col("at")) if rules else F.lit(None).cast("string"))
-            .withColumn("segs", template_segments(F.col("path"), depth)).withColumn("look", F.array_join("segs", "/")))
+            .withColumn("segs", template_segments(F.col("path"))).withColumn("look", F.array_join("segs", "/")))
     paths = C.stored(rows.groupBy("host", "look", "segs").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("said") == "block").alias("blocked"), F.count("said").alias("labelled")), "url-paths")
     deepest, blocked, labelled = paths.agg(F.max(F.size("segs")), F.sum("blocked"), F.sum("labelled")).first()
-    for level in range(deepest or 0):
+    level = 0
+    while level < (deepest or 0):
+        if level >= depth:
+            paths = C.stored(_ended(paths, level, min_labels), "url-paths")
         paths = C.stored(_widened(paths, level, min_children, max_mean), "url-paths")
+        level += 1
+        if level >= depth:
+            deepest = paths.agg(F.max(F.size("segs"))).first()[0]
     prior = (blocked or 0) / labelled if labelled else 0.0
     shares = template_shares(paths, prior, strength, z)
     judged = shares.select("host", "look", F.array_join("segs", "/").alias("template"), F.when(F.col("share") >= reject, "block").otherwise("allow").alias("method"))

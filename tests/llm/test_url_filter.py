@@ -48,3 +48,14 @@ def test_without_rules_or_rows_and_clashing_columns(spark):
     # below the depth one wildcard stands for the rest
     deep = spark.createDataFrame([("http://a.com/" + "/".join("abcdefghij"),)], "url string")
     assert judge_urls(deep, URL_RULES).first().template == "a/b/c/d/e/f/**"
+
+
+def test_deep_branches_keep_their_own_templates(spark):
+    rules = [("block", "s.com", "/a/b/c/d/e/f/g/ads/a"), ("allow", "s.com", "/a/b/c/d/e/f/g/news/1")]
+    urls = [f"http://s.com/a/b/c/d/e/f/g/ads/{x}{k}" for x in "ab" for k in range(60)]
+    urls += [f"http://s.com/a/b/c/d/e/f/g/news/{k}" for k in range(100, 400)]
+    urls += [f"http://s.com/a/b/c/d/e/f/g/ads/{x}x/{k}/y" for x in "ab" for k in range(3)]
+    found = {r.url: (r.verdict, r.template) for r in judge_urls(spark.createDataFrame([(u,) for u in urls], "url string"), rules).collect()}
+    assert len(found) == len(urls)
+    assert found["http://s.com/a/b/c/d/e/f/g/ads/b7"] == ("block", "a/b/c/d/e/f/g/ads/*")
+    assert found["http://s.com/a/b/c/d/e/f/g/news/300"] == ("allow", "a/b/c/d/e/f/g/news/{n}")
