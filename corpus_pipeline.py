@@ -47,9 +47,9 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's pieces, with merge-dropout."""
-    coded = encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
-    return coded.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_pieces"), "ids")
+    """Every document's pieces, with merge-dropout, and whether they decode to its text."""
+    coded = encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), verify=True)
+    return coded.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("long").alias("n_pieces"), "ids", "lossless")
 
 
 STAGES = [
@@ -57,7 +57,7 @@ STAGES = [
     ("line dedup", lines),
     ("n-gram Jaccard join", near_copies),
     ("benchmark decontamination", benchmark),
-    ("SentencePiece encoding", pieces),
+    ("SentencePiece encoding and decoding", pieces),
 ]
 
 #: SQL expresses neither the context trees nor the segmentation; tests/llm

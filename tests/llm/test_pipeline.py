@@ -54,5 +54,9 @@ def test_pieces_decode_to_the_text(stages):
     assert all(r.n_pieces == len(r.ids) for r in after)
 
 
+def test_last_stage_decodes_every_text(stages):
+    assert stages[4][1] and all(r.lossless for r in stages[4][1])
+
+
 def test_run_gives_the_last_stage(spark, stages):
     assert sorted((r.doc_id, r.n_pieces) for r in P.run(spark, SF).select("doc_id", "n_pieces").collect()) == sorted((r.doc_id, r.n_pieces) for r in stages[4][1])
