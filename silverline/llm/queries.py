@@ -208,3 +208,70 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = near_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "class_id", "copy_of", "n_links")
+
+
+@register("op12_mix_sources", r"""
+with docs as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+         md5('12:' || coalesce(doc_id::varchar, '')) as key
+  from documents),
+totals as (select source, sum(size)::bigint as size, count(*) as n from docs group by source),
+placed as (
+  select *, row_number() over (order by source nulls last) as place from totals),
+weighed as (select *, [5, 2, 1][((place - 1) % 3 + 1)::int] as weight from placed),
+levels as (
+  select *, ((sum(size) over ()) - coalesce(sum(3 * size) over before, 0))::double
+            / ((sum(weight) over ()) - coalesce(sum(weight) over before, 0))::double as level,
+         row_number() over (order by 3 * size::double / weight, place) as fills
+  from weighed window before as (order by 3 * size::double / weight, place rows between unbounded preceding and 1 preceding)),
+goals as (
+  select *, least(3 * size::double, coalesce((select arg_min(level, fills) from levels where level * weight <= 3 * size) * weight, 0.0)) as target
+  from levels),
+blocked as (
+  select *, greatest(1, least(4096, floor((select min(target) from goals where target > 0) / 200)))::bigint as block_words from goals),
+seats as (
+  select place, count(*) as seats from (
+    select place from blocked, range(0, (target / block_words)::bigint + 3) r(k) where target > 0
+    order by target / (2 * k + 1) desc, place, k
+    limit (select sum(size) // min(block_words) from blocked))
+  group by place),
+sources as (
+  select b.*, coalesce(seats, 0) as seats, ceil((size + n) / 1048576.0)::bigint as shards from blocked b left join seats using (place)),
+dealt as (
+  select d.*, s.place, s.size as source_size, s.target, s.block_words, s.seats,
+         ('0x' || substr(key, 1, 8))::bigint % s.shards as shard
+  from docs d join sources s on d.source is not distinct from s.source),
+shards as (
+  select place, shard, block_words, seats, sum(size)::bigint as words from dealt group by all),
+quotas as (
+  select place, shard, count(*) as quota from (
+    select place, shard, seats, row_number() over (partition by place order by words::double / (2 * k + 1) desc, shard, k) as rank
+    from shards, range(0, (seats + 1)::bigint) r(k) where words > 0)
+  where rank <= seats group by place, shard),
+cut as (
+  select place, shard, ceil(words / block_words::double)::bigint as blocks, coalesce(quota, 0) as quota
+  from shards left join quotas using (place, shard)),
+turned as (
+  select place, shard, greatest(blocks, 1) as blocks, least(quota, 3 * blocks) as quota,
+         case when blocks > 0 then ('0x' || substr(md5('12:' || place || ':' || shard), 1, 8))::bigint % blocks else 0 end as turn
+  from cut),
+laid as (
+  select d.*, blocks, quota, turn, quota % blocks as extra,
+         coalesce(sum(d.size) over (partition by place, shard order by key, doc_id, d.size rows between unbounded preceding and 1 preceding), 0)::bigint as lies
+  from dealt d join turned using (place, shard)),
+ends as (
+  select *, lies // block_words as b0, (lies + size) // block_words as b1 from laid)
+select doc_id, size, source_size, target,
+       ((quota // blocks) * size
+        + ((b1 + turn) * extra // blocks) * block_words
+        + ((b1 + 1 + turn) * extra // blocks - (b1 + turn) * extra // blocks) * (lies + size - b1 * block_words)
+        - ((b0 + turn) * extra // blocks) * block_words
+        - ((b0 + 1 + turn) * extra // blocks - (b0 + turn) * extra // blocks) * (lies - b0 * block_words))::bigint as taken
+from ends
+""")
+def op12_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of the sources by weights 5, 2, 1 takes of every document."""
+    from silverline.llm.mixing import plan_mix
+
+    plan = plan_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
