@@ -275,3 +275,15 @@ def op12_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     plan = plan_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op13_token_align")
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of byte_bpe_50k.json and piece_bpe_32k.model in every whole document."""
+    import public_tokenizers
+
+    from silverline.llm.token_align import align
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
