@@ -287,3 +287,31 @@ def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), digest=True)
     return found.withColumnRenamed("groups", "groups_sha256")
+
+
+@register("op11_hard_negatives", """
+with usable as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         [floor(256 * x::double) for x in embedding] as q, row_number() over () as place
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+scored as (
+  select a.place as a_at, a.vec_id as anchor_id, a.label as a_label, b.place, b.vec_id, b.label, list_inner_product(a.q, b.q)::bigint as score
+  from usable a join usable b on a.vec_id % 50 = 0 and a.place <> b.place),
+positives as (
+  select a_at, anchor_id, vec_id as positive_id, score as positive_score, place as p_at from scored where label = a_label
+  qualify row_number() over (partition by a_at order by score desc, vec_id, place) <= 5)
+select p.anchor_id, positive_id, (row_number() over near)::int as rank, vec_id as negative_id, positive_score, score as negative_score
+from positives p join scored s on s.a_at = p.a_at and s.label <> s.a_label
+  and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+window near as (partition by p.a_at, p_at order by score desc, vec_id, place)
+qualify row_number() over near <= 3
+""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every 50th vector for each of its first five positives."""
+    from silverline.llm.hard_negatives import mine
+
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return mine(rows, F.col("vec_id") % 50 == 0)

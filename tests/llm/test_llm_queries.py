@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator_and_the_pipeline():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
 
 
