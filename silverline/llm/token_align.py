@@ -49,7 +49,7 @@ from silverline.llm import common as C
 from silverline.llm.token_count import cut_points
 from silverline.session import stored
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 BATCH_BYTES = 1 << 17
 _MARK = "▁"
 
@@ -112,57 +112,61 @@ class _Side:
         return np.cumsum(width)
 
 
-def encode_pieces(side: _Side, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _may_end_in_space(data: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether the last character before each ``end`` might be white space."""
+    last, one, two = (data[np.maximum(end - k, 0)] for k in (1, 2, 3))
+    ascii_ = C.IS_SPACE[last] | ((last >= 0x1C) & (last <= 0x1F))
+    wide = (one == 0xC2) | ((two == 0xE1) & (one == 0x9A)) | ((two == 0xE2) & ((one == 0x80) | (one == 0x81))) | ((two == 0xE3) & (one == 0x80))
+    return np.where(last < 0x80, ascii_, wide)
+
+
+def encode_pieces(side: _Side, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(ids, ends within the piece, offsets by piece, whether the tokens spell
     the piece) of pieces that start with a space."""
-    order: list[int] = []
-    ids, ends, count = [], [], np.zeros(len(pieces), np.int64)
-    spelled = np.ones(len(pieces), bool)
+    data, off = C.text_buffers(pieces)
+    size = np.diff(off)
+    ids, ends, count = [], [], np.zeros(len(size), np.int64)
+    spelled = np.ones(len(size), bool)
+    order = []
 
-    def alone(which: list[int]) -> None:
-        for i, found in zip(which, side.encode([pieces[i].decode() for i in which])):
+    def alone(which: np.ndarray) -> None:
+        content = [data[off[i]:off[i + 1]].tobytes() for i in which]
+        for i, piece, found in zip(which, content, side.encode([c.decode() for c in content])):
             found = np.array(found, np.int64)
-            cut = side.cut(found, pieces[i])
+            cut = side.cut(found, piece)
             spelled[i] = cut is not None
             if cut is not None:
                 ids.append(found)
                 ends.append(cut)
                 count[i] = len(cut)
-                order.append(i)
+                order.append([i])
 
-    def together(which: list[int]) -> None:
-        joined = b"".join([pieces[i] for i in which])
+    def together(which: np.ndarray) -> None:
+        joined = data[runs(off[which], size[which])].tobytes()
         found = np.array(side.encode([joined.decode()])[0], np.int64)
         cut = side.cut(found, joined)
-        bounds = np.cumsum([0, *[len(pieces[i]) for i in which]])
-        if cut is None or not np.isin(bounds[1:], cut).all():
+        bounds = np.concatenate([[0], np.cumsum(size[which])])
+        last = None if cut is None else np.searchsorted(cut, bounds, side="right")
+        if cut is None or (cut[last[1:] - 1] != bounds[1:]).any():
             return alone(which)
-        last = np.searchsorted(cut, bounds, side="right")
         count[which] = np.diff(last)
         ids.append(found)
         ends.append(cut - np.repeat(bounds[:-1], np.diff(last)))
-        order.extend(which)
-
-    held, size = [], 0
-    lone = []
-    for i, piece in enumerate(pieces):
-        # pieces that end in white space would join the next one's space
-        if len(piece) > BATCH_BYTES or piece[-4:].decode("utf-8", "ignore")[-1:].isspace():
-            lone.append(i)
-            continue
-        if held and size + len(piece) > BATCH_BYTES:
-            together(held)
-            held, size = [], 0
-        held.append(i)
-        size += len(piece)
-    if held:
-        together(held)
-    alone(lone)
+        order.append(which)
+
+    # pieces that end in white space would join the next one's space
+    lone = _may_end_in_space(data, off[1:]) | (size > BATCH_BYTES) if len(data) else np.zeros(0, bool)
+    some = np.flatnonzero(~lone)
+    batch = np.cumsum(size[some]) // BATCH_BYTES
+    for which in np.split(some, np.flatnonzero(np.diff(batch)) + 1):
+        if len(which):
+            together(which)
+    alone(np.flatnonzero(lone))
     # the pieces lie in the order of their encoding; put them back
     flat_ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
     flat_ends = np.concatenate(ends) if ends else np.zeros(0, np.int64)
-    start = np.zeros(len(pieces), np.int64)
-    done = np.array(order, np.int64)
+    start = np.zeros(len(size), np.int64)
+    done = np.concatenate(order).astype(np.int64) if order else np.zeros(0, np.int64)
     start[done] = np.cumsum(count[done]) - count[done]
     take = runs(start, count)
     return flat_ids[take], flat_ends[take], np.concatenate([[0], np.cumsum(count)]), spelled
@@ -237,18 +241,37 @@ def _total(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return sums[at[1:]] - sums[at[:-1]]
 
 
-def _group_texts(found: dict[str, np.ndarray], a_ids: np.ndarray, b_ids: np.ndarray) -> list[str]:
-    """The groups of each piece as ``a1,a2|b1;a3|b2,b3``."""
-    a, b = list(map(str, a_ids.tolist())), list(map(str, b_ids.tolist()))
-    groups, i, j = [], 0, 0
-    for x, y in zip(found["a_cut"].tolist(), found["b_cut"].tolist()):
-        groups.append(",".join(a[i:x]) + "|" + ",".join(b[j:y]))
-        i, j = x, y
-    at = found["group_at"].tolist()
-    return [";".join(groups[x:y]) for x, y in zip(at[:-1], at[1:])]
+def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers below n, each followed by a comma, and where each starts."""
+    written = [b"%d," % i for i in range(n)]
+    return np.frombuffer(b"".join(written), np.uint8), np.cumsum([0, *map(len, written)])
+
+
+def _group_texts(found: dict[str, np.ndarray], a_ids: np.ndarray, b_ids: np.ndarray, at: np.ndarray, decimals: tuple) -> np.ndarray:
+    """The groups of each piece as ``a1,a2|b1;a3|b2,b3;``; ``at`` counts the tokens of both sides before each piece."""
+    a_cut, b_cut = found["a_cut"], found["b_cut"]
+    # a group's tokens of A, then its tokens of B
+    n_a, n_b = np.diff(a_cut, prepend=0), np.diff(b_cut, prepend=0)
+    line = np.zeros(len(a_ids) + len(b_ids), np.int64)
+    line[np.arange(len(a_ids)) + np.repeat(b_cut - n_b, n_a)] = a_ids
+    line[np.arange(len(b_ids)) + np.repeat(a_cut, n_b)] = b_ids
+    digits, start = decimals
+    width = (start[1:] - start[:-1])[line]
+    out = digits[runs(start[line], width)]
+    end = np.concatenate([[0], np.cumsum(width)])
+    out[end[a_cut + b_cut - n_b] - 1] = ord("|")
+    out[end[a_cut + b_cut] - 1] = ord(";")
+    text, bounds = out.tobytes().decode(), end[at].tolist()
+    return np.array([*[text[x:y] for x, y in zip(bounds[:-1], bounds[1:])], ""], object)
+
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, rising."""
+    values = np.sort(values)
+    return values[np.diff(values, prepend=-1) != 0]
 
-def align_slice(texts: pa.Array, a: _Side, b: _Side, digest: bool) -> dict[str, object]:
+
+def align_slice(texts: pa.Array, a: _Side, b: _Side, decimals: tuple, digest: bool) -> dict[str, object]:
     """What the texts of a slice are made of: per text ``n_a``, ``n_b``,
     ``n_groups``, ``n_links``, ``groups``; its pieces (``words`` in spans
     ``word_at``), the pairs of each piece (``links`` in spans ``link_at``:
@@ -267,8 +290,12 @@ def align_slice(texts: pa.Array, a: _Side, b: _Side, digest: bool) -> dict[str,
     mark[cuts[(data[cuts] == 0x20) & ~ended[cuts + 1]]] = True
     bounds = np.flatnonzero(mark)
     coded = pc.dictionary_encode(C.string_array(data, bounds).cast(pa.large_binary()))
-    pieces = coded.dictionary.to_pylist()
     word = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    # frequent pieces first: small numbers take little room
+    order = np.argsort(-np.bincount(word, minlength=len(coded.dictionary)), kind="stable")
+    pieces, place = coded.dictionary.take(pa.array(order)), np.empty_like(order)
+    place[order] = np.arange(len(order))
+    word = place[word]
     a_ids, a_ends, a_at, a_spelled = encode_pieces(a, pieces)
     b_ids, b_ends, b_at, b_spelled = encode_pieces(b, pieces)
     good = a_spelled & b_spelled
@@ -282,15 +309,15 @@ def align_slice(texts: pa.Array, a: _Side, b: _Side, digest: bool) -> dict[str,
     words, word_at = word[runs(word_at[:-1], n)], np.concatenate([[0], np.cumsum(n)])
     each = {"n_a": np.diff(a_at), "n_b": np.diff(b_at), "n_groups": np.diff(found["group_at"]), "n_links": np.diff(found["link_at"])}
     out: dict[str, object] = {k: _total(v[words], word_at) for k, v in each.items()}
-    spelt = np.array([*_group_texts(found, a_ids, b_ids), ""], object)
-    groups = [";".join(spelt[words[x:y]]) for x, y in zip(word_at[:-1].tolist(), word_at[1:].tolist())]
+    spelt = _group_texts(found, a_ids, b_ids, a_at + b_at, decimals)
+    groups = ["".join(spelt[words[x:y]])[:-1] for x, y in zip(word_at[:-1].tolist(), word_at[1:].tolist())]
     if digest:
         groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
     keys, links = np.unique(a_ids[found["a"]] * b.size + b_ids[found["b"]], return_inverse=True)
-    used = np.unique(np.repeat(np.arange(len(off) - 1), n) * (len(pieces) + 1) + words)
+    used = _distinct(np.repeat(np.arange(len(off) - 1), n) * (len(pieces) + 1) + words)
     row, piece = used // (len(pieces) + 1), used % (len(pieces) + 1)
     width = np.diff(found["link_at"])[piece]
-    pairs = np.unique(np.repeat(row, width) * (len(keys) + 1) + links[runs(found["link_at"][piece], width)])
+    pairs = _distinct(np.repeat(row, width) * (len(keys) + 1) + links[runs(found["link_at"][piece], width)])
     held = np.bincount(pairs % (len(keys) + 1), minlength=len(keys))
     return out | {"groups": groups, "words": words, "word_at": word_at, "links": links, "link_at": found["link_at"], "keys": keys, "held": held}
 
@@ -302,7 +329,17 @@ def _only(good: np.ndarray, ids: np.ndarray, ends: np.ndarray, at: np.ndarray) -
 
 
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
-_LISTS = (*_COUNTS, "words", "word_at", "links", "link_at", "held")
+_LISTS = (*_COUNTS, "word_at", "held")
+_PACKED = ("words", "links", "link_at")
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Small numbers as four planes of bytes, of which the high ones compress to almost nothing."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _values(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
 def align(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
@@ -320,20 +357,25 @@ def align(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", tex
     one = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     kind = one.schema["id"].dataType
 
+    def tools() -> tuple:
+        a, b = (_Side(*c) for c in shared.value)
+        return a, b, _decimals(max(a.size, b.size))
+
     def cut(batches: Iterator[pa.RecordBatch], key=uuid.uuid4().hex) -> Iterator[pa.RecordBatch]:
         task, n = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in C.byte_slices(batch, "text", SLICE_BYTES):
-                a, b = C.held(key, lambda: tuple(_Side(*c) for c in shared.value))
-                made = align_slice(part.column(1), a, b, digest)
+                a, b, decimals = C.held(key, tools)
+                made = align_slice(part.column(1), a, b, decimals, digest)
                 lists = {k: pa.array([made[k]], pa.list_(pa.int32())) for k in _LISTS}
+                lists |= {k: pa.array([_planes(made[k])], pa.binary()) for k in _PACKED}
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([task << 32 | n]), pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0)),
                      *lists.values(), pa.array([made["keys"]], pa.list_(pa.int64())), pa.array([made["groups"]], pa.list_(pa.string()))],
                     names=["slice", "ids", *lists, "keys", "groups"])
                 n += 1
 
-    ints = [T.StructField(k, T.ArrayType(T.IntegerType())) for k in _LISTS]
+    ints = [*(T.StructField(k, T.ArrayType(T.IntegerType())) for k in _LISTS), *(T.StructField(k, T.BinaryType()) for k in _PACKED)]
     schema = T.StructType([T.StructField("slice", T.LongType()), T.StructField("ids", T.ArrayType(kind)), *ints,
                            T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("groups", T.ArrayType(T.StringType()))])
     slices = stored(one.mapInArrow(cut, schema), "align-slices")
@@ -350,8 +392,9 @@ def align(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", tex
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                made = {k: batch.column(k)[i].values for k in batch.schema.names if k != "slice"}
+                made = {k: batch.column(k)[i].values for k in ("ids", "groups", *_COUNTS, "word_at", "pos", "count", "best")}
                 x = {k: np.zeros(0, np.int64) if v is None else v.to_numpy(zero_copy_only=False) for k, v in made.items() if k not in ("ids", "groups")}
+                x |= {k: _values(batch.column(k)[i].as_py()) for k in _PACKED}
                 count, best = np.zeros(len(x["pos"]), np.int64), np.zeros(len(x["pos"]), np.int64)
                 count[x["pos"]], best[x["pos"]] = x["count"], x["best"]
                 sums = [_total(_total(v[x["links"]], x["link_at"])[x["words"]], x["word_at"]) for v in (best, count)]
