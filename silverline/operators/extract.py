@@ -1,9 +1,10 @@
 """Page extraction as Spark jobs over a page table (EXT-1..12).
 
-Everything that reads markup is a native expression: fragments are cut at
-their opening tags (so optional end tags need no rule), texts lose their tags
-and get their character references decoded, and a container's scope ends at
-its own closing tag, whatever it nests.  Only the scan for JSON objects inside
+Everything that reads markup is native.  Tables, grids, label and info lists
+and pagers are running counts and aggregates over the token table of
+``markup``: a row, cell or item is what its opening tag owns (so optional end
+tags need no rule), and a container ends at its own closing tag, whatever it
+nests.  Only the scan for JSON objects inside
 arbitrary text (EXT-9) runs a small Python helper in ``mapInPandas``: finding
 where a valid object ends needs a JSON parser.
 """
@@ -14,11 +15,12 @@ import json
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverline.functions import predicates as P
 from silverline.functions import strings as S
+from silverline.operators import markup as M
 
 # Character references by name that pages use in running text.
 NAMED_REFERENCES = {
@@ -50,7 +52,7 @@ def decode_references(c: Column | str) -> Column:
     return F.when(F.contains(S._c(c), F.lit("&")), F.concat(head, F.array_join(tail, ""))).otherwise(S._c(c))
 
 
-_TAG = r"(?s)<!--.*?-->|<[^>]*>"
+_TAG = r"(?s)<!--.*?(?:-->|\z)|<[^<>]*>"
 
 
 def fragment_text(c: Column | str) -> Column:
@@ -58,27 +60,18 @@ def fragment_text(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(decode_references(F.regexp_replace(S._c(c), _TAG, "")), r"[\s ]+", " "))
 
 
-def stripped_text(c: Column | str) -> Column:
-    """Each run of text between tags stripped, joined without a separator."""
-    def strip(x: Column) -> Column:
-        return F.regexp_replace(decode_references(x), r"^\s+|\s+$", "")
-
-    runs = F.transform(F.split(S._c(c), _TAG, -1), strip)
-    return F.when(F.contains(S._c(c), F.lit("<")), F.array_join(runs, "")).otherwise(strip(S._c(c)))
-
-
 def _has_class(cls: str) -> str:
     """Pattern: the tag's class list (either quote) holds ``cls`` as a whole token."""
     quoted = re.escape(cls)
-    return rf"""(?=[^>]*\bclass\s*=\s*(?:"(?:[^"]*\s)?{quoted}(?:\s[^"]*)?"|'(?:[^']*\s)?{quoted}(?:\s[^']*)?'))"""
+    return rf"""(?=[^<>]*\bclass\s*=\s*(?:"(?:[^"]*\s)?{quoted}(?:\s[^"]*)?"|'(?:[^']*\s)?{quoted}(?:\s[^']*)?'))"""
 
 
 def open_tag(tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> str:
     """Pattern of an opening tag, with a class token or an attribute value if named."""
     more = _has_class(cls) if cls else ""
     if attr:
-        more += rf"""(?=[^>]*\b{re.escape(attr[0])}\s*=\s*["']{re.escape(attr[1])}["'])"""
-    return rf"(?is)<(?:{tag})\b{more}[^>]*>"
+        more += rf"""(?=[^<>]*\b{re.escape(attr[0])}\s*=\s*["']{re.escape(attr[1])}["'])"""
+    return rf"(?is)<(?:{tag})\b{more}[^<>]*>"
 
 
 def scope(html: Column | str, tag: str, cls: str | None = None, attr: tuple[str, str] | None = None) -> Column:
@@ -137,14 +130,6 @@ def links(df: DataFrame, html: str = "html", keep: list[str] | None = None,
     return out.filter(predicate(F.col("href"))) if predicate is not None else out
 
 
-def next_page_links(html: Column | str) -> Column:
-    """EXT-7: hrefs of anchors whose text starts with ``Next <n>``, whatever
-    elements stand inside the anchor before the text."""
-    anchors = F.regexp_extract_all(S._c(html), F.lit(r"(?is)<a\b[^>]*>.*?(?:</a\s*>|\z)"), F.lit(0))
-    wanted = F.filter(anchors, lambda a: fragment_text(a).rlike(r"^Next \d+"))
-    return F.filter(F.transform(wanted, first_href), lambda h: h.isNotNull())
-
-
 def page_size(html: Column | str) -> Column:
     """EXT-11: size in bytes."""
     return F.octet_length(S._c(html))
@@ -182,15 +167,15 @@ def is_valid_entity_page(html: Column | str, markers=("coin-heading", "coin-page
     return P.has_any_marker(html, list(markers)) & P.min_bytes(html, min_size)
 
 
-# Arrays that a later expression reads more than once, or once per element, are
-# columns of their own: Catalyst keeps such a projection apart, so each array
-# is computed once per row.
+# EXT-1..4 and 7 read the token table: intervals of tokens are grouped by page,
+# row and cell on the partitioning that ``tokens`` made, and what an expression
+# reads more than once is a column of its own.
 
 def _with_map(df: DataFrame, entries: Column, out: str) -> DataFrame:
     """``out``: a map from (key, value) entries; a later entry replaces an
     earlier one of its key, entries without a key are left out."""
     numbered = F.transform(entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), e["value"].alias("value")))
-    df = df.withColumn("_sorted", F.array_sort(F.filter(numbered, lambda e: e["key"].isNotNull())))
+    df = df.withColumn("_sorted", F.sort_array(F.filter(numbered, lambda e: e["key"].isNotNull())))
     last = F.filter("_sorted", lambda e, i: F.coalesce(F.get("_sorted", i + 1)["key"] != e["key"], F.lit(True)))
     pairs = F.transform(last, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
     return df.withColumn(out, F.map_from_entries(pairs)).drop("_sorted")
@@ -204,6 +189,48 @@ def _entry(key: Column, value: Column) -> Column:
     return F.struct(key.alias("key"), value.alias("value"))
 
 
+def _keys() -> Column:
+    """The keys of a page in an aggregate over its tokens."""
+    return F.first("keys").alias("keys")
+
+
+def _unpacked(key_cols: list[str]) -> list[Column]:
+    return [F.col("keys")[c].alias(c) for c in key_cols]
+
+
+def _text_of_tokens(t: DataFrame, strip: bool) -> DataFrame:
+    """References decoded in every run of text; with ``strip`` each stripped."""
+    t = t.withColumn("text", F.translate(decode_references("text"), M.NEXT + M.PART, ""))
+    return t.withColumn("text", F.btrim("text", F.lit(M.SPACES))) if strip else t
+
+
+def _collapsed(c: Column | str) -> Column:
+    return F.trim(F.regexp_replace(S._c(c), r"[\s ]+", " "))
+
+
+def _with_href(t: DataFrame) -> DataFrame:
+    """``href``: the decoded target of a link's opening tag."""
+    return t.withColumn("href", F.when(M.opens("a"), M.attribute("href"))).withColumn("href", F.translate(decode_references("href"), M.NEXT + M.PART, ""))
+
+
+def _first_hrefs(runs: str) -> Column:
+    """The first href in each cell of a row, NULL without one."""
+    found = M.intervals(M.joined(runs, M.starts("cell"), lambda x: F.coalesce(F.concat(F.lit(M.PART), x["href"]), F.lit(""))))
+    return F.transform(found, lambda c: F.get(F.split(c, M.PART, 3), F.lit(1)))
+
+
+def _rows_of_runs(t: DataFrame, *fields: str) -> DataFrame:
+    """(keys, page, row, runs): the tokens that lie in cells, for every row with its opening tag."""
+    telling = F.col("cell").isNotNull() & ((F.col("cell") == F.col("pos")) | (F.col("text") != "") | F.col("href").isNotNull())
+    return t.groupBy("page", "row").agg(_keys(), M.runs("cell", "text", "href", *fields, where=telling).alias("runs"))
+
+
+def _with_heads(rows: DataFrame) -> DataFrame:
+    """Rows after the first, with the texts of the first row's cells."""
+    first = F.first("texts").over(Window.partitionBy("page").orderBy("row"))
+    return rows.withColumn("_plain", first).filter("row > 1")
+
+
 def html_tables(df: DataFrame, key_cols: list[str], html: str = "html", table_cls: str | None = "table",
                 link_mode: str = "all") -> DataFrame:
     """EXT-1: ``(keys..., row_idx, cells map<string,string>)`` of the first
@@ -211,20 +238,20 @@ def html_tables(df: DataFrame, key_cols: list[str], html: str = "html", table_cl
     first, keyed by the first row's header texts; cells beyond them are
     ``_col<i>``.  ``link_mode="all"`` adds ``<header>_href`` for every linked
     cell, ``"first"`` adds ``link_href`` for a link in the first cell."""
-    def cut(cell: Column) -> Column:
-        return F.regexp_replace(cell, r"(?is)</t[dh]\s*>.*$", "")
-
-    rows = df.select(*key_cols, pieces_after(scope(F.col(html), "table", table_cls), open_tag("tr")).alias("_rows")).filter(F.size("_rows") > 0)
-    heads = F.transform(pieces_after(F.get("_rows", F.lit(0)), open_tag("th")), lambda c: stripped_text(cut(c)))
-    each = rows.select(*key_cols, heads.alias("_heads"), F.posexplode(F.slice("_rows", F.lit(2), F.size("_rows"))).alias("row_idx", "_row"))
-    each = each.select(*key_cols, "row_idx", "_heads", F.transform(pieces_after("_row", open_tag("td")), cut).alias("_cells"))
-    named = F.transform("_cells", lambda c, i: _entry(_cell_name(F.col("_heads"), i), stripped_text(c)))
+    t = M.inside(M.tokens(df, key_cols, html), "table", M.has_class(table_cls) if table_cls else F.lit(True))
+    t = M.counted(t.filter("inside"), "row", M.opens("tr")).filter("row > 0")
+    cell = F.when(F.col("row") == 1, M.opens("th")).otherwise(M.opens("td"))
+    t = M.owner(t, "cell", cell | M.closes("td", "th") | M.opens("tr"), F.when(cell, 1))
+    rows = _rows_of_runs(_with_href(_text_of_tokens(t, True)))
+    rows = rows.withColumn("texts", M.intervals(M.joined("runs", M.starts("cell"), lambda x: x["text"]))).withColumn("hrefs", _first_hrefs("runs"))
+    rows = _with_heads(rows).withColumn("names", F.transform("texts", lambda _, i: _cell_name(F.col("_plain"), i)))
     if link_mode == "all":
-        hrefs = F.transform("_cells", lambda c, i: _entry(F.concat(_cell_name(F.col("_heads"), i), F.lit("_href")), first_href(c)))
+        hrefs = F.zip_with("names", "hrefs", lambda k, h: _entry(F.concat(k, F.lit("_href")), h))
     else:
-        hrefs = F.transform("_cells", lambda c, i: _entry(F.lit("link_href"), F.when(i == 0, first_href(c))))
-    linked = F.filter(hrefs, lambda e: e["value"].isNotNull())
-    return _with_map(each, F.concat(linked, named), "cells").select(*key_cols, "row_idx", "cells")
+        hrefs = F.transform(F.slice("hrefs", 1, 1), lambda h: _entry(F.lit("link_href"), h))
+    linked = F.filter(hrefs, lambda e: e["value"] != "")
+    rows = _with_map(rows, F.concat(linked, F.zip_with("names", "texts", _entry)), "cells")
+    return rows.select(*_unpacked(key_cols), (F.col("row") - 2).cast("int").alias("row_idx"), "cells")
 
 
 def html_grid(df: DataFrame, key_cols: list[str], html: str = "html", container: str = "box_table", row_cls: str = "tr",
@@ -235,24 +262,28 @@ def html_grid(df: DataFrame, key_cols: list[str], html: str = "html", container:
     ``_2``, ``_3``).  A cell with elements of class ``tag_cls`` is their texts
     joined by ``", "``.  The link of the cell named ``link_col``, made absolute
     with ``base_url``, is added as ``url_col`` (``""`` when there is none)."""
-    rows = df.select(*key_cols, pieces_after(scope(F.col(html), "div", container), open_tag("div", row_cls)).alias("_rows")).filter(F.size("_rows") > 0)
-    plain = rows.withColumn("_plain", F.transform(pieces_after(F.get("_rows", F.lit(0)), open_tag("div", head_cls)), stripped_text))
+    t = M.inside(M.tokens(df, key_cols, html), "div", M.has_class(container)).filter("inside")
+    t = t.withColumn("_row", M.opens("div") & M.has_class(row_cls)).withColumn("_tag", M.opens("a", "div") & M.has_class(tag_cls))
+    t = M.counted(t, "row", F.col("_row")).filter("row > 0")
+    t = t.withColumn("_cell", M.opens("div") & F.when(F.col("row") == 1, M.has_class(head_cls)).otherwise(M.has_class(cell_cls)))
+    t = M.owner(t, "cell", F.col("_cell") | F.col("_row"), F.when(F.col("_cell"), 1))
+    t = M.owner(t, "mark", F.col("_tag") | M.closes("a", "div") | F.col("_cell") | F.col("_row"), F.when(F.col("_tag"), 1))
+    rows = _rows_of_runs(_with_href(_text_of_tokens(t, True)), "mark")
+    in_marks = M.intervals(M.joined("runs", M.starts("cell"), M.starts("mark", M.PART), lambda x: F.when(x["mark"].isNotNull(), x["text"]).otherwise("")))
+    rows = (rows.withColumn("texts", M.intervals(M.joined("runs", M.starts("cell"), lambda x: x["text"])))
+            .withColumn("tags", F.transform(in_marks, lambda c: F.substr(F.replace(c, F.lit(M.PART), F.lit(", ")), F.lit(3))))
+            .withColumn("hrefs", _first_hrefs("runs")))
     nth = F.transform("_plain", lambda h, i: F.size(F.filter(F.slice("_plain", F.lit(1), i + 1), lambda x: x == h)))
     heads = F.zip_with("_plain", nth, lambda h, n: F.when(n == 1, h).otherwise(F.concat(h, F.lit("_"), n.cast("string"))))
-    each = plain.select(*key_cols, heads.alias("_heads"), F.posexplode(F.slice("_rows", F.lit(2), F.size("_rows"))).alias("row_idx", "_row"))
-
-    def cell(c: Column, i: Column) -> Column:
-        tags = F.transform(pieces_after(c, open_tag("a|div", tag_cls)), lambda t: stripped_text(F.regexp_replace(t, r"(?is)</(?:a|div)\s*>.*$", "")))
-        return F.struct(_cell_name(F.col("_heads"), i).alias("key"), F.array_join(tags, ", ").alias("tags"), c.alias("html"))
-
-    each = each.select(*key_cols, "row_idx", F.transform(pieces_after("_row", open_tag("div", cell_cls)), cell).alias("_cells"))
-    named = F.transform("_cells", lambda c: _entry(c["key"], F.when(c["tags"] != "", c["tags"]).otherwise(stripped_text(c["html"]))))
-    at = F.get(F.filter("_cells", lambda c: c["key"] == F.lit(link_col)), F.lit(0))["html"]
-    each = each.withColumn("_named", named).withColumn("_href", first_href(at))
+    rows = _with_heads(rows).withColumn("_heads", heads).withColumn("names", F.transform("texts", lambda _, i: _cell_name(F.col("_heads"), i)))
+    at = F.array_position("names", F.lit(link_col)) if link_col else F.lit(0)
+    rows = rows.withColumn("_href", F.when(at > 0, F.get("hrefs", (at - 1).cast("int"))))
     href = F.col("_href")
-    absolute = F.when(href.isNull(), "").when(href.rlike(r"^[a-z]+://"), href).otherwise(
+    absolute = F.when(F.coalesce(href, F.lit("")) == "", "").when(href.rlike(r"^[a-z]+://"), href).otherwise(
         F.concat(F.lit(base_url.rstrip("/") + "/"), F.regexp_replace(href, "^/+", "")))
-    return _with_map(each, F.concat("_named", F.array(_entry(F.lit(url_col), absolute))), "cells").select(*key_cols, "row_idx", "cells")
+    values = F.zip_with("tags", "texts", lambda tags, text: F.when(tags != "", tags).otherwise(text))
+    rows = _with_map(rows, F.concat(F.zip_with("names", values, _entry), F.array(_entry(F.lit(url_col), absolute))), "cells")
+    return rows.select(*_unpacked(key_cols), (F.col("row") - 2).cast("int").alias("row_idx"), "cells")
 
 
 def html_label_values(df: DataFrame, key_cols: list[str], html: str = "html", label_cls: str = "label", value_cls: str = "value",
@@ -260,16 +291,17 @@ def html_label_values(df: DataFrame, key_cols: list[str], html: str = "html", la
     """EXT-3: ``(keys..., kv map<string,string>)``: table rows with a label
     and a value cell; the key is the label cell's first class that is not in
     ``ignore_cls``; a later key replaces an earlier one."""
-    def entry(row: Column) -> Column:
-        label = F.regexp_extract(row, "(" + open_tag("td", label_cls) + ")", 1)
-        classes = F.split(F.trim(F.regexp_extract(label, r"""(?is)\bclass\s*=\s*(["'])(.*?)\1""", 2)), r"\s+")
-        key = F.get(F.filter(classes, lambda c: (c != "") & ~c.isin(*ignore_cls)), F.lit(0))
-        cell = F.get(F.split(row, open_tag("td", value_cls), 2), F.lit(1))
-        value = stripped_text(F.regexp_replace(cell, r"(?is)(?:</t[dr]\s*>|<t[dr]\b).*$", ""))
-        return _entry(F.when(cell.isNotNull(), key), value)
-
-    rows = F.transform(pieces_after(F.col(html), open_tag("tr")), entry)
-    return _with_map(df.select(*key_cols, F.coalesce(rows, F.array()).alias("_rows")), F.col("_rows"), "kv").select(*key_cols, "kv")
+    t = M.counted(M.tokens(df, key_cols, html), "row", M.opens("tr"))
+    t = t.withColumn("_label", M.opens("td") & M.has_class(label_cls)).withColumn("_value", M.opens("td") & M.has_class(value_cls))
+    t = M.owner(t, "cell", M.opens("td", "tr") | M.closes("td", "tr"), F.when(F.col("_value"), 1))
+    key = F.get(F.filter(F.when(F.col("_label"), M.classes()), lambda c: (c != "") & ~c.isin(*ignore_cls)), F.lit(0))
+    t = _text_of_tokens(t, True).withColumn("_key", F.when(F.col("_label"), F.struct("pos", key.alias("key"))))
+    # texts of the first value cell alone
+    rows = t.groupBy("page", "row").agg(_keys(), F.min("_key")["key"].alias("key"), M.runs("cell", "text", where=F.col("cell").isNotNull()).alias("runs"))
+    own = F.filter("runs", lambda r: r["cell"] == F.get("runs", F.lit(0))["cell"])
+    rows = rows.withColumn("key", F.when((F.size("runs") > 0) & (F.col("row") > 0), F.col("key"))).withColumn("value", M.joined(own, lambda x: x["text"]))
+    pages = rows.groupBy("page").agg(_keys(), F.sort_array(F.collect_list(F.struct("row", "key", "value"))).alias("_rows"))
+    return _with_map(pages, F.transform("_rows", lambda r: _entry(r["key"], r["value"])), "kv").select(*_unpacked(key_cols), "kv")
 
 
 def html_info_pairs(df: DataFrame, key_cols: list[str], html: str = "html", section_tag: str = "section",
@@ -280,18 +312,28 @@ def html_info_pairs(df: DataFrame, key_cols: list[str], html: str = "html", sect
     their texts joined by ``", "``.  A missing section, key or value and a
     repeated key without links are errors: the pairs before the first error
     are kept, and a contract decides about the row."""
-    inner = df.select(*key_cols, scope(F.col(html), section_tag, section_cls, section_attr).alias("_inner"))
-    raw = F.regexp_extract_all("_inner", F.lit(r"(?is)<li\b.*?(?=<li\b|\z)"), F.lit(0))
-    shown = F.filter(raw, lambda li: ~li.rlike("^" + open_tag("li", hidden_cls)))
-
-    def span(li: Column, cls: str) -> Column:
-        return fragment_text(F.regexp_replace(F.get(F.split(li, open_tag("span", cls), 2), F.lit(1)), r"(?is)</span\s*>.*$", ""))
-
-    def item(li: Column) -> Column:
-        anchors = F.regexp_extract_all(li, F.lit(r"(?is)<a\b[^>]*>(.*?)(?=</a\s*>|<a\b|\z)"), F.lit(1))
-        return F.struct(span(li, key_cls).alias("key"), F.transform(anchors, fragment_text).alias("links"), span(li, value_cls).alias("value"))
-
-    base = inner.select(*key_cols, F.col("_inner").isNull().alias("_none"), F.coalesce(F.transform(shown, item), F.array()).alias("_items"))
+    hit = M.has_class(section_cls) if section_cls else F.lit(True)
+    if section_attr:
+        hit = hit & M.has_attribute(*section_attr)
+    t = M.inside(M.tokens(df, key_cols, html), section_tag, hit)
+    # a page without the section keeps its first token
+    t = t.filter(F.col("inside") | (F.col("pos") == 0))
+    t = M.owner(t, "item", M.opens("li") & F.col("inside"), F.when(M.has_class(hidden_cls), 0).otherwise(1))
+    kind = F.when(M.opens("span") & M.has_class(key_cls), "key").when(M.opens("span") & M.has_class(value_cls), "value")
+    t = M.owner(t.withColumn("_kind", kind), "span", F.col("_kind").isNotNull() | M.closes("span") | M.opens("li"), F.col("_kind"))
+    t = M.owner(t, "link", M.opens("li", "a") | M.closes("a"), F.when(M.opens("a"), 1))
+    t = _text_of_tokens(t, False)
+    items = t.groupBy("page", "item").agg(
+        _keys(), F.max("inside").alias("found"), F.max("item_kind").alias("shown"),
+        *[M.runs("span", "text", where=F.col("span_kind") == k).alias(f"_{k}") for k in ("key", "value")],
+        M.runs("link", "text", where=F.col("link").isNotNull()).alias("_link"))
+    # the first span of each kind
+    for k in ("key", "value"):
+        own = F.filter(f"_{k}", lambda r: r["span"] == F.get(f"_{k}", F.lit(0))["span"])
+        items = items.withColumn(k, F.when(F.size(f"_{k}") > 0, _collapsed(M.joined(own, lambda x: x["text"]))))
+    items = items.withColumn("links", F.transform(M.intervals(M.joined("_link", M.starts("link"), lambda x: x["text"])), _collapsed))
+    listed = F.when((F.col("shown") == 1), F.struct("item", "key", "links", "value"))
+    base = items.groupBy("page").agg(_keys(), (~F.max("found")).alias("_none"), F.sort_array(F.collect_list(listed)).alias("_items"))
     base = base.withColumn("_keys", F.transform("_items", lambda e: e["key"]))
 
     def error(e: Column, i: Column) -> Column:
@@ -304,7 +346,21 @@ def html_info_pairs(df: DataFrame, key_cols: list[str], html: str = "html", sect
     good = F.slice("_items", F.lit(1), F.coalesce("_first", F.size("_items")))
     pairs = F.transform(good, lambda e: _entry(e["key"], F.when(F.size(e["links"]) > 0, F.array_join(F.filter(e["links"], lambda t: t != ""), ", ")).otherwise(e["value"])))
     error_text = F.when(F.col("_none"), "missing section").otherwise(F.get("_errors", F.col("_first")))
-    return _with_map(base, pairs, "kv").select(*key_cols, "kv", error_text.alias("error"))
+    return _with_map(base, pairs, "kv").select(*_unpacked(key_cols), "kv", error_text.alias("error"))
+
+
+def pagination_links(df: DataFrame, key_cols: list[str], html: str = "html") -> DataFrame:
+    """EXT-7: ``(keys..., hrefs array<string>)``: in page order the hrefs of
+    the anchors whose text starts with ``Next <n>``, whatever elements stand
+    inside the anchor before the text; an empty array when there is none."""
+    t = M.owner(M.tokens(df, key_cols, html), "link", M.opens("a") | M.closes("a"), F.when(M.opens("a"), 1))
+    telling = F.col("link").isNotNull() & ((F.col("text") != "") | F.col("href").isNotNull())
+    pages = _with_href(_text_of_tokens(t, False)).groupBy("page").agg(_keys(), M.runs("link", "text", "href", where=telling).alias("runs"))
+    anchors = M.intervals(M.joined("runs", M.starts("link"), lambda x: F.when(x["link"] == x["pos"], F.concat(F.coalesce(x["href"], F.lit("")), F.lit(M.PART))).otherwise(""),
+                                   lambda x: x["text"]))
+    pages = pages.withColumn("_links", F.transform(anchors, lambda c: F.split(c, M.PART, 2)))
+    wanted = F.filter("_links", lambda c: (c[0] != "") & F.ltrim(_collapsed(c[1])).rlike(r"^Next \d+"))
+    return pages.select(*_unpacked(key_cols), F.transform(wanted, lambda c: c[0]).alias("hrefs"))
 
 
 def html_list_items(df: DataFrame, key_cols: list[str], html: str = "html") -> DataFrame:

@@ -286,7 +286,7 @@ def q_next_page_links(spark, sf):
     """EXT-7: a pager written from each order, with markup inside the anchors."""
     html = _text("<a href='/p'>Previous 1</a><a class=n href=\"/list?page=", F.col("o_custkey"),
                  "&amp;s='1'\"><b>\n Next</b> 3</a> Next 9 <a href='/b'>Next 4</a><a href='/c'>Next page</a>")
-    return T(spark, sf, "orders").select(F.col("o_orderkey").alias("page_id"), X.next_page_links(html).alias("hrefs"))
+    return X.pagination_links(T(spark, sf, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html")), ["page_id"])
 
 
 def _scripts(spark, sf):
