@@ -56,7 +56,8 @@ def closes(*tags: str) -> Column:
 def attribute(name: str) -> Column:
     """Value of an attribute in either kind of quotes or none, as written; NULL without it."""
     found = F.regexp_extract("attrs", rf"""(?is)\s{name}\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)""", 1)
-    return F.when(found != "", F.btrim(found, F.lit("\"'")))
+    quoted = F.substring(found, 1, 1).isin('"', "'")
+    return F.when(quoted, F.substr(found, F.lit(2), F.length(found) - 2)).when(found != "", found)
 
 
 def classes() -> Column:

@@ -20,10 +20,10 @@ def test_tokens(spark):
 
 
 def test_attributes(spark):
-    html = """<a HREF = "/x?a=1&amp;b" class=plain id='it'><a class='one  two'><a data-href='/no' title="class='one'"><a href=>"""
+    html = """<a HREF = "/x?a=1&amp;b" class=plain id='it'><a class='one  two'><a data-href='/no' title="class='one'"><a href=><a href="/v='1'">"""
     t = M.tokens(frame(spark, html), ["page"]).filter("tag = 'a'").orderBy("pos")
     assert [tuple(r) for r in t.select(M.attribute("href"), M.has_class("one"), M.has_class("plain"), M.has_attribute("id", "it")).collect()] == [
-        ("/x?a=1&amp;b", False, True, True), (None, True, False, False), (None, False, False, False), (None, False, False, False)]
+        ("/x?a=1&amp;b", False, True, True), (None, True, False, False), (None, False, False, False), (None, False, False, False), ("/v='1'", False, False, False)]
 
 
 def test_inside_ends_at_its_own_closing_tag(spark):
