@@ -1,28 +1,32 @@
 """Language identification by prediction by partial matching (operator 9).
 
-Per language, a byte context tree of order 3 with escapes: a byte is coded in
-its longest context that has been seen (three bytes down to none); a byte that
+Per language, a byte context tree of order 4 with escapes: a byte is coded in
+its longest context that has been seen (four bytes down to none); a byte that
 this context lacks pays the context's escape and is coded one order lower; below
-order 0 all symbols are equally likely.  With ``n`` symbols counted in a context
-and ``q`` different ones, a seen symbol has ``c / (n + q)`` and the escape
+order 0 all 256 bytes are equally likely.  With ``n`` bytes counted in a context
+and ``q`` different ones, a seen byte has ``c / (n + q)`` and the escape
 ``q / (n + q)``.  Statistics are frozen after training, so the code length of a
 text is a sum over its bytes, and the language of the shortest code wins.
+Every byte counts as itself, but for A-Z, which are taken in lower case; what
+one language is judged by does not depend on the others.
 
-Bytes are taken with A-Z in lower case and as one of 64 symbols: the 63 most
-frequent bytes of the training sample, and one for all others (which byte it
-was costs the same in every language and is left out).
-
-Scoring needs no tree walk: the code lengths of all four-grams seen in training
-are worked out once, an index of 64^4 entries finds them, and other four-grams
-take the escape of their context plus the length one order lower.
+Scoring needs no tree walk: for each order the code lengths of all grams that
+any language has seen are worked out once and found by a hash table; a gram
+that none has seen takes the escape of its context plus the length one order
+lower.  A worker holds 4 bytes for every language and distinct gram of the
+samples: 2 MB of a language hold some 300 thousand, so ten languages take about
+100 MB where they share nothing.
 
 Training takes the distinct texts of each language in the order of a hash of
 the text, up to ``sample_bytes`` bytes; the text that crosses the bound is cut
-there.  Prediction sees all of every text, and nothing but the text.
+there.  A language of fewer than ``min_texts`` distinct texts is not learned,
+so that stray labels cost nothing.  Prediction sees all of every text, and
+nothing but the text.
 
 Defined cases: ``und`` with score 0 if a text is null or has no letter, or if
 nothing was learned.  Ties go to the language that sorts first.  Repeated rows
-are judged alike.  Input columns named as the results are replaced.
+are judged alike; a very long text is one slice.  An empty table gives an empty
+result.  Input columns named as the results are replaced.
 """
 
 from __future__ import annotations
@@ -34,13 +38,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverline.llm import common as C
 
-SYMBOLS = 64
+ORDER = 4
 SAMPLE_BYTES = 2 << 20
 UNKNOWN = "und"
 #: What precedes a text.
@@ -49,29 +53,55 @@ _BEFORE = 10
 _ALL = 1 << 62
 
 
-def _symbols(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """Four-gram keys (three symbols of context, then the byte's own) of each
-    byte; the context of a text's first bytes is filled with newlines."""
-    sym = classes[data].astype(np.int32)
-    key = sym.copy()
-    for back in (1, 2, 3):
-        own = np.full(len(sym), int(classes[_BEFORE]), np.int32)
-        own[back:] = sym[:-back]
-        first = offsets[:-1]
+def _grams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Each byte behind the ``ORDER`` bytes before it, as one number; the
+    context of a text's first bytes is filled with newlines."""
+    low = C.LOWER[data]
+    key = low.astype(np.int64)
+    first = offsets[:-1]
+    for back in range(1, ORDER + 1):
+        own = np.full(len(low), _BEFORE, np.uint8)
+        own[back:] = low[:-back]
         for k in range(back):  # the context must not reach into the text before
-            at = first[first + k < offsets[1:]] + k
-            own[at] = classes[_BEFORE]
-        key |= own << (6 * back)
+            own[first[first + k < offsets[1:]] + k] = _BEFORE
+        key |= own.astype(np.int64) << (8 * back)
     return key
 
 
+class _Places:
+    """Place of each of the rising ``keys``, by open addressing."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(3 * len(keys)).bit_length())
+        self.slots, self.place = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, -1, np.int32)
+        at, left = self._slot(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.slots[at[left]] < 0]
+            _, one = np.unique(at[free], return_index=True)
+            self.slots[at[free[one]]], self.place[at[free[one]]] = keys[free[one]], free[one]
+            left = left[self.slots[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) & (len(self.slots) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Places of ``keys``, -1 where there is none."""
+        at = self._slot(keys)
+        found = self.place[at]
+        open_ = np.flatnonzero((self.slots[at] != keys) & (found >= 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & (len(self.slots) - 1)
+            found[open_] = self.place[at[open_]]
+            open_ = open_[(self.slots[at[open_]] != keys[open_]) & (found[open_] >= 0)]
+        return found
+
+
 @dataclass(frozen=True)
 class Statistics:
-    """What training leaves: languages, the symbol of each byte, and each
-    language's four-gram keys (rising) with their counts."""
+    """What training leaves: languages, and each language's grams (rising) with their counts."""
 
     languages: list[str]
-    classes: np.ndarray
     counts: list[tuple[np.ndarray, np.ndarray]]
 
 
@@ -79,47 +109,51 @@ class Model:
     """Frozen context trees of some languages, ready to score."""
 
     def __init__(self, statistics: Statistics):
-        self.languages, self.classes, counts = statistics.languages, statistics.classes, statistics.counts
-        seen = np.unique(np.concatenate([k for k, _ in counts])) if counts else np.zeros(0, np.int64)
-        self.index = np.zeros(SYMBOLS ** 4, np.int32)
-        self.index[seen] = np.arange(1, len(seen) + 1)
-        self.exact, self.escape, self.lower = [], [], []
-        for keys, n in counts:
-            length = np.full(SYMBOLS, np.log2(SYMBOLS))
-            for order in range(4):
-                # (order + 1)-grams: the context's last symbols and the symbol
-                grams = keys & (SYMBOLS ** (order + 1) - 1)
-                count = np.bincount(grams, weights=n, minlength=SYMBOLS ** (order + 1)) if order < 3 else None
-                if order < 3:
-                    count = count.reshape(-1, SYMBOLS)
-                    total, kinds = count.sum(1, keepdims=True), (count > 0).sum(1, keepdims=True)
-                    escape = np.where(total > 0, -np.log2(np.maximum(kinds, 1) / np.maximum(total + kinds, 1)), 0.0)
-                    below = np.tile(length.reshape(-1, SYMBOLS), (len(count) * SYMBOLS // max(length.size, 1), 1)) if order else length[None, :]
-                    with np.errstate(divide="ignore"):
-                        length = np.where(count > 0, -np.log2(count / np.maximum(total + kinds, 1)), escape + below).ravel()
-                else:
-                    context = keys // SYMBOLS
-                    total = np.bincount(context, weights=n, minlength=SYMBOLS ** 3)
-                    kinds = np.bincount(context, minlength=SYMBOLS ** 3)
-                    escape = np.where(total > 0, -np.log2(np.maximum(kinds, 1) / np.maximum(total + kinds, 1)), 0.0)
-                    exact = escape[seen // SYMBOLS] + length[seen & (SYMBOLS ** 3 - 1)]
-                    exact[np.searchsorted(seen, keys)] = -np.log2(n / (total + kinds)[context])
-                    self.exact.append(np.concatenate([[0.0], exact]).astype(np.float32))
-                    self.escape.append(escape.astype(np.float32))
-                    self.lower.append(length.astype(np.float32))
+        self.languages = statistics.languages
+        #: by order: places of the grams, places of the contexts, and by language the lengths and escapes (the last one, 0, for a context never seen)
+        self.grams, self.contexts, self.lengths, self.escapes = [], [], [], []
+        below, below_keys = None, None
+        for order in range(ORDER + 1):
+            own = []
+            for keys, n in statistics.counts:
+                short, at = np.unique(keys & ((1 << 8 * (order + 1)) - 1), return_inverse=True)
+                own.append((short, np.bincount(at, weights=n)))
+            every = np.unique(np.concatenate([k for k, _ in own])) if own else np.zeros(0, np.int64)
+            contexts = np.unique(every >> 8)
+            suffix = None if below is None else np.searchsorted(below_keys, every & ((1 << 8 * order) - 1))
+            lengths, escapes = [], []
+            for i, (keys, n) in enumerate(own):
+                at = np.searchsorted(contexts, keys >> 8)
+                total, kinds = np.bincount(at, weights=n, minlength=len(contexts)), np.bincount(at, minlength=len(contexts))
+                escape = np.where(total > 0, -np.log2(np.maximum(kinds, 1) / np.maximum(total + kinds, 1)), 0.0)
+                length = escape[np.searchsorted(contexts, every >> 8)] + (8.0 if suffix is None else below[i][suffix])
+                length[np.searchsorted(every, keys)] = -np.log2(n / (total + kinds)[at])
+                lengths.append(length)
+                escapes.append(np.append(escape, 0.0).astype(np.float32))
+            below, below_keys = lengths, every
+            self.grams.append(_Places(every))
+            self.contexts.append(_Places(contexts))
+            self.lengths.append([x.astype(np.float32) for x in lengths])
+            self.escapes.append(escapes)
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits of each text (rows) in each language (columns)."""
-        key = _symbols(data, offsets, self.classes)
-        at = self.index[key]
-        new = np.flatnonzero(at == 0)
-        context, lower = key[new] >> 6, key[new] & (SYMBOLS ** 3 - 1)
+        key = _grams(data, offsets)
         out = np.zeros((len(offsets) - 1, len(self.languages)))
+        steps, left = [], np.arange(len(key))
+        for order in range(ORDER, -1, -1):
+            short = key[left] & ((1 << 8 * (order + 1)) - 1)
+            at = self.grams[order].find(short)
+            known = at >= 0
+            steps.append((order, left[known], at[known], left[~known], self.contexts[order].find(short[~known] >> 8)))
+            left = left[~known]
         for i in range(len(self.languages)):
-            bits = self.exact[i][at]
-            bits[new] = self.escape[i][context] + self.lower[i][lower]
-            total = np.zeros(len(bits) + 1)
-            np.cumsum(bits, dtype=np.float64, out=total[1:])
+            bits = np.zeros(len(key))
+            for order, seen, at, rest, context in steps:
+                bits[seen] += self.lengths[order][i][at]
+                bits[rest] += self.escapes[order][i][context]
+            bits[left] += 8.0
+            total = np.concatenate([[0.0], np.cumsum(bits)])
             out[:, i] = total[offsets[1:]] - total[offsets[:-1]]
         return out
 
@@ -131,23 +165,13 @@ class Model:
         return best, 1 / np.exp2(-np.minimum(gap, 1000)).sum(1)
 
 
-def _byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in C.byte_slices(batch, "text"):
-            n = np.bincount(C.LOWER[C.text_buffers(part.column(0))[0]], minlength=256)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(n)], names=["byte", "n"])
-
-
-def _gram_counts(classes: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in C.byte_slices(batch, "text"):
-                for lang in pc.unique(part.column(1)).to_pylist():
-                    data, off = C.text_buffers(part.filter(pc.equal(part.column(1), lang)).column(0))
-                    key, n = np.unique(_symbols(data, off, classes), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key), pa.string()), pa.array(key.astype(np.int64)), pa.array(n)],
-                                                     names=["lang", "key", "n"])
-    return run
+            for lang in pc.unique(part.column(1)).to_pylist():
+                data, off = C.text_buffers(part.filter(pc.equal(part.column(1), lang)).column(0))
+                key, n = np.unique(_grams(data, off), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key), pa.string()), pa.array(key), pa.array(n)], names=["lang", "key", "n"])
 
 
 def _prefix(text: Column, size: Column) -> Column:
@@ -161,63 +185,40 @@ def _prefix(text: Column, size: Column) -> Column:
     return F.substring(raw, F.lit(1), end.cast("int")).cast("string")
 
 
-def _last_texts(rows: DataFrame, sample_bytes: int) -> dict[str, tuple[int, int]]:
-    """For each language the rank of the last distinct text that the sample
-    takes, and the bytes left for it (rank ``_ALL`` if all texts fit).  The
-    driver sees a histogram over ranks, fine near zero, and the texts of the
-    one bar of each language that crosses the bound."""
+def _last_texts(rows: DataFrame, sample_bytes: int, min_texts: int) -> DataFrame:
+    """(lang, last, room): for each language the rank of the last distinct text
+    that the sample takes (``_ALL`` if all fit) and the bytes left for it.  Only
+    the texts of the bar of a histogram over ranks, fine near zero, in which a
+    language crosses the bound are ordered."""
     texts = C.stored(rows.groupBy("lang", "rank").agg(F.max(F.octet_length("text")).cast("long").alias("bytes"))
                      .withColumn("bar", F.floor(16 * F.log2(F.col("rank") + 1))), "language-texts")
-    bars: dict[str, list] = {}
-    for lang, bar, n in texts.groupBy("lang", "bar").agg(F.sum("bytes")).collect():
-        bars.setdefault(lang, []).append((bar, n))
-    crossed, before = {}, {}
-    for lang, own in bars.items():
-        before[lang] = 0
-        for bar, n in sorted(own):
-            if before[lang] + n >= sample_bytes:
-                crossed[lang] = bar
-                break
-            before[lang] += n
-    last = dict.fromkeys(bars, (_ALL, 0))
-    if crossed:
-        bar = F.create_map(*[F.lit(x) for lang in bars for x in (lang, crossed.get(lang, -1))])
-        for lang, rank, n in sorted(texts.filter(F.col("bar") == bar[F.col("lang")]).select("lang", "rank", "bytes").collect()):
-            if last[lang][0] == _ALL:
-                if before[lang] + n >= sample_bytes:
-                    last[lang] = (rank, sample_bytes - before[lang])
-                before[lang] += n
-    return last
-
-
-def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_bytes: int = SAMPLE_BYTES) -> Statistics:
+    bars = texts.groupBy("lang", "bar").agg(F.sum("bytes").alias("n"))
+    bars = bars.withColumn("before", F.sum("n").over(Window.partitionBy("lang").orderBy("bar")) - F.col("n"))
+    crossed = bars.filter((F.col("before") < sample_bytes) & (F.col("before") + F.col("n") >= sample_bytes)).select("lang", "bar", "before")
+    inner = texts.join(crossed, ["lang", "bar"])
+    inner = inner.withColumn("before", F.col("before") + F.sum("bytes").over(Window.partitionBy("lang").orderBy("rank")) - F.col("bytes"))
+    ends = (inner.filter((F.col("before") < sample_bytes) & (F.col("before") + F.col("bytes") >= sample_bytes))
+            .select("lang", F.col("rank").alias("last"), (sample_bytes - F.col("before")).alias("room")))
+    langs = texts.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_texts).select("lang")
+    # a stored table: its size decides how it is joined to the texts
+    return C.stored(langs.join(ends, "lang", "left").select("lang", F.coalesce("last", F.lit(_ALL)).alias("last"), F.coalesce("room", F.lit(0)).alias("room")), "language-ends")
+
+
+def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample_bytes: int = SAMPLE_BYTES, min_texts: int = 1) -> Statistics:
     """Fit the context trees on a bounded sample of the rows of ``labelled``
-    that have a language and a letter.  What reaches the driver are four-gram
+    that have a language and a letter.  What reaches the driver are the gram
     counts of the sample."""
     C.prepared(labelled.sparkSession)
-    rows = labelled.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").alias("lang")).filter(
+    rows = labelled.select(F.col(f"`{text_col}`").alias("text"), F.col(f"`{lang_col}`").cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & F.col("text").rlike("\\p{L}")).withColumn("rank", F.shiftrightunsigned(F.xxhash64("text"), 2))
-    last = _last_texts(rows, sample_bytes)
-    languages = sorted(last)
-    if not languages:
-        return Statistics([], np.zeros(256, np.uint8), [])
-    rank, room = (F.create_map(*[F.lit(x) for lang in languages for x in (lang, last[lang][k])])[F.col("lang")].cast("long") for k in (0, 1))
-    chosen = rows.filter(F.col("rank") <= rank).withColumn("room", F.when(F.col("rank") == rank, room))
-    cut = F.when(F.octet_length("text") > F.col("room"), _prefix(F.col("text"), F.col("room"))).otherwise(F.col("text"))
+    chosen = rows.join(_last_texts(rows, sample_bytes, min_texts), "lang").filter(F.col("rank") <= F.col("last"))
+    crossing = (F.col("rank") == F.col("last")) & (F.octet_length("text") > F.col("room"))
+    cut = F.when(crossing, _prefix(F.col("text"), F.col("room"))).otherwise(F.col("text"))
     # copies count once
     sample = C.stored(chosen.select("lang", cut.alias("text"), "rank").distinct().select("text", "lang"), "language-sample")
-    seen = sample.mapInArrow(_byte_counts, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect()
-    common = sorted(seen, key=lambda r: (-r["n"], r["byte"]))[:SYMBOLS - 1]
-    classes = np.zeros(256, np.uint8)
-    classes[[r["byte"] for r in common if r["n"]]] = np.arange(1, 1 + sum(r["n"] > 0 for r in common))
-    classes = classes[C.LOWER]
-    grams = sample.mapInArrow(_gram_counts(classes), "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
-    languages = sorted(grams["lang"].unique())
-    counts = []
-    for lang in languages:
-        own = grams[grams["lang"] == lang].sort_values("key")
-        counts.append((own["key"].to_numpy(np.int64), own["n"].to_numpy(np.float64)))
-    return Statistics(languages, classes, counts)
+    grams = sample.mapInArrow(_gram_counts, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
+    counts = {lang: own.sort_values("key") for lang, own in grams.groupby("lang")}
+    return Statistics(sorted(counts), [(counts[k]["key"].to_numpy(np.int64), counts[k]["n"].to_numpy(np.float64)) for k in sorted(counts)])
 
 
 def identify(docs: DataFrame, statistics: Statistics, text_col: str = "text") -> DataFrame:

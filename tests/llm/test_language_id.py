@@ -5,23 +5,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from silverline.llm.language_id import SYMBOLS, Model, fold, identify, learn
+from silverline.llm.language_id import ORDER, Model, fold, identify, learn
 from silverline.sources.tables import table
 
 
 def brute_bits(text: bytes, statistics, lang: int) -> float:
     """Code length by walking the context tree, one byte at a time."""
     keys, n = statistics.counts[lang]
-    counts: list[dict] = [{}, {}, {}, {}]
+    counts: list[dict] = [{} for _ in range(ORDER + 1)]
     for key, c in zip(keys.tolist(), n.tolist()):
-        s = [(key >> (6 * k)) & 63 for k in (3, 2, 1, 0)]
-        for order in range(4):
-            tree = counts[order].setdefault(tuple(s[3 - order:3]), {})
-            tree[s[3]] = tree.get(s[3], 0) + c
-    syms = [int(statistics.classes[10])] * 3 + [int(statistics.classes[b]) for b in text]
+        s = [(key >> (8 * k)) & 255 for k in range(ORDER, -1, -1)]
+        for order in range(ORDER + 1):
+            tree = counts[order].setdefault(tuple(s[ORDER - order:ORDER]), {})
+            tree[s[-1]] = tree.get(s[-1], 0) + c
+    syms = [10] * ORDER + [b + 32 if 65 <= b <= 90 else b for b in text]
     bits = 0.0
-    for i in range(3, len(syms)):
-        for order in (3, 2, 1, 0):
+    for i in range(ORDER, len(syms)):
+        for order in range(ORDER, -1, -1):
             tree = counts[order].get(tuple(syms[i - order:i]), {})
             total, kinds = sum(tree.values()), len(tree)
             if syms[i] in tree:
@@ -30,7 +30,7 @@ def brute_bits(text: bytes, statistics, lang: int) -> float:
             if tree:
                 bits -= math.log2(kinds / (total + kinds))
         else:
-            bits += math.log2(SYMBOLS)
+            bits += 8
     return bits
 
 
@@ -88,3 +88,29 @@ def test_sample_is_filled_from_distinct_texts(spark):
     # each byte of the sample is one four-gram; no character is cut
     assert [int(n.sum()) for _, n in statistics.counts] == [5001, 5000, 10]
     assert len(statistics.counts[0][0]) > 1000  # not one text alone
+
+
+def test_other_scripts_take_nothing_from_latin_languages(spark):
+    """Three Latin languages keep their accuracy beside eleven other scripts, and their code lengths to the bit."""
+    rnd = random.Random(4)
+    latin = {"l1": "etaoinshrdlu", "l2": "aeioumnsrtlq", "l3": "enrtsihdagul"}
+    starts = dict(zip("cyr gre arm heb ara dev tha geo han kan hang".split(), (0x430, 0x3B1, 0x561, 0x5D0, 0x627, 0x905, 0xE01, 0x10D0, 0x4E00, 0x30A1, 0xAC00)))
+    pools = {k: [a + b for a in v for b in v[::3]] for k, v in latin.items()} | {k: [chr(c + i) + chr(c + j) for i in range(20) for j in range(0, 20, 4)] for k, c in starts.items()}
+    words = {k: ["".join(rnd.choices(p, k=rnd.randint(1, 3))) for _ in range(300)] for k, p in pools.items()}
+    rows = [(" ".join(rnd.choices(words[k], k=12)), k) for k in pools for _ in range(80)]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    everything, alone = learn(frame), learn(frame.filter("lang like 'l_'"))
+    assert len(everything.languages) == 14
+    held = [(" ".join(rnd.choices(words[k], k=10)), k) for k in pools for _ in range(60)]
+    found = identify(spark.createDataFrame(held, "text string, lang string"), everything).collect()
+    assert np.mean([r.lang == r.lang_pred for r in found if r.lang in latin]) >= 0.98
+    assert np.mean([r.lang == r.lang_pred for r in found]) >= 0.98
+    from silverline.llm.common import text_buffers
+    texts = text_buffers(pa.array([t for t, _ in held]))
+    at = [everything.languages.index(k) for k in alone.languages]
+    assert np.allclose(Model(everything).code_lengths(*texts)[:, at], Model(alone).code_lengths(*texts))
+
+
+def test_stray_labels_can_be_left_out(spark):
+    df = labelled(spark).unionByName(spark.createDataFrame([(1000 + i, f"stray {i}", f"x{i}") for i in range(40)], "doc_id long, text string, lang string"))
+    assert learn(df, min_texts=2).languages == ["aa", "bb", "cc"] and len(learn(df).languages) == 43
