@@ -114,8 +114,10 @@ class Contract:
         return {"__rows__": 0, "__failed_rows__": 0} | {r["rule"]: int(r["n"]) for r in per_rule.collect()}  # one row per rule
 
     def validate(self, df: DataFrame) -> DataFrame:
-        """DQ-7: typed frame, or ``ContractError`` with counts per rule."""
-        checked = self.check(df)
+        """DQ-7: typed frame, or ``ContractError`` with counts per rule.  The
+        rows are written once to the shared folder, so whoever reads the frame
+        does not evaluate ``df`` again."""
+        checked = stored(self.check(df), "validated")
         counts = self.totals(checked)
         if counts["__failed_rows__"]:
             raise ContractError(f"{self.name}: {counts['__failed_rows__']} of {counts['__rows__']} rows fail", counts)

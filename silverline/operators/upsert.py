@@ -143,23 +143,30 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: list[str], buckets
      .option("path", path).saveAsTable(table))
 
 
-def publish(current: DataFrame, new: DataFrame, key: list[str], as_of, out_path: str,
-            contract=None, prune_missing: bool = False, exclude_float: bool = True,
-            bucketed: tuple[str, int] | None = None, order: list[str] | None = None) -> bool:
-    """UPS-3 / UPS-6: validate -> upsert -> optional prune -> write a new
-    snapshot.  The change classes are counted first (one small aggregate
-    over the same join); when nothing would change -- no inserted or updated
-    row, and no absent key when pruning -- nothing is written and False is
-    returned.  ``bucketed=(table_name, buckets)`` writes the snapshot as a
-    table bucketed by the key (see ``write_bucketed``)."""
+def publish(current: DataFrame, new: DataFrame, key: list[str], as_of, out_path: str, **options) -> bool:
+    """UPS-3: ``publish_counted``, whether anything was written."""
+    return publish_counted(current, new, key, as_of, out_path, **options)[0]
+
+
+def publish_counted(current: DataFrame, new: DataFrame, key: list[str], as_of, out_path: str,
+                    contract=None, prune_missing: bool = False, exclude_float: bool = True,
+                    bucketed: tuple[str, int] | None = None, order: list[str] | None = None) -> tuple[bool, dict[str, int]]:
+    """UPS-3 / UPS-5: validate -> upsert -> optional prune -> write a new
+    snapshot; whether it was written, and the change summary.  The change
+    classes are counted first (one small aggregate over the same join); when
+    nothing would change -- no inserted or updated row, and no absent key when
+    pruning -- nothing is written.  ``bucketed=(table_name, buckets)`` writes
+    the snapshot as a table bucketed by the key (see ``write_bucketed``).
+    ``new`` is read for the count and for the write: hand in stored rows where
+    they are dear to make."""
     if contract is not None:
         new = contract.validate(new)
     counts = {r.change: r.n_rows for r in change_summary(current, new, key, exclude_float, order).collect()}  # <= 4 rows
     if not (counts.get("inserted") or counts.get("updated") or (prune_missing and counts.get("absent"))):
-        return False
+        return False, counts
     nxt = upsert(current, new, key, as_of, exclude_float, prune_missing=prune_missing, order=order)
     if bucketed is not None:
         write_bucketed(nxt, bucketed[0], out_path, key, bucketed[1])
     else:
         nxt.write.mode("overwrite").parquet(out_path)
-    return True
+    return True, counts

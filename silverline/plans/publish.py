@@ -1,11 +1,9 @@
-"""UPS-6 end to end: silver parties and the gold rollup published as keyed
-snapshots (validate -> upsert -> optional prune -> write a new version).
-
-Snapshots are immutable parquet folders; the caller names the version read
-(``*_in``, ``None`` for the first run) and the version written (``*_out``),
-so a failed run leaves the previous version intact and a rerun recomputes
-the same output.  The query ``published_gold`` runs it in a fresh work folder
-and returns the gold table.
+"""UPS-6 end to end: silver parties and the gold rollup published as one set
+of keyed snapshots (validate -> upsert -> optional prune -> write all versions
+-> commit one manifest).  A failed run leaves the set that readers see intact
+and a rerun takes over.  The query ``published_gold`` runs it in a fresh work
+folder and returns the gold table; ``published_set`` returns what the manifests
+of three runs name.
 """
 
 from __future__ import annotations
@@ -15,11 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
 
 from silverline.functions import arrays as A
-from silverline.operators import entity, rollup, upsert
+from silverline.operators import entity, release, rollup
 from silverline.operators.contract import Contract
 from silverline.plans import entities as EN
+from silverline.plans import maintenance as MT
 from silverline.plans import reports as R
-from silverline.plans.registry import ORACLE, dates_as_text, register
+from silverline.plans.registry import ORACLE, T, dates_as_text, register
 from silverline.streaming.jobs import work_dir
 
 GOLD_CONTRACT = Contract(
@@ -49,36 +48,27 @@ GOLD_CONTRACT = Contract(
 )
 
 
-def _read_or_empty(spark: SparkSession, path: str | None, like: DataFrame) -> DataFrame:
-    if path:
-        return spark.read.parquet(path)
-    return like.limit(0).withColumns({"created_at": F.lit(None).cast("timestamp_ntz"),
-                                      "updated_at": F.lit(None).cast("timestamp_ntz")})
-
-
-def publish_reports(spark: SparkSession, sf_dir: str, as_of: str, silver_in: str | None, silver_out: str,
-                    gold_in: str | None, gold_out: str, max_failed_fraction: float = 0.01,
+def publish_reports(spark: SparkSession, sf_dir: str, as_of: str, root: str, max_failed_fraction: float = 0.01,
                     quarantine_path: str | None = None) -> dict[str, dict[str, int]]:
     """Silver: stack -> canonical names -> contract with a failure budget
     (failed rows quarantined) -> upsert into the silver snapshot.  Gold:
-    rollup -> contract (raises on any failure) -> upsert + prune.  Returns
-    the change summary of both tables; a table whose rows did not change is
-    not rewritten (its ``*_out`` is not created)."""
-    silver_raw = entity.canonical_names(EN.stacked_parties(spark, sf_dir), "reported_group_name", "group_name")
-    silver, _counts = R.SILVER_CONTRACT.enforce_budget(silver_raw, max_failed_fraction, quarantine_path)
-    silver_key = ["source_site", "entity_source_id"]
-    cur_silver = _read_or_empty(spark, silver_in, silver)
-    # change classes: at most 4 rows reach the driver
-    summary = {"silver": {r.change: r.n_rows for r in upsert.change_summary(cur_silver, silver, silver_key).collect()}}
-    upsert.publish(cur_silver, silver, silver_key, as_of, silver_out)
-
-    # gold counts what silver accepted, and nothing else
-    gold_all = rollup.gold_join(EN.gold_entities(spark, sf_dir, silver), EN.gold_devices(spark, sf_dir), "group_name")
-    gold = GOLD_CONTRACT.validate(gold_all.select(*GOLD_CONTRACT.columns))
-    cur_gold = _read_or_empty(spark, gold_in, gold)
-    summary["gold"] = {r.change: r.n_rows for r in upsert.change_summary(cur_gold, gold, ["group_name"]).collect()}
-    upsert.publish(cur_gold, gold, ["group_name"], as_of, gold_out, prune_missing=True)
-    return summary
+    rollup -> contract (raises on any failure) -> upsert + prune.  Both are
+    committed together under ``root``.  Returns the change summary of both; a
+    table whose rows did not change is not rewritten."""
+    accepted: dict[str, DataFrame] = {}
+
+    def silver(_) -> DataFrame:
+        raw = entity.canonical_names(EN.stacked_parties(spark, sf_dir), "reported_group_name", "group_name")
+        accepted["silver"] = R.SILVER_CONTRACT.enforce_budget(raw, max_failed_fraction, quarantine_path)[0]
+        return accepted["silver"]
+
+    def gold(_) -> DataFrame:
+        # gold counts what silver accepted in this run, and nothing else
+        rows = rollup.gold_join(EN.gold_entities(spark, sf_dir, accepted["silver"]), EN.gold_devices(spark, sf_dir), "group_name")
+        return GOLD_CONTRACT.validate(rows.select(*GOLD_CONTRACT.columns))
+
+    return release.publish(spark, root, as_of, [
+        release.Step("silver", ["source_site", "entity_source_id"], silver), release.Step("gold", ["group_name"], gold, prune_missing=True)])
 
 
 PUBLISHED_AS_OF = "2024-06-01 00:00:00"
@@ -97,8 +87,43 @@ active as (select s.*, a.created_at from (select named.* from named semi join pa
 def q_published_gold(spark, sf):
     """UPS-6: silver with its failure budget, then gold from what silver accepted, as published."""
     out = work_dir(spark, "publish")
-    publish_reports(spark, sf, PUBLISHED_AS_OF, None, f"{out}/silver", None, f"{out}/gold", max_failed_fraction=0.2,
-                    quarantine_path=f"{out}/quarantine")
-    gold = spark.read.parquet(f"{out}/gold")
+    publish_reports(spark, sf, PUBLISHED_AS_OF, f"{out}/set", max_failed_fraction=0.2, quarantine_path=f"{out}/quarantine")
+    gold = release.read(spark, f"{out}/set", "gold")
     stamps = ["created_at", "updated_at"]
     return dates_as_text(gold.select(*[c for c in gold.columns if c not in stamps], *stamps))
+
+
+@register("published_set", f"""
+with {MT._SQL_SNAP},
+totals as (select 1 as version, o_custkey, count(*) as n_orders from cur where o_custkey is not null group by o_custkey
+  union all select 2, o_custkey, count(*) from nxt where o_custkey is not null group by o_custkey),
+sets as (
+  select 1 as version, 'orders' as name, 1 as written, count(*) as n_rows, cast(sum(o_orderkey) as bigint) as checksum from cur
+  union all select 2, 'orders', 2, count(*), cast(sum(o_orderkey) as bigint) from nxt
+  union all select version, 'totals', version, count(*), cast(sum(o_custkey * n_orders) as bigint) from totals group by version
+  union all select v, 'customers', 1, count(*), cast(sum(c_custkey) as bigint) from customer, (values (1), (2)) t(v) group by v)
+select version, name, written, n_rows, checksum from sets
+""")
+def q_published_set(spark, sf):
+    """UPS-6: three runs over orders, totals made from what the set holds, and
+    customers that never change; the third run changes nothing.  What every
+    committed version names."""
+    root = work_dir(spark, "set")
+    customers = T(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+
+    def steps(orders):
+        return [release.Step("customers", ["c_custkey"], lambda _: customers), release.Step("orders", ["o_orderkey"], lambda _: orders),
+                release.Step("totals", ["o_custkey"], lambda made: made["orders"].filter("o_custkey is not null").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders")), prune_missing=True)]
+
+    release.publish(spark, root, MT.SNAPSHOT_TS, steps(MT.current_snapshot(spark, sf).drop("created_at", "updated_at")))
+    for _ in range(2):
+        release.publish(spark, root, MT.UPSERT_AS_OF, steps(MT.incoming(spark, sf)))
+    checksum = {"orders": F.col("o_orderkey"), "totals": F.col("o_custkey") * F.col("n_orders"), "customers": F.col("c_custkey")}
+    held = None
+    for number in release.versions(spark, root):
+        for name, value in checksum.items():
+            one = release.read(spark, root, name, number).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(value).cast("long").alias("checksum"))
+            one = one.select(F.lit(number).alias("version"), F.lit(name).alias("name"), "n_rows", "checksum")
+            held = one if held is None else held.unionByName(one)
+    written = F.regexp_extract("path", r"v0*(\d+)$", 1).cast("int").alias("written")
+    return release.manifests(spark, root).select("version", "name", written).join(held, ["version", "name"])
