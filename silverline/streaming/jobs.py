@@ -42,7 +42,7 @@ def file_stream(spark: SparkSession, path: str, schema, max_files: int = 1, glob
 
 
 def emit_new_keys(batch: DataFrame, batch_id: int, key: str, ts: str, log_path: str) -> DataFrame:
-    """STM-1, one micro-batch: distinct keys of ``batch`` (with their first
+    """STM-1 without a stream, one delivery: distinct keys of ``batch`` (with their first
     time) that no EARLIER batch logged, written to ``log/batch_id=N``.
 
     Re-running the same ``batch_id`` (a retry after a failure between the
@@ -60,17 +60,46 @@ def emit_new_keys(batch: DataFrame, batch_id: int, key: str, ts: str, log_path:
     return spark.read.parquet(out)
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def first_seen(stream: DataFrame, key: str, ts: str) -> DataFrame:
+    """STM-1 as a streaming aggregate (update mode): the keys of each
+    micro-batch with their first time, and whether an earlier batch had them
+    (``known``).  The time of a batch is the same in all its rows and in a
+    retry, so a key is new in the batch in which it was born."""
+    return (stream.withColumn("_batch", F.current_timestamp()).groupBy(key)
+            .agg(F.min(ts).alias("first_seen"), F.min("_batch").alias("_born"), F.max("_batch").alias("_touched"))
+            .select(key, "first_seen", (F.col("_born") < F.col("_touched")).alias("known")))
+
+
 def new_key_stream(stream: DataFrame, key: str, ts: str, out_dir: str, trigger: dict | None = None,
                    await_end: bool = True):
-    """STM-1: start the stream; returns the ``StreamingQuery``."""
+    """STM-1: start the stream; returns the ``StreamingQuery``.
+
+    What has been seen is the state of a streaming aggregate in RocksDB, on
+    the executors' disks and as changes in the checkpoint, so a batch reads
+    and writes the state of its own keys and never the log.  New keys go to
+    ``log/batch_id=N``; a retried batch starts from the same state and writes
+    the same rows over its own."""
+    spark = stream.sparkSession
     log_path = os.path.join(out_dir, "log")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        emit_new_keys(batch, batch_id, key, ts, log_path)
-
-    q = (stream.writeStream.foreachBatch(on_batch)
-         .option("checkpointLocation", os.path.join(out_dir, "checkpoint"))
-         .trigger(**(trigger or {"availableNow": True})).start())
+        batch.filter(~F.col("known")).drop("known").write.mode("overwrite").parquet(os.path.join(log_path, f"batch_id={batch_id}"))
+
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, ROCKSDB)
+    try:  # the query keeps the provider that it started with
+        q = (first_seen(stream, key, ts).writeStream.outputMode("update").foreachBatch(on_batch)
+             .option("checkpointLocation", os.path.join(out_dir, "checkpoint"))
+             .trigger(**(trigger or {"availableNow": True})).start())
+    finally:
+        if before is None:
+            spark.conf.unset(_PROVIDER)
+        else:
+            spark.conf.set(_PROVIDER, before)
     if await_end:
         q.awaitTermination()
     return q

@@ -32,6 +32,32 @@ def test_new_keys_two_batches_and_restart(spark, tmp_path):
     assert sorted((r.user_id, r.batch_id) for r in log.collect()) == [(1, 0), (2, 0), (3, 1), (4, 2)]
 
 
+def test_new_keys_read_the_state_and_not_the_log(spark, tmp_path):
+    """Each batch touches the state of its own keys; the log may be gone; a retried batch writes the same rows."""
+    import datetime as dt
+    import json
+    import shutil
+    t = dt.datetime(2024, 1, 1)
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    for k in range(3):  # 200 keys, 2 of them again, then 1 new and 1 again
+        _write(spark, os.path.join(src, f"b{k}"), [[(i, t) for i in range(200)], [(5, t), (6, t)], [(7, t), (900, t - dt.timedelta(days=k)), (900, t)]][k])
+        q = jobs.new_key_stream(jobs.file_stream(spark, src + "/*", spark.read.parquet(os.path.join(src, "b0")).schema), "user_id", "ts", out)
+        state = q.lastProgress["stateOperators"][0]
+        assert (state["numRowsUpdated"], state["numRowsTotal"]) == [(200, 200), (2, 200), (2, 201)][k]
+        assert "rocksdb" in json.dumps(state["customMetrics"]).lower()
+        got = [(r.user_id, r.first_seen) for r in spark.read.parquet(f"{out}/log/batch_id={k}").collect()]
+        assert len(got) == [200, 0, 1][k] and (k < 2 or got == [(900, t - dt.timedelta(days=2))])
+        if k == 0:
+            shutil.move(f"{out}/log", f"{out}/log-elsewhere")
+    # the last batch is taken as not committed and runs again
+    commits = f"{out}/checkpoint/commits"
+    for name in ("2", ".2.crc"):
+        if os.path.exists(f"{commits}/{name}"):
+            shutil.move(f"{commits}/{name}", str(tmp_path / f"commit{name}"))
+    jobs.new_key_stream(jobs.file_stream(spark, src + "/*", spark.read.parquet(os.path.join(src, "b0")).schema), "user_id", "ts", out)
+    assert [r.user_id for r in spark.read.parquet(f"{out}/log/batch_id=2").collect()] == [900]
+
+
 def test_stream_upsert_equals_batch(spark, tmp_path):
     cur = spark.createDataFrame([(i, f"v{i}") for i in range(10)], "k long, v string")
     new = spark.createDataFrame([(i, f"v{i}" if i % 2 else f"w{i}") for i in range(5, 15)], "k long, v string")
