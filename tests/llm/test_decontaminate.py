@@ -1,6 +1,8 @@
 import random
 
-from silverline.llm.decontaminate import best_match, decontaminate, find_leaks
+import numpy as np
+
+from silverline.llm.decontaminate import best_match, best_matches, decontaminate, find_leaks
 from tests.llm.brute import best_edits, leaks
 
 
@@ -16,7 +18,7 @@ def found(df, items, **options):
     return {r.doc_id: [(x["item"], x["distance"]) for x in r.leaks] for r in find_leaks(df, items, **options).collect()}
 
 
-def test_against_brute_force_in_one_block_and_in_several(spark):
+def test_against_brute_force_with_any_filter(spark):
     rnd = random.Random(1)
     vocabulary = [f"Wörd{k}" for k in range(60)]
     items = [(k, " ".join(rnd.choices(vocabulary, k=rnd.choice([1, 4, 5, 12, 40])))) for k in range(30)] + [(97, None), (98, ""), (99, "!?")]
@@ -35,7 +37,7 @@ def test_against_brute_force_in_one_block_and_in_several(spark):
     table = spark.createDataFrame(items, "item_id long, text string")
     want = {i: leaks(t, items) for i, t in docs}
     assert found(df, table) == want
-    assert found(df, table, block_bytes=200) == want
+    assert found(df, table, filter_bits=64) == want
     clean = sorted(r.doc_id for r in decontaminate(df, table).collect())
     assert clean == sorted(i for i, x in want.items() if not x)
 
@@ -47,3 +49,31 @@ def test_edges(spark):
     assert sorted(len(r.leaks) for r in rows) == [0, 2] and len(df.columns) == len(rows[0])
     assert find_leaks(df.limit(0), items).collect() == []
     assert [r.leaks for r in find_leaks(df, items.limit(0)).collect()] == [[], []]
+
+
+def test_long_patterns_and_many_pairs_at_once():
+    rnd = random.Random(3)
+    p = [[rnd.randint(0, 3) for _ in range(rnd.choice([1, 63, 64, 65, 130]))] for _ in range(60)]
+    t = [[rnd.randint(0, 3) for _ in range(rnd.randint(0, 90))] for _ in p]
+    best, _ = best_matches([np.array(x, np.uint64) for x in p], [np.array(x, np.uint64) for x in t])
+    assert best.tolist() == [best_edits(x, y) for x, y in zip(p, t)]
+
+
+def test_ids_of_any_type_and_clashing_names(spark):
+    words = "one two three four five six seven eight nine ten"
+    df = spark.createDataFrame([(1, f"so {words} end", 2, 3, 4), (1, f"so {words} end", 2, 3, 4), (2, "none", 2, 3, 4)], "doc_id long, text string, k1 int, item int, words int")
+    for kind in ("smallint", "decimal(9,2)", "date"):
+        value = "date'2024-01-02'" if kind == "date" else f"cast(7 as {kind})"
+        items = spark.sql(f"select {value} as item_id, '{words}' as text")
+        rows = find_leaks(df, items).orderBy("doc_id").collect()
+        assert [[x.distance for x in r.leaks] for r in rows] == [[0], [0], []] and rows[0].leaks[0].item == items.first().item_id
+        assert rows[0].__fields__ == [*df.columns, "leaks"]
+
+
+def test_one_python_stage_reads_the_documents(spark):
+    items = spark.range(300).selectExpr("id as item_id", "concat('w', id, ' x', id, ' y', id, ' z', id, ' u', id, ' v', id) as text")
+    docs = spark.range(50).selectExpr("id as doc_id", "concat('a w', id, ' x', id, ' y', id, ' z', id, ' u', id, ' v', id, ' b') as text")
+    out = find_leaks(docs, items)
+    assert out.filter("size(leaks) = 1 and leaks[0].item = doc_id").count() == 50
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") <= 1
