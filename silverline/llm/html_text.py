@@ -45,8 +45,13 @@ from pyspark.sql import types as T
 from silverline.llm import common as C
 
 SAMPLE_PAGES = 400
-#: Elements that never hold text of the page, closed or not.
-_SKIPPED = "script|style|noscript|template|textarea|select|svg|math|iframe|object|head|title|button"
+#: Elements of raw text, which end at their closing tag alone.
+_SKIPPED = "script|style|textarea|title|iframe"
+#: Elements that hold no text of the page; they close with what is around them,
+#: and one that is never closed holds nothing.
+_DROPPED = frozenset("noscript template select svg math object head button".split())
+#: What may stand in the head; any other tag ends it.
+_IN_HEAD = frozenset("meta link base title script style template noscript basefont bgsound".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     rf"|<(?P<skip>{_SKIPPED})\b[^>]*>.*?(?:</(?P=skip)\s*>|(?=<body\b)|\Z)"
@@ -54,6 +59,7 @@ _TOKEN = re.compile(
     r"|</?[a-zA-Z!?][^>]*(?:>|\Z)", re.S | re.I)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_DROPPED_END = re.compile("</(" + "|".join(sorted(_DROPPED)) + r")\b", re.I)
 _NAME = re.compile(r"[a-z0-9]+")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset("""address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure
@@ -88,10 +94,12 @@ class Weights:
 class Element:
     """An open element: its names, the one around it, whether it lies in the marked content or is around it."""
 
-    __slots__ = ("around", "names", "within", "encloses", "words", "weight")
+    __slots__ = ("around", "names", "parts", "within", "encloses", "dropped", "words", "weight")
 
-    def __init__(self, around: Element | None, names: tuple[str, ...]):
-        self.around, self.names = around, names
+    def __init__(self, around: Element | None, names: tuple[str, ...], parts: dict[str, tuple[str, ...]]):
+        #: tag and whole class, id and role values; the words of each such value
+        self.around, self.names, self.parts = around, names, parts
+        self.dropped = names[0] in _DROPPED or (around is not None and around.dropped)
         self.within = names[0] in _MAIN or (around is not None and around.within)
         self.encloses = names[0] in ("html", "body")
         self.words = 0
@@ -113,8 +121,11 @@ class Page:
         open_tags: Counter = Counter()
         now: Element | None = None
         at = 0
+        last_end = dict.fromkeys(_DROPPED, -1)
+        for m in _DROPPED_END.finditer(source):
+            last_end[m[1].lower()] = m.start()
         for m in _TOKEN.finditer(source):
-            if m.start() > at:
+            if m.start() > at and not (now and now.dropped):
                 self.items.append((None, False, source[at:m.start()], now))
             at = m.end()
             tag = m["tag"]
@@ -125,6 +136,14 @@ class Page:
             if tag in _VOID:
                 self.items.append((tag, closing, None, now))
                 continue
+            if not closing and open_tags["head"] and tag not in _IN_HEAD:
+                while stack.pop()[0] != "head":
+                    pass
+                open_tags.clear()
+                open_tags.update(t for t, _ in stack)
+                now = stack[-1][1] if stack else None
+            if not closing and tag != "head" and last_end.get(tag, at) < at:
+                continue
             if not closing:
                 if tag in _SELF_CLOSING and stack and stack[-1][0] == tag:
                     stack.pop()
@@ -133,7 +152,7 @@ class Page:
                 if tag in _MAIN and not (now and now.within):
                     self.contained += 1
                 self.items.append((tag, closing, None, now))
-                now = Element(now, _features(tag, m["attrs"]))
+                now = Element(now, *_features(tag, m["attrs"]))
                 self.elements.append(now)
                 stack.append((tag, now))
                 open_tags[tag] += 1
@@ -146,18 +165,21 @@ class Page:
                 now = stack[-1][1] if stack else None
             if closing:
                 self.items.append((tag, closing, None, now))
-        if at < len(source):
+        if at < len(source) and not (now and now.dropped):
             self.items.append((None, False, source[at:], now))
 
 
-def _features(tag: str, attrs: str | None) -> tuple[str, ...]:
-    out = [tag]
+def _features(tag: str, attrs: str | None) -> tuple[tuple[str, ...], dict[str, tuple[str, ...]]]:
+    """The tag and the whole values of class, id and role, and the words of each value."""
+    names, parts = [tag], {}
     if attrs:
         for kind, value in _ATTRIBUTE.findall(attrs):
-            out += _NAME.findall(value.lower())
+            for whole in value.lower().strip("\"'").split():
+                names.append(whole)
+                parts[whole] = tuple(_NAME.findall(whole))
         if _HIDDEN.search(attrs):
-            out.append("!hidden")
-    return tuple(out)
+            names.append("!hidden")
+    return tuple(names), parts
 
 
 def count_page(page: Page, words: Counter, tags: Counter) -> None:
@@ -175,7 +197,7 @@ def count_page(page: Page, words: Counter, tags: Counter) -> None:
             inside = element is not None and element.within
             names = set()
             while element is not None:
-                names.update(element.names)
+                names.update(element.names, *element.parts.values())
                 element = element.around
             for name in names:
                 words[name, inside] += n
@@ -258,11 +280,21 @@ def _lowest(element: Element, weights: Weights) -> float:
         for k, name in enumerate(() if e.encloses else e.names):
             # a header inside the content is a headline, not the page's header
             if not (k == 0 and name in _NEUTRAL) and not (name == "header" and e.within):
-                low = min(low, weights.features.get(name, 0.0))
+                low = min(low, _weight(name, e, weights))
         e.weight = low
     return low
 
 
+def _weight(name: str, element: Element, weights: Weights) -> float:
+    """Weight of a feature.  A value of several words that is not known as a
+    whole takes the lowest weight of its words; inside the marked content,
+    where names like share-price and related-work occur, the highest."""
+    parts = element.parts.get(name, ())
+    if name in weights.features or len(parts) < 2:
+        return weights.features.get(name, weights.features.get(parts[0], 0.0) if parts else 0.0)
+    return (max if element.within else min)(weights.features.get(p, 0.0) for p in parts)
+
+
 def main_text(source: str | None, weights: Weights) -> str:
     """Text of the best-scoring contiguous stretch of the page."""
     if not source:

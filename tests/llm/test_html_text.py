@@ -69,3 +69,24 @@ def test_marked_content_is_whole():
 @pytest.mark.parametrize("around", ["<body class='no-sidebar'>{}</body>", "<div class='has-comments'>{}</div>"])
 def test_names_around_most_words_without_an_article(untrained, around):
     assert main_text(around.format(f"{MENU}<div>{BODY}</div><div class='comments'>I do not agree</div>"), untrained) == TEXT
+
+
+@pytest.mark.parametrize("inside,want", [
+    ("<div class='share-price'><p>Shares rose by two.</p></div>", "Shares rose by two."),
+    ("<section class=\"related-work\"><p>Others came before us.</p></section>", "Others came before us."),
+    ("<div class='share'><p>Send to a friend</p></div>", ""),
+    ("<div class='cookie-notice'>We use cookies</div>", ""),
+    ("<object data=x><p>after</p>", "after"),
+    ("<div><select><option>one<option>two</div><p>after</p>", "one two after"),
+    ("<p>before</p><select><option>one</select><p>after</p>", "before after"),
+    ("<p>before</p><svg><text>label</text></svg><button>Go</button><math><mi>x</mi></math><p>after</p>", "before after"),
+    ("<p>a<object><p>fallback</object>b", "a b"),
+    ("<script>if (a < b) document.write('<p>x')</script><p>after</p>", "after"),
+])
+def test_sections_of_marked_content(untrained, inside, want):
+    page = f"<html><head><title>t</title><meta a=b><body>{MENU}<article>{BODY}{inside}</article><footer>All rights reserved</footer>"
+    assert main_text(page, untrained) == (TEXT + " " + want).strip()
+
+
+def test_a_head_that_never_ends(untrained):
+    assert main_text(f"<head><title>t</title><link rel=x>{MENU}<article>{BODY}</article>", untrained) == TEXT
