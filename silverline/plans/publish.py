@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, LongType, StringType, StructField, StructType
 
 from silverline.functions import arrays as A
-from silverline.operators import entity, release, rollup
+from silverline.operators import digest, entity, release, rollup
 from silverline.operators.contract import Contract
 from silverline.plans import entities as EN
 from silverline.plans import maintenance as MT
@@ -127,3 +127,27 @@ def q_published_set(spark, sf):
             held = one if held is None else held.unionByName(one)
     written = F.regexp_extract("path", r"v0*(\d+)$", 1).cast("int").alias("written")
     return release.manifests(spark, root).select("version", "name", written).join(held, ["version", "name"])
+
+
+@register("published_by_digest", f"""
+with {MT._SQL_SNAP},
+rows as (select * from cur where o_orderkey % 16 >= 4 union all select * from nxt where o_orderkey % 16 < 4)
+select o_orderkey % 16 as bucket, case when o_orderkey % 16 < 4 then 2 else 1 end as version, count(*) as n_rows,
+  cast(sum(o_orderkey) as bigint) as checksum, count(*) filter (updated_at = timestamp '{MT.UPSERT_AS_OF}') as n_touched
+from rows group by 1, 2
+""")
+def q_published_by_digest(spark, sf):
+    """UPS-3: orders published by bucket digests; the second run alters a
+    quarter of the buckets and rewrites these alone, the third changes nothing.
+    What each bucket of the last version holds, and which version wrote it."""
+    root, by = work_dir(spark, "digest"), F.pmod("o_orderkey", F.lit(16)).cast("int")
+    first = MT.current_snapshot(spark, sf).drop("created_at", "updated_at")
+    second = first.filter(by >= 4).unionByName(MT.incoming(spark, sf).filter(by < 4))
+    digest.publish(spark, root, first, ["o_orderkey"], MT.SNAPSHOT_TS, bucket=by)
+    for _ in range(2):
+        after = digest.publish(spark, root, second, ["o_orderkey"], MT.UPSERT_AS_OF, bucket=by)
+    versions = spark.createDataFrame([(b, v) for b, (v, _) in after.buckets.items()], "bucket int, version int")  # one row per bucket
+    held = digest.read(spark, root).groupBy(by.alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").cast("long").alias("checksum"),
+        F.count_if(F.col("updated_at") == F.lit(MT.UPSERT_AS_OF).cast("timestamp_ntz")).alias("n_touched"))
+    return versions.join(held, "bucket").select(F.col("bucket").cast("long").alias("bucket"), "version", "n_rows", "checksum", "n_touched")
