@@ -14,6 +14,7 @@ from silverline.plans import maintenance as M
 from silverline.plans import reports as R
 from silverline.plans.registry import ORACLE, T, register
 from silverline.sources import io
+from silverline.sources import variants as V
 from silverline.streaming.jobs import work_dir
 
 ORDER_RECORD = "struct<`Order Key`:bigint,Status:string,logo:string,`Total (USD)`:double>"
@@ -155,3 +156,54 @@ def q_preview(spark, sf):
     newest = T(spark, sf, "orders").select("o_orderkey", "o_orderdate").orderBy(F.desc("o_orderdate"), "o_orderkey").limit(10)
     io.write_parquet(newest, f"{out}/newest")
     return io.read_parquet(spark, f"{out}/newest")
+
+
+def _documents_of_many_types(spark, sf, out: str):
+    """One document per order; its total is a number, a text, an object or not there."""
+    k, total = F.col("o_orderkey") % 4, F.col("o_totalprice").cast("long").cast("string")
+    value = (F.when(k == 0, total).when(k == 1, F.concat(F.lit('"'), total, F.lit('"'))).when(k == 2, F.concat(F.lit('{"amount": '), total, F.lit("}"))))
+    tags = F.when(F.col("o_orderkey") % 5 == 0, "null").otherwise(F.concat(F.lit('["'), F.col("o_orderstatus"), F.lit('", '), F.substring("o_orderpriority", 1, 1), F.lit("]")))
+    text = F.concat(F.lit('{"id": '), F.col("o_orderkey").cast("string"), F.coalesce(F.concat(F.lit(', "total": '), value), F.lit("")), F.lit(', "tags": '), tags, F.lit("}"))
+    T(spark, sf, "orders").select(text.alias("value")).write.text(out)
+
+
+@register("variant_records", """
+select o_orderkey as order_id, ['BIGINT', 'STRING', 'OBJECT', null][o_orderkey % 4 + 1] as kind,
+  case when o_orderkey % 4 < 3 then cast(trunc(o_totalprice) as bigint) end as total,
+  case when o_orderkey % 5 <> 0 then o_orderstatus || ',' || substr(o_orderpriority, 1, 1) end as tags from orders
+""")
+def q_variant_records(spark, sf):
+    """SRC-4, PRJ-11: documents whose field changes its type, read without a schema and parsed once."""
+    out = work_dir(spark, "variants")
+    _documents_of_many_types(spark, sf, f"{out}/lines")
+    d = V.read_variants(spark, f"{out}/lines").filter("bad is null")
+    return d.select(V.field("document", "$.id", "bigint").alias("order_id"), V.kind("document", "$.total").alias("kind"),
+                    F.coalesce(V.field("document", "$.total", "bigint"), V.field("document", "$.total.amount", "bigint")).alias("total"),
+                    F.array_join(V.field("document", "$.tags", "array<string>"), ",").alias("tags"))
+
+
+@register("variant_elements", """
+select o_orderkey as order_id, i as place, case i when 0 then 'STRING' when 1 then 'BIGINT' end as kind,
+  case i when 0 then o_orderstatus when 1 then substr(o_orderpriority, 1, 1) end as element
+from orders left join (values (0), (1)) t(i) on o_orderkey % 5 <> 0
+""")
+def q_variant_elements(spark, sf):
+    """SRC-5, PRJ-12: elements of different types of one list, each as what it is."""
+    out = work_dir(spark, "variants")
+    _documents_of_many_types(spark, sf, f"{out}/lines")
+    d = V.read_variants(spark, f"{out}/lines").withColumn("order_id", V.field("document", "$.id", "bigint"))
+    return V.records(d, "document", "$.tags", keep=["order_id"]).select("order_id", "place", V.kind("record").alias("kind"), V.field("record", "$", "string").alias("element"))
+
+
+@register("variant_field_types", """
+with kinds as (
+  select 'id' as field, 'BIGINT' as kind, false as conflict from orders
+  union all select 'total', ['BIGINT', 'STRING', 'OBJECT'][o_orderkey % 4 + 1], true from orders where o_orderkey % 4 < 3
+  union all select 'tags', case when o_orderkey % 5 = 0 then 'VOID' else 'ARRAY' end, false from orders)
+select field, kind, count(*) as n_rows, conflict from kinds group by field, kind, conflict
+""")
+def q_variant_field_types(spark, sf):
+    """SRC-7: what each field of the documents is, and where that conflicts."""
+    out = work_dir(spark, "variants")
+    _documents_of_many_types(spark, sf, f"{out}/lines")
+    return V.field_types(V.read_variants(spark, f"{out}/lines"), "document")
