@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from silverline.operators import clean, joins, upsert
+from silverline.operators import clean, joins, numbering, upsert
 from silverline.plans import entities as EN
 from silverline.plans import maintenance as M
 from silverline.plans import reports as R
@@ -207,3 +207,15 @@ def q_variant_field_types(spark, sf):
     out = work_dir(spark, "variants")
     _documents_of_many_types(spark, sf, f"{out}/lines")
     return V.field_types(V.read_variants(spark, f"{out}/lines"), "document")
+
+
+@register("order_batches", """
+with placed as (select o_orderkey, row_number() over (order by o_orderdate desc, o_orderkey) - 1 as n from orders)
+select o_orderkey, n // 1000 as batch, cast(n % 1000 as integer) as place, least(1000, (select count(*) from orders) - n // 1000 * 1000) as batch_size from placed
+""")
+def q_order_batches(spark, sf):
+    """SRT-7: orders, newest first, written in batches of exactly 1000 rows and read back."""
+    out = work_dir(spark, "batches")
+    numbering.write_batches(T(spark, sf, "orders").select("o_orderkey", "o_orderdate"), 1000, [F.desc("o_orderdate"), "o_orderkey"], f"{out}/orders")
+    rows = spark.read.parquet(f"{out}/orders").select("o_orderkey", F.col("batch").cast("long").alias("batch"), "place")
+    return rows.join(rows.groupBy("batch").agg(F.count(F.lit(1)).alias("batch_size")), "batch").select("o_orderkey", "batch", "place", "batch_size")
