@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -48,29 +48,38 @@ class Contract:
         return [f.name for f in self.schema.fields]
 
     # -- row-level -----------------------------------------------------
-    def _row_checks(self, raw: dict[str, Column], typed: dict[str, Column]) -> list[Column]:
-        checks: list[Column] = []
+    def _row_checks(self, raw: dict[str, Column], typed: dict[str, Column]) -> dict[str, Column]:
+        """Each rule's label and the condition under which a row fails it."""
+        checks: dict[str, Column] = {}
         for f in self.schema.fields:
             r, t = raw[f.name], typed[f.name]
-            checks.append(F.when(r.isNotNull() & t.isNull(), F.lit(f"{f.name}|dtype")))
+            checks[f"{f.name}|dtype"] = r.isNotNull() & t.isNull()
             if not f.nullable:
-                checks.append(F.when(r.isNull(), F.lit(f"{f.name}|nullability")))
+                checks[f"{f.name}|nullability"] = r.isNull()
             if f.name in self.min_length:
-                checks.append(F.when(F.char_length(t) < self.min_length[f.name], F.lit(f"{f.name}|min_length")))
+                checks[f"{f.name}|min_length"] = F.char_length(t) < self.min_length[f.name]
             if f.name in self.max_length:
-                checks.append(F.when(F.char_length(t) > self.max_length[f.name], F.lit(f"{f.name}|max_length")))
+                checks[f"{f.name}|max_length"] = F.char_length(t) > self.max_length[f.name]
             if f.name in self.enums:
-                checks.append(F.when(t.isNotNull() & ~t.isin(*self.enums[f.name]), F.lit(f"{f.name}|enum")))
+                checks[f"{f.name}|enum"] = t.isNotNull() & ~t.isin(*self.enums[f.name])
             if f.name in self.non_negative:
-                checks.append(F.when(t < 0, F.lit(f"{f.name}|min")))
+                checks[f"{f.name}|min"] = t < 0
         for rname, rule in self.rules.items():
             # A rule must be TRUE; NULL counts as a failure.  A rule may be a
             # zero-argument callable so contracts can be declared at import
             # time, before any session exists.
             expr = rule() if callable(rule) else rule
-            checks.append(F.when(~F.coalesce(expr, F.lit(False)), F.lit(f"rule|{rname}")))
+            checks[f"rule|{rname}"] = ~F.coalesce(expr, F.lit(False))
         return checks
 
+    def _constraints(self) -> list[tuple[str, list[str]]]:
+        return ([("primary_key", list(self.primary_key))] if self.primary_key else []) + [("unique|" + ",".join(k), list(k)) for k in self.unique]
+
+    def labels(self) -> list[str]:
+        """The labels of all rules, in the order of a row's failures."""
+        columns = {c: F.col(c) for c in self.columns}
+        return [*self._row_checks(columns, columns), *(label for label, _ in self._constraints())]
+
     def check(self, df: DataFrame) -> DataFrame:
         """Contract columns (typed, in order) plus ``_failures``.  Rules see
         the typed contract columns; other input columns are dropped."""
@@ -82,12 +91,10 @@ class Contract:
                              for c, f in zip(self.columns, self.schema.fields)])
         raw = {c: F.col(raw_names[c]) for c in self.columns}
         typed = {c: F.col(c) for c in self.columns}
-        checks = self._row_checks(raw, typed)
+        checks = [F.when(failed, F.lit(label)) for label, failed in self._row_checks(raw, typed).items()]
         out = staged.withColumn(FAILURES, F.filter(F.array(*checks), lambda x: x.isNotNull()))
-        constraints = ([("primary_key", list(self.primary_key))] if self.primary_key else []) + \
-            [("unique|" + ",".join(k), list(k)) for k in self.unique]
-        if constraints:
-            out = _flag_duplicates(out, constraints, self.digest_keys)
+        if self._constraints():
+            out = _flag_duplicates(out, self._constraints(), self.digest_keys)
         return out.select(*self.columns, FAILURES)
 
     # -- results ---------------------------------------------------------
@@ -113,30 +120,36 @@ class Contract:
         per_rule = checked.select(F.explode(marks).alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
         return {"__rows__": 0, "__failed_rows__": 0} | {r["rule"]: int(r["n"]) for r in per_rule.collect()}  # one row per rule
 
+    def checked(self, df: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+        """DQ-9 / DQ-10: every row with its failures, written once to the
+        shared folder, and the totals, observed while they are written: the
+        input is evaluated once and nothing is read back for counting."""
+        labels, seen = self.labels(), Observation()
+        failed = [F.count_if(F.array_contains(FAILURES, label)).alias(f"rule{i}") for i, label in enumerate(labels)]
+        rows = stored(self.check(df).observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.size(FAILURES) > 0).alias("failed"), *failed), "checked")
+        found = seen.get
+        counts = {"__rows__": found["rows"], "__failed_rows__": found["failed"]}
+        return rows, counts | {label: found[f"rule{i}"] for i, label in enumerate(labels) if found[f"rule{i}"]}
+
     def validate(self, df: DataFrame) -> DataFrame:
-        """DQ-7: typed frame, or ``ContractError`` with counts per rule.  The
-        rows are written once to the shared folder, so whoever reads the frame
-        does not evaluate ``df`` again."""
-        checked = stored(self.check(df), "validated")
-        counts = self.totals(checked)
+        """DQ-7: typed frame, or ``ContractError`` with counts per rule."""
+        rows, counts = self.checked(df)
         if counts["__failed_rows__"]:
             raise ContractError(f"{self.name}: {counts['__failed_rows__']} of {counts['__rows__']} rows fail", counts)
-        return checked.drop(FAILURES)
+        return rows.drop(FAILURES)
 
     def enforce_budget(self, df: DataFrame, max_failed_fraction: float = 0.0,
                        quarantine_path: str | None = None) -> tuple[DataFrame, dict[str, int]]:
         """DQ-9 / DQ-10 / SNK-3: split, optionally write the failed rows, and
         raise when more than ``max_failed_fraction`` of rows fail."""
-        # written once to the shared folder: counting, quarantine and the caller read it back
-        checked = stored(self.check(df), "checked")
-        counts = self.totals(checked)
+        rows, counts = self.checked(df)
         if quarantine_path and counts["__failed_rows__"]:
-            checked.filter(F.size(FAILURES) > 0).write.mode("overwrite").parquet(quarantine_path)
+            rows.filter(F.size(FAILURES) > 0).write.mode("overwrite").parquet(quarantine_path)
         if counts["__failed_rows__"] > counts["__rows__"] * max_failed_fraction:
             raise ContractError(
                 f"{self.name}: {counts['__failed_rows__']} of {counts['__rows__']} rows fail "
                 f"(budget {max_failed_fraction:.2%})", counts)
-        return checked.filter(F.size(FAILURES) == 0).drop(FAILURES), counts
+        return rows.filter(F.size(FAILURES) == 0).drop(FAILURES), counts
 
 
 def _flag_duplicates(df: DataFrame, constraints: list[tuple[str, list[str]]], digest_keys=()) -> DataFrame:

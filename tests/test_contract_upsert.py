@@ -191,3 +191,26 @@ def test_repeated_incoming_keys_leave_one_row_per_key(spark):  # UPS-2
 def test_totals_count_rows_and_reasons_together(spark):
     counts = C.totals(C.check(_hundred(spark, 2)))
     assert (counts["__rows__"], counts["__failed_rows__"], counts["kind|enum"]) == (100, 2, 2)
+
+
+def test_totals_are_observed_while_the_rows_are_written(spark):
+    """The input is evaluated once: an accumulator sees every row once."""
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.createDataFrame([(i, "x" if i % 5 else None) for i in range(100)] + [(7, "again")], "k long, v string").mapInPandas(look, "k long, v string")
+    contract = Contract(StructType([StructField("k", LongType(), False), StructField("v", StringType(), False)]), rules={"small": lambda: F.col("k") < 90})
+    good, counts = contract.enforce_budget(rows, 0.5)
+    assert seen.value == 101 and counts == {"__rows__": 101, "__failed_rows__": 28, "v|nullability": 20, "rule|small": 10}
+    assert good.count() == 73 and seen.value == 101
+    assert counts == contract.totals(contract.check(rows))
+    keyed = Contract(contract.schema, primary_key=["k"], unique=[["v"]])
+    assert keyed.labels() == ["k|dtype", "k|nullability", "v|dtype", "v|nullability", "primary_key", "unique|v"]
+    assert keyed.enforce_budget(rows, 1.0)[1] == keyed.totals(keyed.check(rows))
+    empty, none = contract.enforce_budget(rows.limit(0))
+    assert none == {"__rows__": 0, "__failed_rows__": 0} and empty.count() == 0
