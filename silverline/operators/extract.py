@@ -5,18 +5,20 @@ and pagers are running counts and aggregates over the token table of
 ``markup``: a row, cell or item is what its opening tag owns (so optional end
 tags need no rule), and a container ends at its own closing tag, whatever it
 nests.  Only the scan for JSON objects inside
-arbitrary text (EXT-9) runs a small Python helper in ``mapInPandas``: finding
-where a valid object ends needs a JSON parser.
+arbitrary text (EXT-9) runs a small Python helper in ``mapInArrow``: what is an
+object's end depends on all the strings and brackets before it.
 """
 
 from __future__ import annotations
 
-import json
 import re
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from silverline.functions import predicates as P
 from silverline.functions import strings as S
@@ -380,33 +382,95 @@ def script_payload(fragments: Column, start: str | None = None) -> Column:
     return F.when(at > 0, F.substr(text, at)).otherwise(text)
 
 
-def _no_constant(name: str):
-    raise ValueError(name)
+# One token of JSON, with the white space before it.  Possessive, so that a
+# long string is read once and keeps no way back.
+_TOKEN = re.compile(r"""[ \t\n\r]*+(?:([{}\[\],:])|("(?:[^"\\\x00-\x1f]++|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+")"""
+                    r"""|(-?+(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][-+]?+[0-9]++)?+|true|false|null))""")
+
+#: What may come next inside an object or array.
+_VALUE, _KEY, _KEY_OR_END, _COLON, _COMMA_OR_END, _VALUE_OR_END = range(6)
+
+
+def _scan_object(text: str, start: int, ends: dict[int, int]) -> int:
+    """The end of the JSON object that starts at the brace ``start``, -1 if
+    none does.  Open objects and arrays are kept on a list, so nesting has no
+    limit.  ``ends`` keeps what was found of every brace met as a value, so
+    that no text is scanned again for the objects inside a broken one."""
+    opened, at, wanted = [(start, "}")], start + 1, _KEY_OR_END
+    while True:
+        token = _TOKEN.match(text, at)
+        if token is None:
+            break
+        mark, string, _ = token.groups()
+        at = token.end()
+        if wanted in (_VALUE, _VALUE_OR_END):
+            if mark == "{":
+                known = ends.get(at - 1)
+                if known is None:
+                    opened.append((at - 1, "}"))
+                    wanted = _KEY_OR_END
+                elif known < 0:
+                    break
+                else:
+                    at, wanted = known, _COMMA_OR_END
+                continue
+            if mark == "[":
+                opened.append((-1, "]"))
+                wanted = _VALUE_OR_END
+                continue
+            if mark is None:
+                wanted = _COMMA_OR_END
+                continue
+        elif wanted in (_KEY, _KEY_OR_END) and string is not None:
+            wanted = _COLON
+            continue
+        elif wanted == _COLON and mark == ":":
+            wanted = _VALUE
+            continue
+        elif wanted == _COMMA_OR_END and mark == ",":
+            wanted = _KEY if opened[-1][1] == "}" else _VALUE
+            continue
+        if wanted not in (_KEY_OR_END, _VALUE_OR_END, _COMMA_OR_END) or mark != opened[-1][1]:
+            break
+        begin, _ = opened.pop()
+        if begin >= 0:
+            ends[begin] = at
+        if not opened:
+            return at
+        wanted = _COMMA_OR_END
+    # what holds the place that is no JSON is none either
+    ends.update((begin, -1) for begin, _ in opened if begin >= 0)
+    return -1
+
+
+def json_spans(text: str | None) -> list[tuple[int, int]]:
+    """EXT-9: where JSON objects stand in a text, left to right; each ``{``
+    that starts a valid object yields it, however deep it nests, and the scan
+    goes on behind it.  ``NaN`` and ``Infinity`` are no JSON."""
+    out: list[tuple[int, int]] = []
+    ends: dict[int, int] = {}
+    at = (text or "").find("{")
+    while at != -1:
+        end = ends.get(at) or _scan_object(text, at, ends)
+        if end > 0:
+            out.append((at, end))
+        at = text.find("{", end if end > 0 else at + 1)
+    return out
 
 
-_DECODER = json.JSONDecoder(parse_constant=_no_constant)
+def json_objects(text: str | None) -> list[str]:
+    """EXT-9: the objects of ``json_spans``, as they are written."""
+    return [text[a:b] for a, b in json_spans(text)]
 
 
-def json_objects(text: str | None) -> list[str]:
-    """EXT-9: JSON objects embedded in text, left to right, as they are
-    written; each ``{`` that starts a valid object yields it and the scan goes
-    on behind it.  ``NaN`` and ``Infinity`` are no JSON; nesting beyond the
-    parser's depth counts as not valid at that brace."""
-    out: list[str] = []
-    at = (text or "").find("{")
-    while at != -1:
-        try:
-            _, end = _DECODER.raw_decode(text, at)
-            out.append(text[at:end])
-        except (ValueError, RecursionError):
-            end = at + 1
-        at = text.find("{", end)
-    return out
+#: Bytes of text whose objects leave a task as one batch (one text, if that is longer).
+_SLICE_BYTES = 4 << 20
 
 
 def embedded_json(df: DataFrame, key_cols: list[str], text: str = "text") -> DataFrame:
     """EXT-9: ``(keys..., obj_idx, json)`` for every JSON object embedded in
-    the text, as written there (parse further with ``from_json``)."""
+    the text, as written there (parse further with ``from_json``).  A null or
+    empty text and a text without an object give no row."""
     from silverline.session import ship_package
 
     ship_package(df.sparkSession)
@@ -414,13 +478,19 @@ def embedded_json(df: DataFrame, key_cols: list[str], text: str = "text") -> Dat
 
     def run(batches):
         for batch in batches:
-            rows = [(*keys, i, found) for *keys, doc in batch[[*key_cols, text]].itertuples(index=False, name=None)
-                    for i, found in enumerate(json_objects(doc))]
-            yield pd.DataFrame.from_records(rows, columns=names)
-
-    keys = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in key_cols)
+            keys, docs = pa.Table.from_batches([batch.select(key_cols)]), batch.column(text)
+            sizes = np.nan_to_num(pc.binary_length(docs).to_numpy(zero_copy_only=False).astype("f8"))
+            for rows in np.split(np.arange(len(docs)), np.flatnonzero(np.diff(np.cumsum(sizes) // _SLICE_BYTES)) + 1):
+                found = [json_objects(doc) for doc in docs.take(pa.array(rows)).to_pylist()]
+                counts = np.array([len(f) for f in found], "i8")
+                places = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                objects = pa.array([o for f in found for o in f], docs.type)
+                columns = [*keys.take(pa.array(np.repeat(rows, counts))).columns, pa.chunked_array([places.astype("i4")]), pa.chunked_array([objects])]
+                yield from pa.Table.from_arrays(columns, names).combine_chunks().to_batches()
+
+    keys = T.StructType([df.schema[c] for c in key_cols])
     # a text without a brace holds no object and need not leave the JVM
-    return df.select(*key_cols, text).filter(F.contains(text, F.lit("{"))).mapInPandas(run, f"{keys}, obj_idx int, json string")
+    return df.select(*key_cols, text).filter(F.contains(text, F.lit("{"))).mapInArrow(run, T.StructType([*keys, T.StructField("obj_idx", T.IntegerType()), T.StructField("json", T.StringType())]))
 
 
 def first_with_keys(objs: DataFrame, key_cols: list[str], required: list[str], schema: str) -> DataFrame:

@@ -1,5 +1,10 @@
 """EXT-1..12 on fixtures written for these tests."""
 
+import json
+import time
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from silverline.functions import dates as D
@@ -104,6 +109,51 @@ def test_embedded_json(spark):
     assert [(r.id, r.obj_idx) for r in first] == [(1, 0)]
 
 
+def decoded_spans(text):
+    """The same spans by the standard decoder, begun anew at every brace."""
+    def refuse(name):
+        raise ValueError(name)
+
+    decoder, out, at = json.JSONDecoder(parse_constant=refuse), [], text.find("{")
+    while at != -1:
+        try:
+            _, end = decoder.raw_decode(text, at)
+            out.append((at, end))
+        except ValueError:
+            end = at + 1
+        at = text.find("{", end)
+    return out
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(list('{}{}[]"":,, \\') + ['{"a":', '"b"', "1", "-0.5e+3", "01", "1.", "null", "true", "NaN", "-", "\\n", "\\u00e9", "\n", "\x01", "é"]), max_size=30).map("".join))
+def test_json_spans_equal_the_decoder(text):
+    assert X.json_spans(text) == decoded_spans(text)
+
+
+def test_json_spans_are_linear_and_have_no_depth():
+    deep = '{"a":[' * 100_000 + "]}" * 100_000
+    assert X.json_spans("x " + deep + " {}") == [(2, 2 + len(deep)), (3 + len(deep), 5 + len(deep))]
+    start = time.monotonic()
+    # broken only at their end, so every brace could be a new start
+    assert X.json_spans('{"a":' * 50_000 + "[" + "1," * 200_000 + "!") == []
+    assert X.json_spans('{"a":{"b":[{"c":1},' * 30_000) == [(i * 19 + 11, i * 19 + 18) for i in range(30_000)]
+    assert X.json_spans('{"' * 200_000) == X.json_spans('{"\\"' * 200_000) == X.json_spans("{" * 400_000) == []
+    assert X.json_spans('{"a{' * 200_000) == [] and len(X.json_spans('{"x": "{}", ' * 50_000)) == 50_000
+    assert time.monotonic() - start < 40
+
+
+def test_embedded_json_keeps_key_types_and_places(spark):
+    docs = spark.sql("""select * from values (1L, date'2024-01-02', decimal(1.50), '{"a":1} {"b":[{}]}'), (null, null, null, 'x {"c":"é{"}'),
+                     (3L, null, null, ''), (4L, null, null, null), (5L, null, null, '{ {') t(id, day, amount, text)""")
+    docs = docs.unionByName(docs.filter("id = 1"))
+    found = X.embedded_json(docs, ["id", "day", "amount"])
+    assert dict(found.dtypes)["day"] == "date" and dict(found.dtypes)["amount"].startswith("decimal")
+    assert sorted((r.id or 0, str(r.day), r.obj_idx, r.json) for r in found.collect()) == [
+        (0, "None", 0, '{"c":"é{"}')] + [(1, "2024-01-02", 0, '{"a":1}')] * 2 + [(1, "2024-01-02", 1, '{"b":[{}]}')] * 2
+    assert X.embedded_json(docs.limit(0), ["id"]).count() == 0
+
+
 def test_script_payload_keeps_the_text_from_the_delimiter(spark):
     df = spark.createDataFrame([(['noise {} STA', 'RT {\\"a\\":\\"b', '\\/c\\"} tail'],)], "parts array<string>")
     row = df.select(X.script_payload(F.col("parts"), "START").alias("cut"), X.script_payload(F.col("parts"), "ABSENT").alias("whole")).first()
