@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from silverline.functions import dates as D
-from silverline.operators import joins, upsert
+from silverline.operators import fingerprint, joins, upsert
 from silverline.operators.contract import FAILURES, Contract
 from silverline.plans.registry import AS_OF, T, dates_as_text, register
 
@@ -151,6 +151,28 @@ def q_changed_rows(spark, sf):
     return upsert.changed_rows(incoming(spark, sf), current_snapshot(spark, sf))
 
 
+# Documents as wide rows without a key: nulls, copies, edits deep inside long texts.
+_SQL_DOC_ROWS = """cur as (select text, case when doc_id % 7 = 0 then null else lang end as lang, source from documents),
+new as (select doc_id, case when doc_id % 5 = 0 then text || '.' when doc_id % 11 = 0 then null else text end as text,
+    case when doc_id % 7 = 0 and doc_id % 2 = 0 then null else lang end as lang, source from documents
+  union all select -1 - doc_id, text, lang, source from documents)"""
+
+
+@register("changed_texts", f"""with {_SQL_DOC_ROWS}
+select doc_id, md5(text) as text_md5, lang, source from new n where not exists (select 1 from cur c where
+  c.text is not distinct from n.text and c.lang is not distinct from n.lang and c.source is not distinct from n.source)
+""")
+def q_changed_texts(spark, sf):
+    """JOIN-2 by fingerprints over whole texts, every row of which arrives twice, once altered."""
+    docs, k = T(spark, sf, "documents").select("doc_id", "text", "lang", "source"), F.col("doc_id")
+    none = F.lit(None).cast("string")
+    cur = docs.withColumn("lang", F.when(k % 7 == 0, none).otherwise(F.col("lang"))).drop("doc_id")
+    text = F.when(k % 5 == 0, F.concat("text", F.lit("."))).when(k % 11 == 0, none).otherwise(F.col("text"))
+    altered = docs.withColumns({"text": text, "lang": F.when((k % 7 == 0) & (k % 2 == 0), none).otherwise(F.col("lang"))})
+    new = altered.unionByName(docs.withColumn("doc_id", -1 - k))
+    return fingerprint.changed_rows(new, cur).select("doc_id", F.md5("text").alias("text_md5"), "lang", "source")
+
+
 @register("upsert_snapshot", f"with {_SQL_SNAP} select * from nxt", ts=("o_orderdate", "created_at", "updated_at"))
 def q_upsert_snapshot(spark, sf):
     cur, new = current_snapshot(spark, sf).withColumn("sent", F.lit(2)), incoming(spark, sf).withColumn("sent", F.lit(2))
