@@ -14,6 +14,7 @@ from silverline.plans import maintenance as M
 from silverline.plans import reports as R
 from silverline.plans.registry import ORACLE, T, register
 from silverline.sources import io
+from silverline.sources import lookup
 from silverline.sources import variants as V
 from silverline.streaming.jobs import work_dir
 
@@ -219,3 +220,20 @@ def q_order_batches(spark, sf):
     numbering.write_batches(T(spark, sf, "orders").select("o_orderkey", "o_orderdate"), 1000, [F.desc("o_orderdate"), "o_orderkey"], f"{out}/orders")
     rows = spark.read.parquet(f"{out}/orders").select("o_orderkey", F.col("batch").cast("long").alias("batch"), "place")
     return rows.join(rows.groupBy("batch").agg(F.count(F.lit(1)).alias("batch_size")), "batch").select("o_orderkey", "batch", "place", "batch_size")
+
+
+@register("part_lookup", """
+select l_orderkey, l_linenumber, l_partkey, l_quantity from lineitem
+where l_partkey in (select p_partkey from part order by p_retailprice desc, p_partkey limit 20) or l_orderkey in (select max(o_orderkey) from orders)
+""")
+def q_part_lookup(spark, sf):
+    """SRC-1 / FLT-2: line items written once for lookups, sorted by order with
+    Bloom filters on the part; those of the twenty dearest parts and of the last order."""
+    path = f"{work_dir(spark, 'lookup')}/lineitem"
+    lookup.write_lookup(T(spark, sf, "lineitem"), path, ["l_orderkey", "l_linenumber"], bloom=["l_partkey"])
+    lines = io.read_parquet(spark, path).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    dearest = T(spark, sf, "part").orderBy(F.desc("p_retailprice"), "p_partkey").limit(20)
+    last = T(spark, sf, "orders").agg(F.max("o_orderkey").alias("o_orderkey"))
+    by_part = lookup.lookup_keys(lines, "l_partkey", dearest, "p_partkey")
+    by_order = lookup.lookup_keys(lines, "l_orderkey", last, "o_orderkey")
+    return by_part.unionByName(by_order).distinct()
