@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from silverline.functions import predicates as P
 from silverline.functions import strings as S
 from silverline.operators import extract as X
+from silverline.operators import extractors, seen
 from silverline.plans.registry import T, register
 from silverline.session import stored
+from silverline.streaming.jobs import work_dir
 
 TITLE_RE = r"(?is)<title[^>]*>(.*?)</title>"
 
@@ -147,6 +149,25 @@ def q_frontier_counts(spark, sf):
     return X.frontier_counts(_absolute_links(spark, sf), T(spark, sf, "pages").select("url"))
 
 
+@register("frontier_seen", f"""with {_SQL_ABS},
+fresh as (select distinct href as url from found f where not exists (select 1 from pages p where p.url = f.href))
+select 1 as round, url from fresh union all select 2, url || '#2' from fresh
+""")
+def q_frontier_seen(spark, sf):
+    """EXT-8 over a stored set: page URLs come in by two calls, what a round
+    finds is added, and the next round finds only what it has not seen."""
+    root, pages = f"{work_dir(spark, 'seen')}/set", T(spark, sf, "pages").select("page_id", "url")
+    half = F.pmod("page_id", F.lit(2)) == 0
+    seen.add(spark, root, pages.filter(half), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    seen.add(spark, root, pages.filter(~half))
+    found = _absolute_links(spark, sf).select("href")
+    first = stored(seen.frontier_round(spark, root, found), "first-round")
+    seen.add(spark, root, first)
+    again = first.select(F.concat("url", F.lit("#2")).alias("href"))
+    second = seen.frontier_round(spark, root, found.unionByName(again))
+    return first.select(F.lit(1).alias("round"), "url").unionByName(second.select(F.lit(2).alias("round"), "url"))
+
+
 @register("page_list_items", r"""
 with m as (select page_id, regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li>', 1) as items from pages)
 select page_id, cast(i - 1 as integer) as item_idx,
@@ -314,3 +335,13 @@ select event_id, cast(0 as integer) as obj_idx, props as json from events where
 def q_embedded_first(spark, sf):
     """EXT-10: of each payload the first object with the key ``k``."""
     return X.first_with_keys(q_embedded_json(spark, sf), ["event_id"], ["k"], "k string")
+
+
+@register("objects_by_sql", """
+select event_id, cast(0 as integer) as obj_idx, case when event_id % 3 = 0 then '{"event": ' || props || '}' else props end as json from events
+union all select event_id, 1, '{"a":"</b> }"}' from events
+""")
+def q_objects_by_sql(spark, sf):
+    """UDF-3: the objects of EXT-9 by a table function inside SQL text."""
+    extractors.register_extractors(spark)
+    return spark.sql("select s.event_id, o.obj_idx, o.json from {scripts} s, lateral json_objects(s.text) o", scripts=_scripts(spark, sf))
