@@ -19,7 +19,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Python workers are reused between tasks (EXT-* mapInPandas stages).
+    # Python workers are reused between tasks (EXT-9, table functions).
     "spark.python.worker.reuse": "true",
 }
 
@@ -108,7 +108,7 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``silverline`` importable in Python workers (``mapInPandas``
+    """Make ``silverline`` importable in Python workers (Arrow
     stages) once per application: the package is zipped on the driver and
     distributed with ``addPyFile`` (Spark's file server copies it to every
     executor).  Deployments that already install the package or pass it
