@@ -1,10 +1,11 @@
 """Page extraction as Spark jobs over a page table (EXT-1..12).
 
-Everything that reads markup is native.  Tables, grids, label and info lists
+Everything that reads markup is native.  Tables, grids, info lists
 and pagers are running counts and aggregates over the token table of
 ``markup``: a row, cell or item is what its opening tag owns (so optional end
 tags need no rule), and a container ends at its own closing tag, whatever it
-nests.  Only the scan for JSON objects inside
+nests.  Label cells (EXT-3) follow the same rules on pieces of the page that
+stay in its own row.  Only the scan for JSON objects inside
 arbitrary text (EXT-9) runs a small Python helper in ``mapInArrow``: what is an
 object's end depends on all the strings and brackets before it.
 """
@@ -215,6 +216,16 @@ def _with_href(t: DataFrame) -> DataFrame:
     return t.withColumn("href", F.when(M.opens("a"), M.attribute("href"))).withColumn("href", F.translate(decode_references("href"), M.NEXT + M.PART, ""))
 
 
+def _piece_text(piece: Column) -> Column:
+    """Text of a piece, references decoded and stripped run by run."""
+    def run(x: Column) -> Column:
+        decoded = F.when(F.contains(x, F.lit("&")), F.translate(decode_references(x), M.NEXT + M.PART, "")).otherwise(x)
+        return F.btrim(decoded, F.lit(M.SPACES))
+
+    # most pieces are a tag alone
+    return F.when(F.instr(piece, ">") == F.length(piece), "").otherwise(F.array_join(F.transform(M.piece_texts(piece), run), ""))
+
+
 def _first_hrefs(runs: str) -> Column:
     """The first href in each cell of a row, NULL without one."""
     found = M.intervals(M.joined(runs, M.starts("cell"), lambda x: F.coalesce(F.concat(F.lit(M.PART), x["href"]), F.lit(""))))
@@ -293,17 +304,21 @@ def html_label_values(df: DataFrame, key_cols: list[str], html: str = "html", la
     """EXT-3: ``(keys..., kv map<string,string>)``: table rows with a label
     and a value cell; the key is the label cell's first class that is not in
     ``ignore_cls``; a later key replaces an earlier one."""
-    t = M.counted(M.tokens(df, key_cols, html), "row", M.opens("tr"))
-    t = t.withColumn("_label", M.opens("td") & M.has_class(label_cls)).withColumn("_value", M.opens("td") & M.has_class(value_cls))
-    t = M.owner(t, "cell", M.opens("td", "tr") | M.closes("td", "tr"), F.when(F.col("_value"), 1))
-    key = F.get(F.filter(F.when(F.col("_label"), M.classes()), lambda c: (c != "") & ~c.isin(*ignore_cls)), F.lit(0))
-    t = _text_of_tokens(t, True).withColumn("_key", F.when(F.col("_label"), F.struct("pos", key.alias("key"))))
-    # texts of the first value cell alone
-    rows = t.groupBy("page", "row").agg(_keys(), F.min("_key")["key"].alias("key"), M.runs("cell", "text", where=F.col("cell").isNotNull()).alias("runs"))
-    own = F.filter("runs", lambda r: r["cell"] == F.get("runs", F.lit(0))["cell"])
-    rows = rows.withColumn("key", F.when((F.size("runs") > 0) & (F.col("row") > 0), F.col("key"))).withColumn("value", M.joined(own, lambda x: x["text"]))
-    pages = rows.groupBy("page").agg(_keys(), F.sort_array(F.collect_list(F.struct("row", "key", "value"))).alias("_rows"))
-    return _with_map(pages, F.transform("_rows", lambda r: _entry(r["key"], r["value"])), "kv").select(*_unpacked(key_cols), "kv")
+    pages = M.pages(df, key_cols, html).withColumn("_html", F.coalesce(M.unmarked("_html"), F.lit("")))
+    # a row without both names has no pair
+    rows = F.filter(M.after_first(M.cut("_html", "tr", closing=False)), lambda row: F.contains(row, F.lit(label_cls)) & F.contains(row, F.lit(value_cls)))
+
+    def first_cell(cells: Column, cls: str) -> Column:
+        return F.get(F.filter(cells, lambda c: M.piece_opens(c, "td") & M.piece_has_class(c, cls)), F.lit(0))
+
+    def entry(row: Column) -> Column:
+        names = F.split(F.btrim(M.piece_attribute(row["label"], "class"), F.lit(M.SPACES)), r"\s+")
+        key = F.get(F.filter(names, lambda c: (c != "") & ~c.isin(*ignore_cls)), F.lit(0))
+        return _entry(F.when(row["value"].isNotNull(), key), _piece_text(row["value"]))
+
+    cells = F.transform(rows, lambda row: M.after_first(M.cut(row, "td", "tr")))
+    pairs = F.transform(cells, lambda c: F.struct(first_cell(c, label_cls).alias("label"), first_cell(c, value_cls).alias("value")))
+    return _with_map(pages, F.transform(pairs, entry), "kv").select(*_unpacked(key_cols), "kv")
 
 
 def html_info_pairs(df: DataFrame, key_cols: list[str], html: str = "html", section_tag: str = "section",

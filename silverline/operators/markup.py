@@ -22,18 +22,25 @@ def _in_order():
     return Window.partitionBy("page").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
+def pages(df: DataFrame, key_cols: list[str], html: str = "html") -> DataFrame:
+    """(keys, page, _html): the pages without their comments, one that never
+    ends up to the end of the page."""
+    keys = F.struct(*[F.col(f"`{c}`") for c in key_cols]).alias("keys")
+    page = df.select(keys, F.monotonically_increasing_id().alias("page"), F.col(html).alias("_html"))
+    # a page is little to move and much to work on: as many tasks as the session has for a shuffle
+    page = page.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page")
+    plain = F.when(F.contains("_html", F.lit("<!--")), F.regexp_replace("_html", r"(?s)<!--.*?(?:-->|\z)", "")).otherwise(F.col("_html"))
+    return page.select("keys", "page", plain.alias("_html"))
+
+
 def tokens(df: DataFrame, key_cols: list[str], html: str = "html") -> DataFrame:
     """(keys, page, pos, tag, closing, attrs, text): one row per tag in page
     order, and one at ``pos`` 0 for what stands before the first, so that every
     page has a row.  ``keys`` is a struct of the key columns.  ``tag`` is in lower case, empty for ``<`` that opens none
     and for other markup; ``text`` is the text up to the next tag, as written.  Comments are
     left out, one that never ends up to the end of the page."""
-    keys = F.struct(*[F.col(f"`{c}`") for c in key_cols]).alias("keys")
-    page = df.select(keys, F.monotonically_increasing_id().alias("page"), F.col(html).alias("_html"))
-    # a page is little to move and much to work on: as many tasks as the session has for a shuffle
-    page = page.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page")
-    plain = F.when(F.contains("_html", F.lit("<!--")), F.regexp_replace("_html", r"(?s)<!--.*?(?:-->|\z)", "")).otherwise(F.col("_html"))
-    cut = page.select("keys", "page", F.posexplode_outer(F.split(plain, "<", -1)).alias("pos", "_part"))
+    page = pages(df, key_cols, html)
+    cut = page.select("keys", "page", F.posexplode_outer(F.split("_html", "<", -1)).alias("pos", "_part"))
     end = F.when(F.col("pos") > 0, F.instr("_part", ">")).otherwise(0)
     cut = cut.withColumn("pos", F.coalesce("pos", F.lit(0))).withColumn("_end", end)
     is_tag = F.col("_end") > 0
@@ -126,3 +133,49 @@ def intervals(text: Column, mark: str = NEXT) -> Column:
     """The pieces of a joined text behind each mark."""
     pieces = F.split(text, mark, -1)
     return F.slice(pieces, 2, 2**30)
+
+
+# What asks only for whole rows and cells needs no row per tag: the page is cut
+# at the tags that bound them, and the pieces stay in the page's own row.  A
+# piece starts with its tag, without the ``<``.
+
+def cut(html: Column | str, *tags: str, closing: bool = True) -> Column:
+    """The pieces from each of these tags, opening or ``closing`` too, up to the
+    next; first what stands before all of them.  ``html`` holds no marks."""
+    start = rf"(?i)<(?={'/?' if closing else ''}(?:{'|'.join(tags)})(?![a-z0-9-])[^<>]*>)"
+    # the pattern of a replacement is compiled once, that of a split for every row
+    return F.split(F.regexp_replace(html, start, NEXT), NEXT, -1)
+
+
+def unmarked(html: str) -> Column:
+    """A column of markup without the marks that cutting sets."""
+    return F.when(F.contains(html, F.lit(NEXT)) | F.contains(html, F.lit(PART)), F.translate(html, NEXT + PART, "")).otherwise(F.col(html))
+
+
+def after_first(items: Column) -> Column:
+    return F.slice(items, 2, 2**30)
+
+
+def piece_opens(piece: Column, tag: str) -> Column:
+    """A piece of ``cut`` begins with the opening tag; no other tag cut at may start with its name."""
+    return F.lower(F.substring(piece, 1, len(tag))) == tag
+
+
+def piece_quoted(piece: Column, name: str) -> Column:
+    """Value of an attribute of a piece's tag as ``attribute`` finds it, in its quotes; empty without it."""
+    return F.regexp_extract(F.substring_index(piece, ">", 1), rf"""(?is)\s{name}\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)""", 1)
+
+
+def piece_attribute(piece: Column, name: str) -> Column:
+    """Value of an attribute of a piece's tag, as written; empty without it."""
+    return F.regexp_replace(piece_quoted(piece, name), r"""(?s)^(["'])(.*)\1\z""", "$2")
+
+
+def piece_has_class(piece: Column, name: str) -> Column:
+    whole = rf"""(?s)^(["']?)(?:.*\s)?\Q{name}\E(?:\s.*)?\1\z"""
+    return F.when(F.contains(piece, F.lit(name)), piece_quoted(piece, "class").rlike(whole)).otherwise(False)
+
+
+def piece_texts(piece: Column) -> Column:
+    """The runs of text behind a piece's tag, cut at every further tag, as written."""
+    return after_first(F.split(F.regexp_replace(piece, r"^[^<>]*>|<[^<>]*>|(?=<)", PART), PART, -1))
