@@ -1,11 +1,11 @@
 """Page extraction as Spark jobs over a page table (EXT-1..12).
 
-Everything that reads markup is native.  Tables, grids, info lists
+Everything that reads markup is native.  Tables, info lists
 and pagers are running counts and aggregates over the token table of
 ``markup``: a row, cell or item is what its opening tag owns (so optional end
 tags need no rule), and a container ends at its own closing tag, whatever it
-nests.  Label cells (EXT-3) follow the same rules on pieces of the page that
-stay in its own row.  Only the scan for JSON objects inside
+nests.  Grids (EXT-2) and label cells (EXT-3) follow the same rules on pieces of
+the page that stay in its own row, with one row per row of a grid.  Only the scan for JSON objects inside
 arbitrary text (EXT-9) runs a small Python helper in ``mapInArrow``: what is an
 object's end depends on all the strings and brackets before it.
 """
@@ -170,7 +170,7 @@ def is_valid_entity_page(html: Column | str, markers=("coin-heading", "coin-page
     return P.has_any_marker(html, list(markers)) & P.min_bytes(html, min_size)
 
 
-# EXT-1..4 and 7 read the token table: intervals of tokens are grouped by page,
+# EXT-1, 4 and 7 read the token table: intervals of tokens are grouped by page,
 # row and cell on the partitioning that ``tokens`` made, and what an expression
 # reads more than once is a column of its own.
 
@@ -216,14 +216,35 @@ def _with_href(t: DataFrame) -> DataFrame:
     return t.withColumn("href", F.when(M.opens("a"), M.attribute("href"))).withColumn("href", F.translate(decode_references("href"), M.NEXT + M.PART, ""))
 
 
-def _piece_text(piece: Column) -> Column:
-    """Text of a piece, references decoded and stripped run by run."""
+def _piece_runs(piece: Column) -> Column:
+    """The runs of text in a piece, references decoded, each stripped."""
     def run(x: Column) -> Column:
         decoded = F.when(F.contains(x, F.lit("&")), F.translate(decode_references(x), M.NEXT + M.PART, "")).otherwise(x)
         return F.btrim(decoded, F.lit(M.SPACES))
 
+    return F.transform(M.piece_texts(piece), run)
+
+
+def _piece_text(piece: Column) -> Column:
+    """Text of a piece, references decoded and stripped run by run."""
     # most pieces are a tag alone
-    return F.when(F.instr(piece, ">") == F.length(piece), "").otherwise(F.array_join(F.transform(M.piece_texts(piece), run), ""))
+    return F.when(F.instr(piece, ">") == F.length(piece), "").otherwise(F.array_join(_piece_runs(piece), ""))
+
+
+def _tags_of(cell: Column, cls: str) -> Column:
+    """The texts of a cell's elements of a class, each up to the next closing tag,
+    joined by ``", "``; one inside the cell with neither a text right behind its
+    tag nor a link begins no new entry."""
+    start = M.opening(cls, "a", "div")
+    marks = F.transform(M.opened(cell, start, "a", "div"), lambda p: F.struct(p.alias("tag"), _piece_runs(p).alias("runs")))
+
+    def entry(m: Column, i: Column) -> Column:
+        linked = M.piece_opens(m["tag"], "a") & (M.piece_quoted(m["tag"], "href") != "")
+        begins = (F.get(m["runs"], F.lit(0)) != "") | linked | ((i == 0) & cell.rlike("^" + start))
+        return F.concat(F.when(begins, ", ").otherwise(""), F.array_join(m["runs"], ""))
+
+    texts = F.transform(marks, entry)
+    return F.substr(F.array_join(texts, ""), F.lit(3))
 
 
 def _first_hrefs(runs: str) -> Column:
@@ -275,28 +296,30 @@ def html_grid(df: DataFrame, key_cols: list[str], html: str = "html", container:
     ``_2``, ``_3``).  A cell with elements of class ``tag_cls`` is their texts
     joined by ``", "``.  The link of the cell named ``link_col``, made absolute
     with ``base_url``, is added as ``url_col`` (``""`` when there is none)."""
-    t = M.inside(M.tokens(df, key_cols, html), "div", M.has_class(container)).filter("inside")
-    t = t.withColumn("_row", M.opens("div") & M.has_class(row_cls)).withColumn("_tag", M.opens("a", "div") & M.has_class(tag_cls))
-    t = M.counted(t, "row", F.col("_row")).filter("row > 0")
-    t = t.withColumn("_cell", M.opens("div") & F.when(F.col("row") == 1, M.has_class(head_cls)).otherwise(M.has_class(cell_cls)))
-    t = M.owner(t, "cell", F.col("_cell") | F.col("_row"), F.when(F.col("_cell"), 1))
-    t = M.owner(t, "mark", F.col("_tag") | M.closes("a", "div") | F.col("_cell") | F.col("_row"), F.when(F.col("_tag"), 1))
-    rows = _rows_of_runs(_with_href(_text_of_tokens(t, True)), "mark")
-    in_marks = M.intervals(M.joined("runs", M.starts("cell"), M.starts("mark", M.PART), lambda x: F.when(x["mark"].isNotNull(), x["text"]).otherwise("")))
-    rows = (rows.withColumn("texts", M.intervals(M.joined("runs", M.starts("cell"), lambda x: x["text"])))
-            .withColumn("tags", F.transform(in_marks, lambda c: F.substr(F.replace(c, F.lit(M.PART), F.lit(", ")), F.lit(3))))
-            .withColumn("hrefs", _first_hrefs("runs")))
+    def marked(row: Column, cls: str) -> Column:
+        # the row's own tag may be a cell too
+        return F.regexp_replace(F.concat(F.lit("<"), row), M.opening(cls, "div"), M.NEXT + "<")
+
+    pages = M.pages(df, key_cols, html).withColumn("_html", M.unmarked("_html"))
+    pages = M.inside_first(pages, "_html", container, "div").select("keys", M.after_first(M.cut_at("_html", M.opening(row_cls, "div"))).alias("_rows"))
+    pages = pages.withColumn("_plain", F.transform(M.intervals(marked(F.get("_rows", F.lit(0)), head_cls)), _piece_text))
     nth = F.transform("_plain", lambda h, i: F.size(F.filter(F.slice("_plain", F.lit(1), i + 1), lambda x: x == h)))
     heads = F.zip_with("_plain", nth, lambda h, n: F.when(n == 1, h).otherwise(F.concat(h, F.lit("_"), n.cast("string"))))
-    rows = _with_heads(rows).withColumn("_heads", heads).withColumn("names", F.transform("texts", lambda _, i: _cell_name(F.col("_heads"), i)))
+    rows = pages.select("keys", heads.alias("_heads"), F.posexplode(M.after_first(F.col("_rows"))).alias("row_idx", "_row"))
+    rows = rows.withColumn("_row", marked(F.col("_row"), cell_cls)).withColumn("_cells", M.intervals(F.col("_row")))
+    texts = F.when(F.contains("_row", F.lit("&")), F.transform("_cells", _piece_text)).otherwise(M.plain_texts("_row"))
+    tags = F.transform("_cells", lambda c: F.when(F.contains(c, F.lit(tag_cls)), _tags_of(c, tag_cls)).otherwise(""))
+    rows = rows.withColumn("names", F.transform("_cells", lambda _, i: _cell_name(F.col("_heads"), i)))
     at = F.array_position("names", F.lit(link_col)) if link_col else F.lit(0)
-    rows = rows.withColumn("_href", F.when(at > 0, F.get("hrefs", (at - 1).cast("int"))))
+    linked = F.when(at > 0, F.get("_cells", (at - 1).cast("int")))
+    rows = rows.withColumn("_href", M.first_quoted(linked, "a", "href")).withColumn("_href", M.unquoted("_href"))
+    rows = rows.withColumn("_href", F.when(F.contains("_href", F.lit("&")), F.translate(decode_references("_href"), M.NEXT + M.PART, "")).otherwise(F.col("_href")))
     href = F.col("_href")
     absolute = F.when(F.coalesce(href, F.lit("")) == "", "").when(href.rlike(r"^[a-z]+://"), href).otherwise(
         F.concat(F.lit(base_url.rstrip("/") + "/"), F.regexp_replace(href, "^/+", "")))
-    values = F.zip_with("tags", "texts", lambda tags, text: F.when(tags != "", tags).otherwise(text))
+    values = F.zip_with(tags, texts, lambda tags, text: F.when(tags != "", tags).otherwise(text))
     rows = _with_map(rows, F.concat(F.zip_with("names", values, _entry), F.array(_entry(F.lit(url_col), absolute))), "cells")
-    return rows.select(*_unpacked(key_cols), (F.col("row") - 2).cast("int").alias("row_idx"), "cells")
+    return rows.select(*_unpacked(key_cols), "row_idx", "cells")
 
 
 def html_label_values(df: DataFrame, key_cols: list[str], html: str = "html", label_cls: str = "label", value_cls: str = "value",

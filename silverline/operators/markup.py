@@ -60,13 +60,17 @@ def closes(*tags: str) -> Column:
     return F.col("tag").isin(*tags) & F.col("closing")
 
 
-def attribute(name: str) -> Column:
-    """Value of an attribute in either kind of quotes or none, as written; NULL without it."""
-    found = F.regexp_extract("attrs", rf"""(?is)\s{name}\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)""", 1)
+def unquoted(value: Column | str) -> Column:
+    found = F.col(value) if isinstance(value, str) else value
     quoted = F.substring(found, 1, 1).isin('"', "'")
     return F.when(quoted, F.substr(found, F.lit(2), F.length(found) - 2)).when(found != "", found)
 
 
+def attribute(name: str) -> Column:
+    """Value of an attribute in either kind of quotes or none, as written; NULL without it."""
+    return unquoted(F.regexp_extract("attrs", rf"""(?is)\s{name}\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)""", 1))
+
+
 def classes() -> Column:
     return F.split(F.btrim(attribute("class"), F.lit(SPACES)), r"\s+")
 
@@ -139,12 +143,43 @@ def intervals(text: Column, mark: str = NEXT) -> Column:
 # at the tags that bound them, and the pieces stay in the page's own row.  A
 # piece starts with its tag, without the ``<``.
 
+def cut_at(html: Column | str, start: str) -> Column:
+    """The pieces from each place where the pattern takes one character, left out,
+    up to the next; first what stands before all of them.  ``html`` holds no marks."""
+    # the pattern of a replacement is compiled once, that of a split for every row
+    return F.split(F.regexp_replace(html, start, NEXT), NEXT, -1)
+
+
 def cut(html: Column | str, *tags: str, closing: bool = True) -> Column:
     """The pieces from each of these tags, opening or ``closing`` too, up to the
     next; first what stands before all of them.  ``html`` holds no marks."""
-    start = rf"(?i)<(?={'/?' if closing else ''}(?:{'|'.join(tags)})(?![a-z0-9-])[^<>]*>)"
-    # the pattern of a replacement is compiled once, that of a split for every row
-    return F.split(F.regexp_replace(html, start, NEXT), NEXT, -1)
+    return cut_at(html, rf"(?i)<(?={'/?' if closing else ''}(?:{'|'.join(tags)})(?![a-z0-9-])[^<>]*>)")
+
+
+def opening(cls: str, *tags: str) -> str:
+    """Pattern: the ``<`` of an opening tag whose first class attribute holds the
+    name as a whole.  What it tries is bounded by the tag, which is read a fixed number of times."""
+    value = "|".join(rf"{q}(?:[^{q}<>]*\s)?\Q{cls}\E(?:\s[^{q}<>]*)?{q}" for q in ('"', "'"))
+    first = r"""[^<>]*?\s(?i:class)\s*+=\s*+(?="[^"<>]*+"|'[^'<>]*+'|[^\s"'<>])"""
+    return rf"""<(?=(?i:{'|'.join(tags)})(?![a-zA-Z0-9-])(?=[^<>]*+>)(?>{first})(?:{value}|\Q{cls}\E(?=[\s"'>])))"""
+
+
+def inside_first(df: DataFrame, html: str, cls: str, tag: str) -> DataFrame:
+    """``df`` with the markup cut down to its first ``tag`` element of the class,
+    from its opening tag on to before its own closing tag; elements of the same
+    kind that it nests are counted.  Empty without one."""
+    df = df.withColumn("_pieces", cut(F.regexp_extract(html, opening(cls, tag) + r"(?s:.*+)", 0), tag))
+    # one number, cheap to fold: how many elements are open, times 2^32, plus the pieces read
+    one = 1 << 32
+
+    def step(at: Column, piece: Column) -> Column:
+        return F.when(at >= one, at + F.when(F.startswith(piece, F.lit("/")), 1 - one).otherwise(1 + one)).otherwise(at)
+
+    # the second piece is the element's own opening tag; the one that closes it is read but not kept
+    df = df.withColumn("_read", F.aggregate(F.slice("_pieces", 3, 2**30), F.lit(one + 1), step))
+    kept = F.when(F.col("_read") >= one, F.size("_pieces")).otherwise(F.col("_read").cast("int") - 1)
+    # each piece lost the ``<`` it began with
+    return df.withColumn(html, F.array_join(F.concat(F.array(F.lit("")), F.slice("_pieces", F.lit(2), kept)), "<")).drop("_pieces", "_read")
 
 
 def unmarked(html: str) -> Column:
@@ -176,6 +211,24 @@ def piece_has_class(piece: Column, name: str) -> Column:
     return F.when(F.contains(piece, F.lit(name)), piece_quoted(piece, "class").rlike(whole)).otherwise(False)
 
 
+def first_quoted(html: Column, tag: str, name: str) -> Column:
+    """Value of the attribute in the first opening ``tag`` that has it, in its quotes; empty without one."""
+    value = r"""("[^"<>]*+"|'[^'<>]*+'|[^\s"'<>]++)"""
+    return F.regexp_extract(html, rf"(?i)<{tag}(?![a-z0-9-])(?=[^<>]*+>)[^<>]*?\s{name}\s*+=\s*+{value}", 1)
+
+
+def opened(html: Column, start: str, *closing: str) -> Column:
+    """The pieces from each place as ``cut_at`` finds it, each up to the first of these closing tags in it."""
+    marked = F.regexp_replace(html, start, NEXT)
+    return after_first(F.split(F.regexp_replace(marked, rf"(?i)</(?:{'|'.join(closing)})(?![a-z0-9-])[^<>]*+>[^{NEXT}]*+", ""), NEXT, -1))
+
+
+def plain_texts(marked: Column | str) -> Column:
+    """The text behind each ``NEXT`` without its tags, every run of it stripped; for markup without references."""
+    bare = F.regexp_replace(marked, r"<[^<>]*+>\s*+|(?=<)", PART)
+    return after_first(F.split(F.regexp_replace(bare, rf"(?<!\s)\s++(?=[{NEXT}{PART}]|\z)|{PART}", ""), NEXT, -1))
+
+
 def piece_texts(piece: Column) -> Column:
     """The runs of text behind a piece's tag, cut at every further tag, as written."""
     return after_first(F.split(F.regexp_replace(piece, r"^[^<>]*>|<[^<>]*>|(?=<)", PART), PART, -1))
