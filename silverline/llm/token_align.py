@@ -15,11 +15,14 @@ such a place ends a token in both.  The distinct pieces of a slice are encoded
 and aligned once, and a document's groups are those of its pieces in order.
 
 An id pair counts the documents that hold it linked.  A slice of some MB of
-texts leaves as one row: what its documents are made of, and its distinct pairs
-with their documents.  Pairs are summed over the corpus by key, each slice gets
-the counts of its own pairs back by a join on the key, and adds them up by
-document.  A pair that occurs everywhere is one row a slice, so nothing is
-broadcast, and no group holds more than a slice's pairs or a vocabulary.
+texts leaves as what its documents are made of, packed and cut into rows of at
+most ``PART_BYTES``, and its distinct pairs with their documents.  Pairs are
+summed over the corpus by key, each slice gets the counts of its own pairs back
+by a join on the key, and adds them up by document.  A pair that occurs
+everywhere is one row a slice, so nothing is broadcast, and no group holds more
+than a slice's pairs or a vocabulary.  Small rows in small row groups keep what
+the JVM reads, sorts and fetches at a time small, and parts and counts meet
+slice by slice, so no Arrow batch holds a partition's slices together.
 
 Defined cases: a null or empty text, or one whose joined token bytes differ
 from the space and the text (B writes U+2581 for a space), has no tokens: zeros
@@ -44,6 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from silverline.llm import common as C
 from silverline.llm.token_count import cut_points
@@ -51,13 +55,25 @@ from silverline.session import stored
 
 SLICE_BYTES = 2 << 20
 BATCH_BYTES = 1 << 17
+#: Bytes of a packed slice in a row, and such rows in a row group.
+PART_BYTES, GROUP_ROWS = 1 << 17, 16
+#: Tokens whose groups are written at a time, linked pairs counted at a time.
+TEXT_TOKENS, PAIR_LINKS = 1 << 15, 1 << 18
 _MARK = "▁"
 
 
 def runs(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The indices start, start + 1, ... of every run, one run after another."""
     before = np.cumsum(length) - length
-    return np.repeat(start - before, length) + np.arange(int(length.sum()))
+    out = np.repeat(start - before, length)
+    out += np.arange(len(out))
+    return out
+
+
+def blocks(at: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Runs of the spans ``at`` that hold some ``limit`` elements together, or one longer span."""
+    edges = np.unique([0, *np.searchsorted(at, np.arange(0, at[-1], limit)), len(at) - 1]).tolist()
+    return zip(edges[:-1], edges[1:])
 
 
 def byte_level() -> dict[str, int]:
@@ -256,13 +272,17 @@ def _group_texts(found: dict[str, np.ndarray], a_ids: np.ndarray, b_ids: np.ndar
     line[np.arange(len(a_ids)) + np.repeat(b_cut - n_b, n_a)] = a_ids
     line[np.arange(len(b_ids)) + np.repeat(a_cut, n_b)] = b_ids
     digits, start = decimals
-    width = (start[1:] - start[:-1])[line]
-    out = digits[runs(start[line], width)]
-    end = np.concatenate([[0], np.cumsum(width)])
-    out[end[a_cut + b_cut - n_b] - 1] = ord("|")
-    out[end[a_cut + b_cut] - 1] = ord(";")
-    text, bounds = out.tobytes().decode(), end[at].tolist()
-    return np.array([*[text[x:y] for x, y in zip(bounds[:-1], bounds[1:])], ""], object)
+    size, cut, group_at, texts = start[1:] - start[:-1], a_cut + b_cut, found["group_at"], []
+    for x, y in blocks(at, TEXT_TOKENS):
+        here, cuts = line[at[x]:at[y]], slice(group_at[x], group_at[y])
+        width = size[here]
+        out = digits[runs(start[here], width)]
+        end = np.concatenate([[0], np.cumsum(width)])
+        out[end[(cut - n_b)[cuts] - at[x]] - 1] = ord("|")
+        out[end[cut[cuts] - at[x]] - 1] = ord(";")
+        text, bounds = out.tobytes().decode(), end[at[x:y + 1] - at[x]].tolist()
+        texts += [text[p:q] for p, q in zip(bounds[:-1], bounds[1:])]
+    return np.array([*texts, ""], object)
 
 
 def _distinct(values: np.ndarray) -> np.ndarray:
@@ -314,11 +334,13 @@ def align_slice(texts: pa.Array, a: _Side, b: _Side, decimals: tuple, digest: bo
     if digest:
         groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
     keys, links = np.unique(a_ids[found["a"]] * b.size + b_ids[found["b"]], return_inverse=True)
-    used = _distinct(np.repeat(np.arange(len(off) - 1), n) * (len(pieces) + 1) + words)
-    row, piece = used // (len(pieces) + 1), used % (len(pieces) + 1)
-    width = np.diff(found["link_at"])[piece]
-    pairs = _distinct(np.repeat(row, width) * (len(keys) + 1) + links[runs(found["link_at"][piece], width)])
-    held = np.bincount(pairs % (len(keys) + 1), minlength=len(keys))
+    held = np.zeros(len(keys), np.int64)
+    for x, y in blocks(np.concatenate([[0], np.cumsum(out["n_links"])]), PAIR_LINKS):
+        used = _distinct(np.repeat(np.arange(y - x), n[x:y]) * (len(pieces) + 1) + words[word_at[x]:word_at[y]])
+        row, piece = used // (len(pieces) + 1), used % (len(pieces) + 1)
+        width = each["n_links"][piece]
+        pairs = _distinct(np.repeat(row, width) * (len(keys) + 1) + links[runs(found["link_at"][piece], width)])
+        held += np.bincount(pairs % (len(keys) + 1), minlength=len(keys))
     return out | {"groups": groups, "words": words, "word_at": word_at, "links": links, "link_at": found["link_at"], "keys": keys, "held": held}
 
 
@@ -329,7 +351,6 @@ def _only(good: np.ndarray, ids: np.ndarray, ends: np.ndarray, at: np.ndarray) -
 
 
 _COUNTS = ("n_a", "n_b", "n_groups", "n_links")
-_LISTS = (*_COUNTS, "word_at", "held")
 _PACKED = ("words", "links", "link_at")
 
 
@@ -342,6 +363,28 @@ def _values(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
+def pack(ids: pa.Array, made: dict[str, object], limit: int) -> list[bytes]:
+    """What ``align_slice`` made of the documents ``ids``, without its counts
+    of keys, as compressed bytes in parts of at most ``limit``."""
+    lists = {"ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), "groups": pa.array([made["groups"]], pa.list_(pa.string()))}
+    lists |= {k: pa.array([made[k]], pa.list_(pa.int64())) for k in (*_COUNTS, "word_at")}
+    lists |= {k: pa.array([_planes(made[k])], pa.large_binary()) for k in _PACKED}
+    batch = pa.RecordBatch.from_arrays([*lists.values()], names=[*lists])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd", use_threads=False)) as writer:
+        writer.write_batch(batch)
+    content = memoryview(sink.getvalue())
+    return [bytes(content[i:i + limit]) for i in range(0, len(content), limit)]
+
+
+def unpack(parts: list[bytes]) -> dict[str, object]:
+    """What ``pack`` was given: ``ids``, ``groups`` as Arrow arrays, the others as numbers."""
+    batch = pa.ipc.open_stream(b"".join(parts)).read_next_batch()
+    made = {k: batch.column(k)[0].values for k in ("ids", "groups", *_COUNTS, "word_at")}
+    made |= {k: made[k].to_numpy(zero_copy_only=False) for k in (*_COUNTS, "word_at")}
+    return made | {k: _values(batch.column(k)[0].as_buffer()) for k in _PACKED}
+
+
 def align(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", text_col: str = "text", digest: bool = False) -> DataFrame:
     """One row per document: the id, ``n_a``, ``n_b``, ``n_groups``,
     ``n_links``, ``n_best`` (links whose pair counts most of its A id's),
@@ -367,39 +410,35 @@ def align(docs: DataFrame, a_file: str, b_file: str, id_col: str = "doc_id", tex
             for part in C.byte_slices(batch, "text", SLICE_BYTES):
                 a, b, decimals = C.held(key, tools)
                 made = align_slice(part.column(1), a, b, decimals, digest)
-                lists = {k: pa.array([made[k]], pa.list_(pa.int32())) for k in _LISTS}
-                lists |= {k: pa.array([_planes(made[k])], pa.binary()) for k in _PACKED}
+                parts = pack(part.column(0), made, PART_BYTES)
+                # the keys are in the first part's row
+                at = pa.array(np.minimum(np.arange(len(parts) + 1), 1) * len(made["keys"]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([task << 32 | n]), pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), part.column(0)),
-                     *lists.values(), pa.array([made["keys"]], pa.list_(pa.int64())), pa.array([made["groups"]], pa.list_(pa.string()))],
-                    names=["slice", "ids", *lists, "keys", "groups"])
+                    [pa.array([task << 32 | n] * len(parts)), pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary()),
+                     pa.ListArray.from_arrays(at, pa.array(made["keys"], pa.int64())), pa.ListArray.from_arrays(at, pa.array(made["held"], pa.int64()))],
+                    names=["slice", "part", "data", "keys", "held"])
                 n += 1
 
-    ints = [*(T.StructField(k, T.ArrayType(T.IntegerType())) for k in _LISTS), *(T.StructField(k, T.BinaryType()) for k in _PACKED)]
-    schema = T.StructType([T.StructField("slice", T.LongType()), T.StructField("ids", T.ArrayType(kind)), *ints,
-                           T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("groups", T.ArrayType(T.StringType()))])
-    slices = stored(one.mapInArrow(cut, schema), "align-slices")
+    slices = stored(one.mapInArrow(cut, "slice long, part int, data binary, keys array<long>, held array<long>"), "align-slices",
+                    **{"parquet.block.row.count.limit": GROUP_ROWS})
 
     width = _Side(*content[1]).size
     pairs = slices.select(F.explode(F.arrays_zip("keys", "held")).alias("p")).groupBy(F.col("p.keys").alias("key")).agg(F.sum("p.held").alias("count"))
     # at most one row per B id in a group
     most = F.max("count").over(Window.partitionBy(F.expr(f"key div {width}")))
     pairs = stored(pairs.withColumn("best", F.col("count") == most), "align-pairs")
-    asked = slices.select("slice", F.posexplode("keys").alias("pos", "key")).join(pairs, "key")
-    told = asked.groupBy("slice").agg(F.collect_list("pos").alias("pos"), F.collect_list("count").alias("count"), F.collect_list("best").alias("best"))
-    rows = slices.drop("keys", "held").join(told, "slice", "left")
+    asked = slices.select("slice", F.posexplode("keys").alias("pos", "key")).join(pairs, "key").select(F.col("slice").alias("of"), "pos", "count", "best")
 
-    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                made = {k: batch.column(k)[i].values for k in ("ids", "groups", *_COUNTS, "word_at", "pos", "count", "best")}
-                x = {k: np.zeros(0, np.int64) if v is None else v.to_numpy(zero_copy_only=False) for k, v in made.items() if k not in ("ids", "groups")}
-                x |= {k: _values(batch.column(k)[i].as_py()) for k in _PACKED}
-                count, best = np.zeros(len(x["pos"]), np.int64), np.zeros(len(x["pos"]), np.int64)
-                count[x["pos"]], best[x["pos"]] = x["count"], x["best"]
-                sums = [_total(_total(v[x["links"]], x["link_at"])[x["words"]], x["word_at"]) for v in (best, count)]
-                yield pa.RecordBatch.from_arrays([made["ids"], *[pa.array(x[k].astype(np.int64)) for k in _COUNTS], *map(pa.array, sums), made["groups"]],
-                                                 names=["id", *_COUNTS, "n_best", "count_sum", "groups"])
+    def total(parts: pa.Table, told: pa.Table) -> pa.Table:
+        C.let_go()
+        x = unpack(parts.sort_by("part").column("data").to_pylist())
+        pos = told.column("pos").to_numpy()
+        count, best = np.zeros(len(pos), np.int64), np.zeros(len(pos), np.int64)
+        count[pos], best[pos] = told.column("count").to_numpy(), told.column("best").to_numpy()
+        sums = [_total(_total(v[x["links"]], x["link_at"])[x["words"]], x["word_at"]) for v in (best, count)]
+        return pa.table([x["ids"].cast(to_arrow_type(kind)), *[pa.array(x[k]) for k in _COUNTS], *map(pa.array, sums), x["groups"]], names=["id", *_COUNTS, "n_best", "count_sum", "groups"])
 
     longs = [T.StructField(k, T.LongType()) for k in (*_COUNTS, "n_best", "count_sum")]
-    return rows.mapInArrow(total, T.StructType([T.StructField("id", kind), *longs, T.StructField("groups", T.StringType())])).withColumnRenamed("id", id_col)
+    schema = T.StructType([T.StructField("id", kind), *longs, T.StructField("groups", T.StringType())])
+    rows = slices.select("slice", "part", "data").groupBy("slice").cogroup(asked.groupBy("of"))
+    return rows.applyInArrow(total, schema).withColumnRenamed("id", id_col)

@@ -5,6 +5,8 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -95,3 +97,49 @@ def test_groups_text_empty_table_and_other_columns(spark):
     odd = spark.createDataFrame([("k", "a word", 3, 4)], "doc_id string, text string, slice int, n_a int")
     row = align(odd, A, B).collect()[0]
     assert row.doc_id == "k" and row.groups.count(";") == row.n_groups - 1 and row.groups.split("|")[0].isdigit()
+
+
+def test_slices_of_many_parts(spark, monkeypatch):
+    monkeypatch.setattr(token_align, "PART_BYTES", 50)
+    monkeypatch.setattr(token_align, "SLICE_BYTES", 300)
+    docs = [*enumerate(TEXTS)] * 2
+    assert checked(spark, docs) == sorted(brute(docs), key=str)
+
+
+def test_stored_slices_lie_in_small_row_groups(spark, monkeypatch):
+    real, kept = token_align.stored, {}
+
+    def stored(df, what, **options):
+        kept[what] = real(df, what, **options)
+        return kept[what]
+
+    monkeypatch.setattr(token_align, "stored", stored)
+    monkeypatch.setattr(token_align, "PART_BYTES", 1 << 14, raising=False)
+    monkeypatch.setattr(token_align, "GROUP_ROWS", 8, raising=False)
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice([*"aeiourstlnmd"], 5)) for _ in range(4000)]
+    docs = [(i, " ".join(rng.choice(words, 700))) for i in range(1500)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    found = align(frame, A, B, digest=True).collect()
+    groups = []
+    for path in kept["align-slices"].inputFiles():
+        meta = pq.ParquetFile(path.removeprefix("file:").replace("///", "/")).metadata
+        groups += [meta.row_group(k).total_byte_size for k in range(meta.num_row_groups)]
+    assert sum(groups) > 1 << 20 and max(groups) < 1 << 19
+    monkeypatch.setattr(token_align, "SLICE_BYTES", 1 << 18)
+    assert sorted(found) == sorted(align(frame, A, B, digest=True).collect())
+
+
+def test_blocks_of_a_slice(monkeypatch):
+    texts = pa.array([*TEXTS, *TEXTS])
+    with open(A, "rb") as a, open(B, "rb") as b:
+        a, b = token_align._Side(A, a.read()), token_align._Side(B, b.read())
+    decimals = token_align._decimals(max(a.size, b.size))
+    whole = token_align.align_slice(texts, a, b, decimals, False)
+    monkeypatch.setattr(token_align, "TEXT_TOKENS", 3)
+    monkeypatch.setattr(token_align, "PAIR_LINKS", 5)
+    made = token_align.align_slice(texts, a, b, decimals, False)
+    assert made["groups"] == whole["groups"] and made["groups"][10].count(";") == whole["n_groups"][10] - 1
+    assert (made["held"] == whole["held"]).all() and made["held"].max() > 2
+    assert [*token_align.blocks(np.array([0, 0, 3, 3, 9, 10, 10]), 4)] == [(0, 4), (4, 6)]
+    assert [*token_align.blocks(np.array([0]), 4)] == [] and [*token_align.blocks(np.array([0, 0, 0]), 4)] == [(0, 2)]
